@@ -9,6 +9,7 @@ from rankforge.registry.common import ORACLE, REGISTRY
 _MODULES = [
     "popularity_queries",
     "knn_queries",
+    "data_queries",
 ]
 
 
