@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from rankforge.session import materialize
+
 
 class Recommender:
     name = "Base"
@@ -46,6 +48,25 @@ class Recommender:
     def similar_items(self, items: DataFrame | None = None, n: int = 10) -> DataFrame:
         return None
 
+    state = ()   # attribute names of the fitted tables worth keeping
+
+    def state_tables(self) -> list[DataFrame]:
+        return [getattr(self, a) for a in self.state]
+
+    def materialize(self) -> "Recommender":
+        """Compute the fitted state once and cut its lineage (reliable checkpoint).
+
+        The checkpoint lives in the shared ``spark.checkpoint.dir``, so a lost
+        executor does not lose it, and later plans start from it instead of
+        re-deriving the whole fit.
+        """
+        for a in self.state:
+            setattr(self, a, materialize(getattr(self, a)))
+        return self
+
+    def unpersist(self) -> None:
+        pass
+
     def _validate_fitted(self):
         if not self._fitted:
             raise RuntimeError(f"{self.name} must be fitted before use")

@@ -35,6 +35,8 @@ class UserCF(Recommender):
         self._fitted = True
         return self
 
+    state = ("matrix", "neighbors")
+
     def scores(self, users: DataFrame, exclude_seen: bool = True) -> DataFrame:
         nb = self.neighbors.join(as_users(users), "user_id")
         m = self.matrix.select(F.col("user_id").alias("neighbor_id"), "item_id", "w")
@@ -102,6 +104,8 @@ class ItemCF(Recommender):
         self._fitted = True
         return self
 
+    state = ("matrix", "neighbors")
+
     def scores(self, users: DataFrame, exclude_seen: bool = True) -> DataFrame:
         hist = self.matrix.join(as_users(users), "user_id")
         nb = self.neighbors.select("item_id", "neighbor_id", "sim")

@@ -36,6 +36,8 @@ class Popularity(Recommender):
         self._fitted = True
         return self
 
+    state = ("item_scores", "seen", "n_seen")
+
     # --- ranked lists --------------------------------------------------------
     def ranked(self, category: str | None = None) -> DataFrame:
         """(item_id, score, rank) globally, or within ``category`` (J1 inner join)."""

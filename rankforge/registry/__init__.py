@@ -10,6 +10,8 @@ _MODULES = [
     "popularity_queries",
     "knn_queries",
     "data_queries",
+    "eval_queries",
+    "model_queries",
 ]
 
 

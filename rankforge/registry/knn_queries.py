@@ -10,8 +10,12 @@ from rankforge.sources import fixtures as fx
 
 # --- oracle building blocks ----------------------------------------------------
 
-M_SQL = f"""
-, m AS (SELECT user_id, item_id, sum({W_SQL()}) AS w FROM interactions GROUP BY user_id, item_id)"""
+def MAT_SQL(src: str = "interactions") -> str:
+    return f"""
+, m AS (SELECT user_id, item_id, sum({W_SQL()}) AS w FROM {src} GROUP BY user_id, item_id)"""
+
+
+M_SQL = MAT_SQL()
 
 
 def SIM_SQL(kind: str) -> str:
@@ -34,9 +38,9 @@ def NB_SQL(kind: str, k: int) -> str:
     FROM {kind}_sim WHERE sim > 0) WHERE rk <= {k})"""
 
 
-def UCF_SQL(k: int = USER_CF_K) -> str:
+def UCF_SQL(k: int = USER_CF_K, with_m: bool = True) -> str:
     """CTE ``ucf(user_id, item_id, score)``: unseen User-CF scores."""
-    return M_SQL + SIM_SQL("user") + NB_SQL("user", k) + """
+    return (M_SQL if with_m else "") + SIM_SQL("user") + NB_SQL("user", k) + """
 , ucf_all AS (SELECT nb.id AS user_id, m.item_id, sum(nb.sim * m.w) / sum(abs(nb.sim)) AS score
               FROM user_nb nb JOIN m ON m.user_id = nb.nbr GROUP BY 1, 2)
 , ucf AS (SELECT * FROM ucf_all s WHERE NOT EXISTS

@@ -15,12 +15,17 @@ def popularity_model(spark, sf):
     return Popularity(AS_OF_L).fit(fx.interactions_l(spark, sf), fx.users_l(spark, sf), fx.items_l(spark, sf))
 
 
-SCORES_SQL = f"""
+def POP_SQL(src: str = "interactions") -> str:
+    """CTE ``sc(item_id, raw_score, score)``: decayed popularity over ``src``."""
+    return f"""
 , raw AS (SELECT item_id, sum({W_SQL()} * {DECAY_SQL('ts', AS_OF_L)}) AS raw_score
-          FROM interactions GROUP BY item_id)
+          FROM {src} GROUP BY item_id)
 , sc AS (SELECT item_id, raw_score, raw_score / max(raw_score) OVER () AS score FROM raw)"""
 
 
+SCORES_SQL = POP_SQL()
+
+
 @query("popularity_scores", L(SCORES_SQL + """
 SELECT item_id, round(raw_score, 6) AS raw_score, round(score, 6) AS score FROM sc"""))
 def popularity_scores(spark, sf):
