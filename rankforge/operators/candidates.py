@@ -17,21 +17,25 @@ from rankforge.session import broadcast_limit_rows
 
 
 def first_unseen(users_s: DataFrame, ranked: DataFrame, seen: DataFrame | None, n: int,
-                 head_rows: int | None = None) -> DataFrame:
-    """users_s(user_id, s) x ranked(item_id, score, rank) -> (user_id, item_id, score, rank).
+                 head_rows: int | None = None, keys: list[str] | None = None) -> DataFrame:
+    """users_s(user_id, [keys], s) x ranked([keys], item_id, score, rank) -> (user_id, [keys], item_id, score, rank).
 
-    ``s`` is the number of items the user has seen (0 when ``seen`` is None).
-    Output rank is the position among the user's unseen items, 1..n.
+    ``s`` is the number of items the user has seen (in that key's list; 0 when
+    ``seen`` is None).  With ``keys`` (e.g. category) each key has its own
+    ranked list and the head bound applies per key.  Output rank is the
+    position among the user's unseen items of that list, 1..n.
     """
+    keys = keys or []
     L = head_rows or broadcast_limit_rows(users_s.sparkSession)
     span = F.lit(n) + (F.coalesce(F.col("s"), F.lit(0)) if seen is not None else F.lit(0))
-    cand = users_s.select("user_id", F.explode(F.sequence(F.lit(1), span.cast("int"))).alias("pos"))
-    r = ranked.select("item_id", "score", F.col("rank").alias("pos"))
-    light = cand.where(F.col("pos") <= L).join(F.broadcast(r.where(F.col("pos") <= L)), "pos")
-    heavy = cand.where(F.col("pos") > L).join(r.where(F.col("pos") > L), "pos")
+    cand = users_s.select("user_id", *keys, F.explode(F.sequence(F.lit(1), span.cast("int"))).alias("pos"))
+    r = ranked.select(*keys, "item_id", "score", F.col("rank").alias("pos"))
+    on = [*keys, "pos"]
+    light = cand.where(F.col("pos") <= L).join(F.broadcast(r.where(F.col("pos") <= L)), on)
+    heavy = cand.where(F.col("pos") > L).join(r.where(F.col("pos") > L), on)
     c = light.unionByName(heavy)
     if seen is not None:
         c = c.join(seen.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-    w = Window.partitionBy("user_id").orderBy("pos")
+    w = Window.partitionBy("user_id", *keys).orderBy("pos")
     return (c.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-            .select("user_id", "item_id", "score", "rank"))
+            .select("user_id", *keys, "item_id", "score", "rank"))

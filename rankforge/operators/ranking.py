@@ -67,3 +67,23 @@ def dense_index(df: DataFrame, id_col: str, index_col: str) -> DataFrame:
     d = df.select(id_col).distinct()
     r = global_rank(d, [F.col(id_col).asc()], "_rk")
     return r.select(id_col, (F.col("_rk") - 1).alias(index_col))
+
+
+def group_rank(df: DataFrame, groups: list[str], order: list, rank_col: str = "rank",
+               partitions: int | None = None) -> DataFrame:
+    """Exact 1..m row number within each group, safe for a group holding most rows.
+
+    Range-partition on (groups, order) so a large group spreads over several
+    ranges; number rows per (range, group), then add, per group, the counts of
+    its earlier ranges (a window over at most one row per range of the group).
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    gcols = [F.col(g) for g in groups]
+    ranged = df.repartitionByRange(n, *gcols, *order).withColumn("_p", F.spark_partition_id())
+    local = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_p", *groups).orderBy(*order)))
+    counts = ranged.groupBy("_p", *groups).agg(F.count(F.lit(1)).alias("_n"))
+    offs = counts.select("_p", *groups, F.coalesce(F.sum("_n").over(
+        Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+    out = local.join(offs, ["_p", *groups])
+    return out.withColumn(rank_col, (F.col("_off") + F.col("_r")).cast("int")).drop("_p", "_r", "_off")

@@ -12,6 +12,7 @@ _MODULES = [
     "data_queries",
     "eval_queries",
     "model_queries",
+    "hybrid_queries",
 ]
 
 
