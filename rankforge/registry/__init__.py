@@ -13,6 +13,7 @@ _MODULES = [
     "eval_queries",
     "model_queries",
     "hybrid_queries",
+    "explain_queries",
 ]
 
 
