@@ -378,3 +378,14 @@ def model_comparison(spark, sf):
     metrics, times = CMP.compare_models(all_models(), train, test, None, items, N_RECS,
                                         item_content_vectors(items))
     return CMP.comparison_wide(metrics, _WIDE_NAMES, times)
+
+
+@query("metric_bands", L(ALL_MODELS_SQL + """
+SELECT model, metric, round(value, 6) AS value,
+       CASE WHEN value >= 0.3 THEN 'green' WHEN value >= 0.15 THEN 'yellow' ELSE 'red' END AS band
+FROM metrics WHERE metric IN ('precision@10', 'recall@10', 'ndcg@10', 'map', 'coverage', 'diversity')"""))
+def metric_bands(spark, sf):
+    """Colour band of the dashboard's six key metrics per model."""
+    from rankforge.functions.exprs import metric_band
+    m = _three_models(spark, sf).where(F.col("metric").isin(*CMP.KEY_SUMMARY))
+    return m.select("model", "metric", F.round("value", 6).alias("value"), metric_band(F.col("value")).alias("band"))
