@@ -27,21 +27,27 @@ def cosine_pairs(m: DataFrame, key: str, id_col: str, both_directions: bool = Tr
     exact in any summation order; ``dot / (sqrt(na) * sqrt(nb))`` is then the
     same double in every engine and neighbour ties break identically.
     """
-    a = m.select(F.col(key).alias("_k"), F.col(id_col).alias("id_a"), F.col("w").alias("w_a"))
-    b = m.select(F.col(key).alias("_k"), F.col(id_col).alias("id_b"), F.col("w").alias("w_b"))
+    # attach each id's squared norm to its rows first (a shuffle of the matrix,
+    # not of the much larger pair table), then carry it through the pair sum
+    n = norms(m, id_col)
+    mn = m.join(n, id_col)
+    a = mn.select(F.col(key).alias("_k"), F.col(id_col).alias("id_a"), F.col("w").alias("w_a"),
+                  F.col("nsq").alias("na"))
+    b = mn.select(F.col(key).alias("_k"), F.col(id_col).alias("id_b"), F.col("w").alias("w_b"),
+                  F.col("nsq").alias("nb"))
     a, b = salt_sides(a, b, ["_k"], F.col("id_a"))
     dots = (a.join(b, ["_k", "_salt"]).where(F.col("id_a") < F.col("id_b"))
-            .groupBy("id_a", "id_b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("dot")))
-    n = norms(m, id_col)
-    na = n.select(F.col(id_col).alias("id_a"), F.col("nsq").alias("na"))
-    nb = n.select(F.col(id_col).alias("id_b"), F.col("nsq").alias("nb"))
-    half = (dots.join(na, "id_a").join(nb, "id_b")
-            .select("id_a", "id_b", "dot",
-                    (F.col("dot") / (F.sqrt("na") * F.sqrt("nb"))).alias("sim")))
+            .groupBy("id_a", "id_b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("dot"),
+                                         F.max("na").alias("na"), F.max("nb").alias("nb")))
+    half = dots.select("id_a", "id_b", "dot", (F.col("dot") / (F.sqrt("na") * F.sqrt("nb"))).alias("sim"))
     if not both_directions:
         return half
-    mirror = half.select(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"), "dot", "sim")
-    return half.unionByName(mirror)
+    # mirror in the same pass (explode), so the half table is computed once
+    both = F.explode(F.array(
+        F.struct(F.col("id_a").alias("a"), F.col("id_b").alias("b")),
+        F.struct(F.col("id_b").alias("a"), F.col("id_a").alias("b"))))
+    return half.select(both.alias("_d"), "dot", "sim").select(
+        F.col("_d.a").alias("id_a"), F.col("_d.b").alias("id_b"), "dot", "sim")
 
 
 def neighbors(pairs: DataFrame, k: int | None) -> DataFrame:
