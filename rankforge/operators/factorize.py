@@ -35,14 +35,50 @@ def gaussian_vectors(ids: DataFrame, id_col: str, r: int, seed: int) -> DataFram
     return ids.select(F.col(id_col).alias("id"), vec.alias("vec"))
 
 
-def spmm(entries: DataFrame, src: str, dst: str, x: DataFrame) -> DataFrame:
-    """Σ_src val · x[src] for every dst: entries(src, dst, val) ⋈ x(id, vec) -> (id=dst, vec)."""
-    j = entries.join(x.withColumnRenamed("id", src), src)
-    e = j.select(F.col(dst).alias("id"), F.col("val"), F.posexplode("vec").alias("pos", "x"))
-    s = e.groupBy("id", "pos").agg(F.sum(F.col("val") * F.col("x")).alias("y"))
-    # at most r entries per id: a bounded collect
-    return s.groupBy("id").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "y"))), lambda t: t["y"]).alias("vec"))
+def _group_sum(id_col: str, weighted: bool):
+    """mapInPandas body: Σ (val ·) vec per id over the whole partition (one output row per id)."""
+    def f(it):
+        import pandas as pd
+        acc_ids, acc_vecs = [], []
+        for pdf in it:
+            if len(pdf) == 0:
+                continue
+            m = np.stack(pdf["vec"].to_numpy())
+            if weighted:
+                m = m * pdf["val"].to_numpy()[:, None]
+            ids = pdf[id_col].to_numpy()
+            uniq, inv = np.unique(ids, return_inverse=True)
+            part = np.zeros((len(uniq), m.shape[1]))
+            np.add.at(part, inv, m)
+            acc_ids.append(uniq)
+            acc_vecs.append(part)
+        if not acc_ids:
+            return
+        ids = np.concatenate(acc_ids)
+        m = np.concatenate(acc_vecs)
+        uniq, inv = np.unique(ids, return_inverse=True)
+        out = np.zeros((len(uniq), m.shape[1]))
+        np.add.at(out, inv, m)
+        yield pd.DataFrame({"id": uniq, "vec": list(out)})
+    return f
+
+
+def by_key(entries: DataFrame, key: str, partitions: int) -> DataFrame:
+    """The sparse matrix hash-partitioned on one index, kept (the checkpoint keeps the partitioning)."""
+    return materialize(entries.repartition(partitions, key))
+
+
+def spmm(entries: DataFrame, src: str, dst: str, x: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Σ_src val · x[src] for every dst: entries(src, dst, val) ⋈ x(id, vec) -> (id=dst, vec).
+
+    With ``entries`` partitioned on ``src`` and ``x`` on id, the join needs no
+    shuffle; each task sums val·vec per dst in NumPy (a map-side partial), and
+    one shuffle by dst finishes the sums.  No per-entry explode of the vector.
+    """
+    n = partitions or int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    j = entries.join(x.withColumnRenamed("id", src), src).select(F.col(dst).alias("dst"), "val", "vec")
+    part = j.mapInPandas(_group_sum("dst", True), "id long, vec array<double>")
+    return part.repartition(n, "id").mapInPandas(_group_sum("id", False), "id long, vec array<double>")
 
 
 def _gram_partials(it):
@@ -106,14 +142,24 @@ def randomized_svd(entries: DataFrame, k: int, oversample: int = 20, power_iters
     at least min(rows, cols) the result is exact up to rounding.
     """
     r = k + oversample
-    entries = materialize(entries.select("row", "col", F.col("val").cast("double").alias("val")))
-    cols = entries.select(F.col("col")).distinct()
-    omega = gaussian_vectors(cols, "col", r, seed)
-    q = orthonormalize(spmm(entries, "col", "row", omega))
+    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    base = entries.select("row", "col", F.col("val").cast("double").alias("val"))
+    by_col = by_key(base, "col", n)
+    by_row = by_key(by_col, "row", n)       # re-keyed from the checkpoint, not recomputed
+
+    def c_times(x):      # C x: rows from columns
+        return spmm(by_col, "col", "row", x, n)
+
+    def ct_times(x):     # Cᵀ x: columns from rows
+        return spmm(by_row, "row", "col", x, n)
+
+    cols = by_col.select("col").distinct()
+    omega = gaussian_vectors(cols, "col", r, seed).repartition(n, "id")
+    q = orthonormalize(c_times(omega))
     for _ in range(power_iters):
-        z = orthonormalize(spmm(entries, "row", "col", q))
-        q = orthonormalize(spmm(entries, "col", "row", z))
-    z = materialize(spmm(entries, "row", "col", q))     # Bᵀ = Cᵀ Q
+        z = orthonormalize(ct_times(q))
+        q = orthonormalize(c_times(z))
+    z = materialize(ct_times(q))                        # Bᵀ = Cᵀ Q
     g = gram(z)                                         # B Bᵀ
     lam, w = np.linalg.eigh(g)
     order = np.argsort(lam)[::-1]

@@ -51,9 +51,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss, cuts lineage."""
+    """Reliable checkpoint: survives executor loss, cuts lineage.
+
+    The input is persisted while the checkpoint is written, so its lineage
+    runs once (the write would otherwise recompute it), then released.
+    """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    df = df.persist()
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
 
 
 def broadcast_limit_rows(spark: SparkSession, default: int = 2_000_000) -> int:
