@@ -9,6 +9,7 @@ from rankforge.operators.matrix import user_item_weights
 from rankforge.operators.ranking import top_n_per_group
 from rankforge.operators.similarity import cosine_pairs, neighbors
 from rankforge.plans.base import Recommender, as_users
+from rankforge.session import materialize
 
 
 class UserCF(Recommender):
@@ -24,18 +25,18 @@ class UserCF(Recommender):
         self.similarity_metric = similarity_metric
 
     def fit(self, interactions, users=None, items=None):
-        self.matrix = user_item_weights(interactions)
+        # A1 once per fit, shared by similarity, scoring and exclusion
+        self.matrix = materialize(user_item_weights(interactions))
         self.items = items
         pairs = cosine_pairs(self.matrix, key="item_id", id_col="user_id")
         self.similarity = pairs.select(F.col("id_a").alias("user_id"), F.col("id_b").alias("other_user_id"),
                                        "dot", "sim")
         nb = neighbors(pairs, self.k)
-        self.neighbors = nb.select(F.col("id_a").alias("user_id"), F.col("id_b").alias("neighbor_id"),
-                                   "sim", "rank")
+        self.neighbors = materialize(nb.select(F.col("id_a").alias("user_id"), F.col("id_b").alias("neighbor_id"),
+                                               "sim", "rank"))
         self._fitted = True
         return self
 
-    state = ("matrix", "neighbors")
 
     def scores(self, users: DataFrame, exclude_seen: bool = True) -> DataFrame:
         nb = self.neighbors.join(as_users(users), "user_id")
@@ -93,18 +94,17 @@ class ItemCF(Recommender):
         self.min_support = min_support
 
     def fit(self, interactions, users=None, items=None):
-        self.matrix = user_item_weights(interactions)
+        self.matrix = materialize(user_item_weights(interactions))
         self.items = items
         pairs = cosine_pairs(self.matrix, key="user_id", id_col="item_id")
         self.similarity = pairs.select(F.col("id_a").alias("item_id"), F.col("id_b").alias("other_item_id"),
                                        "dot", "sim")
         nb = neighbors(pairs, self.k)
-        self.neighbors = nb.select(F.col("id_a").alias("item_id"), F.col("id_b").alias("neighbor_id"),
-                                   "sim", "rank")
+        self.neighbors = materialize(nb.select(F.col("id_a").alias("item_id"), F.col("id_b").alias("neighbor_id"),
+                                               "sim", "rank"))
         self._fitted = True
         return self
 
-    state = ("matrix", "neighbors")
 
     def scores(self, users: DataFrame, exclude_seen: bool = True) -> DataFrame:
         hist = self.matrix.join(as_users(users), "user_id")

@@ -10,6 +10,7 @@ from rankforge.operators.candidates import first_unseen
 from rankforge.operators.matrix import seen_pairs, with_totals
 from rankforge.operators.ranking import rank_by_score, running_total
 from rankforge.plans.base import Recommender, as_users
+from rankforge.session import materialize
 
 
 class Popularity(Recommender):
@@ -27,16 +28,14 @@ class Popularity(Recommender):
         raw = (interactions.groupBy("item_id")
                .agg(F.sum(event_weight("interaction_type") * decay).alias("raw_score")))
         top = raw.agg(F.max("raw_score").alias("_max"))
-        self.item_scores = (with_totals(raw, top)
-                            .select("item_id", "raw_score",
-                                    (F.col("raw_score") / F.nullif(F.col("_max"), F.lit(0.0))).alias("score")))
-        self.seen = seen_pairs(interactions)
+        self.item_scores = materialize(with_totals(raw, top).select(
+            "item_id", "raw_score", (F.col("raw_score") / F.nullif(F.col("_max"), F.lit(0.0))).alias("score")))
+        self.seen = materialize(seen_pairs(interactions))
         self.n_seen = self.seen.groupBy("user_id").agg(F.count(F.lit(1)).alias("s"))
         self.items = items
         self._fitted = True
         return self
 
-    state = ("item_scores", "seen", "n_seen")
 
     # --- ranked lists --------------------------------------------------------
     def ranked(self, category: str | None = None) -> DataFrame:

@@ -38,7 +38,7 @@ def centered(matrix: DataFrame, mu: DataFrame, ub: DataFrame, ib: DataFrame) ->
 
 class SVD(Recommender):
     name = "SVD"
-    state = ("matrix", "user_factors", "item_factors", "user_bias", "item_bias", "mean")
+    state = ("user_bias", "item_bias", "mean")
 
     def __init__(self, n_factors: int = 50, regularization: float = 0.01, oversample: int = 20,
                  power_iters: int = 4, seed: int = 42):
