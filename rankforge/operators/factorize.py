@@ -63,17 +63,12 @@ def _group_sum(id_col: str, weighted: bool):
     return f
 
 
-def by_key(entries: DataFrame, key: str, partitions: int) -> DataFrame:
-    """The sparse matrix hash-partitioned on one index, kept (the checkpoint keeps the partitioning)."""
-    return materialize(entries.repartition(partitions, key))
-
-
 def spmm(entries: DataFrame, src: str, dst: str, x: DataFrame, partitions: int | None = None) -> DataFrame:
     """Σ_src val · x[src] for every dst: entries(src, dst, val) ⋈ x(id, vec) -> (id=dst, vec).
 
-    With ``entries`` partitioned on ``src`` and ``x`` on id, the join needs no
-    shuffle; each task sums val·vec per dst in NumPy (a map-side partial), and
-    one shuffle by dst finishes the sums.  No per-entry explode of the vector.
+    Each task sums val·vec per dst in NumPy right after the join (a map-side
+    partial, at most one row per dst and task), and one shuffle by dst
+    finishes the sums.  No per-entry explode of the vector.
     """
     n = partitions or int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     j = entries.join(x.withColumnRenamed("id", src), src).select(F.col(dst).alias("dst"), "val", "vec")
@@ -143,18 +138,19 @@ def randomized_svd(entries: DataFrame, k: int, oversample: int = 20, power_iters
     """
     r = k + oversample
     n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    base = entries.select("row", "col", F.col("val").cast("double").alias("val"))
-    by_col = by_key(base, "col", n)
-    by_row = by_key(by_col, "row", n)       # re-keyed from the checkpoint, not recomputed
+    # one copy, not pre-partitioned by an index: a hot row or column would
+    # otherwise sit in one task; the join is left to the planner (broadcast of
+    # the thin side when small, else a shuffle join with AQE skew splitting)
+    base = materialize(entries.select("row", "col", F.col("val").cast("double").alias("val")))
 
     def c_times(x):      # C x: rows from columns
-        return spmm(by_col, "col", "row", x, n)
+        return spmm(base, "col", "row", x, n)
 
     def ct_times(x):     # Cᵀ x: columns from rows
-        return spmm(by_row, "row", "col", x, n)
+        return spmm(base, "row", "col", x, n)
 
-    cols = by_col.select("col").distinct()
-    omega = gaussian_vectors(cols, "col", r, seed).repartition(n, "id")
+    cols = base.select("col").distinct()
+    omega = gaussian_vectors(cols, "col", r, seed)
     q = orthonormalize(c_times(omega))
     for _ in range(power_iters):
         z = orthonormalize(ct_times(q))

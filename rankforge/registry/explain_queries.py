@@ -248,3 +248,14 @@ def content_similarity(spark, sf):
     s = pair_similarity(nb, item_content_vectors(fx.items_l(spark, sf)))
     return s.select(F.col("id_a").alias("item_id"), F.col("id_b").alias("neighbor_id"),
                     F.round("sim", 6).alias("content_sim"))
+
+
+@query("recs_with_explanations", L(ICF_SQL() + SHARE_SQL + ICF_DETAILS + f"""
+SELECT user_id, item_id, rank, round(score, 6) AS score, item_title, primary_reason,
+       round({CONF_SQL('score', 0.05, 'n_factors')}, 6) AS confidence
+FROM rec WHERE rank <= 6"""))
+def recs_with_explanations(spark, sf):
+    """The explorer page's 6 recommendations per user with reason and confidence (Item-CF)."""
+    r = _item_cf_records(spark, sf).where(F.col("rank") <= 6)
+    return r.select("user_id", "item_id", "rank", F.round("score", 6).alias("score"), "item_title",
+                    "primary_reason", F.round("confidence", 6).alias("confidence"))

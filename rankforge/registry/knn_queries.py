@@ -153,3 +153,15 @@ def explain_item_cf(spark, sf):
             .select("user_id", "item_id", "source_item_id", F.round("similarity", 6).alias("similarity"),
                     "engagement", "src_rank", title.alias("source_title"),
                     F.when(F.col("src_rank") == 1, F.concat(F.lit("Because you watched: "), title)).alias("reason")))
+
+
+@query("item_cf_predict", L(ICF_SQL() + """
+, pairs AS (SELECT DISTINCT CAST(user_id AS BIGINT) AS user_id,
+                   CAST(json_extract_string(props, '$.k') AS BIGINT) AS item_id FROM events)
+SELECT p.user_id, p.item_id, round(coalesce(s.score, 0), 6) AS score
+FROM pairs p LEFT JOIN icf_all s USING (user_id, item_id)"""))
+def item_cf_predict(spark, sf):
+    """M8 for Item-CF: the pair's score in the user's unlimited list (seen included), else 0."""
+    m = item_cf(spark, sf)
+    pairs = fx.interactions_e(spark, sf).select("user_id", "item_id").distinct()
+    return m.predict_score(pairs).select("user_id", "item_id", F.round("score", 6).alias("score"))

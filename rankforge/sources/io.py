@@ -89,3 +89,10 @@ def load_tables(spark: SparkSession, data_dir: str):
         raise FileNotFoundError(f"missing input tables: {missing}")
     ints = read_interactions_csv(spark, paths["interactions"]).withColumnRenamed("timestamp", "ts")
     return read_users_csv(spark, paths["users"]), read_items_csv(spark, paths["items"]), ints
+
+
+def register_views(spark: SparkSession, users: DataFrame, items: DataFrame, interactions: DataFrame,
+                   cache: bool = False) -> None:
+    """The three tables as temp views (``users``, ``items``, ``interactions``), optionally cached."""
+    for name, df in (("users", users), ("items", items), ("interactions", interactions)):
+        (df.cache() if cache else df).createOrReplaceTempView(name)
