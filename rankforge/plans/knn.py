@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from rankforge.operators.matrix import user_item_weights
 from rankforge.operators.ranking import top_n_per_group
 from rankforge.operators.similarity import cosine_pairs, neighbors
+from rankforge.operators.skew import salt_sides
 from rankforge.plans.base import Recommender, as_users
 from rankforge.session import materialize
 
@@ -39,9 +40,11 @@ class UserCF(Recommender):
 
 
     def scores(self, users: DataFrame, exclude_seen: bool = True) -> DataFrame:
-        nb = self.neighbors.join(as_users(users), "user_id")
+        nb = self.neighbors.join(as_users(users), "user_id").select("user_id", "neighbor_id", "sim")
         m = self.matrix.select(F.col("user_id").alias("neighbor_id"), "item_id", "w")
-        agg = (nb.join(m, "neighbor_id")
+        # a heavy neighbour (many items, in many lists) is split into salt buckets
+        m, nb = salt_sides(m, nb, ["neighbor_id"], F.col("item_id"))
+        agg = (nb.join(m, ["neighbor_id", "_salt"])
                .groupBy("user_id", "item_id")
                .agg(F.sum(F.col("sim") * F.col("w")).alias("_num"), F.sum(F.abs("sim")).alias("_den")))
         s = agg.where(F.col("_den") > 0).select("user_id", "item_id", (F.col("_num") / F.col("_den")).alias("score"))
@@ -109,7 +112,9 @@ class ItemCF(Recommender):
     def scores(self, users: DataFrame, exclude_seen: bool = True) -> DataFrame:
         hist = self.matrix.join(as_users(users), "user_id")
         nb = self.neighbors.select("item_id", "neighbor_id", "sim")
-        s = (hist.join(nb, "item_id")
+        # an item in very many histories is split into salt buckets (its k neighbours are copied)
+        hist, nb = salt_sides(hist, nb, ["item_id"], F.col("user_id"))
+        s = (hist.join(nb, ["item_id", "_salt"])
              .groupBy("user_id", F.col("neighbor_id").alias("item_id"))
              .agg(F.sum(F.col("sim") * F.col("w")).alias("score")))
         if exclude_seen:

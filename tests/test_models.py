@@ -113,3 +113,19 @@ def test_hybrid_cold_and_new_user(spark, hand):
 def test_hybrid_weights_normalised():
     h = Hybrid("2024-01-01 00:00:00", 2, 1, 1)
     assert h.weights == pytest.approx((0.5, 0.25, 0.25))
+
+
+def test_knn_with_every_key_salted(spark, hand):
+    """Hot-key salting must not change results: force a chunk of 2 rows so every key splits."""
+    ints = hand["interactions"]
+    m = brute.matrix(ints.collect())
+    users = [1, 2, 3, 4, 9]
+    udf = spark.createDataFrame([(u,) for u in users], "user_id long")
+    spark.conf.set("rankforge.skew.chunkRows", "2")
+    try:
+        _same(_lists(ItemCF(k_neighbors=3).fit(ints).recommend(udf, 3)),
+              {u: v for u, v in brute.item_cf(m, 3, users, 3).items() if v})
+        _same(_lists(UserCF(k_neighbors=3).fit(ints).recommend(udf, 3)),
+              {u: v for u, v in brute.user_cf(m, 3, users, 3).items() if v})
+    finally:
+        spark.conf.unset("rankforge.skew.chunkRows")
