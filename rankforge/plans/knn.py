@@ -13,6 +13,20 @@ from rankforge.plans.base import Recommender, as_users
 from rankforge.session import materialize
 
 
+def _fold_seen(cand: DataFrame, seen: DataFrame | None) -> DataFrame:
+    """Σ per (user, item) with the seen flag folded into the same aggregate.
+
+    The seen pairs join the candidate stream as rows with ``_seen = 1``, so
+    scoring and exclusion share one shuffle instead of an aggregate followed
+    by an anti-join.
+    """
+    if seen is not None:
+        cand = cand.unionByName(seen.select("user_id", "item_id", F.lit(0.0).alias("_num"),
+                                            F.lit(0.0).alias("_den"), F.lit(1).alias("_seen")))
+    return cand.groupBy("user_id", "item_id").agg(F.sum("_num").alias("_num"), F.sum("_den").alias("_den"),
+                                                  F.max("_seen").alias("_seen"))
+
+
 class UserCF(Recommender):
     """Score = Σ sim·w / Σ|sim| over the user's k nearest neighbours who have the item."""
 
@@ -44,13 +58,12 @@ class UserCF(Recommender):
         m = self.matrix.select(F.col("user_id").alias("neighbor_id"), "item_id", "w")
         # a heavy neighbour (many items, in many lists) is split into salt buckets
         m, nb = salt_sides(m, nb, ["neighbor_id"], F.col("item_id"))
-        agg = (nb.join(m, ["neighbor_id", "_salt"])
-               .groupBy("user_id", "item_id")
-               .agg(F.sum(F.col("sim") * F.col("w")).alias("_num"), F.sum(F.abs("sim")).alias("_den")))
-        s = agg.where(F.col("_den") > 0).select("user_id", "item_id", (F.col("_num") / F.col("_den")).alias("score"))
-        if exclude_seen:
-            s = s.join(self.matrix.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-        return s
+        cand = nb.join(m, ["neighbor_id", "_salt"]).select(
+            "user_id", "item_id", (F.col("sim") * F.col("w")).alias("_num"), F.abs("sim").alias("_den"),
+            F.lit(0).alias("_seen"))
+        agg = _fold_seen(cand, self.matrix.join(as_users(users), "user_id") if exclude_seen else None)
+        return agg.where((F.col("_den") > 0) & (F.col("_seen") == 0)).select(
+            "user_id", "item_id", (F.col("_num") / F.col("_den")).alias("score"))
 
     def recommend(self, users, n=10, exclude_seen=True):
         self._validate_fitted()
@@ -114,12 +127,11 @@ class ItemCF(Recommender):
         nb = self.neighbors.select("item_id", "neighbor_id", "sim")
         # an item in very many histories is split into salt buckets (its k neighbours are copied)
         hist, nb = salt_sides(hist, nb, ["item_id"], F.col("user_id"))
-        s = (hist.join(nb, ["item_id", "_salt"])
-             .groupBy("user_id", F.col("neighbor_id").alias("item_id"))
-             .agg(F.sum(F.col("sim") * F.col("w")).alias("score")))
-        if exclude_seen:
-            s = s.join(self.matrix.select("user_id", "item_id"), ["user_id", "item_id"], "left_anti")
-        return s
+        cand = hist.join(nb, ["item_id", "_salt"]).select(
+            "user_id", F.col("neighbor_id").alias("item_id"), (F.col("sim") * F.col("w")).alias("_num"),
+            F.lit(0.0).alias("_den"), F.lit(0).alias("_seen"))
+        agg = _fold_seen(cand, self.matrix.join(as_users(users), "user_id") if exclude_seen else None)
+        return agg.where(F.col("_seen") == 0).select("user_id", "item_id", F.col("_num").alias("score"))
 
     def recommend(self, users, n=10, exclude_seen=True):
         self._validate_fitted()
