@@ -36,7 +36,10 @@ def salt_sides(left: DataFrame, right: DataFrame, keys: list[str], spread: Colum
     right rows are copied to every bucket of their key.
     """
     chunk = chunk or chunk_rows(left.sparkSession)
-    hot = F.broadcast(hot_keys(left, keys, chunk))
+    hot = hot_keys(left, keys, chunk)
+    if hot.limit(1).count() == 0:      # no hot key: a plain join, nothing replicated
+        return left.withColumn("_salt", F.lit(0)), right.withColumn("_salt", F.lit(0))
+    hot = F.broadcast(hot)
     lt = (left.join(hot, keys, "left")
           .withColumn("_salt", F.pmod(F.xxhash64(spread), F.coalesce(F.col("_s"), F.lit(1))).cast("int"))
           .drop("_s"))
