@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The reference system is batch only (no watermark, window, session or state
+anywhere; its "live" page holds clicks in UI session state), so no streaming
+operator is built.  The batch operators accept any DataFrame, including one
+read by ``readStream`` inside a ``foreachBatch`` handler.
+"""
