@@ -39,7 +39,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a scratch one only when unset."""
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:   # Spark Connect: the server owns the folder (spark.checkpoint.dir)
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     d = sc.getCheckpointDir()
     if d:
         return d
