@@ -80,10 +80,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
 
 _M = 0x9E3779B97F4A7C15 | 1          # odd, so invertible modulo 2^64
 _BLOCK = 1 << 16
-with np.errstate(over="ignore"):
-    _POW = np.cumprod(np.concatenate([[1], np.full(_BLOCK, _M, np.uint64)]).astype(np.uint64), dtype=np.uint64)
-    _INV = np.cumprod(np.concatenate([[1], np.full(_BLOCK, pow(_M, -1, 1 << 64), np.uint64)]).astype(np.uint64),
-                      dtype=np.uint64)
+_ONE, _ZERO = np.ones(1, np.uint64), np.zeros(1, np.uint64)    # typed: mixing with int64 would turn to floats
+_POW = np.cumprod(np.concatenate([_ONE, np.full(_BLOCK, _M, np.uint64)]), dtype=np.uint64)
+_INV = np.cumprod(np.concatenate([_ONE, np.full(_BLOCK, pow(_M, -1, 1 << 64), np.uint64)]), dtype=np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -96,17 +95,22 @@ def word_hashes(data: np.ndarray, doc_end: np.ndarray) -> tuple[np.ndarray, np.n
     ``data``: UTF-8 bytes with a space byte after every text; ``doc_end[i]``:
     position of the space that closes text i.  Words are the maximal runs
     without the bytes 09-0D and 20, with A-Z lowered.  Returns the hash of each
-    word and, per text, the number of its words before ``doc_end`` (cumulative).
-    The hash is a polynomial modulo 2^64 taken from prefix sums that restart
-    every 64 KiB, so longer words are hashed in parts; it does not depend on
-    where the word stands.
+    word and, per text, the number of words before ``doc_end`` (cumulative).
     """
     if not len(data):
         return np.zeros(0, np.uint64), np.zeros(len(doc_end), np.int64)
     space = _SPACE[data]
     edge = np.diff(np.concatenate([[True], space, [True]]).astype(np.int8))
     start, end = np.flatnonzero(edge == -1), np.flatnonzero(edge == 1)
-    low = _LOWER[data]
+    return span_hashes(_LOWER[data], start, end), np.searchsorted(start, doc_end, "left")
+
+
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte spans ``data[start:end]``, given in order and without overlap.
+
+    A polynomial modulo 2^64 taken from prefix sums that restart every 64 KiB
+    (longer spans are hashed in parts); it does not depend on where a span stands.
+    """
     out = np.empty(len(start), np.uint64)
     done = 0
     with np.errstate(over="ignore"):
@@ -114,15 +118,52 @@ def word_hashes(data: np.ndarray, doc_end: np.ndarray) -> tuple[np.ndarray, np.n
             base = int(start[done])
             last = max(done + 1, int(np.searchsorted(end, base + _BLOCK, "right")))
             top = int(end[last - 1])
-            if top - base > _BLOCK:                    # one word longer than a block
-                out[done] = _long_word(low[base:top])
+            if top - base > _BLOCK:                    # one span longer than a block
+                out[done] = _long_word(data[base:top])
             else:
-                pre = np.concatenate([[0], np.cumsum((low[base:top].astype(np.uint64) + np.uint64(1)) * _POW[:top - base],
-                                                     dtype=np.uint64)]).astype(np.uint64)
+                part = (data[base:top].astype(np.uint64) + np.uint64(1)) * _POW[:top - base]
+                pre = np.concatenate([_ZERO, np.cumsum(part, dtype=np.uint64)])
                 s, e = start[done:last] - base, end[done:last] - base
                 out[done:last] = mix64((pre[e] - pre[s]) * _INV[s] + (e - s).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
             done = last
-    return out, np.searchsorted(start, doc_end, "left")
+    return out
+
+
+class HashTable:
+    """Distinct 64-bit keys -> values by open addressing, filled and probed with whole arrays."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray, missing=-1):
+        keys, values = np.asarray(keys).astype(np.uint64), np.asarray(values)
+        size = 1 << max(10, int(len(keys) * 4).bit_length())
+        self.mask, self.missing, self.steps = np.uint64(size - 1), missing, 0
+        self.keys, self.values = np.zeros(size, np.uint64), np.full(size, missing, values.dtype)
+        self.used = np.zeros(size, bool)
+        todo = np.arange(len(keys))
+        while len(todo):
+            slot = ((mix64(keys[todo]) + np.uint64(self.steps)) & self.mask).astype(np.int64)
+            free = np.flatnonzero(~self.used[slot])
+            at, first = np.unique(slot[free], return_index=True)
+            put = todo[free[first]]
+            self.keys[at], self.values[at], self.used[at] = keys[put], values[put], True
+            todo = np.delete(todo, free[first])
+            self.steps += 1
+
+    def get(self, keys: np.ndarray) -> np.ndarray:
+        keys = keys.astype(np.uint64, copy=False)
+        h = mix64(keys)
+        slot = (h & self.mask).astype(np.int64)
+        same, used = self.keys[slot] == keys, self.used[slot]
+        out = np.where(same & used, self.values[slot], self.missing)
+        todo = np.flatnonzero(used & ~same)
+        step = 1
+        while len(todo) and step < self.steps:
+            slot = ((h[todo] + np.uint64(step)) & self.mask).astype(np.int64)
+            same, used = self.keys[slot] == keys[todo], self.used[slot]
+            hit = same & used
+            out[todo[hit]] = self.values[slot[hit]]
+            todo = todo[used & ~same]
+            step += 1
+        return out
 
 
 def _long_word(low: np.ndarray) -> np.uint64:

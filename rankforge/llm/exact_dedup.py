@@ -44,10 +44,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """One row per input row: id, digest, chars, keep_id, group_size, kept."""
     rows = stable(digests(docs, id_col, text_col).withColumn("rid", F.monotonically_increasing_id()))
     offered = rows.stat.freqItems(["digest"], support).select(F.explode("digest_freqItems").alias("digest"))
-    floor = rows.agg((F.count("*") * support).alias("floor"))
-    heavy = stable(_winners(rows.join(F.broadcast(offered), "digest", "left_semi"))
-                   .join(F.broadcast(floor), F.col("group_size") >= F.col("floor")).drop("floor")
-                   .where("group_size > 1"))
+    floor = max(2.0, rows.count() * support)
+    heavy = stable(_winners(rows.join(F.broadcast(offered), "digest", "left_semi")).where(F.col("group_size") >= floor))
     split = rows.join(F.broadcast(heavy), "digest", "left")
     settled = split.where("w IS NOT NULL")
     light = split.where("w IS NULL").select(rows.columns)

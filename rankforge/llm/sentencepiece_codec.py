@@ -34,7 +34,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from rankforge.llm.common import mix64, slices
+from rankforge.llm.common import HashTable, slices
 
 SPACE = "▁"
 WORD = re.compile(r" +[^ \n]*|[^ \n]+|\n+")
@@ -90,7 +90,7 @@ class Codec:
         np.minimum.at(best, right, rank[made])
         self.together = best > rank                     # all occurrences may be merged in one round
         self.rank, self.n = rank, n
-        self._table(left << 32 | right, made)
+        self.pairs = HashTable(left << 32 | right, made)
         self.char = np.full(0x110000, -1, np.int64)
         for p, i in ident.items():
             if len(p) == 1:
@@ -103,39 +103,9 @@ class Codec:
         self.dummy = np.zeros(n, bool)                 # pieces whose first blank a text does not show at its start
         self.dummy[[i for i in plain if piece[i].startswith(SPACE)]] = True
 
-    def _table(self, key: np.ndarray, value: np.ndarray) -> None:
-        """Open addressing, filled and probed with whole arrays."""
-        size = 1 << max(12, int(len(key) * 6).bit_length())
-        self.mask = np.uint64(size - 1)
-        self.keys, self.made = np.full(size, -1, np.int64), np.full(size, -1, np.int32)
-        todo, step = np.arange(len(key)), 0
-        while len(todo):
-            slot = ((mix64(key[todo]) + np.uint64(step)) & self.mask).astype(np.int64)
-            free = np.flatnonzero(self.keys[slot] == -1)
-            slot_free, first = np.unique(slot[free], return_index=True)
-            put = free[first]
-            self.keys[slot_free], self.made[slot_free] = key[todo[put]], value[todo[put]]
-            todo = np.delete(todo, put)
-            step += 1
-        self.steps = step
-
     def pair(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The piece each pair makes, -1 if none."""
-        key = left << 32 | right
-        h = mix64(key)
-        slot = (h & self.mask).astype(np.int64)
-        found = self.keys[slot]
-        out = np.where(found == key, self.made[slot], -1)
-        todo = np.flatnonzero((found != key) & (found != -1))
-        step = 1
-        while len(todo) and step < self.steps:
-            slot = ((h[todo] + np.uint64(step)) & self.mask).astype(np.int64)
-            found = self.keys[slot]
-            hit = found == key[todo]
-            out[todo[hit]] = self.made[slot[hit]]
-            todo = todo[~hit & (found != -1)]
-            step += 1
-        return out
+        return self.pairs.get(left << 32 | right)
 
     def _symbols(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Character pieces of all words end to end, and the word of each.
