@@ -59,3 +59,12 @@ def op9_token_counts(spark, sf_dir):
     from rankforge.llm.token_counts import token_counts
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512) \
         .withColumnRenamed("id", "doc_id")
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark, sf_dir):
+    from rankforge.llm.common import crc_mod
+    from rankforge.llm.toxicity import fit, toxicity
+    docs = table(spark, sf_dir, "documents")
+    model = fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity(docs, model).select(F.col("id").alias("doc_id"), (crc_mod("id", 4) == 2).alias("held_out"), "score", "predicted")
