@@ -3,9 +3,12 @@
 Fit (on a bounded, documented sample of labelled rows: at most ``per_class``
 distinct texts of each class, chosen by a hash of the id):
 
-* every word gets the log-odds of standing in a toxic against a clean text,
-  with a Dirichlet prior of ``KAPPA`` pseudo-texts whose mean is the smoothed
-  share of the word's opening bytes, and that of the sample for these;
+* every word gets the log-odds of standing in a toxic against a clean text
+  (toxic texts count at most once for each different word it follows there, so
+  that near copies and shared passages do not add up), with a Dirichlet prior
+  of ``KAPPA`` pseudo-texts at the sample's share; log-odds within
+  ``SIGNIFICANT`` posterior deviations are dropped, and a word that the sample
+  lacks gets the log-odds of its opening bytes;
 * a token scores its log-odds less ``DRIFT``, so ordinary prose has negative
   drift, and all maximal scoring segments (Ruzzo and Tompa) of a text are
   found in time linear in its tokens;
@@ -39,6 +42,7 @@ from rankforge.llm.common import HashTable, crc_mod, slices, span_hashes, stable
 PER_CLASS = 10_000
 KAPPA = 5.0
 DRIFT = 1.0
+SIGNIFICANT = 3.0      # deviations
 OPENING = 5            # bytes
 THRESHOLD = 0.3
 
@@ -164,20 +168,44 @@ def _count(sample: DataFrame) -> DataFrame:
     return found.groupBy("kind", "key").agg(*by)
 
 
-def _lexicon(kind, key, clean, toxic, kappa: float = KAPPA, drift: float = DRIFT) -> Model:
+def _contexts(sample: DataFrame, keys: list[np.ndarray]) -> DataFrame:
+    """(kind, key, c0, c1): distinct preceding words of each candidate in the toxic texts of a fold."""
+    wanted = sample.sparkSession.sparkContext.broadcast([HashTable(k, np.ones(len(k), np.int64), 0) for k in keys])
+
+    def run(batches):
+        for batch in batches:
+            for part in slices(batch, "text"):
+                data, start, end, upto, _ = tokens(texts_of(part.column("text")))
+                fold = np.repeat(part.column("fold").to_numpy(), np.diff(upto))
+                word, opening = keys_of(data, start, end)
+                before = np.concatenate([[0], word[:-1].astype(np.int64)])
+                before[upto[:-1][upto[:-1] < len(word)]] = 0          # the first word of a text
+                for kind, key in enumerate((word, opening)):
+                    hit = wanted.value[kind].get(key) > 0
+                    got = np.unique(np.rec.fromarrays([fold[hit], key[hit].astype(np.int64), before[hit]], names="f,k,b"))
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in (got.f, np.full(len(got), kind), got.k, got.b)],
+                                                     ["fold", "kind", "key", "before"])
+    pairs = sample.where("y = 1").mapInArrow(run, "fold long, kind long, key long, before long").distinct()
+    return pairs.groupBy("kind", "key").agg(*[F.sum(F.when(F.col("fold") == f, 1).otherwise(0)).alias(f"c{f}") for f in (0, 1)])
+
+
+def _lexicon(kind, key, clean, toxic, kappa: float = KAPPA, drift: float = DRIFT,
+        z: float = SIGNIFICANT) -> Model:
     """Log-odds with Dirichlet priors from per-key numbers of clean and toxic texts."""
     texts = kind == 2
     n0, n1 = float(clean[texts].sum()), float(toxic[texts].sum())
     base = (n1 + 0.5) / (n0 + n1 + 1)
 
-    def odds(c, t, mean):
-        p = (t + kappa * mean) / (c + t + kappa)
-        return np.log(p / (1 - p)) - math.log(base / (1 - base)), p
+    def odds(c, t):
+        """Log-odds against the sample's own, 0 where within ``z`` of their posterior deviations."""
+        a, b = t + kappa * base, c + kappa * (1 - base)
+        d = np.log(a / b) - math.log(base / (1 - base))
+        return np.where(d > z * np.sqrt(1 / a + 1 / b), d, 0.0)
 
     o, w = kind == 1, kind == 0
-    o_odds, _ = odds(clean[o], toxic[o], base)
+    o_odds = odds(clean[o], toxic[o])
     openings = HashTable(key[o][o_odds > 0].astype(np.uint64), o_odds[o_odds > 0], np.nan)
-    w_odds, _ = odds(clean[w], toxic[w], base)
+    w_odds = odds(clean[w], toxic[w])
     keep = (w_odds > 0) | (clean[w] > 1)        # common clean words must not fall back to their opening
     return Model(HashTable(key[w][keep].astype(np.uint64), w_odds[keep], np.nan), openings, drift=drift)
 
@@ -213,7 +241,8 @@ def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
 
 
 def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col: str = "doc_id",
-        text_col: str = "text", label_col: str = "toxic", kappa: float = KAPPA, drift: float = DRIFT) -> Model:
+        text_col: str = "text", label_col: str = "toxic", kappa: float = KAPPA, drift: float = DRIFT,
+        z: float = SIGNIFICANT) -> Model:
     chosen = sample_labels(labels, per_class, id_col, label_col)
     joined = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).join(
         F.broadcast(chosen), "id")                                       # at most 2 * per_class ids
@@ -225,12 +254,19 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col:
     kind, key = counts["kind"].to_numpy(), counts["key"].to_numpy()
     n = {c: counts[c].to_numpy().astype(float) for c in ("n00", "n01", "n10", "n11")}
     texts = kind == 2
+    # copies and shared passages: a word counts no more often than it follows different words
+    base = n["n01"] + n["n11"], n["n00"] + n["n10"]
+    risen = (base[0] > 1) & (base[0] * base[1][texts].sum() > base[1] * base[0][texts].sum())
+    around = _contexts(sample, [key[risen & (kind == k)].astype(np.uint64) for k in (0, 1)]).toPandas()
+    around = counts[["kind", "key"]].merge(around, "left", ["kind", "key"])
+    for f in (0, 1):
+        n[f"n{f}1"] = np.where(risen & ~texts, np.fmin(n[f"n{f}1"], np.nan_to_num(around[f"c{f}"].to_numpy())), n[f"n{f}1"])
     n1, n0 = float((n["n01"] + n["n11"])[texts].sum()), float((n["n00"] + n["n10"])[texts].sum())
-    model = _lexicon(kind, key, n["n00"] + n["n10"], n["n01"] + n["n11"], kappa, drift)
+    model = _lexicon(kind, key, n["n00"] + n["n10"], n["n01"] + n["n11"], kappa, drift, z)
     if not n0 or not n1:
         model.prior = n1 / (n0 + n1) if n0 + n1 else 0.0
         return model
-    held = [_lexicon(kind, key, n["n10"], n["n11"], kappa, drift), _lexicon(kind, key, n["n00"], n["n01"], kappa, drift)]   # for fold 0: counts of fold 1
+    held = [_lexicon(kind, key, n["n10"], n["n11"], kappa, drift, z), _lexicon(kind, key, n["n00"], n["n01"], kappa, drift, z)]   # for fold 0: counts of fold 1
     shared = docs.sparkSession.sparkContext.broadcast(held)
 
     def judge(batches):
