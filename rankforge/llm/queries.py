@@ -68,3 +68,12 @@ def op6_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     model = fit(docs, table(spark, sf_dir, "labels"))
     return toxicity(docs, model).select(F.col("id").alias("doc_id"), (crc_mod("id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
+@query("op2_language_id")
+def op2_language_id(spark, sf_dir):
+    from rankforge.llm.common import crc_mod
+    from rankforge.llm.language_id import identify, learn
+    docs = table(spark, sf_dir, "documents")
+    out = identify(docs, learn(docs.where(crc_mod("doc_id", 4) != 2)))
+    return out.select(F.col("id").alias("doc_id"), (crc_mod("id", 4) == 2).alias("held_out"), "lang_pred", "score")
