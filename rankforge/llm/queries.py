@@ -77,3 +77,9 @@ def op2_language_id(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     out = identify(docs, learn(docs.where(crc_mod("doc_id", 4) != 2)))
     return out.select(F.col("id").alias("doc_id"), (crc_mod("id", 4) == 2).alias("held_out"), "lang_pred", "score")
+
+
+@query("op5_html_extract")
+def op5_html_extract(spark, sf_dir):
+    from rankforge.llm.html_extract import extract_main_text
+    return extract_main_text(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
