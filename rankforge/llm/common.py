@@ -181,3 +181,22 @@ def hash_texts(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     ends = np.cumsum([len(r) + 1 for r in raw], dtype=np.int64) - 1
     h, upto = word_hashes(data, ends)
     return h, np.concatenate([[0], upto]).astype(np.int64)
+
+
+def plain_words(texts: list[str], digits: bool = False):
+    """Words of many texts: maximal runs of letters A-Z (and digits) and non-ASCII bytes, lowered.
+
+    Returns (lowered bytes, word starts, word ends, cumulative words per text, first byte of each text).
+    """
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b" ".join(raw) + b" ", np.uint8).copy()
+    first = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)])
+    upper = (data >= 65) & (data <= 90)
+    upper[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
+    data[upper] += 32
+    inside = ((data >= 97) & (data <= 122)) | (data >= 128)
+    if digits:
+        inside |= (data >= 48) & (data <= 57)
+    edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
+    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    return data, start, end, np.searchsorted(start, first, "left"), first

@@ -83,3 +83,9 @@ def op2_language_id(spark, sf_dir):
 def op5_html_extract(spark, sf_dir):
     from rankforge.llm.html_extract import extract_main_text
     return extract_main_text(table(spark, sf_dir, "pages")).withColumnRenamed("id", "page_id")
+
+
+@query("op4_decontamination")
+def op4_decontamination(spark, sf_dir):
+    from rankforge.llm.decontaminate import overlaps
+    return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")

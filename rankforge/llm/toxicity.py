@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import HashTable, crc_mod, slices, span_hashes, stable, texts_of
+from rankforge.llm.common import HashTable, crc_mod, plain_words, slices, span_hashes, stable, texts_of
 
 PER_CLASS = 10_000
 KAPPA = 5.0
@@ -47,20 +47,6 @@ OPENING = 5            # bytes
 THRESHOLD = 0.3
 
 
-def tokens(texts: list[str]):
-    """(lowered bytes, token starts, token ends, cumulative tokens per text, first byte of each text)."""
-    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
-    data = np.frombuffer(b" ".join(raw) + b" ", np.uint8).copy()
-    first = np.concatenate([[0], np.cumsum([len(r) + 1 for r in raw], dtype=np.int64)])
-    upper = (data >= 65) & (data <= 90)
-    upper[1:] |= (data[:-1] == 0xC3) & (data[1:] >= 0x80) & (data[1:] <= 0x9E) & (data[1:] != 0x97)
-    data[upper] += 32
-    inside = ((data >= 97) & (data <= 122)) | (data >= 128)
-    edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
-    start, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
-    return data, start, end, np.searchsorted(start, first, "left"), first
-
-
 def keys_of(data, start, end) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of whole words and of their opening bytes."""
     return span_hashes(data, start, end), span_hashes(data, start, np.minimum(end, start + OPENING))
@@ -107,7 +93,7 @@ class Model:
 
     def passages(self, texts: list[str]):
         """Per text: (segments with first and past byte and score, number of tokens)."""
-        data, start, end, upto, first = tokens(texts)
+        data, start, end, upto, first = plain_words(texts)
         score = self.token_scores(data, start, end)
         out = []
         for k in range(len(texts)):
@@ -147,7 +133,7 @@ def _count(sample: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                data, start, end, upto, _ = tokens(texts_of(part.column("text")))
+                data, start, end, upto, _ = plain_words(texts_of(part.column("text")))
                 doc = np.repeat(np.arange(part.num_rows), np.diff(upto))
                 fold, y = (part.column(c).to_numpy() for c in ("fold", "y"))
                 cols = [[], [], [], [], []]
@@ -175,7 +161,7 @@ def _contexts(sample: DataFrame, keys: list[np.ndarray]) -> DataFrame:
     def run(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                data, start, end, upto, _ = tokens(texts_of(part.column("text")))
+                data, start, end, upto, _ = plain_words(texts_of(part.column("text")))
                 fold = np.repeat(part.column("fold").to_numpy(), np.diff(upto))
                 word, opening = keys_of(data, start, end)
                 before = np.concatenate([[0], word[:-1].astype(np.int64)])
@@ -295,7 +281,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col:
                 fold = part.column("fold").to_numpy()
                 for f in (0, 1):
                     texts = texts_of(part.column("text").filter(pa.array(fold == f)))
-                    data, start, end, _, _ = tokens(texts)
+                    data, start, end, _, _ = plain_words(texts)
                     value, c = np.unique(np.round(models[f].token_scores(data, start, end), 2), return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(value, pa.float64()), pa.array(c, pa.int64())], ["s", "c"])
 
