@@ -89,3 +89,13 @@ def op5_html_extract(spark, sf_dir):
 def op4_decontamination(spark, sf_dir):
     from rankforge.llm.decontaminate import overlaps
     return overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).withColumnRenamed("id", "doc_id")
+
+
+@query("op10_lm_scoring")
+def op10_lm_scoring(spark, sf_dir):
+    from rankforge.llm.common import crc_mod
+    from rankforge.llm.lm_scoring import lm_scores
+    docs = table(spark, sf_dir, "documents")
+    out = lm_scores(docs, docs.where(crc_mod("doc_id", 10) != 0))
+    return out.select(F.col("id").alias("doc_id"), (crc_mod("id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens",
+                      "base_score", "score")
