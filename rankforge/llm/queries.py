@@ -99,3 +99,10 @@ def op10_lm_scoring(spark, sf_dir):
     out = lm_scores(docs, docs.where(crc_mod("doc_id", 10) != 0))
     return out.select(F.col("id").alias("doc_id"), (crc_mod("id", 10) == 0).alias("held_out"), "n_tokens", "n_known", "train_tokens",
                       "base_score", "score")
+
+
+@query("op3_jaccard_join")
+def op3_jaccard_join(spark, sf_dir):
+    from rankforge.llm.jaccard_join import jaccard_components
+    out = jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
