@@ -2,10 +2,10 @@
 
 A user who has seen s items needs only the first n + s positions of the list,
 so each user expands to ``sequence(1, n + s)`` — linear in users and history,
-never users x items.  Positions up to ``L`` join a broadcast of the list head
-(at most L rows by the filter); the rare positions past L belong to heavy
-users and take a shuffled equi-join, whose key multiplicity is bounded by the
-number of heavy users.
+never users x items.  Positions up to ``HEAD_ROWS``, which nearly every user
+asks for, join a broadcast of the list head: that many short rows at most, by
+the filter and whatever the data.  The positions past it take a shuffled
+equi-join, whose key multiplicity is the number of users with such a history.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.session import broadcast_limit_rows
+HEAD_ROWS = 10_000      # rows of a ranked list that are broadcast
 
 
 def first_unseen(users_s: DataFrame, ranked: DataFrame, seen: DataFrame | None, n: int,
@@ -26,7 +26,7 @@ def first_unseen(users_s: DataFrame, ranked: DataFrame, seen: DataFrame | None,
     position among the user's unseen items of that list, 1..n.
     """
     keys = keys or []
-    L = head_rows or broadcast_limit_rows(users_s.sparkSession)
+    L = HEAD_ROWS if head_rows is None else head_rows
     span = F.lit(n) + (F.coalesce(F.col("s"), F.lit(0)) if seen is not None else F.lit(0))
     cand = users_s.select("user_id", *keys, F.explode(F.sequence(F.lit(1), span.cast("int"))).alias("pos"))
     r = ranked.select(*keys, "item_id", "score", F.col("rank").alias("pos"))

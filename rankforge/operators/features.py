@@ -13,13 +13,20 @@ from pyspark.sql import functions as F
 from rankforge.functions.exprs import days_between, event_weight, freshness
 from rankforge.operators.matrix import with_totals
 from rankforge.operators.ranking import dense_index, top_n_per_group
+from rankforge.operators.skew import salt_sides
 
 
 def user_category_weights(interactions: DataFrame, items: DataFrame) -> DataFrame:
-    """Σ weight per (user, category); items missing from the catalog drop."""
-    cat = items.select("item_id", "category")
-    return (interactions.join(cat, "item_id")
-            .groupBy("user_id", "category").agg(F.sum(event_weight("interaction_type")).alias("weight")))
+    """Σ weight per (user, category); items missing from the catalog drop.
+
+    Events are first summed per (user, item) on the map side, so a hot item
+    brings one row per user to the join, and the join is salted.
+    """
+    cells = (interactions.groupBy("user_id", "item_id")
+             .agg(F.sum(event_weight("interaction_type")).alias("weight")))
+    left, right = salt_sides(cells, items.select("item_id", "category"), ["item_id"], F.col("user_id"))
+    return (left.join(right, ["item_id", "_salt"])
+            .groupBy("user_id", "category").agg(F.sum("weight").alias("weight")))
 
 
 def user_category_affinity(interactions: DataFrame, items: DataFrame) -> DataFrame:
@@ -81,25 +88,15 @@ def user_features(interactions: DataFrame, items: DataFrame, as_of: str) -> Data
                         F.col("weighted_score") / F.greatest(F.lit(1), F.col("n_interactions"))))
 
 
-MAX_VECTOR_CATEGORIES = 10_000
-
-
 def user_affinity_vectors(interactions: DataFrame, items: DataFrame) -> DataFrame:
-    """A7 vector: (user_id, category_affinity) as an array in sorted category order.
+    """A7 vector, sparse: (user_id, category, pos, share) of the categories a user has met.
 
-    The category list becomes the array layout, so it is read once on the
-    driver; it is checked to be small (categories are a short enumeration).
-    Each user's map holds at most one entry per category.
+    ``pos`` is the category's place in the sorted vocabulary, joined like any
+    other table; entries that are absent are 0.
     """
-    cats = [r["category"] for r in category_vocabulary(items).orderBy("idx")
-            .limit(MAX_VECTOR_CATEGORIES + 1).collect()]
-    if len(cats) > MAX_VECTOR_CATEGORIES:
-        raise ValueError("too many categories for a dense affinity vector; use user_category_affinity")
-    aff = user_category_affinity(interactions, items)
-    m = aff.groupBy("user_id").agg(F.map_from_entries(F.collect_list(F.struct("category", "share"))).alias("_m"))
-    layout = F.array(*[F.lit(c) for c in cats]) if cats else F.array().cast("array<string>")
-    return m.select("user_id", F.transform(layout, lambda c: F.coalesce(F.col("_m")[c], F.lit(0.0)))
-                    .alias("category_affinity"))
+    vocabulary = category_vocabulary(items).select("category", F.col("idx").alias("pos"))
+    return (user_category_affinity(interactions, items).join(vocabulary, "category")
+            .select("user_id", "category", "pos", "share"))
 
 
 def activity_score(features: DataFrame) -> DataFrame:

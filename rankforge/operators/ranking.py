@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.functions.exprs import rank_key
+from rankforge.session import materialize
 
 
 def top_n_per_group(df: DataFrame, group: str | list[str], score: str, n: int | None,
@@ -27,34 +28,50 @@ def top_n_per_group(df: DataFrame, group: str | list[str], score: str, n: int |
     return out
 
 
+_LOCAL = (1 << 33) - 1      # monotonically_increasing_id: partition above, position in it below
+
+
+def _positioned(df: DataFrame, order: list, partitions: int | None = None) -> DataFrame:
+    """``df`` range-partitioned on ``order`` with ``_p`` (range) and ``_l`` (0-based place in it), written once.
+
+    Everything that follows reads this one table, so range totals and places
+    always belong to the same partitioning, whatever columns a reader prunes.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+              .withColumn("_id", F.monotonically_increasing_id()))
+    return materialize(ranged.withColumn("_p", F.shiftright("_id", 33).cast("int"))
+                       .withColumn("_l", F.col("_id").bitwiseAND(F.lit(_LOCAL))).drop("_id"))
+
+
+def _range_offsets(placed: DataFrame, value: Column) -> DataFrame:
+    """(_p, _off): the total of ``value`` in all earlier ranges; one row per range."""
+    totals = placed.groupBy("_p").agg(F.sum(value).alias("_n"))
+    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+
+
 def running_total(df: DataFrame, order: list, value: Column, out_col: str,
                   inclusive: bool = True, partitions: int | None = None) -> DataFrame:
     """Σ value over all rows ordered before (and, if ``inclusive``, at) each row.
 
-    Exact and distributed: range-partition on the order, run the sum inside each
-    range, then add the totals of all earlier ranges (a table with one row per
-    range, so broadcasting it is bounded by the partition count).
+    Exact and distributed: one range partitioning, sums inside each range, plus
+    the totals of the earlier ranges (one row per range, broadcast).
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.withColumn("_v", value)
-              .repartitionByRange(n, *order).withColumn("_p", F.spark_partition_id()))
-    frame_end = Window.currentRow if inclusive else -1
-    w_in = Window.partitionBy("_p").orderBy(*order).rowsBetween(Window.unboundedPreceding, frame_end)
-    local = ranged.withColumn("_r", F.coalesce(F.sum("_v").over(w_in), F.lit(0)))
-    totals = ranged.groupBy("_p").agg(F.sum("_v").alias("_n"))
-    offs = totals.select("_p", F.coalesce(
-        F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0)).alias("_off"))
-    out = local.join(F.broadcast(offs), "_p")
-    return out.withColumn(out_col, F.col("_off") + F.col("_r")).drop("_p", "_r", "_off", "_v")
+    placed = _positioned(df.withColumn("_v", value), order, partitions)
+    w_in = Window.partitionBy("_p").orderBy("_l").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow if inclusive else -1)
+    local = placed.withColumn("_r", F.coalesce(F.sum("_v").over(w_in), F.lit(0)))
+    out = local.join(F.broadcast(_range_offsets(placed, F.col("_v"))), "_p")
+    return out.withColumn(out_col, F.col("_off") + F.col("_r")).drop("_p", "_l", "_r", "_off", "_v")
 
 
 def global_rank(df: DataFrame, order: list, rank_col: str = "rank",
                 partitions: int | None = None) -> DataFrame:
-    """Exact 1..m row number over the whole table without a single-task sort."""
-    out = running_total(df, order, F.lit(1), rank_col, True, partitions)
-    return out.withColumn(rank_col, F.col(rank_col).cast("int"))
+    """Exact 1..m row number over the whole table: the place in its range plus the sizes of earlier ranges."""
+    placed = _positioned(df, order, partitions)
+    out = placed.join(F.broadcast(_range_offsets(placed, F.lit(1))), "_p")
+    return out.withColumn(rank_col, (F.col("_off") + F.col("_l") + 1).cast("int")).drop("_p", "_l", "_off")
 
 
 def rank_by_score(df: DataFrame, score: str, id_col: str, rank_col: str = "rank") -> DataFrame:
@@ -73,17 +90,19 @@ def group_rank(df: DataFrame, groups: list[str], order: list, rank_col: str = "r
                partitions: int | None = None) -> DataFrame:
     """Exact 1..m row number within each group, safe for a group holding most rows.
 
-    Range-partition on (groups, order) so a large group spreads over several
-    ranges; number rows per (range, group), then add, per group, the counts of
-    its earlier ranges (a window over at most one row per range of the group).
+    One range partitioning on (groups, order) spreads a large group over several
+    ranges; a row's number is its place in the range, less where its group begins
+    there, plus the rows of its group in earlier ranges (at most one row per
+    range and group).
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    gcols = [F.col(g) for g in groups]
-    ranged = df.repartitionByRange(n, *gcols, *order).withColumn("_p", F.spark_partition_id())
-    local = ranged.withColumn("_r", F.row_number().over(Window.partitionBy("_p", *groups).orderBy(*order)))
-    counts = ranged.groupBy("_p", *groups).agg(F.count(F.lit(1)).alias("_n"))
-    offs = counts.select("_p", *groups, F.coalesce(F.sum("_n").over(
-        Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    out = local.join(offs, ["_p", *groups])
-    return out.withColumn(rank_col, (F.col("_off") + F.col("_r")).cast("int")).drop("_p", "_r", "_off")
+    placed = _positioned(df, [*[F.col(g) for g in groups], *order], partitions)
+    part = placed.groupBy("_p", *groups).agg(F.min("_l").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(*groups).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
+    offs = part.select(F.col("_p").alias("_q"), *[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)],
+                       (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first")).alias("_off"))
+    same = F.col("_p") == F.col("_q")
+    for i, g in enumerate(groups):
+        same = same & F.col(g).eqNullSafe(F.col(f"_g{i}"))      # rows without a group form one
+    out = placed.join(offs, same)
+    return (out.withColumn(rank_col, (F.col("_off") + F.col("_l") + 1).cast("int"))
+            .drop("_p", "_l", "_q", "_off", *[f"_g{i}" for i in range(len(groups))]))

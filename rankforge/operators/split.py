@@ -9,15 +9,11 @@ from rankforge.operators.matrix import with_totals
 from rankforge.operators.ranking import global_rank
 from rankforge.session import materialize
 
-# Q7: a total order, so the cut is deterministic; rows equal in every column
-# are interchangeable.
 def _order(df: DataFrame):
-    cols = [F.col("ts").asc_nulls_last(), F.col("user_id").asc_nulls_last(), F.col("item_id").asc_nulls_last(),
-            F.col("interaction_type").asc_nulls_last()]
-    for c in ("duration_seconds", "rating"):
-        if c in df.columns:
-            cols.append(F.col(c).asc_nulls_last())
-    return cols
+    """Q7: a total order over every column, so the cut is deterministic; rows equal in all are interchangeable."""
+    first = ["ts", "user_id", "item_id", "interaction_type", "duration_seconds", "rating"]
+    names = [c for c in first if c in df.columns] + sorted(c for c in df.columns if c not in first)
+    return [F.col(c).asc_nulls_last() for c in names]
 
 
 def chronological_split(interactions: DataFrame, test_ratio: float = 0.2) -> tuple[DataFrame, DataFrame]:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.functions.exprs import event_weight, time_decay
+from rankforge.functions.exprs import event_weight, rank_key, time_decay
 from rankforge.operators.candidates import first_unseen
 from rankforge.operators.matrix import seen_pairs, with_totals
 from rankforge.operators.ranking import rank_by_score, running_total
@@ -36,17 +36,20 @@ class Popularity(Recommender):
         self._fitted = True
         return self
 
-
     # --- ranked lists --------------------------------------------------------
-    def ranked(self, category: str | None = None) -> DataFrame:
-        """(item_id, score, rank) globally, or within ``category`` (J1 inner join)."""
+    def _list(self, category: str | None = None) -> DataFrame:
+        """(item_id, score) of the catalog, or of ``category`` (J1 inner join)."""
         s = self.item_scores
         if category is not None and self.items is not None:
-            in_cat = self.items.where(F.col("category") == F.lit(category)).select("item_id")
-            # Q14: an unknown category falls back silently to the global list
-            if in_cat.limit(1).count() > 0:
-                s = s.join(in_cat, "item_id")
-        return rank_by_score(s.select("item_id", "score"), "score", "item_id")
+            in_cat = s.join(self.items.where(F.col("category") == F.lit(category)).select("item_id"), "item_id")
+            # Q14: a category without a scored item falls back silently to the global list
+            if not in_cat.isEmpty():
+                s = in_cat
+        return s.select("item_id", "score")
+
+    def ranked(self, category: str | None = None) -> DataFrame:
+        """(item_id, score, rank) globally, or within ``category``."""
+        return rank_by_score(self._list(category), "score", "item_id")
 
     def category_scores(self) -> DataFrame:
         """A3: (category, item_id, score), items missing from the catalog dropped."""
@@ -63,8 +66,11 @@ class Popularity(Recommender):
         return first_unseen(u, self.ranked(category), self.seen if exclude_seen else None, n)
 
     def trending(self, n: int = 10, category: str | None = None) -> DataFrame:
-        """K7: top n without a user (no exclusion)."""
-        return self.ranked(category).where(F.col("rank") <= n).select("item_id", "score", "rank")
+        """K7: top n without a user (no exclusion): a take of n, no rank of the whole catalog."""
+        first = self._list(category).orderBy(rank_key(F.col("score")).desc(), F.col("item_id").asc()).limit(n)
+        # n rows are left for this window
+        return first.withColumn("rank", F.row_number().over(
+            Window.orderBy(rank_key(F.col("score")).desc(), F.col("item_id").asc()))).select("item_id", "score", "rank")
 
     def predict_score(self, pairs: DataFrame) -> DataFrame:
         """M8: the pair's score in the global list, else 0 (no users x items)."""

@@ -87,6 +87,11 @@ class SVD(Recommender):
         score = F.when(known, F.col("mu") + F.col("user_bias") + F.col("item_bias") + latent).otherwise(F.col("mu"))
         return j.select("user_id", "item_id", score.alias("score"))
 
+    def predict_score(self, pairs: DataFrame) -> DataFrame:
+        """M8: the prediction itself; an unknown user or item gives the mean."""
+        self._validate_fitted()
+        return self.predict(pairs)
+
     def predict_bias(self, pairs: DataFrame) -> DataFrame:
         """The bias part of M6 (SQL-checkable)."""
         p = pairs.select("user_id", "item_id")

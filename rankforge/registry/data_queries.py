@@ -246,21 +246,16 @@ def user_features(spark, sf):
 
 
 @query("user_affinity_vector", L(f"""
-, cats AS (SELECT DISTINCT category FROM items)
+, cats AS (SELECT category, CAST(row_number() OVER (ORDER BY category) - 1 AS INTEGER) AS pos
+           FROM (SELECT DISTINCT category FROM items))
 , uc AS (SELECT user_id, category, sum({W_SQL()}) AS weight
          FROM interactions JOIN items USING (item_id) GROUP BY user_id, category)
-, sh AS (SELECT user_id, category, weight / sum(weight) OVER (PARTITION BY user_id) AS share FROM uc)
-, grid AS (SELECT u.user_id, c.category FROM (SELECT DISTINCT user_id FROM sh) u, cats c)
-SELECT g.user_id, g.category, CAST(row_number() OVER (PARTITION BY g.user_id ORDER BY g.category) - 1 AS INTEGER) AS pos,
-       round(coalesce(sh.share, 0), 6) AS share
-FROM grid g LEFT JOIN sh USING (user_id, category)"""))
+SELECT user_id, category, pos, round(weight / sum(weight) OVER (PARTITION BY user_id), 6) AS share
+FROM uc JOIN cats USING (category)"""))
 def user_affinity_vector(spark, sf):
-    """A7 vector, shown one entry per row (position in sorted category order)."""
+    """A7 vector, sparse: one row per non-zero entry with its position in sorted category order."""
     v = FT.user_affinity_vectors(fx.interactions_l(spark, sf), fx.items_l(spark, sf))
-    cats = FT.category_vocabulary(fx.items_l(spark, sf))
-    e = v.select("user_id", F.posexplode("category_affinity").alias("pos", "share"))
-    return e.join(F.broadcast(cats.select(F.col("idx").alias("pos"), "category")), "pos").select(
-        "user_id", "category", "pos", F.round("share", 6).alias("share"))
+    return v.select("user_id", "category", "pos", F.round("share", 6).alias("share"))
 
 
 @query("user_activity_score", L(f"""

@@ -1,15 +1,17 @@
 """Session helpers: a local builder for tests and the bench, and lineage cutting.
 
 On a cluster the session comes from the caller; nothing here overrides its
-settings.  ``materialize`` cuts lineage with a reliable checkpoint in the
-folder the cluster names in ``spark.checkpoint.dir`` (only when that setting is
-absent — tests, local runs — do we point it at a fresh scratch folder).
+settings.  ``materialize`` cuts lineage with a table written to the folder the
+cluster names in ``spark.checkpoint.dir``.  Where that is unset, a local master
+(tests, bench) gets a folder of its own; on any other master it is an error,
+because executors could not read it.
 """
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,36 +40,35 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a scratch one only when unset."""
-    try:
-        sc = spark.sparkContext
-    except Exception:   # Spark Connect: the server owns the folder (spark.checkpoint.dir)
-        return spark.conf.get("spark.checkpoint.dir", None) or ""
-    d = sc.getCheckpointDir()
+    """The shared folder for intermediate tables."""
+    sc = spark.sparkContext
+    d = sc.getConf().get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if d:
         return d
-    d = sc.getConf().get("spark.checkpoint.dir", None)
-    if not d:  # tests and local runs only: a cluster names a shared folder
-        d = tempfile.mkdtemp(prefix="rankforge-ckpt-")
-    sc.setCheckpointDir(d)
-    return sc.getCheckpointDir() or d
+    if not re.match(r"local(\[|$)", sc.master):
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="rankforge-"))
+    return sc.getCheckpointDir()
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives executor loss, cuts lineage.
+    """Cut lineage: write ``df`` once as a table in the shared folder and read it back.
 
-    The input is persisted while the checkpoint is written, so its lineage
-    runs once (the write would otherwise recompute it), then released.
+    The rows survive lost executors and every reader gets the same ones.  A
+    written table is preferred to ``checkpoint()``: the planner knows its size,
+    while a checkpoint keeps the estimate of the plan it cuts, which in a loop
+    grows with every join.
     """
-    checkpoint_dir(df.sparkSession)
-    df = df.persist()
-    try:
-        return df.checkpoint(eager=True)
-    finally:
-        df.unpersist()
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def broadcast_limit_rows(spark: SparkSession, default: int = 2_000_000) -> int:
-    """Row bound under which a side may be broadcast (checked by a count)."""
-    v = spark.conf.get("rankforge.broadcast.maxRows", None)
-    return int(v) if v else int(os.environ.get("RANKFORGE_BROADCAST_MAX_ROWS", default))
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``materialize`` has written and nothing reads any more."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if re.fullmatch(r"table-[0-9a-f]{32}", path.rsplit("/", 1)[-1]):
+                where = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+                where.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(where, True)

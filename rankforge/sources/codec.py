@@ -37,19 +37,42 @@ def decode_interactions(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ok, bad
 
 
+_ESCAPES = (("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t"))
+
+
+def _quoted(x: Column) -> Column:
+    """A string as a Python literal: double quotes only around an apostrophe without a double quote."""
+    for plain, written in _ESCAPES:
+        x = F.replace(x, F.lit(plain), F.lit(written))
+    double = F.contains(x, F.lit("'")) & ~F.contains(x, F.lit('"'))
+    return F.when(double, F.concat(F.lit('"'), x, F.lit('"'))).otherwise(
+        F.concat(F.lit("'"), F.replace(x, F.lit("'"), F.lit("\\'")), F.lit("'")))
+
+
 def list_to_text(arr: Column) -> Column:
-    """Python list text form: ['a', 'b'] (what a CSV round trip of a list column gives)."""
-    inner = F.array_join(F.transform(arr, lambda x: F.concat(F.lit("'"), x, F.lit("'"))), ", ")
+    """Python list text form: ['a', "it's"] (what a CSV round trip of a list column gives)."""
+    inner = F.array_join(F.transform(arr, _quoted), ", ")
     return F.concat(F.lit("["), F.coalesce(inner, F.lit("")), F.lit("]"))
 
 
+# possessive repeats: no backtracking, so long lists cannot exhaust the regex stack
+_ITEM = r"""(?:'[^'\\]*+(?:\\.[^'\\]*+)*+'|"[^"\\]*+(?:\\.[^"\\]*+)*+")"""
+_LIST = rf"(?s)\A\s*+\[\s*+(?:{_ITEM}\s*+(?:,\s*+{_ITEM}\s*+)*+,?\s*+)?+\]\s*+\z"
+
+
+def _unquoted(x: Column) -> Column:
+    x = F.substring(x, F.lit(2), F.length(x) - 2)
+    x = F.replace(x, F.lit("\\\\"), F.lit("\u0000"))          # escaped backslashes stand aside
+    for plain, written in _ESCAPES[1:]:
+        x = F.replace(x, F.lit(written), F.lit(plain))
+    return F.replace(F.regexp_replace(x, r"(?s)\\(.)", "$1"), F.lit("\u0000"), F.lit("\\"))
+
+
 def parse_list(text: Column) -> Column:
-    """Parse "['a', 'b']" (or JSON) into array<string>; anything else -> [].
+    """The strings of "['a', "it's"]" (either quote, backslash escapes) as array<string>; anything else -> [].
 
-    Single quotes become double quotes, then JSON parsing; invalid text gives
-    NULL from from_json, replaced by an empty array.
+    Quoted strings are found as tokens and unescaped one by one.
     """
-    js = F.regexp_replace(F.regexp_replace(text, r"\\'", "\u0000"), "'", '"')
-    js = F.regexp_replace(js, "\u0000", "'")
-    parsed = F.from_json(js, "array<string>")
-    return F.coalesce(parsed, F.array().cast("array<string>"))
+    tokens = F.regexp_extract_all(text, F.lit(f"(?s)({_ITEM})"), F.lit(1))
+    none = F.array().cast("array<string>")
+    return F.coalesce(F.when(F.regexp_like(text, F.lit(_LIST)), F.transform(tokens, _unquoted)), none)

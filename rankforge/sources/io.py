@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,18 +76,19 @@ def read_users_csv(spark: SparkSession, path: str) -> DataFrame:
             .withColumn("signup_date", F.try_to_timestamp("signup_date").cast("timestamp_ntz")))
 
 
-def load_tables(spark: SparkSession, data_dir: str):
-    """(users, items, interactions) from ``data_dir`` if all three exist.
+def load_tables(spark: SparkSession, data_dir: str, fmt: str = "csv"):
+    """(users, items, interactions) from any folder or store that Spark reads, as CSV or Parquet.
 
-    Generation of synthetic data is not built: a missing file is an error.
+    Generation of synthetic data is not built: a missing table is Spark's own
+    error when the table is first named.
     """
-    names = ("users", "items", "interactions")
-    paths = {n: f"{data_dir.rstrip('/')}/{n}.csv" for n in names}
-    missing = [p for p in paths.values() if not os.path.exists(p)]
-    if missing:
-        raise FileNotFoundError(f"missing input tables: {missing}")
-    ints = read_interactions_csv(spark, paths["interactions"]).withColumnRenamed("timestamp", "ts")
-    return read_users_csv(spark, paths["users"]), read_items_csv(spark, paths["items"]), ints
+    base = data_dir.rstrip("/")
+    if fmt == "parquet":
+        users, items, ints = (spark.read.parquet(f"{base}/{n}.parquet") for n in ("users", "items", "interactions"))
+    else:
+        users, items = read_users_csv(spark, f"{base}/users.csv"), read_items_csv(spark, f"{base}/items.csv")
+        ints = read_interactions_csv(spark, f"{base}/interactions.csv")
+    return users, items, ints.withColumnRenamed("timestamp", "ts") if "timestamp" in ints.columns else ints
 
 
 def register_views(spark: SparkSession, users: DataFrame, items: DataFrame, interactions: DataFrame,

@@ -51,3 +51,31 @@ def test_first_unseen_heavy_path(spark):
             sv = {i for uu, i in seen_rows if uu == u}
             exp = [i for i in range(60) if i not in sv][:10]
             assert [i for _, i in sorted(got[u])] == exp, (head, u)
+
+
+def test_ranks_with_payload_columns(spark):
+    # columns outside the order must not change the partitioning that places and totals come from
+    n = 400_000
+    df = spark.range(n, numPartitions=7).select(
+        "id", F.xxhash64("id").alias("s"), F.concat(F.lit("payload "), "id").alias("p"), (F.col("id") % 3).alias("g"))
+    r = global_rank(df, [F.col("s").asc()], "rk")
+    got = r.agg(F.min("rk"), F.max("rk"), F.countDistinct("rk"), F.count("*")).first()
+    assert tuple(got) == (1, n, n, n)
+    assert r.select("p", "rk").where("rk <= 5").orderBy("rk").collect()[0]["p"] == \
+        df.orderBy("s").first()["p"]
+    by = group_rank(df, ["g"], [F.col("s").asc()], "rk").groupBy("g").agg(
+        F.min("rk").alias("lo"), F.max("rk").alias("hi"), F.countDistinct("rk").alias("d"), F.count("*").alias("n")).collect()
+    assert all(x.lo == 1 and x.hi == x.d == x.n for x in by) and sum(x.n for x in by) == n
+
+
+def test_group_rank_keeps_rows_without_a_group(spark):
+    df = spark.createDataFrame([(None, 3), (None, 1), (1, 2)], "g long, id long")
+    assert sorted((r.id, r.rk) for r in group_rank(df, ["g"], [F.col("id").asc()], "rk").collect()) == [(1, 1), (2, 1), (3, 2)]
+
+
+def test_split_cut_with_payload(spark):
+    from rankforge.operators.split import chronological_split
+    rows = [(i % 50, i % 7, "view", None, i, f"order {i}") for i in range(5000)]
+    df = spark.createDataFrame(rows, "user_id long, item_id long, interaction_type string, ts timestamp_ntz, l_orderkey long, note string")
+    train, test = chronological_split(df.repartition(6), 0.2)
+    assert (train.count(), test.count()) == (4000, 1000)
