@@ -1,21 +1,24 @@
-"""Distributed truncated SVD by randomized subspace iteration (M5).
-
-Halko, Martinsson & Tropp (2011), "Finding structure with randomness".  The
-sparse matrix stays a long table (row, col, val); thin dense matrices are
-tables (id, vec array<double>).  Each product with the sparse matrix is an
-equi-join on the shared index plus a grouped sum (partial aggregation before
-the shuffle); only r x r Gram matrices (r = k + oversampling) reach the
-driver, summed from one partial per partition.  Every iterate is
-checkpointed, so lineage stays short and a lost executor costs one step.
+"""Distributed truncated SVD by block Krylov iteration (M5).
+
+Musco & Musco (2015), "Randomized block Krylov methods"; Golub & Kahan's block
+recurrence with full re-orthogonalisation.  The sparse matrix stays a long
+table (row, col, val); thin dense matrices are tables (id, vec array<double>).
+Each product with the sparse matrix is an equi-join on the shared index plus a
+grouped sum; only small Gram matrices reach the driver, added up in a tree.
+All iterates are kept, and the iteration goes on until the residual of every
+wanted factor is below ``tol`` times its singular value.  Every iterate is
+written to the shared folder, so a lost executor costs one step.
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rankforge.operators.ranking import top_n_per_group
 from rankforge.session import materialize
 
 _TWO53 = float(1 << 53)
@@ -35,112 +38,133 @@ def gaussian_vectors(ids: DataFrame, id_col: str, r: int, seed: int) -> DataFram
     return ids.select(F.col(id_col).alias("id"), vec.alias("vec"))
 
 
-def _group_sum(id_col: str, weighted: bool):
-    """mapInPandas body: Σ (val ·) vec per id over the whole partition (one output row per id)."""
-    def f(it):
-        import pandas as pd
-        acc_ids, acc_vecs = [], []
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            m = np.stack(pdf["vec"].to_numpy())
-            if weighted:
-                m = m * pdf["val"].to_numpy()[:, None]
-            ids = pdf[id_col].to_numpy()
-            uniq, inv = np.unique(ids, return_inverse=True)
-            part = np.zeros((len(uniq), m.shape[1]))
-            np.add.at(part, inv, m)
-            acc_ids.append(uniq)
-            acc_vecs.append(part)
-        if not acc_ids:
-            return
-        ids = np.concatenate(acc_ids)
-        m = np.concatenate(acc_vecs)
-        uniq, inv = np.unique(ids, return_inverse=True)
-        out = np.zeros((len(uniq), m.shape[1]))
-        np.add.at(out, inv, m)
-        yield pd.DataFrame({"id": uniq, "vec": list(out)})
-    return f
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Rows of a list<double> column."""
+    return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+
+
+def _vectors(ids, m: np.ndarray, names=("id", "vec")) -> pa.RecordBatch:
+    m = np.ascontiguousarray(m, dtype=float)
+    off = pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32())
+    return pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(off, pa.array(m.ravel()))], list(names))
+
+
+def _batch_sums(batches):
+    """Σ val · vec per dst of each Arrow batch: one partial row per dst and batch, so memory is a batch's."""
+    for batch in batches:
+        if batch.num_rows:
+            m = _matrix(batch.column("vec")) * batch.column("val").to_numpy()[:, None]
+            ids, inv = np.unique(batch.column("dst").to_numpy(), return_inverse=True)
+            order = np.argsort(inv, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], np.diff(inv[order]) != 0]))
+            yield _vectors(pa.array(ids), np.add.reduceat(m[order], first, axis=0))
+
+
+def _sorted_sums(batches):
+    """Σ vec per id of a partition sorted by id; only the sum of the last id is carried along."""
+    last, held = None, None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        ids, m = batch.column("id").to_numpy(), _matrix(batch.column("vec"))
+        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        keys, sums = ids[first], np.add.reduceat(m, first, axis=0)
+        if held is not None and keys[0] == last:
+            sums[0] += held
+        elif held is not None:
+            yield _vectors(pa.array([last], pa.int64()), held[None, :])
+        last, held = int(keys[-1]), sums[-1].copy()
+        if len(keys) > 1:
+            yield _vectors(pa.array(keys[:-1]), sums[:-1])
+    if held is not None:
+        yield _vectors(pa.array([last], pa.int64()), held[None, :])
 
 
 def spmm(entries: DataFrame, src: str, dst: str, x: DataFrame, partitions: int | None = None) -> DataFrame:
     """Σ_src val · x[src] for every dst: entries(src, dst, val) ⋈ x(id, vec) -> (id=dst, vec).
 
-    Each task sums val·vec per dst in NumPy right after the join (a map-side
-    partial, at most one row per dst and task), and one shuffle by dst
-    finishes the sums.  No per-entry explode of the vector.
+    Partial sums are taken right after the join, in NumPy, and one shuffle by
+    dst finishes them; neither step holds more than a batch.
     """
     n = partitions or int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     j = entries.join(x.withColumnRenamed("id", src), src).select(F.col(dst).alias("dst"), "val", "vec")
-    part = j.mapInPandas(_group_sum("dst", True), "id long, vec array<double>")
-    return part.repartition(n, "id").mapInPandas(_group_sum("id", False), "id long, vec array<double>")
+    part = j.mapInArrow(_batch_sums, "id long, vec array<double>")
+    return part.repartition(n, "id").sortWithinPartitions("id").mapInArrow(_sorted_sums, "id long, vec array<double>")
 
 
-def _gram_partials(it):
+def gram(x: DataFrame, vec: str = "vec") -> np.ndarray:
+    """XᵀX: one partial per partition, added up in two steps so that few reach the driver."""
     import pandas as pd
-    g = None
-    for pdf in it:
-        if len(pdf) == 0:
-            continue
-        m = np.stack(pdf["vec"].to_numpy())
-        p = m.T @ m
-        g = p if g is None else g + p
-    if g is not None:
-        yield pd.DataFrame({"r": [g.shape[0]], "g": [g.ravel().tolist()]})
 
-
-def gram(x: DataFrame) -> np.ndarray:
-    """XᵀX for x(id, vec): one r x r partial per partition, summed on the driver."""
-    parts = x.select("vec").mapInPandas(_gram_partials, "r int, g array<double>").collect()
-    if not parts:
+    def partial(batches):
+        g = None
+        for batch in batches:
+            if batch.num_rows:
+                m = _matrix(batch.column(vec))
+                g = m.T @ m if g is None else g + m.T @ m
+        if g is not None:
+            yield pa.RecordBatch.from_arrays([pa.array([g.shape[0]], pa.int32()), pa.array([g.tobytes()], pa.binary())], ["r", "g"])
+
+    def add(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = sum(np.frombuffer(b) for b in pdf["g"])
+        return pd.DataFrame({"r": [pdf["r"].iloc[0]], "g": [total.tobytes()]})
+
+    parts = x.select(vec).mapInArrow(partial, "r int, g binary")
+    rows = parts.groupBy(F.pmod(F.spark_partition_id(), F.lit(16))).applyInPandas(add, "r int, g binary").collect()
+    if not rows:
         return np.zeros((0, 0))
-    r = parts[0]["r"]
-    return sum(np.array(p["g"]).reshape(r, r) for p in parts)
+    r = rows[0]["r"]
+    return sum(np.frombuffer(p["g"]) for p in rows).reshape(r, r)
 
 
 def apply_small(x: DataFrame, m: np.ndarray) -> DataFrame:
     """x(id, vec) -> (id, vec @ m) with a small dense m shipped to every task."""
     mat = np.asarray(m, dtype=float)
 
-    def f(it):
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            v = np.stack(pdf["vec"].to_numpy()) @ mat
-            pdf = pdf[["id"]].copy()
-            pdf["vec"] = list(v)
-            yield pdf
+    def f(batches):
+        for batch in batches:
+            if batch.num_rows:
+                yield _vectors(batch.column("id"), _matrix(batch.column("vec")) @ mat)
 
-    id_type = x.schema["id"].dataType.simpleString()
-    return x.select("id", "vec").mapInPandas(f, f"id {id_type}, vec array<double>")
+    return x.select("id", "vec").mapInArrow(f, f"id {x.schema['id'].dataType.simpleString()}, vec array<double>")
 
 
-def orthonormalize(x: DataFrame, rel_tol: float = 1e-10) -> DataFrame:
-    """Columns of x made orthonormal via the eigen-decomposition of XᵀX (drops null directions).
+def _beside(x: DataFrame, y: DataFrame) -> DataFrame:
+    """(id, vec) with the vectors of both tables end to end."""
+    return x.join(y.withColumnRenamed("vec", "_more"), "id").select("id", F.concat("vec", "_more").alias("vec"))
+
+
+def _root_inverse(g: np.ndarray, floor: float) -> np.ndarray:
+    """M with (XM)ᵀ(XM) = I for XᵀX = g; directions at or below ``floor`` are dropped."""
+    lam, v = np.linalg.eigh((g + g.T) / 2)
+    keep = lam > floor
+    return v[:, keep] / np.sqrt(lam[keep])
 
-    x is computed once (checkpointed), its Gram read from the checkpoint, and
-    the small basis change applied lazily on top of it.
-    """
-    x = materialize(x)
-    g = gram(x)
-    lam, v = np.linalg.eigh(g)
-    keep = lam > rel_tol * max(lam.max(), 1e-300)
-    m = v[:, keep] / np.sqrt(lam[keep])
-    return apply_small(x, m)
 
+def _off_basis(basis: DataFrame, width: int, w: DataFrame) -> tuple[DataFrame, np.ndarray, float]:
+    """(basis beside w with its part along the basis removed twice, Gram of the rest, largest eigenvalue of wᵀw)."""
+    both = materialize(_beside(basis, w))
+    scale = None
+    for _ in range(2):
+        g = gram(both)
+        scale = np.linalg.eigvalsh(g[width:, width:]).max() if scale is None else scale
+        h = g[:width, width:]
+        m = np.eye(len(g))
+        m[:width, width:] = -h
+        rest = g[width:, width:] - h.T @ h
+        both = materialize(apply_small(both, m))
+    return both, rest, float(scale)
 
-def randomized_svd(entries: DataFrame, k: int, oversample: int = 20, power_iters: int = 4,
-                   seed: int = 42):
-    """entries(row, col, val) -> (row_factors(id, vec), col_factors(id, vec), sigma) with k factors.
 
-    Factors are sorted by singular value, largest first.  With k + oversample
-    at least min(rows, cols) the result is exact up to rounding.
+def truncated_svd(entries: DataFrame, k: int, oversample: int = 20, seed: int = 42, tol: float = 1e-7, max_steps: int = 60):
+    """entries(row, col, val) -> (row_factors(id, vec), col_factors(id, vec), sigma, residuals) with k factors.
+
+    Factors are sorted by singular value, largest first.  ``residuals`` are
+    |C v - sigma u| / sigma; all are at most ``tol``, or the call fails.
+    Directions with a zero singular value are not factors.
     """
-    r = k + oversample
     n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # one copy, not pre-partitioned by an index: a hot row or column would
-    # otherwise sit in one task; the join is left to the planner (broadcast of
-    # the thin side when small, else a shuffle join with AQE skew splitting)
+    # one copy, not pre-partitioned by an index: a hot row or column would otherwise sit in one task
     base = materialize(entries.select("row", "col", F.col("val").cast("double").alias("val")))
 
     def c_times(x):      # C x: rows from columns
@@ -150,21 +174,37 @@ def randomized_svd(entries: DataFrame, k: int, oversample: int = 20, power_iters
         return spmm(base, "row", "col", x, n)
 
     cols = base.select("col").distinct()
-    omega = gaussian_vectors(cols, "col", r, seed)
-    q = orthonormalize(c_times(omega))
-    for _ in range(power_iters):
-        z = orthonormalize(ct_times(q))
-        q = orthonormalize(c_times(z))
-    z = materialize(ct_times(q))                        # Bᵀ = Cᵀ Q
-    g = gram(z)                                         # B Bᵀ
-    lam, w = np.linalg.eigh(g)
-    order = np.argsort(lam)[::-1]
-    lam, w = np.clip(lam[order], 0, None), w[:, order]
-    k = min(k, int((lam > 0).sum()))
-    sigma = np.sqrt(lam[:k])
-    u = apply_small(q, w[:, :k])
-    v = apply_small(z, w[:, :k] / sigma)
-    return materialize(u), materialize(v), sigma
+    start = materialize(c_times(gaussian_vectors(cols, "col", k + oversample, seed)))
+    g = gram(start)
+    top = np.linalg.eigvalsh(g).max() if len(g) else 0.0
+    if top <= 0 or k <= 0:
+        none = base.select(F.col("row").alias("id"), F.array().cast("array<double>").alias("vec")).distinct()
+        return none, cols.select(F.col("col").alias("id"), F.array().cast("array<double>").alias("vec")), np.zeros(0), np.zeros(0)
+    q = materialize(apply_small(start, _root_inverse(g, 1e-13 * top)))
+    q = materialize(apply_small(q, _root_inverse(gram(q), 0.0)))             # a second pass for full orthogonality
+    rows, columns, block = q, None, q
+    for _ in range(max_steps):
+        z = materialize(ct_times(block))
+        columns = z if columns is None else materialize(_beside(columns, z))
+        lam, y = np.linalg.eigh(gram(columns))                               # B Bᵀ of the whole basis
+        order = np.argsort(lam)[::-1][:k]
+        order = order[lam[order] > 1e-20 * lam.max()]
+        sigma, y = np.sqrt(lam[order]), y[:, order]
+        width = len(lam)
+        both, rest, scale = _off_basis(rows, width, c_times(z))
+        own = y[-len(rest):]                                                 # only the last block leaves the basis
+        residual = np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", own, rest, own), 0)) / sigma ** 2
+        m = _root_inverse(rest, 1e-22 * scale)
+        if residual.max() <= tol or not m.shape[1]:
+            break
+        full = np.zeros((width + len(rest), width + m.shape[1]))
+        full[:width, :width], full[width:, width:] = np.eye(width), m
+        rows = materialize(apply_small(both, full))
+        block = rows.select("id", F.slice("vec", width + 1, m.shape[1]).alias("vec"))
+    else:
+        raise RuntimeError(f"the SVD has not converged: residual {residual.max():.2e} after {max_steps} steps")
+    rows = both.select("id", F.slice("vec", 1, width).alias("vec"))
+    return materialize(apply_small(rows, y)), materialize(apply_small(columns, y / sigma)), sigma, residual
 
 
 # --- scoring every user against every item, blocked (J8) ---------------------------------
@@ -173,62 +213,54 @@ SCORE_SCHEMA = T.StructType([T.StructField("user_id", T.LongType()), T.StructFie
                              T.StructField("score", T.DoubleType())])
 
 
-def _blocks(df: DataFrame, id_col: str, block_rows: int, extra: list[str]) -> DataFrame:
-    """Pack rows into blocks of at most ``block_rows`` ids: flattened arrays per block."""
-    n = df.count()
-    nb = max(1, -(-n // block_rows))
-    b = df.withColumn("_b", F.pmod(F.xxhash64(F.col(id_col)), F.lit(nb)).cast("int"))
-    aggs = [F.collect_list(id_col).alias("ids"), F.flatten(F.collect_list("vec")).alias("mat")]
-    aggs += [F.collect_list(c).alias(c) for c in extra]
-    return b.groupBy("_b").agg(*aggs), nb
-
-
-def top_scores(users: DataFrame, items: DataFrame, keep: int, user_block: int = 1024,
-               item_block: int = 8192) -> DataFrame:
+def top_scores(users: DataFrame, items: DataFrame, keep: int, item_block: int = 32_768, cells: int = 4_000_000) -> DataFrame:
     """Exact per-user top ``keep + s`` of offset_u + bias_i + <u, v_i> over all items.
 
-    users(user_id, vec, offset, s), items(item_id, vec, bias).  Users and items
-    are packed into blocks of bounded size; each (user block, item block) pair
-    is one dense matmul in a task, which emits only the block's top entries
-    per user, so the output is linear in users x (keep + s), never users x
-    items.  A catalog that fits one block is a single small broadcast.
+    users(user_id, vec, offset, s), items(item_id, vec, bias).  Items are cut
+    into blocks of about ``item_block`` rows; each block is broadcast by itself
+    (its size is the parameter, not the catalog) and met by all users where they
+    stand, in matrix products of at most ``cells`` scores, so parallelism is that
+    of the users.  A task emits a user's top ``keep + s`` of each block, and the
+    blocks' lists are merged to the user's ``keep + s`` first.
     """
-    ub, _ = _blocks(users, "user_id", user_block, ["offset", "s"])
-    ib, nib = _blocks(items, "item_id", item_block, ["bias"])
-    ib = ib.select(F.col("_b").alias("_ib"), F.col("ids").alias("iids"), F.col("mat").alias("imat"), "bias")
-    ub = ub.select(F.col("ids").alias("uids"), F.col("mat").alias("umat"), "offset", "s",
-                   F.explode(F.sequence(F.lit(0), F.lit(nib - 1))).alias("_ib"))
-    pairs = ub.join(F.broadcast(ib) if nib == 1 else ib, "_ib")
-
-    def score(it):
-        import pandas as pd
-        for pdf in it:
-            for row in pdf.itertuples(index=False):
-                uids = np.asarray(row.uids, dtype=np.int64)
-                iids = np.asarray(row.iids, dtype=np.int64)
-                if len(uids) == 0 or len(iids) == 0:
-                    continue
-                um = np.asarray(row.umat, dtype=float).reshape(len(uids), -1)
-                im = np.asarray(row.imat, dtype=float).reshape(len(iids), -1)
-                sc = um @ im.T + np.asarray(row.offset, dtype=float)[:, None] + np.asarray(row.bias, dtype=float)[None, :]
-                q = np.round(sc, 9)
-                limit = np.minimum(keep + np.asarray(row.s, dtype=np.int64), len(iids))
-                out_u, out_i, out_s = [], [], []
-                for r in range(len(uids)):
-                    qr, lim = q[r], limit[r]
-                    if lim <= 0:
-                        continue
-                    if lim < len(iids):   # candidates: everything tied with or above the lim-th best
-                        cut = -np.partition(-qr, lim - 1)[lim - 1]
-                        cand = np.nonzero(qr >= cut)[0]
-                    else:
-                        cand = np.arange(len(iids))
-                    idx = cand[np.lexsort((iids[cand], -qr[cand]))][:lim]
-                    out_u.append(np.full(len(idx), uids[r]))
-                    out_i.append(iids[idx])
-                    out_s.append(sc[r, idx])
-                if out_u:
-                    yield pd.DataFrame({"user_id": np.concatenate(out_u), "item_id": np.concatenate(out_i),
-                                        "score": np.concatenate(out_s)})
-
-    return pairs.mapInPandas(score, SCORE_SCHEMA)
+    spark = users.sparkSession
+    blocks = max(1, -(-items.count() // item_block))
+    numbered = materialize(items.select("item_id", "vec", "bias", F.pmod(F.xxhash64("item_id"), F.lit(blocks)).alias("_b")))
+    out = None
+    for b in range(blocks):
+        rows = numbered.where(F.col("_b") == b).orderBy("item_id").toArrow().combine_chunks()      # one block
+        if not rows.num_rows:
+            continue
+        one = rows.to_batches()[0]
+        shared = spark.sparkContext.broadcast((one.column("item_id").to_numpy(), _matrix(one.column("vec")),
+                                               one.column("bias").to_numpy(zero_copy_only=False)))
+
+        def score(batches, shared=shared):
+            iids, im, bias = shared.value
+            step = max(1, cells // len(iids))
+            for whole in batches:
+                for start in range(0, whole.num_rows, step):
+                    batch = whole.slice(start, step)
+                    sc = _matrix(batch.column("vec")) @ im.T + batch.column("offset").to_numpy()[:, None] + bias
+                    q = np.round(sc, 9)
+                    limit = np.minimum(keep + batch.column("s").to_numpy(), len(iids))
+                    kth = np.unique(np.maximum(limit, 1)) - 1
+                    part = -np.partition(-q, kth, axis=1)
+                    cut = part[np.arange(len(q)), np.maximum(limit, 1) - 1]
+                    r, c = np.nonzero((q >= cut[:, None]) & (limit > 0)[:, None])       # with all ties of the last place
+                    order = np.lexsort((c, -q[r, c], r))                               # items stand in id order
+                    r, c = r[order], c[order]
+                    place = np.arange(len(r)) - np.searchsorted(r, r, "left")
+                    r, c = r[place < limit[r]], c[place < limit[r]]
+                    uids = batch.column("user_id").to_numpy()
+                    yield pa.RecordBatch.from_arrays([pa.array(uids[r]), pa.array(iids[c]), pa.array(sc[r, c])],
+                                                     ["user_id", "item_id", "score"])
+
+        found = users.select("user_id", "vec", "offset", F.col("s").cast("long").alias("s")).mapInArrow(score, SCORE_SCHEMA)
+        out = found if out is None else out.unionByName(found)
+    if out is None:
+        return spark.createDataFrame([], SCORE_SCHEMA)
+    if blocks == 1:
+        return out
+    merged = top_n_per_group(out, "user_id", "score", None).join(users.select("user_id", F.col("s").alias("_s")), "user_id")
+    return merged.where(F.col("rank") <= keep + F.col("_s")).select("user_id", "item_id", "score")

@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.operators.factorize import randomized_svd, top_scores
+from rankforge.operators.factorize import top_scores, truncated_svd
 from rankforge.operators.matrix import user_item_weights, with_totals
 from rankforge.operators.ranking import top_n_per_group
 from rankforge.operators.vectors import dot
@@ -40,13 +40,11 @@ class SVD(Recommender):
     name = "SVD"
     state = ("user_bias", "item_bias", "mean")
 
-    def __init__(self, n_factors: int = 50, regularization: float = 0.01, oversample: int = 20,
-                 power_iters: int = 4, seed: int = 42):
+    def __init__(self, n_factors: int = 50, oversample: int = 20, tol: float = 1e-7, seed: int = 42):
         super().__init__()
         self.n_factors = n_factors
-        self.regularization = regularization   # stored like the reference, not used by it
         self.oversample = oversample
-        self.power_iters = power_iters
+        self.tol = tol
         self.seed = seed
 
     def fit(self, interactions, users=None, items=None):
@@ -58,9 +56,9 @@ class SVD(Recommender):
         self.k = max(0, min(self.n_factors, counts["u"] - 1, counts["i"] - 1))
         entries = c.select(F.col("user_id").alias("row"), F.col("item_id").alias("col"),
                            F.col("centered").alias("val"))
-        u, v, sigma = randomized_svd(entries, self.k, self.oversample, self.power_iters, self.seed)
+        u, v, sigma, residual = truncated_svd(entries, self.k, self.oversample, self.seed, self.tol)
         self.k = len(sigma)
-        self.sigma = sigma
+        self.sigma, self.residual = sigma, residual
         self.user_factors = u.select(F.col("id").alias("user_id"), F.col("vec").alias("factors"))
         self.item_factors = v.select(F.col("id").alias("item_id"), F.col("vec").alias("factors"))
         self._fitted = True
@@ -70,6 +68,12 @@ class SVD(Recommender):
         spark = self.matrix.sparkSession
         return spark.createDataFrame([(i, float(s)) for i, s in enumerate(self.sigma)], "factor int, sigma double")
 
+    def residuals(self) -> DataFrame:
+        """(factor, sigma, residual): |C v - sigma u| / sigma of each factor."""
+        return self.matrix.sparkSession.createDataFrame(
+            [(i, float(s), float(r)) for i, (s, r) in enumerate(zip(self.sigma, self.residual))],
+            "factor int, sigma double, residual double")
+
     def _sigma_col(self):
         return F.array(*[F.lit(float(s)) for s in self.sigma]) if self.k else F.array().cast("array<double>")
 
@@ -156,8 +160,3 @@ class SVD(Recommender):
     def item_embedding(self, items: DataFrame) -> DataFrame:
         return items.select("item_id").join(self.item_factors, "item_id", "left")
 
-
-def numpy_reference_svd(dense: np.ndarray, k: int):
-    """Test helper: exact SVD of a small dense matrix, singular values descending."""
-    u, s, vt = np.linalg.svd(dense, full_matrices=False)
-    return u[:, :k], s[:k], vt[:k].T
