@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, Window
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Fixed values that must equal the reference: implicit weight per interaction
@@ -59,12 +59,6 @@ def freshness(release, as_of: str, halflife_days: float = 90.0) -> Column:
     return time_decay(release, as_of, halflife_days, 0.5)
 
 
-def parse_ts(col) -> Column:
-    """Parse a timestamp that may be text; NULL when it cannot be parsed."""
-    c = _c(col)
-    return F.try_to_timestamp(c.cast("string")).cast("timestamp_ntz")
-
-
 def rating_factor(rating) -> Column:
     """0.5 + 0.5 * rating / 5 (NULL stays NULL)."""
     return F.lit(0.5) + F.lit(0.5) * (_c(rating) / F.lit(5.0))
@@ -75,14 +69,6 @@ def safe_divide(a, b, default: float = 0.0) -> Column:
     return F.coalesce(F.try_divide(_c(a), F.nullif(_c(b), F.lit(0))), F.lit(default))
 
 
-def minmax_normalize(score, partition_by: list[str] | None = None) -> Column:
-    """(s - min) / (max - min) within the group; all equal gives 0.5."""
-    w = Window.partitionBy(*partition_by) if partition_by else Window.partitionBy()
-    s = _c(score)
-    lo, hi = F.min(s).over(w), F.max(s).over(w)
-    return F.when(hi == lo, F.lit(0.5)).otherwise((s - lo) / (hi - lo))
-
-
 def display_score(score) -> Column:
     """Score <= 1 shown x100, else x10, clamped to 0..100."""
     s = _c(score)

@@ -63,7 +63,3 @@ def with_totals(df: DataFrame, totals: DataFrame) -> DataFrame:
     """
     one = F.lit(1).alias("_one")
     return (df.select("*", one).join(F.broadcast(totals.select("*", one)), "_one").drop("_one"))
-
-
-def col_or(df: DataFrame, name: str, default: Column) -> Column:
-    return F.col(name) if name in df.columns else default

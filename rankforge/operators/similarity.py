@@ -54,13 +54,3 @@ def neighbors(pairs: DataFrame, k: int | None) -> DataFrame:
     """K2: per id_a the k most similar id_b with sim > 0 -> (id_a, id_b, sim, rank)."""
     p = pairs.where(F.col("sim") > 0).select("id_a", "id_b", "sim")
     return top_n_per_group(p, "id_a", "sim", k, id_col="id_b", rank_col="rank")
-
-
-def content_pairs(features: DataFrame, id_col: str = "item_id") -> DataFrame:
-    """V2 for all pairs: dot of L2-normalised sparse vectors (id, feature, w)."""
-    m = features.select(F.col("feature").alias("_f"), F.col(id_col).alias("_id"), "w")
-    a = m.select("_f", F.col("_id").alias("id_a"), F.col("w").alias("w_a"))
-    b = m.select("_f", F.col("_id").alias("id_b"), F.col("w").alias("w_b"))
-    a, b = salt_sides(a, b, ["_f"], F.col("id_a"))
-    return (a.join(b, ["_f", "_salt"]).where(F.col("id_a") != F.col("id_b"))
-            .groupBy("id_a", "id_b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("sim")))

@@ -64,9 +64,6 @@ class Recommender:
             setattr(self, a, materialize(getattr(self, a)))
         return self
 
-    def unpersist(self) -> None:
-        pass
-
     def _validate_fitted(self):
         if not self._fitted:
             raise RuntimeError(f"{self.name} must be fitted before use")

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.operators.matrix import with_totals
+from rankforge.operators.skew import lookup
 from rankforge.session import materialize
 
 K_VALUES = (5, 10, 20)
@@ -105,13 +106,12 @@ def list_diversity(recs: DataFrame, vectors: DataFrame) -> DataFrame:
     without a vector are skipped; a list of fewer than 2 items, or fewer than 2
     vectors, scores 0.  ``vectors`` is the long, L2-normalised (item_id, feature, w).
     """
-    lens = recs.groupBy("user_id").agg(F.count(F.lit(1)).alias("_len"))
-    have = vectors.select("item_id").distinct()
-    r = recs.select("user_id", "item_id").join(have, "item_id")
-    m = r.groupBy("user_id").agg(F.count(F.lit(1)).alias("_m"))
-    s2 = (r.join(vectors, "item_id").groupBy("user_id", "feature").agg(F.sum("w").alias("_s"))
-          .groupBy("user_id").agg(F.sum(F.col("_s") * F.col("_s")).alias("_sq")))
-    d = lens.join(m, "user_id", "left").join(s2, "user_id", "left")
+    packed = vectors.groupBy("item_id").agg(F.collect_list(F.struct("feature", "w")).alias("_f"))   # an item's few features
+    r = lookup(recs.select("user_id", "item_id"), packed, "item_id")
+    lens = r.groupBy("user_id").agg(F.count(F.lit(1)).alias("_len"), F.count("_f").alias("_m"))
+    s2 = (r.select("user_id", F.explode("_f").alias("_x")).groupBy("user_id", F.col("_x.feature").alias("_k"))
+          .agg(F.sum("_x.w").alias("_s")).groupBy("user_id").agg(F.sum(F.col("_s") * F.col("_s")).alias("_sq")))
+    d = lens.join(s2, "user_id", "left")
     mm = F.coalesce(F.col("_m"), F.lit(0))
     pairs = mm * (mm - 1) / 2
     sum_cos = (F.col("_sq") - mm) / 2
@@ -122,7 +122,7 @@ def list_diversity(recs: DataFrame, vectors: DataFrame) -> DataFrame:
 def list_novelty(recs: DataFrame, popularity: DataFrame) -> DataFrame:
     """Mean of -log2(share + 1e-10); an unknown item has share 1e-10."""
     p = popularity.select("item_id", F.col("share"))
-    j = recs.select("user_id", "item_id").join(p, "item_id", "left")
+    j = lookup(recs.select("user_id", "item_id"), p, "item_id")
     nov = -F.log2(F.coalesce(F.col("share"), F.lit(EPS)) + F.lit(EPS))
     return j.groupBy("user_id").agg(F.avg(nov).alias("novelty"))
 

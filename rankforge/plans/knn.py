@@ -32,12 +32,10 @@ class UserCF(Recommender):
 
     name = "User-CF"
 
-    def __init__(self, k_neighbors: int = 50, min_common_items: int = 3, similarity_metric: str = "cosine"):
+    def __init__(self, k_neighbors: int = 50):
         super().__init__()
         self.k = k_neighbors
         # stored like the reference; cosine is the only metric it computes
-        self.min_common_items = min_common_items
-        self.similarity_metric = similarity_metric
 
     def fit(self, interactions, users=None, items=None):
         # A1 once per fit, shared by similarity, scoring and exclusion
@@ -103,11 +101,9 @@ class ItemCF(Recommender):
 
     name = "Item-CF"
 
-    def __init__(self, k_neighbors: int = 30, similarity_metric: str = "cosine", min_support: int = 5):
+    def __init__(self, k_neighbors: int = 30):
         super().__init__()
         self.k = k_neighbors
-        self.similarity_metric = similarity_metric
-        self.min_support = min_support
 
     def fit(self, interactions, users=None, items=None):
         self.matrix = materialize(user_item_weights(interactions))

@@ -213,7 +213,7 @@ def recs_display(spark, sf):
 @query("side_by_side_recs", L(THREE_RECS_SQL + """
 SELECT model, user_id, item_id, round(score, 6) AS score, rank FROM three WHERE rank <= 5"""))
 def side_by_side_recs(spark, sf):
-    """D3: first 5 of each model per user (SVD left out: no SQL twin)."""
+    """D3: first 5 of each model per user."""
     t = _three_recs(spark, sf)
     d = PR.side_by_side({m: t.where(F.col("model") == m).drop("model")
                          for m in ("Popularity", "User-CF", "Item-CF")}, 5)

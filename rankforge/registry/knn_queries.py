@@ -78,16 +78,20 @@ def _r6(df, *cols):
                        else F.col(c) for c in cols])
 
 
-@query("item_similarity", L(M_SQL + SIM_SQL("item") + """
-SELECT id AS item_id, other_id AS other_item_id, round(sim, 6) AS sim FROM item_sim"""))
+@query("item_similarity", L(M_SQL + SIM_SQL("item") + NB_SQL("item", 5) + """
+SELECT id AS item_id, nbr AS other_item_id, round(sim, 6) AS sim FROM item_nb"""))
 def item_similarity(spark, sf):
-    return _r6(item_cf(spark, sf).similarity, "item_id", "other_item_id", "sim")
+    """V4: each item's five most similar items (never the table of all pairs)."""
+    m = item_cf(spark, sf, 5)
+    return _r6(m.neighbors.withColumnRenamed("neighbor_id", "other_item_id"), "item_id", "other_item_id", "sim")
 
 
-@query("user_similarity", L(M_SQL + SIM_SQL("user") + """
-SELECT id AS user_id, other_id AS other_user_id, round(sim, 6) AS sim FROM user_sim"""))
+@query("user_similarity", L(M_SQL + SIM_SQL("user") + NB_SQL("user", 5) + """
+SELECT id AS user_id, nbr AS other_user_id, round(sim, 6) AS sim FROM user_nb"""))
 def user_similarity(spark, sf):
-    return _r6(user_cf(spark, sf).similarity, "user_id", "other_user_id", "sim")
+    """V4: each user's five most similar users (never the table of all pairs)."""
+    m = user_cf(spark, sf, 5)
+    return _r6(m.neighbors.withColumnRenamed("neighbor_id", "other_user_id"), "user_id", "other_user_id", "sim")
 
 
 @query("item_neighbors", L(M_SQL + SIM_SQL("item") + NB_SQL("item", ITEM_CF_K) + """
