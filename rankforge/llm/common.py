@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rankforge.session import discard, materialize as stable  # noqa: F401
+
 SLICE_CHARS = 1_500_000
 
 
@@ -23,21 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in ``spark.checkpoint.dir``.
-
-    The folder is the cluster's shared one; the setting is only read here, and
-    a session without it (and without a checkpoint folder set) is refused.
-    """
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        folder = sc.getConf().get("spark.checkpoint.dir", None)
-        if not folder:
-            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
-
-
 def texts_of(column: pa.Array) -> list[str]:
     """Python strings of an Arrow text column, null as empty."""
     return [t if t is not None else "" for t in column.to_pylist()]

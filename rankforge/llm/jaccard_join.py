@@ -13,16 +13,18 @@ eps = 1 - percent / 100.  The result is the components of the links.
 3. Second level, pivots are documents: the first member of each cell.  Cells of
    the same pivot form its region; a set is replicated to the region of every
    pivot it shares a cell with, so linked sets share a region.
-4. Regions are joined recursively.  In each round the pivots of a region are
-   compared with all of its members inside the triangle-inequality windows:
-   | |A| - |B| |, the difference of distances to the empty set, and the sum over
-   ``BINS`` parts of the shingle space of the differences of set sizes are both at
-   most |A ^ B|.  Pairs inside are verified on the sets.  A region whose members
-   are one component is settled; the others go on with eight times as many new
-   pivots, members of small components first, until nothing is left.
-
-A dense group thus costs members x pivots, not all pairs, and no region is ever
-collected: members meet pivots in Spark joins.  The global order comes from
+4. Regions are joined recursively.  First each pivot is compared with all of
+   its members inside the triangle-inequality windows: | |A| - |B| |, the
+   difference of distances to the empty set, and the sum over ``BINS`` parts of the
+   shingle space of the differences of set sizes are both at most |A ^ B|.  Pairs
+   inside are verified on the sets.  That settles a region whose members are now
+   one component.  Regions of linked pivots are then merged, and the unsettled
+   ones are joined in blocks of about ``BLOCK`` members, every two blocks of a region in
+   a task: pairs of different components inside the windows are counted exactly,
+   and only links that join components leave the task.
+
+A dense group of any size thus costs members x pivots where it is one component;
+no region is held whole, and no pairs are listed.  The global order comes from
 counts of 2^``ORDER_BITS`` hash classes over the whole corpus (fixed size).
 
 Defined results: null text is the empty text; a text without words has the empty
@@ -35,6 +37,8 @@ Shingles are told apart by 64-bit hashes.
 from __future__ import annotations
 
 import hashlib
+import itertools
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -42,11 +46,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import hash_texts, mix64, slices, stable, texts_of
+from rankforge.llm.common import discard, hash_texts, mix64, slices, stable, texts_of
 
-ORDER_BITS = 18
-BINS = 128
-FIRST_PIVOTS = 16
+ORDER_BITS = 16
+BINS = 512                 # parts prune unrelated sets of up to about 50 times as many shingles
+BLOCK = 512                # members of a region in one block
 MAP_BITS = 29              # the filter of wanted rows holds at most 2^29 bits
 
 
@@ -94,12 +98,12 @@ def class_counts(docs: DataFrame, words: int, text_col: str) -> np.ndarray:
                 key, _ = shingle_hashes(texts_of(part.column("text")), words)
                 total += np.bincount((key >> np.uint64(64 - ORDER_BITS)).astype(np.int64), minlength=size)
         rows = total.reshape(-1, chunk)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows))), pa.array([r.tobytes() for r in rows], pa.binary())],
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(rows))), pa.array([zlib.compress(r.tobytes(), 1) for r in rows], pa.binary())],
                                          ["part", "counts"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        total = sum(np.frombuffer(b, np.int64) for b in pdf["counts"])
-        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "counts": [total.tobytes()]})
+        total = sum(np.frombuffer(zlib.decompress(b), np.int64) for b in pdf["counts"])
+        return pd.DataFrame({"part": [pdf["part"].iloc[0]], "counts": [zlib.compress(total.tobytes(), 1)]})
 
     rows = docs.select(F.col(text_col).alias("text")).mapInArrow(run, "part long, counts binary")
     # two steps, so that no task adds up more than about the square root of the tasks
@@ -108,7 +112,7 @@ def class_counts(docs: DataFrame, words: int, text_col: str) -> np.ndarray:
     got = some.groupBy("part").applyInPandas(add, "part long, counts binary").collect()
     out = np.zeros((size // chunk, chunk), np.int64)
     for r in got:
-        out[r.part] = np.frombuffer(r.counts, np.int64)
+        out[r.part] = np.frombuffer(zlib.decompress(r.counts), np.int64)
     return out.reshape(-1)
 
 
@@ -233,15 +237,133 @@ def components(edges: DataFrame) -> DataFrame:
     """(v, label): label is the least vertex of v's component; least labels spread with pointer jumping."""
     both = stable(edges.select(F.col("a").alias("v"), F.col("b").alias("w"))
                   .unionByName(edges.select(F.col("b").alias("v"), F.col("a").alias("w"))).distinct())
-    labels = stable(both.groupBy("v").agg(F.least(F.col("v"), F.min("w")).alias("label")))
+    step = stable(both.groupBy("v").agg(F.least(F.col("v"), F.min("w")).alias("new")))
     while True:
+        labels = step.select("v", F.col("new").alias("label"))
         near = both.join(labels.select(F.col("v").alias("w"), F.col("label").alias("l")), "w").groupBy("v").agg(F.min("l").alias("l"))
-        step = labels.join(near, "v").select("v", "label", F.least("label", "l").alias("new"))
+        nearest = labels.join(near, "v").select("v", "label", F.least("label", "l").alias("new"))
         jump = labels.select(F.col("v").alias("new"), F.col("label").alias("far"))
-        step = stable(step.join(jump, "new").select("v", "label", F.least("new", "far").alias("new")))
-        labels = step.select("v", F.col("new").alias("label"))
+        before, step = step, stable(nearest.join(jump, "new").select("v", "label", F.least("new", "far").alias("new")))
+        discard(before)
         if step.where("label <> new").isEmpty():
-            return labels
+            discard(both)
+            return step.select("v", F.col("new").alias("label"))
+
+
+def _near(bins: np.ndarray, n: np.ndarray, label: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs of a group are of different components and inside the triangle-inequality windows."""
+    bins, size = bins.astype(np.int16), n[:, None] + n
+    near = 100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n)
+    near &= label[:, None] != label
+    room = size - 2 * -(-percent * size // (100 + percent))
+    for i in np.flatnonzero(near.any(1)).tolist():
+        at = np.flatnonzero(near[i])
+        near[i, at] = np.abs(bins[at] - bins[i]).sum(1) <= room[i, at]
+    return near
+
+
+def _intersections(sets: list[np.ndarray], near: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the ``near`` pairs of a group."""
+    out = np.zeros(near.shape, np.int64)
+    a, b = np.nonzero(np.triu(near))
+    if len(a) <= 4 * len(sets):
+        for i, j in zip(a.tolist(), b.tolist()):
+            out[i, j] = out[j, i] = len(sets[i]) + len(sets[j]) - len(np.union1d(sets[i], sets[j]))
+        return out
+    # many pairs: a product of the membership matrix with itself, some columns at a time
+    own = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, col, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    rank = np.cumsum(times > 1) - 1
+    keep = times[col] > 1
+    own, col = own[keep], rank[col[keep]]
+    order = np.argsort(col, kind="stable")
+    own, col = own[order], col[order]
+    total = np.zeros(near.shape, np.float64)
+    for first in range(0, int(col[-1]) + 1 if len(col) else 0, 4096):
+        lo, hi = np.searchsorted(col, [first, first + 4096])
+        m = np.zeros((len(sets), 4096), np.float32)
+        m[own[lo:hi], col[lo:hi] - first] = 1
+        total += m @ m.T
+    return np.rint(total).astype(np.int64)
+
+
+def _groups(batches, keys: list[str], columns: list[str]):
+    """The groups of a partition sorted by ``keys``: one group is held at a time."""
+    def rows():
+        for batch in batches:
+            yield from zip(*(batch.column(c).to_pylist() for c in (*keys, *columns)))
+    for _, own in itertools.groupby(rows(), key=lambda r: r[:len(keys)]):
+        yield list(own)
+
+
+def _dealt(members: DataFrame) -> DataFrame:
+    """Members with (region, i, j): the pairs of blocks of at most about BLOCK members of a region.
+
+    A region of one block is dealt once; a larger one has every two of its blocks meet.
+    """
+    blocks = members.groupBy("region").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    own = members.join(blocks, "region").withColumn("b", F.pmod(F.xxhash64("rid"), F.col("blocks").cast("long")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
+    return own.select("*", other).withColumn("i", F.least("b", "o")).withColumn("j", F.greatest("b", "o")).drop("b", "o", "blocks")
+
+
+def near_members(members: DataFrame, percent: int) -> DataFrame:
+    """(region, i, j, rid, n, bins, label) of the dealt members that have a pair in their windows."""
+    names = ["region", "i", "j", "rid", "n", "bins", "label"]
+
+    def run(batches):
+        out = []
+
+        def send():
+            cols = list(zip(*out)) if out else [()] * 7
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names)
+
+        for group in _groups(batches, names[:3], names[3:]):
+            if len(group) > 1:
+                bins = np.frombuffer(b"".join(r[5] for r in group), np.uint8).reshape(-1, BINS)
+                n, label = (np.array([r[c] for r in group], np.int64) for c in (4, 6))
+                out += [group[k] for k in np.flatnonzero(_near(bins, n, label, percent).any(1)).tolist()]
+            if len(out) > 5000:
+                yield send()
+                out.clear()
+        yield send()
+
+    sized = _dealt(members).select(names).repartition("region", "i", "j").sortWithinPartitions("region", "i", "j")
+    return sized.mapInArrow(run, "region long, i int, j int, rid long, n long, bins binary, label long")
+
+
+def joined_groups(members: DataFrame, percent: int) -> DataFrame:
+    """(a, b): links that join the components of each group, found exactly on the sets."""
+    names = ["region", "i", "j", "rid", "n", "bins", "label", "set"]
+
+    def run(batches):
+        for group in _groups(batches, names[:3], names[3:]):
+            sets = [np.frombuffer(r[7], np.uint64) for r in group]
+            bins = np.frombuffer(b"".join(r[5] for r in group), np.uint8).reshape(-1, BINS)
+            n, label = (np.array([r[c] for r in group], np.int64) for c in (4, 6))
+            near = _near(bins, n, label, percent)
+            both = _intersections(sets, near)
+            link = near & (100 * both >= percent * (n[:, None] + n - both))
+            parent = {x: x for x in label.tolist()}
+
+            def root(x):
+                while parent[x] != x:
+                    parent[x] = x = parent[parent[x]]
+                return x
+
+            a, b = [], []
+            for i, j in zip(*(x.tolist() for x in np.nonzero(np.triu(link)))):
+                x, y = root(int(label[i])), root(int(label[j]))
+                if x != y:
+                    parent[y] = x
+                    a.append(group[i][3])
+                    b.append(group[j][3])
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+    sized = members.select(names).repartition("region", "i", "j").sortWithinPartitions("region", "i", "j")
+    return sized.mapInArrow(run, "a long, b long")
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -251,51 +373,38 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
         F.min("id").alias("first_id"), F.min("key").alias("key"), F.any_value("n").alias("n"),
         F.any_value("cells").alias("cells"), F.any_value("bins").alias("bins"))
     reps = stable(some.withColumn("rid", F.monotonically_increasing_id()))
+    keys = reps.select("rid", "key")
     # regions: the first member of a cell is the pivot of everything in the cell
-    cell = reps.select("rid", F.explode("cells").alias("cell"))
     own = Window.partitionBy("cell")
-    region = cell.withColumn("region", F.min("rid").over(own)).withColumn("last", F.max("rid").over(own)) \
-        .where("region < last").select("region", "rid").distinct()
+    region = reps.select("rid", F.explode("cells").alias("cell")).withColumn("region", F.min("rid").over(own)) \
+        .withColumn("last", F.max("rid").over(own)).where("region < last").select("region", "rid").distinct()
     members = stable(region.join(reps.select("rid", "n", "bins"), "rid"))
-    done, links, k = None, None, FIRST_PIVOTS
-    keys = reps.select("rid", "key")
-    active = members.withColumn("label", F.col("rid"))
-    pivots = active.where("rid = region")
-    while True:
-        a, b = pivots.alias("p"), active.alias("m")
-        met = a.join(b, (F.col("p.region") == F.col("m.region")) & (F.col("p.label") != F.col("m.label"))).select(
-            F.least("p.rid", "m.rid").alias("a"), F.greatest("p.rid", "m.rid").alias("b"),
-            F.when(F.col("p.rid") < F.col("m.rid"), F.col("p.n")).otherwise(F.col("m.n")).alias("na"),
-            F.when(F.col("p.rid") < F.col("m.rid"), F.col("m.n")).otherwise(F.col("p.n")).alias("nb"),
-            F.col("p.bins").alias("bins_a"), F.col("m.bins").alias("bins_b"))
-        pairs = stable(in_windows(met, percent).distinct())
-        wanted = pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct().join(keys, "rid")
-        sets = stable(sets_of(docs, wanted, words, id_col, text_col))
-        found = stable(linked(pairs, sets, percent))
-        links = found if links is None else links.unionByName(found)
-        labels = components(links)
-        used = pivots.select("region", "rid")
-        done = used if done is None else done.unionByName(used)
-        # members still to be compared: not yet a pivot, in a region with several components
-        now = members.join(labels.withColumnRenamed("v", "rid"), "rid", "left").withColumn("label", F.coalesce("label", "rid"))
-        mixed = now.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("region")
-        open_ = now.join(mixed, "region", "left_semi").join(done, ["region", "rid"], "left_anti")
-        # pairs of one component are settled: a region of which one component is left is, too
-        left = open_.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("region")
-        active = stable(open_.join(left, "region", "left_semi"))
-        if active.isEmpty():
-            break
-        size = active.groupBy("region", "label").agg(F.count("*").alias("size"))
-        first = Window.partitionBy("region").orderBy("size", "rid")
-        pivots = stable(active.join(size, ["region", "label"]).withColumn("r", F.row_number().over(first)).where(F.col("r") <= k)
-                        .select(active.columns))
-        done = stable(done)
-        k *= 8
-    merged = reps.select("rid", "sig", "first_id").join(labels.withColumnRenamed("v", "rid"), "rid", "left") \
-        .withColumn("label", F.coalesce("label", "rid"))
-    least = merged.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    of = merged.join(least, "label").select("sig", "component_id")
-    return rows.select("id", "key", "n", "sig").join(of, "sig", "left").select(
+    # each pivot meets the members of its region
+    pivot = members.where("rid = region").select("region", F.col("n").alias("na"), F.col("bins").alias("bins_a"))
+    met = members.where("rid <> region").join(pivot, "region").select(
+        F.col("region").alias("a"), F.col("rid").alias("b"), "na", F.col("n").alias("nb"), "bins_a", F.col("bins").alias("bins_b"))
+    pairs = stable(in_windows(met, percent))
+    wanted = pairs.select(F.col("a").alias("rid")).unionByName(pairs.select(F.col("b").alias("rid"))).distinct().join(keys, "rid")
+    sets = stable(sets_of(docs, wanted, words, id_col, text_col))
+    links = stable(linked(pairs, sets, percent))
+    discard(sets)
+    # regions of linked pivots become one; those of several components are joined block by block
+    label = components(links)
+    of = label.withColumnRenamed("v", "rid")
+    merged = members.join(label.select(F.col("v").alias("region"), F.col("label").alias("to")), "region", "left") \
+        .select(F.coalesce("to", "region").alias("region"), "rid", "n", "bins").dropDuplicates(["region", "rid"])
+    merged = stable(merged.join(of, "rid", "left").withColumn("label", F.coalesce("label", "rid")))
+    mixed = merged.groupBy("region").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("region")
+    near = stable(near_members(merged.join(mixed, "region", "left_semi"), percent))
+    sets = stable(sets_of(docs, near.select("rid").distinct().join(keys, "rid"), words, id_col, text_col))
+    more = stable(joined_groups(near.join(sets, "rid"), percent))
+    discard(sets)
+    if not more.isEmpty():
+        of = components(links.unionByName(more)).withColumnRenamed("v", "rid")
+    classes = reps.select("rid", "sig", "first_id").join(of, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
+    least = classes.groupBy("label").agg(F.min("first_id").alias("component_id"))
+    named = classes.join(least, "label").select("sig", "component_id")
+    return rows.select("id", "key", "n", "sig").join(named, "sig", "left").select(
         "id", "key", F.col("n").alias("n_shingles"),
         F.when(F.col("sig").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
 
