@@ -76,9 +76,11 @@ def brute_components(rows, words, percent):
     return sorted(((d, len(sets[i]), least.get(root(i))) for i, (d, _) in enumerate(rows)), key=str)
 
 
-@pytest.mark.parametrize("words,percent", [(4, 85), (5, 80)])
-def test_jaccard_components(spark, odd_docs, words, percent):
+@pytest.mark.parametrize("words,percent,block", [(4, 85, 512), (5, 80, 9)])
+def test_jaccard_components(spark, odd_docs, monkeypatch, words, percent, block):
+    from rankforge.llm import jaccard_join
     from rankforge.llm.jaccard_join import jaccard_components, keep_one
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)        # small blocks: regions are joined in several tasks
     rnd = random.Random(5)
     base = [[f"w{rnd.randint(0, 3000)}" for _ in range(90)] for _ in range(4)]
     rows = []
