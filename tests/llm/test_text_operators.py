@@ -186,7 +186,8 @@ def test_op6_held_out(spark):
 
 def test_op6_odd_rows(spark, odd_docs):
     from rankforge.llm.toxicity import fit, keep_clean, toxicity
-    rows = [(i, f"you{i % 97} {bad} said text number {i} word{i}") for i in range(400) for bad in ["idiot" if i % 4 == 0 else "friend"]]
+    names = ["v" + "".join("abcdefghij"[int(c)] for c in str(i % 97)) for i in range(400)]     # different words before the same one
+    rows = [(i, f"{names[i]} {bad} said text number {i} word{i}") for i in range(400) for bad in ["idiot" if i % 4 == 0 else "friend"]]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(400)] + [(3, None), (None, 1), (8, 0)], "doc_id long, toxic int")
     model = fit(docs, labels)
