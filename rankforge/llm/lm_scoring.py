@@ -1,50 +1,57 @@
-"""Language-model scores from a weighted backoff automaton.
+"""Language-model scores from an n-gram model with backoff, held as written tables.
 
 Learning counts all training rows, in Spark:
 
 * every token's count (the unigram level, exact and unpruned);
-* n-grams up to ``ORDER``, level by level, among words that make up at least
-  1/``WORDS`` of the tokens; an n-gram is counted when its prefix and suffix were
-  kept, and kept at 1/``GRAMS`` of the tokens or more.  Shares, not caps, bound
-  the model: at most ``GRAMS`` n-grams of an order, whatever the corpus.
-
-Kept n-grams become states with weighted arcs, by absolute discounting; the
-failure arc of a state leads to its longest suffix and carries the backoff
-weight that makes its distribution sum to one.  Unknown and rare words fall to
-the root, whose distribution is the smoothed unigram over all words.
-
-Scoring reads each text once, left to right, carrying the state; many stretches
-of text advance together, each started ``ORDER`` - 1 tokens early so that its
-state is right.  Counts of the ``TABLE`` or fewer most frequent words are
-broadcast; the other words of a text are joined with the count table by a
-shuffle, once per text and word.
+* every n-gram up to ``ORDER`` that stands in the training rows twice or more,
+  level by level; an n-gram is told by its prefix and its suffix, and the keys of
+  the level below, as a hash filter of at most 2^``MAP_BITS`` bits, keep most n-grams
+  that cannot repeat out of the shuffle.
+
+The model grows with the corpus: kept n-grams stay in partitioned tables, joined
+with those of their prefixes and suffixes by shuffles.  ``words`` and ``grams`` can
+bound a model to words and n-grams of at least 1/``words`` and 1/``grams`` of the
+tokens; by default nothing is left out.
+
+Probabilities are by absolute discounting.  The failure weight of a context makes
+its distribution sum to one.  In logarithms a token's score is a sum over the kept
+n-grams that end at it or at the token before: the weight of each context, and for
+each n-gram ``delta``, what its probability is above the backed-off one.  An n-gram
+that was not kept adds nothing.  Unknown words have the smoothed unigram.
+
+Scoring reads each text once.  The ``TABLE`` or fewer most frequent entries of the
+model are broadcast; the other n-grams of a text that may be in the model are
+joined with it by a shuffle, once per text and n-gram.
 
 Tokens: maximal runs without 09-0D and 20, A-Z lowered, then one end token.
 Defined results: null is the empty text, whose only token is the end; rows are
 scored one by one, so repeated rows give repeated results; without training
-rows N and V are 0 and every token has probability 1.  Words are told apart by
-64-bit hashes.
+rows N and V are 0 and every token has probability 1.  Words and n-grams are told
+apart by 64-bit hashes.
 """
 
 from __future__ import annotations
 
+import functools
+import math
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import HashTable, hash_texts, slices, stable, texts_of
+from rankforge.llm.common import HashTable, discard, hash_texts, mix64, slices, stable, texts_of
 
 ORDER = 3
-WORDS = 4_000
-GRAMS = 400_000
+WORDS = math.inf           # all words and all repeated n-grams are in the model
+GRAMS = math.inf
 TABLE = 400_000
 DISCOUNT = 0.5
 ADD = 0.1
-STRETCH = 64
-FLUSH = 3_000_000          # distinct keys a task holds before it sends them on
+FLUSH = 1_500_000          # distinct keys a task holds before it sends them on
+MAP_BITS = 29              # a filter of keys holds at most 2^29 bits
 END = np.uint64(0x0E0F)
 
 
@@ -64,23 +71,42 @@ def stream(texts: list[str]):
     return keys, begin, first, past
 
 
-def _sums(parts: list[tuple[np.ndarray, np.ndarray]]):
-    key, back = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
-    return key, np.bincount(back, np.concatenate([p[1] for p in parts]), minlength=len(key)).astype(np.int64)
+def gram_key(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    return mix64(mix64(prefix) * np.uint64(0x9E3779B97F4A7C15) + suffix)
 
 
-def _counted(docs: DataFrame, keys_of) -> DataFrame:
-    """(key, c): sums of the keys that ``keys_of(texts)`` finds, added up in the tasks before the shuffle."""
+def grams(keys: np.ndarray, begin: np.ndarray, order: int):
+    """Per order: the key of the n-gram that ends at each place, and whether it lies in one text."""
+    out = [(keys, np.ones(len(keys), bool))]
+    for _ in range(1, order):
+        g, ok = out[-1]
+        out.append((gram_key(np.roll(g, 1), g), np.roll(ok, 1) & ok & ~begin))
+    return out
+
+
+def _sums(parts: list[tuple[np.ndarray, ...]]):
+    """Parts (key, count, other columns of the key) added up."""
+    key, first, back = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
+    c, *more = (np.concatenate(x) for x in list(zip(*parts))[1:])
+    return key, np.bincount(back, c, minlength=len(key)).astype(np.int64), *(x[first] for x in more)
+
+
+def _counted(docs: DataFrame, keys_of, names: list[str]) -> DataFrame:
+    """(names, c): sums of the keys that ``keys_of(texts)`` finds, added up in the tasks before the shuffle.
+
+    ``keys_of`` gives (key, columns ``names``).
+    """
     def run(batches):
         held, size = [], 0
 
         def send():
-            key, c = _sums(held)
-            return pa.RecordBatch.from_arrays([pa.array(key.astype(np.int64)), pa.array(c)], ["key", "c"])
+            _, c, *cols = _sums(held)
+            return pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int64)) for x in cols), pa.array(c)], [*names, "c"])
 
         for batch in batches:
             for part in slices(batch, "text", 4_000_000):
-                held.append(np.unique(keys_of(texts_of(part.column("text"))), return_counts=True))
+                key, *cols = keys_of(texts_of(part.column("text")))
+                held.append(_sums([(key, np.ones(len(key), np.int64), *cols)]))
                 size += len(held[-1][0])
                 if size > FLUSH:
                     held[:] = [_sums(held)]
@@ -91,215 +117,176 @@ def _counted(docs: DataFrame, keys_of) -> DataFrame:
                         size = 0
         if held:
             yield send()
-    return docs.mapInArrow(run, "key long, c long").groupBy("key").agg(F.sum("c").alias("c"))
+    return docs.mapInArrow(run, ", ".join(f"{x} long" for x in [*names, "c"])).groupBy(*names).agg(F.sum("c").alias("c"))
+
+
+def key_filter(keys: DataFrame) -> np.ndarray:
+    """Bits of a filter for the ``key`` column (by its first bits), sized by the number of keys up to a fixed limit."""
+    bits = min(MAP_BITS, max(16, (16 * keys.count()).bit_length()))
+    page = min(bits, 19)
+
+    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        own = np.zeros(1 << page, bool)
+        own[pdf["bit"].to_numpy() & ((1 << page) - 1)] = True
+        return pd.DataFrame({"page": [int(key[0])], "bits": [np.packbits(own).tobytes()]})
+
+    rows = keys.select(F.shiftrightunsigned("key", 64 - bits).alias("bit")).distinct() \
+        .groupBy(F.shiftright("bit", page).alias("page")).applyInPandas(pack, "page long, bits binary").collect()
+    out = np.zeros((1 << bits - page, 1 << page >> 3), np.uint8)
+    for r in rows:
+        out[r.page] = np.frombuffer(r.bits, np.uint8)
+    return out.reshape(-1)
+
+
+def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    at = (keys >> np.uint64(64 - (len(bits) * 8).bit_length() + 1)).astype(np.int64)
+    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _keyed(found: DataFrame) -> DataFrame:
+    """Counted n-grams with their own keys."""
+    def run(batches):
+        for batch in batches:
+            prefix, suffix = (batch.column(x).to_numpy().astype(np.uint64) for x in ("prefix", "suffix"))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(gram_key(prefix, suffix).astype(np.int64))],
+                                             ["prefix", "suffix", "c", "key"])
+    return found.select("prefix", "suffix", "c").mapInArrow(run, "prefix long, suffix long, c long, key long")
 
 
 @dataclass
-class Automaton:
+class Model:
+    """What every task holds: the most frequent entries, and a filter of the keys of the others."""
     tokens: int = 0                    # N
     distinct: int = 0                  # V
+    order: int = ORDER
     table: HashTable = field(default_factory=lambda: HashTable(np.zeros(0), np.zeros(0, np.int64)))
-    counts: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    word: np.ndarray = field(default_factory=lambda: np.full(1, -1, np.int64))    # table row -> n-gram word, last for misses
-    n_words: int = 0
-    levels: list = field(default_factory=list)       # per order from 2: (HashTable of prefix * n_words + word, counts, keys)
+    delta: np.ndarray = field(default_factory=lambda: np.zeros(1))     # per table row, last for misses
+    back: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    rest: np.ndarray = field(default_factory=lambda: np.zeros(1 << 13, np.uint8))
 
     @property
     def mass(self) -> float:
         return self.tokens + ADD * (self.distinct + 1)
 
-    def rows(self, keys: np.ndarray) -> np.ndarray:
-        return self.table.get(keys)
-
-    def grams(self, word: np.ndarray, begin: np.ndarray, upto: int) -> np.ndarray:
-        """Index of the kept n-gram of order ``upto`` that ends at each place, -1 if none."""
-        g = word
-        for table, _, _ in self.levels[:upto - 1]:
-            g = self._next(table, g, word, begin)
-        return g
-
-    def _next(self, table, g, word, begin):
-        before = np.concatenate([[-1], g[:-1]])
-        at = np.flatnonzero((before >= 0) & (word >= 0) & ~begin)
-        out = np.full(len(word), -1, np.int64)
-        out[at] = table.get(before[at] * self.n_words + word[at])
-        return out
-
-    def gram_keys(self, texts: list[str]) -> np.ndarray:
-        """Keys of the n-grams of the next order whose prefix and suffix were kept."""
-        keys, begin, _, _ = stream(texts)
-        word = self.word[self.rows(keys)]
-        g = self.grams(word, begin, len(self.levels) + 1)
-        before = np.concatenate([[-1], g[:-1]])
-        at = np.flatnonzero((before >= 0) & (g >= 0) & ~begin)
-        return before[at] * self.n_words + word[at]
-
-    def compile(self, end_row: int) -> None:
-        """States, arcs, failure arcs and backoff weights from the counts."""
-        w, mass = self.n_words, self.mass
-        base = np.log10((self.counts + ADD) / mass) if len(self.counts) else np.zeros(0)
-        self.base = np.append(base, 0.0)             # misses are added by the join
-        context = np.zeros(w)
-        own = self.word[:-1]
-        context[own[own >= 0]] = self.counts[own >= 0]
-        lower = (context + ADD) / mass               # probability of each kept n-gram's last word in its context
-        suffix = np.zeros(w, np.int64)               # index of the suffix, one order lower (words: the root)
-        state0, below = [1], 0                       # first state of each order; state 0 is the root
-        fail, back, arc_key, arc_p, arc_next = [np.zeros(1, np.int64)], [np.zeros(1)], [], [], []
-        for m, (table, counts, keys) in enumerate([*self.levels, (None, np.zeros(0), np.zeros(0, np.int64))], start=2):
-            prefix, last = keys // max(w, 1), keys % max(w, 1)
-            p = (counts - DISCOUNT) / context[prefix] if len(keys) else np.zeros(0)
-            if m == 2:
-                suf = last
-            elif len(keys):
-                suf = self.levels[m - 3][0].get(suffix[prefix] * w + last)
-            else:
-                suf = np.zeros(0, np.int64)
-            # states of order m - 1: what their arcs leave, over what the lower order leaves
-            kept, down = np.bincount(prefix, p, minlength=len(context)), np.bincount(prefix, lower[suf], minlength=len(context))
-            fail.append(suffix + below if m > 2 else np.zeros(len(context), np.int64))
-            back.append(np.log10(np.maximum(1 - kept, 1e-12) / np.maximum(1 - down, 1e-12)))
-            arc_key.append((prefix + state0[-1]) * w + last)
-            arc_p.append(np.log10(p))
-            following = state0[-1] + len(context)    # first state of order m
-            longest = m == len(self.levels) + 1
-            arc_next.append(suf + state0[-1] if longest else np.arange(len(keys)) + following)
-            if longest or not len(keys):
-                break
-            below = state0[-1]
-            state0.append(following)
-            context, lower, suffix = counts.astype(float), p, suf
-        self.fail, self.back = np.concatenate(fail), np.concatenate(back)
-        keys = np.concatenate(arc_key) if arc_key else np.zeros(0, np.int64)
-        self.arcs = HashTable(keys, np.arange(len(keys)))
-        self.arc_p, self.arc_next = np.append(np.concatenate(arc_p), 0.0), np.append(np.concatenate(arc_next), 0)
-        end = self.word[end_row] if end_row >= 0 else -1
-        self.start = int(end) + 1                    # the state after an end mark, the root if ends are rare
-
-    def traverse(self, word: np.ndarray, row: np.ndarray, begin: np.ndarray) -> np.ndarray:
-        """log10 probability of each token: the states of many stretches advance together."""
-        n, lead = len(word), max(0, len(self.levels))
-        out = np.zeros(n)
-        heads = np.arange(0, n, STRETCH) - lead
-        state = np.zeros(len(heads), np.int64)
-        for t in range(STRETCH + lead):
-            at = heads + t
-            on = np.flatnonzero((at >= 0) & (at < n))
-            at, s = at[on], state[on]
-            w, p = word[at], np.zeros(len(on))
-            after = np.where(w >= 0, w + 1, 0)       # where the root's arcs lead
-            live = np.arange(len(on))
-            while True:
-                live = live[s[live] > 0]
-                if not len(live):
-                    break
-                arc = np.where(w[live] >= 0, self.arcs.get(s[live] * max(self.n_words, 1) + w[live]), -1)
-                hit = arc >= 0
-                done = live[hit]
-                p[done] += self.arc_p[arc[hit]]
-                after[done] = self.arc_next[arc[hit]]
-                s[done] = -1                         # an arc was taken
-                live = live[~hit]
-                p[live] += self.back[s[live]]        # failure arc
-                s[live] = self.fail[s[live]]
-            root = s == 0
-            p[root] += self.base[row[at[root]]]
-            reset = begin[at]
-            after[reset] = self.start
-            p[reset] = 0.0
-            if t >= lead:
-                out[at] = p
-            state[on] = after
-        return out
-
-
-def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, words: int = WORDS, grams: int = GRAMS,
-          table: int = TABLE) -> tuple[Automaton, DataFrame]:
-    """(automaton, table of all token counts (key, c))."""
+
+def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, words: float = WORDS, grams_share: float = GRAMS,
+          table: int = TABLE) -> tuple[Model, DataFrame]:
+    """(what is broadcast, the whole model as a table: key, c, one (is a word), delta, back)."""
     own = docs.select(F.col(text_col).alias("text"))
 
     def unigrams(texts):
         keys, begin, _, _ = stream(texts)
-        return keys[~begin]
+        return keys[~begin], keys[~begin]
 
-    counts = stable(_counted(own, unigrams))
+    counts = stable(_counted(own, unigrams, ["key"]))
     total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    auto = Automaton(int(total.n or 0), int(total.v))
+    model = Model(int(total.n or 0), int(total.v), order)
+    counts = counts.withColumn("p", (F.col("c") + ADD) / model.mass)
+    below = counts.where(F.col("c") * F.lit(float(words)) >= model.tokens)
+    level = counts.select("key", "c", F.log10("p").alias("delta"))
+    parts, written, shared = [], [counts], None
+    for m in range(2, order + 1):
+        def next_grams(texts, m=m, shared=shared):
+            keys, begin, _, _ = stream(texts)
+            *_, (g, _), (key, ok) = grams(keys, begin, m)
+            at = np.flatnonzero(ok)
+            if shared is not None:
+                may = may_hold(shared.value, g)
+                at = at[may[at] & may[at - 1]]
+            return key[at], g[at - 1], g[at]
+
+        found = _counted(own, next_grams, ["prefix", "suffix"]).where(F.col("c") * F.lit(float(grams_share)) >= model.tokens).where("c > 1")
+        kept = stable(_keyed(found).join(below.select(F.col("key").alias("prefix"), F.col("c").alias("whole")), "prefix")
+                      .join(below.select(F.col("key").alias("suffix"), F.col("p").alias("lower")), "suffix")
+                      .select("key", "prefix", "c", "whole", "lower", ((F.col("c") - DISCOUNT) / F.col("whole")).alias("p")))
+        written.append(kept)
+        # what a context's arcs leave, over what the lower order leaves
+        left = (F.max("whole") - F.sum("c") + DISCOUNT * F.count("*")) / F.max("whole")
+        back = stable(kept.groupBy("prefix").agg(F.log10(F.greatest(left, F.lit(1e-12)) / F.greatest(1 - F.sum("lower"), F.lit(1e-12))).alias("back")))
+        written.append(back)
+        parts.append(level.join(back.withColumnRenamed("prefix", "key"), "key", "left")
+                     .select("key", "c", F.lit(m == 2).alias("one"), "delta", F.coalesce("back", F.lit(0.0)).alias("back")))
+        level = kept.join(back, "prefix").select("key", "c", (F.log10(F.col("p") / F.col("lower")) - F.col("back")).alias("delta"))
+        below = kept.select("key", "c", "p")
+        if m < order:
+            shared = own.sparkSession.sparkContext.broadcast(key_filter(below))
+    parts.append(level.select("key", "c", F.lit(order == 1).alias("one"), "delta", F.lit(0.0).alias("back")))
+    values = stable(functools.reduce(DataFrame.unionByName, parts))
+    discard(*written)
     # least count of the broadcast table, from a histogram of a fixed number of classes
-    level = F.floor(F.log2(F.col("c")) * 8).cast("int")
-    hist = counts.groupBy(level.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
+    size = F.floor(F.log2(F.col("c")) * 8).cast("int")
+    hist = values.groupBy(size.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
     held, least = 0, 1 << 30
     for r in hist:
         if held + r.n > table:
             break
         held, least = held + r.n, r.level
-    often = F.col("c") * words >= auto.tokens                                         # at most ``words`` rows
-    top = counts.where((level >= least) | often).orderBy("key").toPandas()            # at most ``table`` + ``words`` rows
-    if len(top):
-        key = top["key"].to_numpy().astype(np.uint64)
-        auto.table, auto.counts = HashTable(key, np.arange(len(key))), top["c"].to_numpy()
-        often = auto.counts * words >= auto.tokens
-        auto.word = np.append(np.where(often, np.cumsum(often) - 1, -1), -1)
-        auto.n_words = int(often.sum())
-    for _ in range(2, order + 1):
-        if not auto.n_words:
-            break
-        shared = own.sparkSession.sparkContext.broadcast(auto)
-        found = _counted(own, lambda texts, shared=shared: shared.value.gram_keys(texts))
-        kept = found.where(F.col("c") * grams >= auto.tokens).where("c > 1").orderBy("key").toPandas()   # at most ``grams``
-        if kept.empty:
-            break
-        auto.levels.append((HashTable(kept["key"].to_numpy(), np.arange(len(kept))), kept["c"].to_numpy(), kept["key"].to_numpy()))
-    end_row = int(auto.table.get(np.array([END]))[0]) if len(top) else -1
-    auto.compile(end_row)
-    return auto, counts
+    top = values.where(size >= least).select("key", "delta", "back").orderBy("key").toPandas()      # at most ``table`` rows
+    model.table = HashTable(top["key"].to_numpy().astype(np.int64).astype(np.uint64), np.arange(len(top)))
+    model.delta, model.back = (np.append(top[x].to_numpy().astype(float), 0.0) for x in ("delta", "back"))
+    others = values.where(size < least)
+    model.rest = key_filter(others.select("key"))
+    return model, others
 
 
-def score_texts(auto: Automaton, texts: list[str]):
-    """Per text: tokens, known tokens, base and model log10 sums, and (key, times) of words outside the table."""
+def score_texts(model: Model, texts: list[str]):
+    """Per text: tokens, known tokens, base and model log10 sums over the broadcast table; and per n-gram
+    of a text that may be in the rest of the model (text, key, times, times before another token)."""
     keys, begin, first, past = stream(texts)
-    row = auto.rows(keys)
-    word = auto.word[row]
-    p = auto.traverse(word, row, begin)
-    text = np.repeat(np.arange(len(texts)), past - first)
-    real = ~begin
     n = len(texts)
-    base = np.bincount(text[real], auto.base[row[real]], minlength=n)
-    model = np.bincount(text[real], p[real], minlength=n)
-    known = np.bincount(text[real], row[real] >= 0, minlength=n).astype(np.int64)
-    miss = real & (row < 0)
-    pair = np.rec.fromarrays([text[miss], keys[miss].astype(np.int64)], names="t,k")
-    pair, times = np.unique(pair, return_counts=True)
-    return past - first - 1, known, base, model, pair.t, pair.k, times
-
-
-def lm_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", **bounds) -> DataFrame:
+    text = np.repeat(np.arange(n), past - first)
+    last = np.zeros(len(keys), bool)
+    last[past - 1] = True
+    known, base, score = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
+    rare = []
+    for m, (g, ok) in enumerate(grams(keys, begin, model.order), start=1):
+        ends, context = ok & ~begin, ok & ~last
+        row = model.table.get(g)
+        score += np.bincount(text, model.delta[row] * ends + model.back[row] * context, minlength=n)
+        if m == 1:
+            base += np.bincount(text, model.delta[row] * ends, minlength=n)
+            known += np.bincount(text, ends & (row >= 0), minlength=n).astype(np.int64)
+        at = np.flatnonzero(ok & (row < 0))
+        at = at[may_hold(model.rest, g[at])]
+        rare.append((text[at], g[at].astype(np.int64), ends[at], context[at]))
+    t, k, ends, context = (np.concatenate(x) for x in zip(*rare))
+    by = np.lexsort((k, t))
+    t, k, ends, context = t[by], k[by], ends[by], context[by]
+    new = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (k[1:] != k[:-1])])) if len(t) else np.zeros(0, np.int64)
+    if len(t):
+        ends, context = (np.add.reduceat(x.astype(np.int32), new) for x in (ends, context))
+    return past - first - 1, known, base, score, t[new], k[new], ends.astype(np.int32), context.astype(np.int32)
+
+
+def lm_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
+              words: float = WORDS, grams: float = GRAMS, table: int = TABLE) -> DataFrame:
     """Per row of ``docs``: id, n_tokens, n_known, train_tokens, base_score, score; learned from ``train``."""
-    auto, counts = learn(train, text_col, **bounds)
-    shared = docs.sparkSession.sparkContext.broadcast(auto)
-    names = ["id", "rid", "n_tokens", "known", "base", "model", "rare", "times"]
+    model, others = learn(train, text_col, order, words, grams, table)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    names = ["id", "rid", "n_tokens", "known", "base", "model", "rare", "times", "before"]
 
     def run(batches):
-        a = shared.value
         for batch in batches:
             for part in slices(batch, "text", 4_000_000):
-                n, known, base, model, t, k, times = score_texts(a, texts_of(part.column("text")))
+                n, known, base, score, t, k, times, before = score_texts(shared.value, texts_of(part.column("text")))
                 off = pa.array(np.searchsorted(t, np.arange(part.num_rows + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("rid"), pa.array(n, pa.int64()), pa.array(known), pa.array(base), pa.array(model),
-                     pa.ListArray.from_arrays(off, pa.array(k)), pa.ListArray.from_arrays(off, pa.array(times.astype(np.int32)))], names)
+                    [part.column("id"), part.column("rid"), pa.array(n, pa.int64()), pa.array(known), pa.array(base), pa.array(score),
+                     *(pa.ListArray.from_arrays(off, pa.array(x)) for x in (k, times, before))], names)
 
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("rid", F.monotonically_increasing_id())
     kind = narrow.schema["id"].dataType.simpleString()
     scored = stable(narrow.mapInArrow(run, f"id {kind}, rid long, n_tokens long, known long, base double, model double, "
-                                           "rare array<long>, times array<int>"))
-    rare = scored.select("rid", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("rid", F.col("x.rare").alias("key"), "x.times")
-    c = F.coalesce(F.col("c"), F.lit(0))
-    rest = rare.join(counts, "key", "left").groupBy("rid").agg(
-        F.sum(F.col("times") * F.log10((c + ADD) / auto.mass)).alias("more"),
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("seen"))
-    more = F.coalesce(F.col("more"), F.lit(0.0))
-    return scored.drop("rare", "times").join(rest, "rid", "left").select(
-        "id", "n_tokens", (F.col("known") + F.coalesce(F.col("seen"), F.lit(0))).alias("n_known"),
-        F.lit(auto.tokens).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"),
-        (F.col("model") + more).alias("score"))
+                                           "rare array<long>, times array<int>, before array<int>"))
+    rare = scored.select("rid", F.explode(F.arrays_zip("rare", "times", "before")).alias("x")) \
+        .select("rid", F.col("x.rare").alias("key"), "x.times", "x.before")
+    word = F.when(F.col("one"), F.col("times")).otherwise(0)
+    rest = rare.join(others, "key").groupBy("rid").agg(
+        F.sum(F.col("times") * F.col("delta") + F.col("before") * F.col("back")).alias("more"),
+        F.sum(word * F.col("delta")).alias("words"), F.sum(word).alias("seen"))
+    out = scored.drop("rare", "times", "before").join(rest, "rid", "left").fillna(0, ["more", "words", "seen"]) \
+        .withColumn("n_known", F.col("known") + F.col("seen"))
+    unknown = (F.col("n_tokens") - F.col("n_known")) * math.log10(ADD / model.mass)
+    return out.select("id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
+                      (F.col("base") + F.col("words") + unknown).alias("base_score"),
+                      (F.col("model") + F.col("more") + unknown).alias("score"))

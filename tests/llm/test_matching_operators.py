@@ -325,6 +325,16 @@ def test_op10_whole_table(spark):
     assert all(r.held_out == (zlib.crc32(str(i).encode()) % 10 == 0) for i, r in got.items())
 
 
+def test_lm_keeps_every_repeated_ngram(spark):
+    """A rare pair of rare words in a corpus of many tokens is in the model: no share of the tokens is asked for."""
+    from rankforge.llm.lm_scoring import lm_scores
+    rows = [(0, "rare pair"), (1, "rare pair"), (2, "pair rare"), (3, "once")] + [(10 + i, "the " * 5000) for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {r.id: r for r in lm_scores(docs, docs, table=2).collect()}
+    check_lm(got, brute_lm([t for _, t in rows], rows, 3, math.inf, math.inf))
+    assert got[0].score - got[0].base_score > 8             # both tokens and the end are followed n-grams, not plain words
+
+
 def test_op10_odd_rows(spark, odd_docs):
     from rankforge.llm.lm_scoring import lm_scores
     got = lm_scores(odd_docs, odd_docs).collect()
