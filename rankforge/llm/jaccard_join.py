@@ -22,9 +22,15 @@ eps = 1 - percent / 100.  The result is the components of the links.
    ones are joined in blocks of about ``BLOCK`` members, every two blocks of a region in
    a task: pairs of different components inside the windows are counted exactly,
    and only links that join components leave the task.
-
-A dense group of any size thus costs members x pivots where it is one component;
-no region is held whole, and no pairs are listed.  The global order comes from
+5. Links are counted inside the components, where all of them are: the points of
+   a component are dealt in blocks, every two blocks meet in one task, so every
+   pair inside the windows is verified once, whatever regions it shares.  Per
+   point the task sends the number of rows that the linked points stand for;
+   ``jaccard_links`` lists the linked points themselves.
+
+The components of a dense group of any size thus cost members x pivots; counting its
+links costs its pairs, in tasks of bounded size, and sends one row per member and
+block.  No region or component is held whole.  The global order comes from
 counts of 2^``ORDER_BITS`` hash classes over the whole corpus (fixed size).
 
 Defined results: null text is the empty text; a text without words has the empty
@@ -297,14 +303,14 @@ def _groups(batches, keys: list[str], columns: list[str]):
 
 
 def _dealt(members: DataFrame) -> DataFrame:
-    """Members with (region, i, j): the pairs of blocks of at most about BLOCK members of a region.
+    """Members with (region, i, j, b): the pairs of blocks of at most about BLOCK members of a region, and the own block.
 
     A region of one block is dealt once; a larger one has every two of its blocks meet.
     """
     blocks = members.groupBy("region").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     own = members.join(blocks, "region").withColumn("b", F.pmod(F.xxhash64("rid"), F.col("blocks").cast("long")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
-    return own.select("*", other).withColumn("i", F.least("b", "o")).withColumn("j", F.greatest("b", "o")).drop("b", "o", "blocks")
+    return own.select("*", other).withColumn("i", F.least("b", "o")).withColumn("j", F.greatest("b", "o")).drop("o", "blocks")
 
 
 def near_members(members: DataFrame, percent: int) -> DataFrame:
@@ -366,11 +372,42 @@ def joined_groups(members: DataFrame, percent: int) -> DataFrame:
     return sized.mapInArrow(run, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per input row: id, key, n_shingles, component_id (least id of the component)."""
+def links_inside(members: DataFrame, percent: int, listed: bool = False) -> DataFrame:
+    """Links between the members (region, rid, n, bins, size, set) of each region, every pair verified once.
+
+    (rid, times): sums of the sizes of the linked points, in parts; or ``listed``, (a, b): the linked points.
+    """
+    names = ["region", "i", "j", "b", "rid", "n", "bins", "size", "set"]
+    out = ["a", "b"] if listed else ["rid", "times"]
+
+    def run(batches):
+        for group in _groups(batches, names[:3], names[3:]):
+            i, j = group[0][1:3]
+            rid, n, size = (np.array([r[c] for r in group], np.int64) for c in (4, 5, 7))
+            # two different blocks: only pairs across them
+            apart = rid if i == j else np.array([r[3] for r in group], np.int64)
+            sets = [np.frombuffer(r[8], np.uint64) for r in group]
+            near = _near(np.frombuffer(b"".join(r[6] for r in group), np.uint8).reshape(-1, BINS), n, apart, percent)
+            both = _intersections(sets, near)
+            link = near & (100 * both >= percent * (n[:, None] + n - both))
+            if listed:
+                one, two = np.nonzero(np.triu(link))
+                cols = np.minimum(rid[one], rid[two]), np.maximum(rid[one], rid[two])
+            else:
+                some = link.any(1)
+                cols = rid[some], (link @ size)[some]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], out)
+
+    sized = _dealt(members).select(names).repartition("region", "i", "j").sortWithinPartitions("region", "i", "j")
+    return sized.mapInArrow(run, ", ".join(f"{c} long" for c in out))
+
+
+def _found(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(rows, reps, of, named): the points of the rows, the distinct sets (rid, key, sig, size, ..), the label of each linked
+    set, and of each set (sig, rid, label, component_id)."""
     rows = stable(points(docs, words, percent, id_col, text_col))
     some = rows.where("sig IS NOT NULL").groupBy("sig").agg(
-        F.min("id").alias("first_id"), F.min("key").alias("key"), F.any_value("n").alias("n"),
+        F.min("id").alias("first_id"), F.min("key").alias("key"), F.any_value("n").alias("n"), F.count("*").alias("size"),
         F.any_value("cells").alias("cells"), F.any_value("bins").alias("bins"))
     reps = stable(some.withColumn("rid", F.monotonically_increasing_id()))
     keys = reps.select("rid", "key")
@@ -403,15 +440,43 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_co
         of = components(links.unionByName(more)).withColumnRenamed("v", "rid")
     classes = reps.select("rid", "sig", "first_id").join(of, "rid", "left").withColumn("label", F.coalesce("label", "rid"))
     least = classes.groupBy("label").agg(F.min("first_id").alias("component_id"))
-    named = classes.join(least, "label").select("sig", "component_id")
-    return rows.select("id", "key", "n", "sig").join(named, "sig", "left").select(
-        "id", "key", F.col("n").alias("n_shingles"),
-        F.when(F.col("sig").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"))
+    return rows, reps, of, classes.join(least, "label").select("sig", "rid", "label", "component_id")
+
+
+def _labelled(rows: DataFrame, named: DataFrame) -> DataFrame:
+    """Per row: id, key, n_shingles, component_id and the label of its component, null for a row without shingles."""
+    return rows.select("id", "key", "n", "sig").join(named, "sig", "left").withColumnRenamed("n", "n_shingles").withColumn(
+        "component_id", F.when(F.col("sig").isNull(), F.col("id")).otherwise(F.col("component_id")))
+
+
+def _linked_members(docs: DataFrame, reps: DataFrame, of: DataFrame, words: int, id_col: str, text_col: str) -> DataFrame:
+    own = of.select("rid", F.col("label").alias("region"))
+    sets = sets_of(docs, own.select("rid").join(reps.select("rid", "key"), "rid"), words, id_col, text_col)
+    return stable(own.join(reps.select("rid", "n", "bins", "size"), "rid").join(sets, "rid"))
+
+
+def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: id, key, n_shingles, n_links (rows that the row links with), component_id (least id of the component)."""
+    rows, reps, of, named = _found(docs, words, percent, id_col, text_col)
+    members = _linked_members(docs, reps, of, words, id_col, text_col)
+    times = stable(links_inside(members, percent).groupBy("rid").agg(F.sum("times").alias("times")))
+    discard(members)
+    own = reps.select("rid", "size").join(times, "rid", "left").select("rid", (F.col("size") - 1 + F.coalesce("times", F.lit(0))).alias("links"))
+    return _labelled(rows, named.join(own, "rid")).select("id", "key", "n_shingles", F.coalesce("links", F.lit(0)).alias("n_links"), "component_id")
+
+
+def jaccard_links(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id_a, id_b, size_a, size_b): the linked pairs of distinct sets, each by the least id and the number of its rows."""
+    _, reps, of, _ = _found(docs, words, percent, id_col, text_col)
+    pairs = links_inside(_linked_members(docs, reps, of, words, id_col, text_col), percent, listed=True)
+    one, two = (reps.select(F.col("rid").alias(x), F.col("first_id").alias(f"id_{x}"), F.col("size").alias(f"size_{x}")) for x in "ab")
+    return pairs.join(one, "a").join(two, "b").select("id_a", "id_b", "size_a", "size_b")
 
 
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that stay, one of each component (the least id), with their own columns."""
-    found = jaccard_components(docs, words, percent, id_col, text_col)
+    rows, _, _, named = _found(docs, words, percent, id_col, text_col)
+    found = _labelled(rows, named)
     one = found.where("n_shingles > 0 AND id <=> component_id").groupBy("component_id").agg(F.min("key").alias("__key")) \
         .select("__key").unionByName(found.where("n_shingles = 0").select(F.col("key").alias("__key")).distinct())
     keyed = docs.withColumn("__key", row_key(id_col, text_col))

@@ -105,4 +105,4 @@ def op10_lm_scoring(spark, sf_dir):
 def op3_jaccard_join(spark, sf_dir):
     from rankforge.llm.jaccard_join import jaccard_components
     out = jaccard_components(table(spark, sf_dir, "documents"), words=4, percent=85)
-    return out.select(F.col("id").alias("doc_id"), "n_shingles", "component_id")
+    return out.select(F.col("id").alias("doc_id"), "n_shingles", "n_links", "component_id")

@@ -110,6 +110,35 @@ def test_op3_whole_table(spark):
     assert got == brute_components(rows, 4, 85)
 
 
+@pytest.mark.parametrize("block", [512, 7])
+def test_jaccard_links(spark, monkeypatch, block):
+    """All links count, also those between members of one component, and those of copies."""
+    from rankforge.llm import jaccard_join
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    rnd = random.Random(9)
+    base = [f"b{k}" for k in range(60)]
+    rows = []
+    for k in range(50):
+        w = list(base)
+        for _ in range(rnd.randint(0, 3)):
+            w[rnd.randrange(60)] = f"x{rnd.randint(0, 9)}"
+        rows.append((k, " ".join(w)))
+    rows += [(100, rows[3][1]), (101, rows[3][1].upper()), (102, None), (103, "alone here"), (103, "alone here")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    sets = [frozenset(tuple(w[k:k + 4]) for k in range(max(1, len(w) - 3))) if w else frozenset() for w in (words_of(t) for _, t in rows)]
+
+    def link(x, y):
+        return bool(x & y) and 100 * len(x & y) >= 70 * len(x | y)
+    want = sorted((d, sum(link(sets[i], sets[j]) for j in range(len(rows)) if j != i)) for i, (d, _) in enumerate(rows))
+    assert sorted((r.id, r.n_links) for r in jaccard_join.jaccard_components(docs, 4, 70).collect()) == want
+    least, size = {}, collections.Counter(sets)
+    for (d, _), x in zip(rows, sets):
+        least[x] = min(d, least.get(x, d))
+    pairs = sorted((*sorted([(least[x], size[x]), (least[y], size[y])]),) for x in least for y in least if least[x] < least[y] and link(x, y))
+    got = sorted((*sorted([(r.id_a, r.size_a), (r.id_b, r.size_b)]),) for r in jaccard_join.jaccard_links(docs, 4, 70).collect())
+    assert got == pairs and len(pairs) > 100
+
+
 # ---- op4
 
 def brute_overlaps(docs, items, least=10, identity=0.8):
