@@ -477,7 +477,8 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80, id_col: str = "
     """The rows of ``docs`` that stay, one of each component (the least id), with their own columns."""
     rows, _, _, named = _found(docs, words, percent, id_col, text_col)
     found = _labelled(rows, named)
-    one = found.where("n_shingles > 0 AND id <=> component_id").groupBy("component_id").agg(F.min("key").alias("__key")) \
+    first = F.min(F.struct(F.col("id").isNull(), "id", "key"))["key"]     # null ids last; the label tells components apart, an id may not
+    one = found.where("n_shingles > 0").groupBy("label").agg(first.alias("__key")) \
         .select("__key").unionByName(found.where("n_shingles = 0").select(F.col("key").alias("__key")).distinct())
     keyed = docs.withColumn("__key", row_key(id_col, text_col))
     return keyed.join(one, "__key", "left_semi").dropDuplicates(["__key"]).select(docs.columns)

@@ -139,6 +139,15 @@ def test_jaccard_links(spark, monkeypatch, block):
     assert got == pairs and len(pairs) > 100
 
 
+def test_keep_one_of_each_component(spark):
+    """Ids do not tell components apart: null ids, and one id on two different texts."""
+    from rankforge.llm.jaccard_join import keep_one
+    texts = [" ".join(f"{a}{k}" for k in range(20)) for a in "pqrstu"]
+    rows = [(None, texts[0]), (None, texts[1]), (None, texts[2] + " more"), (1, texts[2]), (7, texts[3]), (7, texts[4]), (None, texts[5]), (None, texts[5])]
+    kept = keep_one(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(((r.doc_id, r.text) for r in kept), key=str) == sorted([rows[0], rows[1], rows[3], rows[4], rows[5], rows[6]], key=str)
+
+
 # ---- op4
 
 def brute_overlaps(docs, items, least=10, identity=0.8):
