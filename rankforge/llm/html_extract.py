@@ -2,11 +2,15 @@
 
 1. Every page scores its containers: the unlinked text of a block counts for the
    container that holds it and, with a loss per level, for those around it.
-   The scores, as shares of the page, go to generalised paths: tags and classes
-   from the body down, digits removed.
-2. Spark sums the shares per (host, path) and keeps the ``PATHS`` best of a host.
-3. Pages are read again: the text of the elements on the host's best path that
-   the page has.  A page without any of them uses its own best container.
+   The scores, as shares of the page, belong to generalised paths: tags and
+   classes from the body down, digits removed.  A page votes with its share for
+   its own best container, of equal ones the outermost.
+2. Spark sums the votes per (host, path) and keeps the ``PATHS`` best of a host.
+3. Pages are read again: the text of the elements on that one of the host's paths
+   which has the largest share of the page.  The root counts only where it is the
+   page's own best.  A page without any of them uses its own best container, a
+   page of nothing but links and headers the host's first path that it has, else
+   all of its blocks.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
 reader comments are left out by tag, role and class name.  References are
@@ -203,18 +207,22 @@ def container_shares(found) -> dict[str, float]:
     return {p: s / total for p, s in score.items()} if total else {}
 
 
+def own_best(shares: dict[str, float]) -> str:
+    return min(shares, key=lambda p: (-shares[p], p))
+
+
 def text_on(found, paths) -> str:
-    """The text on the first of ``paths`` that the page has, else of its own best container."""
+    """The text on the one of ``paths`` with the largest share of the page, else of its own best container."""
     def inside(path):
         cut = tuple(path.split("/")) if path else ()
         # a header belongs to the article only when it stands inside its container
         return [t for p, t, _, header in found if p[:len(cut)] == cut and (cut or not header)]
-    for path in paths:
-        own = inside(path)
-        if own:
-            return "\n".join(own)
     shares = container_shares(found)
-    return "\n".join(inside(min(shares, key=lambda p: (-shares[p], p)))) if shares else ""
+    if shares:
+        best = own_best(shares)
+        had = [p for p in paths if p in shares and (p or not best)]
+        return "\n".join(inside(min(had, key=lambda p: -shares[p]) if had else best))
+    return "\n".join(next(filter(None, map(inside, [*paths, ""])), []))
 
 
 def _host(url_col: str):
@@ -229,8 +237,10 @@ def host_paths(pages: DataFrame, url_col: str = "url", html_col: str = "html", k
             for part in slices(batch, "html"):
                 votes: dict[tuple[str, str], float] = {}
                 for host, page in zip(part.column("host").to_pylist(), part.column("html").to_pylist()):
-                    for path, share in container_shares(blocks(page or "")).items():
-                        votes[host, path] = votes.get((host, path), 0.0) + share
+                    shares = container_shares(blocks(page or ""))
+                    if shares:
+                        path = own_best(shares)
+                        votes[host, path] = votes.get((host, path), 0.0) + shares[path]
                 yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in votes], pa.string()), pa.array([k[1] for k in votes], pa.string()),
                                                   pa.array(list(votes.values()), pa.float64())], ["host", "path", "votes"])
 

@@ -280,6 +280,17 @@ def test_html_extract(spark):
     assert container_shares(blocks("<div><div>")) == {}
 
 
+def test_html_extract_templates_of_one_host(spark):
+    """Templates without a common container: the root does not win, and no page returns the blocks around its article."""
+    from rankforge.llm.html_extract import extract_main_text, host_paths
+    page = '<div class="%s"><div class="story"><p>%s text of the page number %d</p></div></div><div class="strip"><p>around</p></div>'
+    rows = [(k, url, page % ("abc"[k % 3], "main " * 20, k)) for k in range(12) for url in (f"https://h.example.org/{k}", None)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    assert all("" not in r.paths and len(r.paths) == 3 for r in host_paths(pages).collect())
+    got = extract_main_text(pages).collect()
+    assert len(got) == 24 and all(r.text == "main " * 20 + f"text of the page number {r.id}" for r in got)
+
+
 def test_op5_whole_table(spark):
     from rankforge.llm.queries import QUERIES
     got = {r.page_id: r.text for r in QUERIES["op5_html_extract"](spark, SF).collect()}
