@@ -1,13 +1,10 @@
-import os
 import sys
-from datetime import datetime
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+from helpers import ROOT
 
-SF_SMALL = "/root/testdata/sf0.001"
+sys.path.insert(0, ROOT)
 
 
 @pytest.fixture(scope="session")
@@ -46,6 +43,3 @@ def hand(spark):
     users = spark.createDataFrame([(1, "u1"), (2, "u2"), (3, "u3"), (4, "u4")], "user_id long, username string")
     return {"interactions": ints, "items": items, "users": users, "as_of": "2024-02-01 00:00:00"}
 
-
-def rows(df, *cols):
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 from rankforge.operators import split as SP
 from rankforge.operators.features import item_content_vectors

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from conftest import SF_SMALL, rows
+from helpers import SF_SMALL, rows
 
 from rankforge.plans.hybrid import Hybrid
 from rankforge.plans.knn import ItemCF, UserCF

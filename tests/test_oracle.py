@@ -5,7 +5,7 @@ import sys
 
 import pytest
 
-from conftest import ROOT, SF_SMALL
+from helpers import ROOT, SF_SMALL
 
 sys.path.insert(0, os.path.join(ROOT, "tools"))
 
