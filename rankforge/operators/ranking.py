@@ -67,11 +67,11 @@ def running_total(df: DataFrame, order: list, value: Column, out_col: str,
 
 
 def global_rank(df: DataFrame, order: list, rank_col: str = "rank",
-                partitions: int | None = None) -> DataFrame:
+                partitions: int | None = None, kind: str = "int") -> DataFrame:
     """Exact 1..m row number over the whole table: the place in its range plus the sizes of earlier ranges."""
     placed = _positioned(df, order, partitions)
     out = placed.join(F.broadcast(_range_offsets(placed, F.lit(1))), "_p")
-    return out.withColumn(rank_col, (F.col("_off") + F.col("_l") + 1).cast("int")).drop("_p", "_l", "_off")
+    return out.withColumn(rank_col, (F.col("_off") + F.col("_l") + 1).cast(kind)).drop("_p", "_l", "_off")
 
 
 def rank_by_score(df: DataFrame, score: str, id_col: str, rank_col: str = "rank") -> DataFrame:
