@@ -49,10 +49,11 @@ import zlib
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rankforge.llm.common import discard, hash_texts, mix64, slices, stable, texts_of
+from rankforge.operators.skew import lookup
 
 ORDER_BITS = 16
 BINS = 512                 # parts prune unrelated sets of up to about 50 times as many shingles
@@ -308,13 +309,40 @@ def _dealt(members: DataFrame) -> DataFrame:
     A region of one block is dealt once; a larger one has every two of its blocks meet.
     """
     blocks = members.groupBy("region").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    own = members.join(blocks, "region").withColumn("b", F.pmod(F.xxhash64("rid"), F.col("blocks").cast("long")).cast("int"))
+    own = lookup(members, blocks, "region", spread="rid", how="inner") \
+        .withColumn("b", F.pmod(F.xxhash64("rid"), F.col("blocks").cast("long")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("o")
     return own.select("*", other).withColumn("i", F.least("b", "o")).withColumn("j", F.greatest("b", "o")).drop("o", "blocks")
 
 
-def near_members(members: DataFrame, percent: int) -> DataFrame:
-    """(region, i, j, rid, n, bins, label) of the dealt members that have a pair in their windows."""
+def _dealt_apart(members: DataFrame) -> DataFrame:
+    """Members with (region, i, j) such that every two members of different components meet.
+
+    The largest component of a region has blocks of its own, which never meet each other: a large group of near
+    copies with a few outsiders costs its members times the blocks of the outsiders.
+    """
+    size = members.groupBy("region", "label").agg(F.count("*").alias("c"))
+    parts = size.groupBy("region").agg(F.max(F.struct("c", "label")).alias("top"), F.sum("c").alias("all")).select(
+        "region", F.col("top.label").alias("most"), F.ceil(F.col("top.c") / BLOCK).cast("int").alias("main"),
+        F.ceil((F.col("all") - F.col("top.c")) / BLOCK).cast("int").alias("rest"))
+    own = lookup(members, parts, "region", spread="rid", how="inner").where("rest > 0")
+    inside = F.col("label") == F.col("most")
+    blocks = F.when(inside, F.col("main")).otherwise(F.col("rest"))
+    # blocks 0 .. rest - 1 hold the others, rest .. rest + main - 1 the largest component
+    b = F.pmod(F.xxhash64("rid"), blocks.cast("long")).cast("int") + F.when(inside, F.col("rest")).otherwise(0)
+    last = F.when(inside, F.col("rest")).otherwise(F.col("rest") + F.col("main")) - 1
+    dealt = own.withColumn("b", b).select("*", F.explode(F.sequence(F.lit(0), last)).alias("o"))
+    # a small region is one group
+    small = (F.col("main") + F.col("rest") <= 2)
+    return dealt.withColumn("i", F.when(small, 0).otherwise(F.least("b", "o"))).withColumn("j", F.when(small, 0).otherwise(F.greatest("b", "o"))) \
+        .dropDuplicates(["region", "i", "j", "rid"]).drop("b", "o", "most", "main", "rest")
+
+
+def near_members(members: DataFrame, percent: int, windows=_near) -> DataFrame:
+    """(region, i, j, rid, n, bins, label) of the dealt members that have a pair in their windows.
+
+    ``windows(bins, n, label, percent)`` tells which pairs of a group are of different components and may link.
+    """
     names = ["region", "i", "j", "rid", "n", "bins", "label"]
 
     def run(batches):
@@ -327,28 +355,28 @@ def near_members(members: DataFrame, percent: int) -> DataFrame:
 
         for group in _groups(batches, names[:3], names[3:]):
             if len(group) > 1:
-                bins = np.frombuffer(b"".join(r[5] for r in group), np.uint8).reshape(-1, BINS)
+                bins = np.frombuffer(b"".join(r[5] for r in group), np.uint8).reshape(len(group), -1)
                 n, label = (np.array([r[c] for r in group], np.int64) for c in (4, 6))
-                out += [group[k] for k in np.flatnonzero(_near(bins, n, label, percent).any(1)).tolist()]
+                out += [group[k] for k in np.flatnonzero(windows(bins, n, label, percent).any(1)).tolist()]
             if len(out) > 5000:
                 yield send()
                 out.clear()
         yield send()
 
-    sized = _dealt(members).select(names).repartition("region", "i", "j").sortWithinPartitions("region", "i", "j")
+    sized = _dealt_apart(members).select(names).repartition("region", "i", "j").sortWithinPartitions("region", "i", "j")
     return sized.mapInArrow(run, "region long, i int, j int, rid long, n long, bins binary, label long")
 
 
-def joined_groups(members: DataFrame, percent: int) -> DataFrame:
+def joined_groups(members: DataFrame, percent: int, windows=_near) -> DataFrame:
     """(a, b): links that join the components of each group, found exactly on the sets."""
     names = ["region", "i", "j", "rid", "n", "bins", "label", "set"]
 
     def run(batches):
         for group in _groups(batches, names[:3], names[3:]):
             sets = [np.frombuffer(r[7], np.uint64) for r in group]
-            bins = np.frombuffer(b"".join(r[5] for r in group), np.uint8).reshape(-1, BINS)
+            bins = np.frombuffer(b"".join(r[5] for r in group), np.uint8).reshape(len(group), -1)
             n, label = (np.array([r[c] for r in group], np.int64) for c in (4, 6))
-            near = _near(bins, n, label, percent)
+            near = windows(bins, n, label, percent)
             both = _intersections(sets, near)
             link = near & (100 * both >= percent * (n[:, None] + n - both))
             parent = {x: x for x in label.tolist()}
@@ -412,9 +440,9 @@ def _found(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str
     reps = stable(some.withColumn("rid", F.monotonically_increasing_id()))
     keys = reps.select("rid", "key")
     # regions: the first member of a cell is the pivot of everything in the cell
-    own = Window.partitionBy("cell")
-    region = reps.select("rid", F.explode("cells").alias("cell")).withColumn("region", F.min("rid").over(own)) \
-        .withColumn("last", F.max("rid").over(own)).where("region < last").select("region", "rid").distinct()
+    own = reps.select("rid", F.explode("cells").alias("cell"))
+    shared = own.groupBy("cell").agg(F.min("rid").alias("region"), F.max("rid").alias("last")).where("region < last").select("cell", "region")
+    region = lookup(own, shared, "cell", spread="rid", how="inner").select("region", "rid").distinct()
     members = stable(region.join(reps.select("rid", "n", "bins"), "rid"))
     # each pivot meets the members of its region
     pivot = members.where("rid = region").select("region", F.col("n").alias("na"), F.col("bins").alias("bins_a"))

@@ -172,3 +172,30 @@ def op12_importance_resampling(spark, sf_dir):
     from rankforge.llm.importance_resampling import importance_ranks
     out = importance_ranks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return out.select(F.col("id").alias("doc_id"), "n_features", "weight", "score", "rank")
+
+
+def _near_sql(words: int, percent: int) -> str:
+    """Documents, their sets of word shingles and the least id that links reach."""
+    return f"""
+WITH RECURSIVE w AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS ws FROM documents),
+s AS MATERIALIZED (SELECT DISTINCT r, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < {words} THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - {words} + 2), lambda i: array_to_string(ws[i : i + {words} - 1], ' ')) END) AS g FROM w),
+n AS MATERIALIZED (SELECT r, count(*) AS n FROM s GROUP BY r),
+pairs AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.r <> b.r GROUP BY a.r, b.r),
+links AS MATERIALIZED (SELECT a, b FROM pairs JOIN n x ON x.r = a JOIN n y ON y.r = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+reach AS (SELECT a AS r, a AS m FROM (SELECT DISTINCT a FROM links) UNION SELECT reach.r, links.b FROM reach JOIN links ON links.a = reach.m),
+least AS (SELECT reach.r, min(w.doc_id) AS component_id FROM reach JOIN w ON w.r = reach.m GROUP BY reach.r)
+"""
+
+
+_NEAR_COLUMNS = """SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(least.component_id, w.doc_id) AS component_id{more}
+FROM w LEFT JOIN n ON n.r = w.r LEFT JOIN least ON least.r = w.r{joins}"""
+ORACLE["op3_jaccard_join"] = _near_sql(4, 85) + _NEAR_COLUMNS.format(
+    more=", coalesce(l.n_links, 0) AS n_links", joins=" LEFT JOIN (SELECT a, count(*) AS n_links FROM links GROUP BY a) l ON l.a = w.r")
+
+
+@query("op13_minhash_dedup", _near_sql(2, 80) + _NEAR_COLUMNS.format(more=", coalesce(least.component_id, w.doc_id) = w.doc_id AS kept", joins=""))
+def op13_minhash_dedup(spark, sf_dir):
+    from rankforge.llm.minhash_dedup import near_duplicates
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2, percent=80).withColumnRenamed("id", "doc_id")
