@@ -13,7 +13,11 @@
    all of its blocks.
 
 Menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles and
-reader comments are left out by tag, role and class name.  References are
+reader comments are left out by tag, role and class name.  A name counts when a
+class or id is that name, or a compound that holds it; names of
+layouts (``has-sidebar``, ``no-sidebar``, ``with-related``) and of parts of an
+article (``entry-header``) do not.  An element left out only for a compound name
+stays when it holds more than half of the page's unlinked text.  References are
 decoded, white space inside a block becomes one blank, blocks are joined by a
 line feed.  Line breaks are white space, not blocks.
 
@@ -49,11 +53,16 @@ BLOCK = set("address article aside blockquote body center dd details dialog dir
 CONTAINER = set("body main article section div td center blockquote figure ul ol dl table details".split())
 DROP_TAG = set("nav footer aside form button select dialog menu svg math head object audio video canvas map".split())
 DROP_ROLE = set("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
-DROP_NAME = re.compile(
-    r"(?:^|[-_\s])(?:ads?|adverts?|advertisement|adsense|banner|promo(?:tion)?s?|sponsor(?:ed|s)?|comments?|commentlist|"
-    r"disqus|respond|reply|replies|sidebar|side-bar|aside|cookies?|consent|gdpr|notices?|notification|alert|newsletter|subscribe|"
-    r"subscription|signup|sign-up|login|share|sharing|social|related|recommended|breadcrumbs?|menu|nav|navbar|navigation|"
-    r"footer|foot|header|masthead|topbar|popup|pop-up|modal|overlay|widgets?|pagination|pager|toolbar|search|skip-link)(?:$|[-_\s])", re.I)
+# fixed values: names of elements that are no main text
+DROP_NAMES = set("""ad ads advert adverts advertisement adsense banner promo promos promotion promotions sponsor sponsors sponsored
+comment comments commentlist disqus respond reply replies sidebar side-bar aside cookie cookies consent gdpr notice notices
+notification alert newsletter subscribe subscription signup sign-up login share sharing social related recommended breadcrumb
+breadcrumbs menu nav navbar navigation footer foot header masthead topbar popup pop-up modal overlay widget widgets pagination
+pager toolbar search skip-link""".split())
+# fixed values: first words of compounds that describe a layout or a part of an article
+LAYOUT = set("has no with without is not layout hide show hidden col cols column columns".split())
+PART = set("entry post article content page section".split())
+NAME_PARTS = re.compile(r"[-_]+")
 # an open element is closed by the start of these (the common omitted end tags)
 CLOSES = {"p": BLOCK - {"option", "body", "html", "caption"}, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"},
           "tr": {"tr", "tbody", "tfoot", "thead"}, "td": {"td", "th", "tr", "tbody", "tfoot"}, "th": {"td", "th", "tr", "tbody", "tfoot"},
@@ -74,15 +83,35 @@ def _attributes(source: str) -> dict[str, str]:
 
 
 class _Element:
-    __slots__ = ("tag", "path", "dropped", "header")
+    __slots__ = ("tag", "path", "dropped", "header", "doubts")
 
-    def __init__(self, tag, path, dropped, header):
-        self.tag, self.path, self.dropped, self.header = tag, path, dropped, header
+    def __init__(self, tag, path, dropped, header, doubts):
+        self.tag, self.path, self.dropped, self.header, self.doubts = tag, path, dropped, header, doubts
 
 
 def blocks(page: str):
-    """The text blocks of a page in order: (paths of the containers around it, outermost first, text, linked share, in a header)."""
-    stack: list[_Element] = [_Element("", (), False, False)]
+    """The text blocks of a page in order: (paths of the containers around it, outermost first, text, linked share, in a header).
+
+    Blocks inside an element of a doubtful name are left out unless the element holds most of the page.
+    """
+    found = all_blocks(page)
+    if not any(doubts for *_, doubts in found):
+        return [b[:4] for b in found]
+    worth: dict[int, float] = {}
+    total = 0.0
+    for _, text, linked, header, doubts in found:
+        own = 0.0 if header else len(text) * (1 - linked)
+        total += own
+        for d in doubts:
+            worth[d] = worth.get(d, 0.0) + own
+    out = {d for d, w in worth.items() if w <= total / 2}
+    return [b[:4] for b in found if out.isdisjoint(b[4])]
+
+
+def all_blocks(page: str):
+    """Blocks with the elements of a doubtful name around them."""
+    stack: list[_Element] = [_Element("", (), False, False, ())]
+    doubtful = 0
     text: list[str] = []
     linked = 0
     total = 0
@@ -95,7 +124,7 @@ def blocks(page: str):
             whole = " ".join(references.unescape("".join(text)).split())
             if whole:
                 top = stack[-1]
-                out.append((top.path, whole, min(1.0, linked / max(1, total)), top.header))
+                out.append((top.path, whole, min(1.0, linked / max(1, total)), top.header, top.doubts))
             text.clear()
         linked = total = 0
 
@@ -167,17 +196,22 @@ def blocks(page: str):
         attr = _attributes(m[3]) if m[3] else {}
         if tag not in BLOCK and tag not in DROP_TAG:
             # inline elements matter only where they hide what they hold
-            if not _hidden(tag, attr):
+            if not _hidden(tag, attr) and not _named(tag, attr):
                 continue
         above = stack[-1]
-        dropped = above.dropped or _hidden(tag, attr)
+        named = _named(tag, attr)
+        dropped = above.dropped or _hidden(tag, attr) or named == "out" or named == "doubt" and tag not in BLOCK
         header = above.header or tag == "header"
+        doubts = above.doubts
+        if named == "doubt" and not dropped:
+            doubtful += 1
+            doubts = (*doubts, doubtful)
         path = above.path
         if tag in CONTAINER and tag != "body" and not dropped:
             names = sorted({DIGITS.sub("", c) for c in attr.get("class", "").lower().split()} - {""})
             path = (*path, ".".join([tag, *names]))
         if not m[3].rstrip().endswith("/") or tag in BLOCK:
-            stack.append(_Element(tag, path, dropped, header))
+            stack.append(_Element(tag, path, dropped, header, doubts))
     flush()
     return out
 
@@ -187,9 +221,26 @@ def _hidden(tag: str, attr: dict[str, str]) -> bool:
         return True
     if tag in ("body", "html", "main", "article"):
         return False
-    if "style" in attr and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attr["style"], re.I):
-        return True
-    return tag != "header" and any(DROP_NAME.search(attr[a]) for a in ("class", "id") if attr.get(a))
+    return "style" in attr and bool(re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attr["style"], re.I))
+
+
+def _named(tag: str, attr: dict[str, str]) -> str:
+    """Whether the names of an element say that it is no main text: 'out', 'doubt' (a compound) or ''."""
+    if tag in ("body", "html", "main", "article", "header"):
+        return ""
+    said = ""
+    for name in (attr.get("class", "") + " " + attr.get("id", "")).lower().split():
+        if name in DROP_NAMES:
+            return "out"
+        parts = [p for p in NAME_PARTS.split(name) if p]
+        if len(parts) < 2 or parts[0] in LAYOUT:
+            continue
+        held = set(parts) | {"-".join(pair) for pair in zip(parts, parts[1:])}
+        if parts[0] in PART:
+            held -= {"header", "head"}
+        if held & DROP_NAMES:
+            said = "doubt"
+    return said
 
 
 def container_shares(found) -> dict[str, float]:
