@@ -12,9 +12,14 @@ distinct texts of each class, chosen by a hash of the id):
 * a token scores its log-odds less ``DRIFT``, so ordinary prose has negative
   drift, and all maximal scoring segments (Ruzzo and Tompa) of a text are
   found in time linear in its tokens;
-* scores of the segments are put on the extreme-value scale of clean texts
-  (lambda from the clean score distribution, K by maximum likelihood), summed
-  over the passages found and turned into a probability by a logistic curve, both
+* a segment is put on the extreme-value scale of clean texts: with lambda from
+  the scores of all clean tokens and K by maximum likelihood, lambda * score -
+  ln(K * tokens) is minus the logarithm of how many such segments a clean text
+  of that length would hold by chance.  Segments that a clean text would hold
+  less than ``CHANCE`` times are significant; a text's statistic is the sum over its
+  significant passages, or its best segment where none is significant.  Chance
+  segments therefore do not add up, however long a clean text is;
+* a logistic curve turns the statistic into a probability; it and the scale are
   fitted across two folds so that no text is judged by counts it is part of.
 
 Scoring is one map-side pass over whole texts with the broadcast lexicon, whose
@@ -37,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import HashTable, crc_mod, plain_words, slices, span_hashes, stable, texts_of
+from rankforge.llm.common import HashTable, crc_mod, discard, plain_words, slices, span_hashes, stable, texts_of
 
 PER_CLASS = 10_000
 KAPPA = 5.0
@@ -45,6 +50,7 @@ DRIFT = 1.0
 SIGNIFICANT = 3.0      # deviations
 OPENING = 5            # bytes
 THRESHOLD = 0.3
+CHANCE = 0.05          # expected number in a clean text of the same length
 
 
 def keys_of(data, start, end) -> tuple[np.ndarray, np.ndarray]:
@@ -83,6 +89,7 @@ class Model:
     shift: float = 0.0
     prior: float | None = None
     drift: float = DRIFT
+    top: float = 0.0          # highest score of a token
 
     def token_scores(self, data, start, end) -> np.ndarray:
         word, opening = keys_of(data, start, end)
@@ -103,11 +110,17 @@ class Model:
             out.append(([(int(start[a + i] - first[k]), int(end[a + j - 1] - first[k]), s) for i, j, s in seg], b - a))
         return out
 
-    def statistic(self, segments, n: int) -> float:
-        """Extreme-value scale: sum of the normalised passage scores, less the log of the search space."""
-        if not segments:
-            return -math.log1p(self.k * n)
-        return self.scale * sum(s for _, _, s in segments) - math.log1p(self.k * n)
+    def statistic(self, scores, n: int) -> float:
+        """Sum over the significant segment scores, or the best one, each on the extreme-value scale of ``n`` tokens."""
+        space = math.log1p(self.k * n)
+        own = [self.scale * s - space for s in scores]
+        sure = [x for x in own if x >= -math.log(CHANCE)]
+        return sum(sure) if sure else max(own, default=-space)
+
+    def significant(self, segments, n: int) -> list:
+        """The segments that a clean text of ``n`` tokens would hold less than ``CHANCE`` times."""
+        least = (math.log1p(self.k * n) - math.log(CHANCE)) / self.scale
+        return [s for s in segments if s[2] >= least]
 
     def probability(self, x: float) -> float:
         if self.prior is not None:
@@ -193,17 +206,22 @@ def _lexicon(kind, key, clean, toxic, kappa: float = KAPPA, drift: float = DRIFT
     openings = HashTable(key[o][o_odds > 0].astype(np.uint64), o_odds[o_odds > 0], np.nan)
     w_odds = odds(clean[w], toxic[w])
     keep = (w_odds > 0) | (clean[w] > 1)        # common clean words must not fall back to their opening
-    return Model(HashTable(key[w][keep].astype(np.uint64), w_odds[keep], np.nan), openings, drift=drift)
+    top = max([*w_odds.tolist(), *o_odds.tolist()], default=0.0) - drift
+    return Model(HashTable(key[w][keep].astype(np.uint64), w_odds[keep], np.nan), openings, drift=drift, top=top)
+
 
+def _lambda(value: np.ndarray, n: np.ndarray, top: float) -> float:
+    """The positive root of mean(exp(lambda * score)) = 1 over all clean tokens (``n`` of each ``value``) and one more of score ``top``.
 
-def _lambda(score: np.ndarray) -> float:
-    """The positive root of mean(exp(lambda * score)) = 1 over clean tokens, within (0.05, 3)."""
-    value, n = np.unique(np.round(score, 2), return_counts=True)
+    The extra token stands for what the clean sample did not show, so that the root exists.  1, the root for
+    log likelihood ratios, where no score is positive or the mean is not negative.
+    """
+    value, n = np.append(value, top), np.append(n, 1).astype(float)
     p = n / n.sum()
     if value.max() <= 0 or (p * value).sum() >= 0:
         return 1.0
-    low, high = 0.05, 3.0
-    for _ in range(60):
+    low, high = 1e-3, 700 / value.max()
+    for _ in range(100):
         mid = (low + high) / 2
         low, high = (mid, high) if (p * np.exp(mid * value)).sum() < 1 else (low, mid)
     return low
@@ -260,7 +278,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col:
         for batch in batches:
             for part in slices(batch, "text"):
                 texts, fold = texts_of(part.column("text")), part.column("fold").to_pylist()
-                best, total, size, bins, y = [], [], [], [], part.column("y").to_pylist()
+                best, every, size, bins, y = [], [], [], [], part.column("y").to_pylist()
                 for f in (0, 1):
                     own = [i for i, g in enumerate(fold) if g == f]
                     if not own:
@@ -268,11 +286,11 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col:
                     mine = [texts[i] for i in own]
                     for i, (seg, m) in zip(own, models[f].passages(mine)):
                         best.append(max([s for *_, s in seg], default=0.0))
-                        total.append(sum(s for *_, s in seg))
+                        every.append([s for *_, s in seg])
                         size.append(m)
                         bins.append(y[i])
-                yield pa.RecordBatch.from_arrays([pa.array(best, pa.float64()), pa.array(total, pa.float64()),
-                                                  pa.array(size, pa.int64()), pa.array(bins, pa.int64())], ["best", "total", "n", "y"])
+                yield pa.RecordBatch.from_arrays([pa.array(best, pa.float64()), pa.array(every, pa.list_(pa.float64())),
+                                                  pa.array(size, pa.int64()), pa.array(bins, pa.int64())], ["best", "every", "n", "y"])
 
     def spread(batches):
         models = shared.value
@@ -287,12 +305,18 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, id_col:
 
     hist = sample.where("y = 0").mapInArrow(spread, "s double, c long").groupBy("s").agg(F.sum("c").alias("c")).toPandas()
     if len(hist):
-        model.scale = _lambda(np.repeat(hist["s"].to_numpy(), np.maximum(1, (hist["c"] * 1e6 / hist["c"].sum()).astype(int))))
-    seen = sample.mapInArrow(judge, "best double, total double, n long, y long").toPandas()      # one row per sampled text
-    y, size = seen["y"].to_numpy(), seen["n"].to_numpy().astype(float)
-    clean = y == 0
-    model.k = float(max(1e-9, clean.sum() / max(1e-9, (size[clean] * np.exp(-model.scale * seen["best"].to_numpy()[clean])).sum())))
-    x = model.scale * seen["total"].to_numpy() - np.log1p(model.k * size)
+        model.scale = _lambda(hist["s"].to_numpy(), hist["c"].to_numpy(), model.top)
+    judged = stable(sample.mapInArrow(judge, "best double, every array<double>, n long, y long"))
+    seen = judged.select("best", "n").where("y = 0").toPandas()      # one row per sampled clean text
+    size = seen["n"].to_numpy().astype(float)
+    model.k = float(max(1e-9, len(seen) / max(1e-9, (size * np.exp(-model.scale * seen["best"].to_numpy())).sum())))
+    space = F.log1p(F.lit(model.k) * F.col("n"))
+    own = F.transform("every", lambda s: F.lit(model.scale) * s - space)
+    sure = F.filter(own, lambda x: x >= -math.log(CHANCE))
+    x = F.when(F.size(sure) > 0, F.aggregate(sure, F.lit(0.0), lambda a, v: a + v)).otherwise(F.coalesce(F.array_max(own), -space))
+    fitted = judged.select(x.alias("x"), "y").toPandas()             # one row per sampled text
+    discard(judged)
+    x, y = fitted["x"].to_numpy(), fitted["y"].to_numpy()
     model.slope, model.shift = _logistic(x, y.astype(float))
     return model
 
@@ -303,14 +327,14 @@ def _scored(model, text_col: str):
         for batch in batches:
             for part in slices(batch, text_col):
                 found = m.passages(texts_of(part.column(text_col)))
-                score = np.array([m.probability(m.statistic(seg, n)) for seg, n in found], np.float64)
-                yield part, score, found
+                score = np.array([m.probability(m.statistic([s for *_, s in seg], n)) for seg, n in found], np.float64)
+                yield part, score, [m.significant(seg, n) for seg, n in found]
     return run
 
 
 def toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
              with_passages: bool = False) -> DataFrame:
-    """Per row: id, score, predicted; ``with_passages`` adds them as (first byte, past byte, score) of the UTF-8 text."""
+    """Per row: id, score, predicted; ``with_passages`` adds the significant ones as (first byte, past byte, score) of the UTF-8 text."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     passage = pa.struct([("first", pa.int64()), ("past", pa.int64()), ("score", pa.float64())])
 
