@@ -162,7 +162,7 @@ def special_strings(path: str) -> list[str]:
 
 
 def frequent_pre_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text", frequent: int = FREQUENT) -> DataFrame:
-    """(pre_token, n): those over 1/frequent of all pre-tokens, from counters kept in every task."""
+    """(pre_token, n): at most ``frequent`` of the most frequent, from counters that every task keeps of those over 1/frequent of its own."""
     def run(batches):
         special = Counter(tokenizer_path)
         keys, count, words = np.zeros(0, np.uint64), np.zeros(0, np.int64), {}
