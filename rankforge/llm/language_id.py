@@ -30,6 +30,7 @@ from rankforge.llm.common import HashTable, mix64, slices, stable
 TOP = 300
 ORDER = 4
 PER_LANG = 2000
+SLICE_BYTES = 250_000       # texts handled together
 _ALPHA = None
 
 
@@ -84,6 +85,15 @@ def profile(keys: np.ndarray, top: int = TOP) -> np.ndarray:
     return keys[at[np.argsort(-n, kind="stable")[:top]]]
 
 
+def added(counts: tuple[np.ndarray, np.ndarray] | None, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct keys, counts) with the keys of one more text."""
+    key, n = np.unique(keys, return_counts=True)
+    if counts is None:
+        return key, n
+    both, back = np.unique(np.concatenate([counts[0], key]), return_inverse=True)
+    return both, np.bincount(back, np.concatenate([counts[1], n]), minlength=len(both)).astype(np.int64)
+
+
 class Profiles:
     def __init__(self, langs: list[str], grams: dict[str, list[int]], top: int = TOP):
         self.langs, self.top = langs, top
@@ -119,14 +129,13 @@ def learn(docs: DataFrame, per_lang: int = PER_LANG, text_col: str = "text", lan
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, "text"):
-                by: dict[str, list] = {}
+            for part in slices(batch, "text", SLICE_BYTES):
+                by: dict[str, tuple[np.ndarray, np.ndarray]] = {}
                 for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
                     keys = ngram_keys(text)
                     if keys is not None:
-                        by.setdefault(lang, []).append(keys)
-                for lang, keys in by.items():
-                    key, c = np.unique(np.concatenate(keys), return_counts=True)
+                        by[lang] = added(by.get(lang), keys)
+                for lang, (key, c) in by.items():
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(key), pa.string()), pa.array(key.astype(np.int64)),
                                                       pa.array(c, pa.int64())], ["lang", "key", "n"])
 
@@ -148,7 +157,7 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     def run(batches):
         p = shared.value
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", SLICE_BYTES):
                 got = [p.predict(t) for t in part.column("text").to_pylist()]
                 yield pa.RecordBatch.from_arrays([part.column("id"), pa.array([g[0] for g in got], pa.string()),
                                                   pa.array([g[1] for g in got], pa.float64())], ["id", "lang_pred", "score"])
