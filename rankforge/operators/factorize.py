@@ -1,41 +1,30 @@
-"""Distributed truncated SVD by block Krylov iteration (M5).
-
-Musco & Musco (2015), "Randomized block Krylov methods"; Golub & Kahan's block
-recurrence with full re-orthogonalisation.  The sparse matrix stays a long
-table (row, col, val); thin dense matrices are tables (id, vec array<double>).
-Each product with the sparse matrix is an equi-join on the shared index plus a
-grouped sum; only small Gram matrices reach the driver, added up in a tree.
-All iterates are kept, and the iteration goes on until the residual of every
-wanted factor is below ``tol`` times its singular value.  Every iterate is
-written to the shared folder, so a lost executor costs one step.
+"""Truncated SVD with a bounded basis, and exact top scores.
+
+The right singular vectors are eigenvectors of A = CᵀC, found by a locally optimal
+block method (Knyazev 2001): the search space of a step is the current vectors X,
+the direction P of the last change, the residuals V of the vectors that have not
+converged, and AV, at most 4 (k + oversample) columns at any time.  Products with
+A are block joins (``operators.blocks``); everything else of a step is one pass
+that writes the basis with its images and a Gram matrix, and a small dense
+problem on the driver.  Images are carried along, so nothing is multiplied twice,
+converged vectors are no longer multiplied, and tables of earlier steps are
+deleted.  Each step is a written table, so a lost executor costs one step.
 """
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankforge.operators.ranking import top_n_per_group
-from rankforge.session import materialize
-
-_TWO53 = float(1 << 53)
-
-
-def gaussian_vectors(ids: DataFrame, id_col: str, r: int, seed: int) -> DataFrame:
-    """(id, vec): r standard normals per id from a seeded hash (Box-Muller).
-
-    Repeatable on any partitioning, unlike ``randn``.
-    """
-    def unif(j):
-        h = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), j), F.lit(1 << 53)).cast("double")
-        return (h + F.lit(0.5)) / F.lit(_TWO53)
-
-    vec = F.transform(F.sequence(F.lit(0), F.lit(r - 1)),
-                      lambda j: F.sqrt(F.lit(-2.0) * F.log(unif(j * 2))) * F.cos(F.lit(2 * np.pi) * unif(j * 2 + 1)))
-    return ids.select(F.col(id_col).alias("id"), vec.alias("vec"))
+from rankforge.operators.blocks import (block_index, blocks_of, dense, gram_of, id_blocks, mapped, panels, placed, product, unblocked,
+                                        with_gram)
+from rankforge.operators.ranking import global_rank
+from rankforge.session import discard, materialize
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -43,55 +32,6 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
 
 
-def _vectors(ids, m: np.ndarray, names=("id", "vec")) -> pa.RecordBatch:
-    m = np.ascontiguousarray(m, dtype=float)
-    off = pa.array(np.arange(len(m) + 1) * m.shape[1], pa.int32())
-    return pa.RecordBatch.from_arrays([ids, pa.ListArray.from_arrays(off, pa.array(m.ravel()))], list(names))
-
-
-def _batch_sums(batches):
-    """Σ val · vec per dst of each Arrow batch: one partial row per dst and batch, so memory is a batch's."""
-    for batch in batches:
-        if batch.num_rows:
-            m = _matrix(batch.column("vec")) * batch.column("val").to_numpy()[:, None]
-            ids, inv = np.unique(batch.column("dst").to_numpy(), return_inverse=True)
-            order = np.argsort(inv, kind="stable")
-            first = np.flatnonzero(np.concatenate([[True], np.diff(inv[order]) != 0]))
-            yield _vectors(pa.array(ids), np.add.reduceat(m[order], first, axis=0))
-
-
-def _sorted_sums(batches):
-    """Σ vec per id of a partition sorted by id; only the sum of the last id is carried along."""
-    last, held = None, None
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        ids, m = batch.column("id").to_numpy(), _matrix(batch.column("vec"))
-        first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
-        keys, sums = ids[first], np.add.reduceat(m, first, axis=0)
-        if held is not None and keys[0] == last:
-            sums[0] += held
-        elif held is not None:
-            yield _vectors(pa.array([last], pa.int64()), held[None, :])
-        last, held = int(keys[-1]), sums[-1].copy()
-        if len(keys) > 1:
-            yield _vectors(pa.array(keys[:-1]), sums[:-1])
-    if held is not None:
-        yield _vectors(pa.array([last], pa.int64()), held[None, :])
-
-
-def spmm(entries: DataFrame, src: str, dst: str, x: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Σ_src val · x[src] for every dst: entries(src, dst, val) ⋈ x(id, vec) -> (id=dst, vec).
-
-    Partial sums are taken right after the join, in NumPy, and one shuffle by
-    dst finishes them; neither step holds more than a batch.
-    """
-    n = partitions or int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    j = entries.join(x.withColumnRenamed("id", src), src).select(F.col(dst).alias("dst"), "val", "vec")
-    part = j.mapInArrow(_batch_sums, "id long, vec array<double>")
-    return part.repartition(n, "id").sortWithinPartitions("id").mapInArrow(_sorted_sums, "id long, vec array<double>")
-
-
 def gram(x: DataFrame, vec: str = "vec") -> np.ndarray:
     """XᵀX: one partial per partition, added up in two steps so that few reach the driver."""
     import pandas as pd
@@ -117,23 +57,6 @@ def gram(x: DataFrame, vec: str = "vec") -> np.ndarray:
     return sum(np.frombuffer(p["g"]) for p in rows).reshape(r, r)
 
 
-def apply_small(x: DataFrame, m: np.ndarray) -> DataFrame:
-    """x(id, vec) -> (id, vec @ m) with a small dense m shipped to every task."""
-    mat = np.asarray(m, dtype=float)
-
-    def f(batches):
-        for batch in batches:
-            if batch.num_rows:
-                yield _vectors(batch.column("id"), _matrix(batch.column("vec")) @ mat)
-
-    return x.select("id", "vec").mapInArrow(f, f"id {x.schema['id'].dataType.simpleString()}, vec array<double>")
-
-
-def _beside(x: DataFrame, y: DataFrame) -> DataFrame:
-    """(id, vec) with the vectors of both tables end to end."""
-    return x.join(y.withColumnRenamed("vec", "_more"), "id").select("id", F.concat("vec", "_more").alias("vec"))
-
-
 def _root_inverse(g: np.ndarray, floor: float) -> np.ndarray:
     """M with (XM)ᵀ(XM) = I for XᵀX = g; directions at or below ``floor`` are dropped."""
     lam, v = np.linalg.eigh((g + g.T) / 2)
@@ -141,126 +64,300 @@ def _root_inverse(g: np.ndarray, floor: float) -> np.ndarray:
     return v[:, keep] / np.sqrt(lam[keep])
 
 
-def _off_basis(basis: DataFrame, width: int, w: DataFrame) -> tuple[DataFrame, np.ndarray, float]:
-    """(basis beside w with its part along the basis removed twice, Gram of the rest, largest eigenvalue of wᵀw)."""
-    both = materialize(_beside(basis, w))
-    scale = None
-    for _ in range(2):
-        g = gram(both)
-        scale = np.linalg.eigvalsh(g[width:, width:]).max() if scale is None else scale
-        h = g[:width, width:]
-        m = np.eye(len(g))
-        m[:width, width:] = -h
-        rest = g[width:, width:] - h.T @ h
-        both = materialize(apply_small(both, m))
-    return both, rest, float(scale)
-
+def _ritz(g: np.ndarray, wx: int, wp: int, wv: int, keep: int):
+    """Rayleigh-Ritz on S = [X P V AV] from the Gram matrix of [X P AX AP V AV AAV].
 
-def truncated_svd(entries: DataFrame, k: int, oversample: int = 20, seed: int = 42, tol: float = 1e-7, max_steps: int = 60):
+    Returns (values, coefficients of the new X, AX, P, AP and of the residuals) over the columns of that matrix.
+    """
+    n = 2 * (wx + wp) + 3 * wv
+    own = [*range(wx + wp), *range(2 * (wx + wp), 2 * (wx + wp) + 2 * wv)]                  # X P V AV
+    image = [*range(wx + wp, 2 * (wx + wp)), *range(2 * (wx + wp) + wv, n)]                 # AX AP AV AAV
+    s, a = np.eye(n)[:, own], np.eye(n)[:, image]
+    k, h = s.T @ g @ s, s.T @ g @ a
+    size = np.sqrt(np.maximum(np.diag(k), 1e-300))
+    lam, u = np.linalg.eigh(k / size[:, None] / size)
+    fine = lam > 1e-12 * lam.max()
+    t = (u[:, fine] / np.sqrt(lam[fine])) / size[:, None]
+    small = t.T @ ((h + h.T) / 2) @ t
+    value, y = np.linalg.eigh(small)
+    order = np.argsort(value)[::-1][:keep]
+    value, c = value[order], t @ y[:, order]
+    real = value > 1e-13 * max(value.max(initial=0.0), 1e-300)
+    value, c = value[real], c[:, real]
+    p = np.zeros((len(own), 0))
+    if wx:                                             # the part of the new X outside the old one, orthogonal to the new one
+        p = c.copy()
+        p[:wx] = 0
+        for _ in range(2):
+            p -= c @ (c.T @ (k @ p))
+        p = p @ _root_inverse(p.T @ k @ p, 1e-10)
+    return value, s @ c, a @ c, s @ p, a @ p, a @ c - (s @ c) * value
+
+
+def truncated_svd(entries: DataFrame, k: int, oversample: int = 20, seed: int = 42, tol: float = 1e-7, max_steps: int = 100):
     """entries(row, col, val) -> (row_factors(id, vec), col_factors(id, vec), sigma, residuals) with k factors.
 
     Factors are sorted by singular value, largest first.  ``residuals`` are
-    |C v - sigma u| / sigma; all are at most ``tol``, or the call fails.
-    Directions with a zero singular value are not factors.
+    |Cᵀ u - sigma v| / sigma for u = C v / sigma; all are at most ``tol``, or the call
+    fails.  Directions whose singular value is zero (1e-6 of the largest) are not factors.
     """
-    n = int(entries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # one copy, not pre-partitioned by an index: a hot row or column would otherwise sit in one task
     base = materialize(entries.select("row", "col", F.col("val").cast("double").alias("val")))
-
-    def c_times(x):      # C x: rows from columns
-        return spmm(base, "col", "row", x, n)
-
-    def ct_times(x):     # Cᵀ x: columns from rows
-        return spmm(base, "row", "col", x, n)
-
-    cols = base.select("col").distinct()
-    start = materialize(c_times(gaussian_vectors(cols, "col", k + oversample, seed)))
-    g = gram(start)
-    top = np.linalg.eigvalsh(g).max() if len(g) else 0.0
-    if top <= 0 or k <= 0:
-        none = base.select(F.col("row").alias("id"), F.array().cast("array<double>").alias("vec")).distinct()
-        return none, cols.select(F.col("col").alias("id"), F.array().cast("array<double>").alias("vec")), np.zeros(0), np.zeros(0)
-    q = materialize(apply_small(start, _root_inverse(g, 1e-13 * top)))
-    q = materialize(apply_small(q, _root_inverse(gram(q), 0.0)))             # a second pass for full orthogonality
-    rows, columns, block = q, None, q
+    (rows, row_blocks), (cols, col_blocks) = (block_index(base.select(c).distinct(), c) for c in ("row", "col"))
+    at = placed(base, rows, cols)
+    by_cols, by_rows = panels(at, "c", "r"), panels(at, "r", "c")
+    row_ids, col_ids = id_blocks(rows), id_blocks(cols)
+    discard(base, at)
+
+    def image(x, width):                              # Cᵀ C x
+        return product(by_rows, product(by_cols, x, width, row_blocks), width, col_blocks)
+
+    def start(b, raw, width):
+        return np.random.default_rng([seed, b]).standard_normal((len(raw) // 8, width))
+
+    def no_factors():
+        none = F.array().cast("array<double>").alias("vec")
+        return rows.select("id", none), cols.select("id", none), np.zeros(0), np.zeros(0)
+
+    wx, wp, wv = 0, 0, max(k, 0) + oversample
+    if k <= 0:
+        return no_factors()
+    # a step reads the table of the one before through ``carry``: the columns [X P AX AP V] of the next basis
+    state = materialize(mapped(col_ids.withColumnRenamed("ids", "m"), functools.partial(start, width=wv)))
+    total, carry, limit = wv, np.eye(wv), tol
     for _ in range(max_steps):
-        z = materialize(ct_times(block))
-        columns = z if columns is None else materialize(_beside(columns, z))
-        lam, y = np.linalg.eigh(gram(columns))                               # B Bᵀ of the whole basis
-        order = np.argsort(lam)[::-1][:k]
-        order = order[lam[order] > 1e-20 * lam.max()]
-        sigma, y = np.sqrt(lam[order]), y[:, order]
-        width = len(lam)
-        both, rest, scale = _off_basis(rows, width, c_times(z))
-        own = y[-len(rest):]                                                 # only the last block leaves the basis
-        residual = np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", own, rest, own), 0)) / sigma ** 2
-        m = _root_inverse(rest, 1e-22 * scale)
-        if residual.max() <= tol or not m.shape[1]:
-            break
-        full = np.zeros((width + len(rest), width + m.shape[1]))
-        full[:width, :width], full[width:, width:] = np.eye(width), m
-        rows = materialize(apply_small(both, full))
-        block = rows.select("id", F.slice("vec", width + 1, m.shape[1]).alias("vec"))
+        v = carry[:, carry.shape[1] - wv:]
+        once = materialize(image(mapped(state, lambda b, raw, t=total, v=v: dense(raw, t) @ v), wv))
+        whole = state.join(once.withColumnRenamed("m", "m1"), "b").join(image(once, wv).withColumnRenamed("m", "m2"), "b")
+        written = with_gram(whole, lambda r, t=total, c=carry, w=wv: np.hstack([dense(r["m"], t) @ c, dense(r["m1"], w), dense(r["m2"], w)]))
+        discard(state, once)
+        state, total, g = blocks_of(written), carry.shape[1] + 2 * wv, gram_of(written)
+        if not len(g) or not np.trace(g[-wv:, -wv:]) > 0:
+            return no_factors()
+        value, x, ax, p, ap, r = _ritz(g, wx, wp, wv, k + oversample)
+        size = np.sqrt(np.maximum(np.einsum("ij,ik,kj->j", r, g, r), 0))
+        if (size[:k] <= limit * value[:k]).all():
+            done = _polished(state, total, x, ax, min(k, len(value)))
+            if done[2].max(initial=0.0) <= tol:
+                break
+            limit /= 3                                  # the estimate from sums was too small
+        active = np.flatnonzero(size > 0.1 * limit * value)
+        active = active if len(active) else np.arange(len(value))
+        carry = np.hstack([x, p, ax, ap, r[:, active] / np.maximum(size[active], 1e-300)])
+        wx, wp, wv = x.shape[1], p.shape[1], len(active)
     else:
-        raise RuntimeError(f"the SVD has not converged: residual {residual.max():.2e} after {max_steps} steps")
-    rows = both.select("id", F.slice("vec", 1, width).alias("vec"))
-    return materialize(apply_small(rows, y)), materialize(apply_small(columns, y / sigma)), sigma, residual
-
+        raise RuntimeError(f"the SVD has not converged: residual {(size[:k] / value[:k]).max():.2e} after {max_steps} steps")
+    factors, sigma, residual = done
+    discard(state)
+    n = len(sigma)
+    left = product(by_cols, factors, n, row_blocks)
+    out = unblocked(mapped(left, lambda b, raw: dense(raw, n) / sigma), row_ids, n), unblocked(factors, col_ids, n), sigma, residual
+    discard(factors, by_cols, by_rows, row_ids, col_ids, rows, cols)
+    return out
+
+
+def _polished(state: DataFrame, total: int, x: np.ndarray, ax: np.ndarray, k: int):
+    """(column factors as dense blocks, sigma, residuals) of the first k Ritz vectors, from the vectors themselves."""
+    both, w = np.hstack([x, ax]), x.shape[1]
+    pair = with_gram(state, lambda r: dense(r["m"], total) @ both)
+    g = gram_of(pair)
+    lam, u = np.linalg.eigh(g[:w, :w])
+    t = u / np.sqrt(lam)
+    value, y = np.linalg.eigh(t.T @ ((g[:w, w:] + g[:w, w:].T) / 2) @ t)
+    order = np.argsort(value)[::-1][:k]
+    c, value = t @ y[:, order], value[order]
+    # factors beside their residuals: the Gram matrix has the residuals' lengths free of cancellation
+    last = with_gram(blocks_of(pair), lambda r: np.hstack([dense(r["m"], 2 * w)[:, :w] @ c, dense(r["m"], 2 * w)[:, w:] @ c - (dense(r["m"], 2 * w)[:, :w] @ c) * value]))
+    residual = np.sqrt(np.maximum(np.diag(gram_of(last))[k:], 0)) / value
+    factors = materialize(mapped(blocks_of(last), lambda b, raw: dense(raw, 2 * k)[:, :k]))
+    discard(pair, last)
+    return factors, np.sqrt(value), residual
+
+
+# --- exact top scores of users over all items (J8) ----------------------------------------
+
+ITEM_BLOCK = 2048          # items of one block
+USER_BLOCK = 1024          # users that a task holds at a time
+_USER = "user_id long, vec array<double>, offset double, s long, ids array<long>, scores array<double>, cells long, open boolean"
+
+
+def _item_blocks(items: DataFrame, radius: float, item_block: int) -> DataFrame:
+    """(blk, bids, bvec, bbias, norm, bias): items in order of radius * |vec| + bias, packed by ``item_block``.
+
+    ``norm`` and ``bias`` are the largest of a block, so a user scores at most |u| * norm + bias + offset in it.
+    """
+    norm = F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))
+    worth = items.select("item_id", "vec", "bias", norm.alias("norm")).withColumn("worth", F.col("norm") * radius + F.col("bias"))
+    ranked = global_rank(worth, [F.col("worth").desc(), F.col("item_id").asc()], "at", kind="long")
+    numbered = ranked.withColumn("blk", F.floor((F.col("at") - 1) / item_block))
+
+    def run(batches):
+        def packed(blk, rows):
+            ids, bias = (np.concatenate(x) for x in ([r[0] for r in rows], [r[2] for r in rows]))
+            vec = np.concatenate([r[1] for r in rows])
+            order = np.argsort(ids, kind="stable")
+            vec, bias = np.ascontiguousarray(vec[order]), bias[order]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([blk]), *(pa.array([x.tobytes()], pa.binary()) for x in (ids[order], vec, bias)),
+                 pa.array([float(np.sqrt((vec * vec).sum(1)).max())]), pa.array([float(bias.max())])],
+                ["blk", "bids", "bvec", "bbias", "norm", "bias"])
+
+        held, rows = None, []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            blk = batch.column("blk").to_numpy()
+            edge = np.flatnonzero(np.concatenate([[True], blk[1:] != blk[:-1], [True]]))
+            for a, z in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                if held is not None and blk[a] != held:
+                    yield packed(held, rows)
+                    rows = []
+                held = int(blk[a])
+                part = batch.slice(a, z - a)
+                rows.append((part.column("item_id").to_numpy(), _matrix(part.column("vec")), part.column("bias").to_numpy(zero_copy_only=False)))
+        if held is not None:
+            yield packed(held, rows)
+
+    sized = numbered.select("blk", "item_id", "vec", "bias").repartition("blk").sortWithinPartitions("blk")
+    return materialize(sized.mapInArrow(run, "blk long, bids binary, bvec binary, bbias binary, norm double, bias double"))
+
+
+class _Users:
+    """The users of one group with the best items found so far."""
+
+    def __init__(self, batch: pa.RecordBatch, keep: int):
+        self.id, self.offset = batch.column("user_id").to_numpy(), batch.column("offset").to_numpy(zero_copy_only=False)
+        self.vec, self.s = _matrix(batch.column("vec")), batch.column("s").to_numpy()
+        self.limit = keep + self.s
+        self.norm = np.sqrt((self.vec * self.vec).sum(1))
+        self.cells = batch.column("cells").to_numpy().copy()
+        size = np.diff(batch.column("ids").offsets.to_numpy())
+        self.row = np.repeat(np.arange(len(self.id)), size)
+        self.item, self.score = batch.column("ids").flatten().to_numpy(), batch.column("scores").flatten().to_numpy(zero_copy_only=False)
+        self._cut()
+
+    def _cut(self):
+        """Keeps each user's first ``limit`` items and sets the least score that still counts."""
+        q = np.round(self.score, 9)
+        order = np.lexsort((self.item, -q, self.row))
+        row = self.row[order]
+        order = order[np.arange(len(row)) - np.searchsorted(row, row, "left") < self.limit[row]]
+        self.row, self.item, self.score = self.row[order], self.item[order], self.score[order]
+        n = np.bincount(self.row, minlength=len(self.id))
+        last = np.cumsum(n) - 1
+        self.least = np.where(self.limit == 0, np.inf, -np.inf)
+        full = (n >= self.limit) & (n > 0)
+        self.least[full] = np.round(self.score[last[full]], 9)
+
+    def may_gain(self, norm, bias) -> np.ndarray:
+        """Whether a block of items of at most this norm and bias can hold one of a user's best (ties included)."""
+        most = self.norm * norm + bias + self.offset
+        return most + 2e-9 + 1e-12 * np.abs(most) >= self.least
+
+    def meet(self, ids: np.ndarray, vec: np.ndarray, bias: np.ndarray):
+        top = float(np.sqrt((vec * vec).sum(1)).max())
+        own = np.flatnonzero(self.may_gain(top, float(bias.max())))
+        if not len(own):
+            return
+        self.cells[own] += len(ids)
+        sc = self.vec[own] @ vec.T + self.offset[own, None] + bias
+        q = np.round(sc, 9)
+        limit = np.minimum(self.limit[own], len(ids))
+        kth = -np.partition(-q, np.unique(np.maximum(limit, 1)) - 1, axis=1)[np.arange(len(own)), np.maximum(limit, 1) - 1]
+        r, c = np.nonzero(q >= np.maximum(kth, self.least[own])[:, None])
+        self.row, self.item = np.concatenate([self.row, own[r]]), np.concatenate([self.item, ids[c]])
+        self.score = np.concatenate([self.score, sc[r, c]])
+        self._cut()
+
+    def rows(self, rest: list[tuple[float, float]]) -> pa.RecordBatch:
+        still = np.zeros(len(self.id), bool)
+        for norm, bias in rest:
+            still |= self.may_gain(norm, bias)
+        off = pa.array(np.concatenate([[0], np.cumsum(np.bincount(self.row, minlength=len(self.id)))]), pa.int32())
+        voff = pa.array(np.arange(len(self.id) + 1) * self.vec.shape[1], pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(self.id), pa.ListArray.from_arrays(voff, pa.array(self.vec.ravel())), pa.array(self.offset), pa.array(self.s),
+             pa.ListArray.from_arrays(off, pa.array(self.item)), pa.ListArray.from_arrays(off, pa.array(self.score)),
+             pa.array(self.cells), pa.array(still)], ["user_id", "vec", "offset", "s", "ids", "scores", "cells", "open"])
+
+
+def _round(users: DataFrame, groups: int, blocks: DataFrame, keep: int, rest: list[tuple[float, float]]) -> DataFrame:
+    """The users after meeting ``blocks``, in groups that a task holds one at a time; blocks go to every group of open users."""
+    names = ["user_id", "vec", "offset", "s", "ids", "scores", "cells", "open"]
+    none = [F.lit(None).cast(t).alias(c) for c, t in zip(names, ("long", "array<double>", "double", "long", "array<long>", "array<double>", "long", "boolean"))]
+    own = users.select(F.pmod(F.xxhash64("user_id"), F.lit(groups)).cast("int").alias("g"), F.lit(-1).cast("long").alias("ord"), *names,
+                       *[F.lit(None).cast("binary").alias(c) for c in ("bids", "bvec", "bbias")])
+    met = blocks.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.col("blk").alias("ord"), *none, "bids", "bvec", "bbias")
+
+    def run(batches):
+        held, parts, group = None, [], None
+        for batch in batches:
+            g, order = batch.column("g").to_numpy(), batch.column("ord").to_numpy()
+            at = 0
+            while at < batch.num_rows:
+                if g[at] != held:
+                    if parts or group is not None:
+                        yield (group or _Users(_joined(parts), keep)).rows(rest)
+                    held, parts, group = g[at], [], None
+                past = at + 1
+                if order[at] < 0:
+                    while past < batch.num_rows and g[past] == held and order[past] < 0:
+                        past += 1
+                    parts.append(batch.slice(at, past - at).select(names))
+                elif parts or group is not None:
+                    if group is None:
+                        group, parts = _Users(_joined(parts), keep), []
+                    ids, bias = np.frombuffer(batch.column("bids")[at].as_py(), np.int64), np.frombuffer(batch.column("bbias")[at].as_py())
+                    group.meet(ids, np.frombuffer(batch.column("bvec")[at].as_py()).reshape(len(ids), -1), bias)
+                at = past
+        if parts or group is not None:
+            yield (group or _Users(_joined(parts), keep)).rows(rest)
+
+    tasks = int(users.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = own.unionByName(met).repartitionById(min(groups, 8 * tasks), F.col("g")).sortWithinPartitions("g", "ord")
+    return materialize(dealt.mapInArrow(run, _USER))
+
+
+def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+    return pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
+
+
+def top_scores(users: DataFrame, items: DataFrame, keep: int, item_block: int = ITEM_BLOCK, user_block: int = USER_BLOCK) -> DataFrame:
+    """Exact per-user top ``keep + s`` of offset_u + bias_i + <u, v_i> over all items: (user_id, item_id, score)."""
+    found = top_lists(users, items, keep, item_block, user_block)
+    if found is None:
+        return users.sparkSession.createDataFrame([], SCORE_SCHEMA)
+    return found.select("user_id", F.explode(F.arrays_zip("ids", "scores")).alias("x")) \
+        .select("user_id", F.col("x.ids").alias("item_id"), F.col("x.scores").alias("score"))
+
+
+def top_lists(users: DataFrame, items: DataFrame, keep: int, item_block: int = ITEM_BLOCK, user_block: int = USER_BLOCK) -> DataFrame | None:
+    """(user_id, ids, scores, cells): the lists of ``top_scores`` and how many items each user was scored against.
+
+    users(user_id, vec, offset, s), items(item_id, vec, bias).  Item blocks come in order of how much they can score;
+    by Cauchy and Schwarz a user scores at most |u| * (largest norm) + (largest bias) + offset in a block.  The first
+    round gives every user the first block, each further round four times as many blocks to the users that can still
+    gain from one; a user that cannot is done.  Blocks and groups of users meet by a shuffle, rounds are written tables,
+    and only two numbers per block reach the driver, so neither plan nor broadcast grows with the catalog.
+    """
+    users = materialize(users.select("user_id", "vec", "offset", F.col("s").cast("long").alias("s")))
+    head = users.agg(F.count("*").alias("n"), F.avg(F.sqrt(F.aggregate("vec", F.lit(0.0), lambda a, x: a + x * x))).alias("r")).first()
+    blocks = _item_blocks(items, float(head.r or 0.0), item_block)
+    bounds = [(r.norm, r.bias) for r in blocks.orderBy("blk").select("norm", "bias").collect()]
+    if not head.n or not bounds:
+        return None
+    state = users.select("*", F.array().cast("array<long>").alias("ids"), F.array().cast("array<double>").alias("scores"),
+                         F.lit(0).cast("long").alias("cells"), F.lit(True).alias("open"))
+    done, open_users, at, size = None, head.n, 0, 1
+    while at < len(bounds) and open_users:
+        past = min(at + size, len(bounds))
+        after = _round(state, max(1, -(-open_users // user_block)), blocks.where(F.col("blk").between(at, past - 1)), keep, bounds[past:])
+        ready = after.where("NOT open").select("user_id", "ids", "scores", "cells")
+        done = ready if done is None else done.unionByName(ready)
+        state = after.where("open")
+        open_users, at, size = state.count(), past, size * 4
+    discard(users, blocks)
+    return done
 
-# --- scoring every user against every item, blocked (J8) ---------------------------------
 
 SCORE_SCHEMA = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("item_id", T.LongType()),
                              T.StructField("score", T.DoubleType())])
-
-
-def top_scores(users: DataFrame, items: DataFrame, keep: int, item_block: int = 32_768, cells: int = 4_000_000) -> DataFrame:
-    """Exact per-user top ``keep + s`` of offset_u + bias_i + <u, v_i> over all items.
-
-    users(user_id, vec, offset, s), items(item_id, vec, bias).  Items are cut
-    into blocks of about ``item_block`` rows; each block is broadcast by itself
-    (its size is the parameter, not the catalog) and met by all users where they
-    stand, in matrix products of at most ``cells`` scores, so parallelism is that
-    of the users.  A task emits a user's top ``keep + s`` of each block, and the
-    blocks' lists are merged to the user's ``keep + s`` first.
-    """
-    spark = users.sparkSession
-    blocks = max(1, -(-items.count() // item_block))
-    numbered = materialize(items.select("item_id", "vec", "bias", F.pmod(F.xxhash64("item_id"), F.lit(blocks)).alias("_b")))
-    out = None
-    for b in range(blocks):
-        rows = numbered.where(F.col("_b") == b).orderBy("item_id").toArrow().combine_chunks()      # one block
-        if not rows.num_rows:
-            continue
-        one = rows.to_batches()[0]
-        shared = spark.sparkContext.broadcast((one.column("item_id").to_numpy(), _matrix(one.column("vec")),
-                                               one.column("bias").to_numpy(zero_copy_only=False)))
-
-        def score(batches, shared=shared):
-            iids, im, bias = shared.value
-            step = max(1, cells // len(iids))
-            for whole in batches:
-                for start in range(0, whole.num_rows, step):
-                    batch = whole.slice(start, step)
-                    sc = _matrix(batch.column("vec")) @ im.T + batch.column("offset").to_numpy()[:, None] + bias
-                    q = np.round(sc, 9)
-                    limit = np.minimum(keep + batch.column("s").to_numpy(), len(iids))
-                    kth = np.unique(np.maximum(limit, 1)) - 1
-                    part = -np.partition(-q, kth, axis=1)
-                    cut = part[np.arange(len(q)), np.maximum(limit, 1) - 1]
-                    r, c = np.nonzero((q >= cut[:, None]) & (limit > 0)[:, None])       # with all ties of the last place
-                    order = np.lexsort((c, -q[r, c], r))                               # items stand in id order
-                    r, c = r[order], c[order]
-                    place = np.arange(len(r)) - np.searchsorted(r, r, "left")
-                    r, c = r[place < limit[r]], c[place < limit[r]]
-                    uids = batch.column("user_id").to_numpy()
-                    yield pa.RecordBatch.from_arrays([pa.array(uids[r]), pa.array(iids[c]), pa.array(sc[r, c])],
-                                                     ["user_id", "item_id", "score"])
-
-        found = users.select("user_id", "vec", "offset", F.col("s").cast("long").alias("s")).mapInArrow(score, SCORE_SCHEMA)
-        out = found if out is None else out.unionByName(found)
-    if out is None:
-        return spark.createDataFrame([], SCORE_SCHEMA)
-    if blocks == 1:
-        return out
-    merged = top_n_per_group(out, "user_id", "score", None).join(users.select("user_id", F.col("s").alias("_s")), "user_id")
-    return merged.where(F.col("rank") <= keep + F.col("_s")).select("user_id", "item_id", "score")

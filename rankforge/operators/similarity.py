@@ -1,19 +1,34 @@
 """Cosine similarity by co-occurrence (J4, V4) and neighbour lists (K2, V5, V6).
 
 The matrix stays a long table ``(key, id, w)``: similarity between two ids is
-Σ_key w_a·w_b / (‖a‖·‖b‖).  Only pairs that share a key are ever produced —
-the sparse product's own work — and each unordered pair once (a < b), then
-mirrored.  Keys holding more than a chunk of rows are salted so no task gets
-a hot key's whole pair set; the partial sum per (a, b) runs before the shuffle.
+Σ_key w_a·w_b / (‖a‖·‖b‖).
+
+``cosine_pairs`` is for asked pairs and whole similarity tables: only pairs that
+share a key are ever produced, each unordered pair once (a < b), then mirrored.
+Keys holding more than a chunk of rows are salted so no task gets a hot key's
+whole pair set; the partial sum per (a, b) runs before the shuffle.
+
+``top_neighbors`` is for the k best of every id and makes no pair table: ids are
+packed into blocks of bounded entries, every block meets every other as one
+sparse product inside a task, and only k rows per id leave it.  What is shuffled
+is the packed matrix times the number of blocks.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.operators.ranking import top_n_per_group
-from rankforge.operators.skew import salt_sides
+from rankforge.operators.ranking import running_total, top_n_per_group
+from rankforge.operators.skew import lookup, salt_sides
+from rankforge.session import discard, materialize
+
+BLOCK_ENTRIES = 200_000      # entries of one block of ids
+BLOCK_IDS = 1024             # ids of one block
+HEAVY_ENTRIES = 1_000_000    # an id with more entries is paired by joins
+CELLS = 4_000_000            # products added up at a time
 
 
 def norms(m: DataFrame, id_col: str) -> DataFrame:
@@ -54,3 +69,161 @@ def neighbors(pairs: DataFrame, k: int | None) -> DataFrame:
     """K2: per id_a the k most similar id_b with sim > 0 -> (id_a, id_b, sim, rank)."""
     p = pairs.where(F.col("sim") > 0).select("id_a", "id_b", "sim")
     return top_n_per_group(p, "id_a", "sim", k, id_col="id_b", rank_col="rank")
+
+
+class _Block:
+    """The rows of the ids of one block as flat arrays in key order."""
+
+    def __init__(self, ids: bytes, norm: bytes, key: bytes, row: bytes, w: bytes):
+        self.ids, self.norm = np.frombuffer(ids, np.int64), np.sqrt(np.frombuffer(norm))
+        self.key, self.row, self.w = np.frombuffer(key, np.int64), np.frombuffer(row, np.int32), np.frombuffer(w)
+
+
+class _Lists:
+    """The k best neighbours so far of the ids of a block."""
+
+    def __init__(self, own: _Block, k: int):
+        self.own, self.k = own, k
+        self.row, self.id, self.sim = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        self.least = np.zeros(len(own.ids))             # a similarity must be above 0 to count
+        self.multiplied = 0
+
+    def meet(self, other: _Block):
+        own = self.own
+        lo, hi = np.searchsorted(other.key, own.key, "left"), np.searchsorted(other.key, own.key, "right")
+        shared = hi > lo
+        # what an id has on the other block's keys bounds its similarity to everything there
+        reach = np.sqrt(np.bincount(own.row[shared], own.w[shared] ** 2, minlength=len(own.ids))) / own.norm
+        may = reach * (1 + 1e-9) + 1e-9 >= self.least
+        use = np.flatnonzero(shared & may[own.row])
+        if not len(use):
+            return
+        count = hi[use] - lo[use]
+        upto = np.concatenate([[0], np.cumsum(count)])
+        n = len(other.ids)
+        dot = np.zeros(len(own.ids) * n)
+        a = 0
+        while a < len(use):
+            z = max(a + 1, int(np.searchsorted(upto, upto[a] + CELLS, "right")) - 1)
+            part, c = use[a:z], count[a:z]
+            at = np.repeat(lo[part] - (upto[a:z] - upto[a]), c) + np.arange(int(c.sum()))
+            cell = np.repeat(own.row[part].astype(np.int64) * n, c) + other.row[at]
+            dot += np.bincount(cell, np.repeat(own.w[part], c) * other.w[at], minlength=len(dot))
+            a = z
+        self.multiplied += int(upto[-1])
+        dot = dot.reshape(len(own.ids), n)
+        sim = dot / (own.norm[:, None] * other.norm)
+        sim[own.ids[:, None] == other.ids] = 0.0
+        q = np.round(sim, 9)
+        cut = np.maximum(self.least, np.partition(q, n - self.k, axis=1)[:, n - self.k] if n > self.k else 0.0)
+        r, c = np.nonzero((q >= cut[:, None]) & (dot > 0) & (sim > 0))
+        self._add(r, other.ids[c], sim[r, c])
+
+    def _add(self, row, ids, sim):
+        row, ids, sim = (np.concatenate(x) for x in ((self.row, row), (self.id, ids), (self.sim, sim)))
+        order = np.lexsort((ids, -np.round(sim, 9), row))
+        row = row[order]
+        rank = np.arange(len(row)) - np.searchsorted(row, row, "left")
+        order = order[rank < self.k]
+        self.row, self.id, self.sim = row[rank < self.k], ids[order], sim[order]
+        last = np.flatnonzero(rank[rank < self.k] == self.k - 1)
+        self.least[self.row[last]] = np.round(self.sim[last], 9)
+
+    def rows(self) -> pa.RecordBatch:
+        rank = np.arange(len(self.row)) - np.searchsorted(self.row, self.row, "left") + 1
+        return pa.RecordBatch.from_arrays([pa.array(self.own.ids[self.row]), pa.array(self.id), pa.array(self.sim), pa.array(rank.astype(np.int32))],
+                                          ["id_a", "id_b", "sim", "rank"])
+
+
+_PACKED = ["ids", "norm", "key", "row", "w"]
+
+
+def _packed(m: DataFrame, ids: DataFrame) -> DataFrame:
+    """(blk, ids, norm, key, row, w): the entries m(key, id, w) of each block of ids(id, blk, nsq), packed in key order."""
+    def run(batches):
+        held, parts = None, []
+
+        def row(blk):
+            key, i, w, nsq = (np.concatenate(x) for x in zip(*parts))
+            own, first, at = np.unique(i, return_index=True, return_inverse=True)
+            cols = own.astype(np.int64), nsq[first].astype(float), key.astype(np.int64), at.astype(np.int32), w.astype(float)
+            return pa.RecordBatch.from_arrays([pa.array([blk], pa.int64()), *(pa.array([c.tobytes()], pa.binary()) for c in cols)], ["blk", *_PACKED])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            blk = batch.column("blk").to_numpy()
+            cols = [batch.column(c).to_numpy() for c in ("key", "id", "w", "nsq")]
+            edge = np.flatnonzero(np.concatenate([[True], blk[1:] != blk[:-1], [True]]))
+            for a, z in zip(edge[:-1].tolist(), edge[1:].tolist()):
+                if held is not None and blk[a] != held:
+                    yield row(held)
+                    parts = []
+                held = int(blk[a])
+                parts.append([c[a:z] for c in cols])
+        if held is not None:
+            yield row(held)
+
+    sized = m.join(ids, "id").select("blk", "key", "id", F.col("w").cast("double").alias("w"), F.col("nsq").cast("double").alias("nsq")) \
+        .repartition("blk").sortWithinPartitions("blk", "key")
+    return materialize(sized.mapInArrow(run, "blk long, " + ", ".join(f"{c} binary" for c in _PACKED)))
+
+
+def top_neighbors(m: DataFrame, key: str, id_col: str, k: int, heavy: int = HEAVY_ENTRIES) -> DataFrame:
+    """K2 without a pair table: m(key, id, w), one row per (key, id) -> (id_a, id_b, sim, rank), the k best with sim > 0.
+
+    A task holds one block, the k best of its ids, and one other block at a time.  An id is left out of a product when
+    its part on the other block's keys cannot beat its k-th best.  Ids with more than ``heavy`` entries do not fit a
+    block; their pairs come from ``cosine_pairs``'s joins, and the lists are merged.
+    """
+    own = m.select(F.col(key).alias("key"), F.col(id_col).alias("id"), "w")
+    size = materialize(own.groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("w") * F.col("w")).alias("nsq")))
+    # blocks of at most about BLOCK_ENTRIES entries and BLOCK_IDS ids: a running total over the ids
+    light = running_total(size.where(F.col("n") <= heavy), [F.col("id").asc()], F.greatest(F.col("n"), F.lit(BLOCK_ENTRIES // BLOCK_IDS)), "_t", inclusive=False)
+    packed = _packed(own, light.select("id", "nsq", F.floor(F.col("_t") / BLOCK_ENTRIES).alias("blk")))
+    many = size.where(F.col("n") > heavy)
+    top = packed.agg(F.max("blk")).first()[0]
+    lists = None
+    if top is not None:
+        mine = packed.select(F.col("blk").cast("int").alias("g"), F.lit(-1).cast("long").alias("ord"), *_PACKED)
+        met = packed.select(F.explode(F.sequence(F.lit(0), F.lit(int(top)))).alias("g"), F.col("blk").alias("ord"), *_PACKED)
+
+        def run(batches):
+            held, found = None, None
+            for batch in batches:
+                for i, (g, o) in enumerate(zip(batch.column("g").to_pylist(), batch.column("ord").to_pylist())):
+                    if g != held:
+                        if found is not None:
+                            yield found.rows()
+                        held, found = g, None
+                    block = _Block(*(batch.column(c)[i].as_py() for c in _PACKED)) if o < 0 or found is not None else None
+                    if o < 0:
+                        found = _Lists(block, k)
+                    elif found is not None:
+                        found.meet(block)
+            if found is not None:
+                yield found.rows()
+
+        tasks = int(m.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = mine.unionByName(met).repartitionById(min(int(top) + 1, 8 * tasks), F.col("g")).sortWithinPartitions("g", "ord")
+        lists = materialize(dealt.mapInArrow(run, "id_a long, id_b long, sim double, rank int"))
+    if many.isEmpty():
+        discard(packed, size)
+        return lists if lists is not None else m.sparkSession.createDataFrame([], "id_a long, id_b long, sim double, rank int")
+    pairs = _pairs_with(own, size, many)
+    both = pairs if lists is None else pairs.unionByName(lists.select("id_a", "id_b", "sim"))
+    return top_n_per_group(both, "id_a", "sim", k, id_col="id_b", rank_col="rank")
+
+
+def _pairs_with(own: DataFrame, size: DataFrame, many: DataFrame) -> DataFrame:
+    """(id_a, id_b, sim) in both directions of the pairs that hold one of the ids ``many``."""
+    mn = lookup(own, size.select("id", "nsq"), "id", spread="key", how="inner")
+    a = lookup(mn, many.select("id"), "id", spread="key", how="inner").select("key", F.col("id").alias("id_a"), F.col("w").alias("w_a"), F.col("nsq").alias("na"))
+    b = mn.select("key", F.col("id").alias("id_b"), F.col("w").alias("w_b"), F.col("nsq").alias("nb"))
+    b, a = salt_sides(b, a, ["key"], F.col("id_b"))
+    dots = (a.join(b, ["key", "_salt"]).where(F.col("id_a") != F.col("id_b"))
+            .groupBy("id_a", "id_b").agg(F.sum(F.col("w_a") * F.col("w_b")).alias("dot"), F.max("na").alias("na"), F.max("nb").alias("nb")))
+    sims = dots.select("id_a", "id_b", (F.col("dot") / (F.sqrt("na") * F.sqrt("nb"))).alias("sim")).where(F.col("sim") > 0)
+    # a pair of two heavy ids is there in both directions already
+    back = sims.join(many.select(F.col("id").alias("id_b")), "id_b", "left_anti").select(F.col("id_b").alias("id_a"), F.col("id_a").alias("id_b"), "sim")
+    return sims.unionByName(back)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from rankforge.operators.matrix import user_item_weights
 from rankforge.operators.ranking import top_n_per_group
-from rankforge.operators.similarity import cosine_pairs, neighbors
+from rankforge.operators.similarity import cosine_pairs, top_neighbors
 from rankforge.operators.skew import salt_sides
 from rankforge.plans.base import Recommender, as_users
 from rankforge.session import materialize
@@ -44,9 +44,8 @@ class UserCF(Recommender):
         pairs = cosine_pairs(self.matrix, key="item_id", id_col="user_id")
         self.similarity = pairs.select(F.col("id_a").alias("user_id"), F.col("id_b").alias("other_user_id"),
                                        "dot", "sim")
-        nb = neighbors(pairs, self.k)
-        self.neighbors = materialize(nb.select(F.col("id_a").alias("user_id"), F.col("id_b").alias("neighbor_id"),
-                                               "sim", "rank"))
+        nb = top_neighbors(self.matrix, "item_id", "user_id", self.k)
+        self.neighbors = nb.select(F.col("id_a").alias("user_id"), F.col("id_b").alias("neighbor_id"), "sim", "rank")
         self._fitted = True
         return self
 
@@ -111,9 +110,8 @@ class ItemCF(Recommender):
         pairs = cosine_pairs(self.matrix, key="user_id", id_col="item_id")
         self.similarity = pairs.select(F.col("id_a").alias("item_id"), F.col("id_b").alias("other_item_id"),
                                        "dot", "sim")
-        nb = neighbors(pairs, self.k)
-        self.neighbors = materialize(nb.select(F.col("id_a").alias("item_id"), F.col("id_b").alias("neighbor_id"),
-                                               "sim", "rank"))
+        nb = top_neighbors(self.matrix, "user_id", "item_id", self.k)
+        self.neighbors = nb.select(F.col("id_a").alias("item_id"), F.col("id_b").alias("neighbor_id"), "sim", "rank")
         self._fitted = True
         return self
 

@@ -40,7 +40,7 @@ class SVD(Recommender):
     name = "SVD"
     state = ("user_bias", "item_bias", "mean")
 
-    def __init__(self, n_factors: int = 50, oversample: int = 20, tol: float = 1e-7, seed: int = 42):
+    def __init__(self, n_factors: int = 50, oversample: int = 20, tol: float = 1e-5, seed: int = 42):
         super().__init__()
         self.n_factors = n_factors
         self.oversample = oversample

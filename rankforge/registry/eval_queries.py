@@ -194,10 +194,18 @@ def split_chronological(spark, sf):
                       "duration_seconds", "rating", "split")
 
 
-@query("split_random")
+_SPLIT_COLUMNS = ["user_id", "item_id", "interaction_type", "duration_seconds", "rating", "ts"]
+
+
+@query("split_random", L(f"""
+SELECT user_id, item_id, interaction_type, duration_seconds, rating, ts,
+       CASE WHEN CAST('0x' || substr(md5('42|' || {" || '|' || ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in _SPLIT_COLUMNS)}), 1, 8) AS BIGINT)
+                 / CAST(4294967296 AS DOUBLE) < 1 - CAST({TEST_RATIO} AS DOUBLE) THEN 'train' ELSE 'test' END AS split
+FROM (SELECT * REPLACE (strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts) FROM interactions)"""))
 def split_random(spark, sf):
-    """W4 (rows only: the seeded hash has no DuckDB twin)."""
-    train, test = SP.random_split(fx.interactions_l(spark, sf), TEST_RATIO, 42)
+    """A hash that both engines have."""
+    ints = fx.interactions_l(spark, sf).withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).select(*_SPLIT_COLUMNS)
+    train, test = SP.random_split(ints, TEST_RATIO, 42)
     return train.withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))
 
 

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rankforge.operators.factorize import gram, top_scores, truncated_svd
+from rankforge.operators.factorize import gram, top_lists, top_scores, truncated_svd
 from rankforge.plans.svd import SVD
 from rankforge.sources import codec, io
 
@@ -59,7 +59,7 @@ def test_top_scores_blocked_equals_brute(spark):
                                   "user_id long, vec array<double>, offset double, s long")
     items = spark.createDataFrame([(i, iv[i].tolist(), float(bias[i])) for i in range(ni)],
                                   "item_id long, vec array<double>, bias double")
-    got = top_scores(users, items, 5, item_block=16, cells=200)   # several blocks on each side
+    got = top_scores(users, items, 5, item_block=16, user_block=10)   # several blocks on each side
     best = {}
     for r in got.collect():
         best.setdefault(r["user_id"], []).append((r["score"], r["item_id"]))
@@ -70,6 +70,27 @@ def test_top_scores_blocked_equals_brute(spark):
         assert [i for _, i in top] == exp
 
 
+def test_top_lists_score_few_cells_and_lose_nothing(spark):
+    """Factors with decaying norms, as an SVD gives them: most blocks cannot beat a user's list; ties keep the smaller id."""
+    rng = np.random.default_rng(7)
+    nu, ni, k, keep = 60, 4000, 6, 5
+    uv = rng.normal(size=(nu, k))
+    iv = rng.normal(size=(ni, k)) / (1 + np.arange(ni) / 50)[:, None]
+    iv[100:120] = iv[99]
+    off, bias, seen = rng.normal(size=nu), rng.normal(size=ni) * 0.05, rng.integers(0, 4, nu)
+    bias[100:120] = bias[99]
+    users = spark.createDataFrame([(i, uv[i].tolist(), float(off[i]), int(seen[i])) for i in range(nu)],
+                                  "user_id long, vec array<double>, offset double, s long").repartition(3)
+    items = spark.createDataFrame([(i, iv[i].tolist(), float(bias[i])) for i in range(ni)], "item_id long, vec array<double>, bias double").repartition(4)
+    lists = top_lists(users, items, keep, item_block=64, user_block=16).collect()
+    sc = np.round(uv @ iv.T + off[:, None] + bias, 9)
+    assert {r.user_id: r.ids for r in lists} == {u: sorted(range(ni), key=lambda i: (-sc[u, i], i))[:keep + seen[u]] for u in range(nu)}
+    share = sum(r.cells for r in lists) / (nu * ni)
+    print(f"share of user-item cells scored: {share:.3f}")
+    assert share < 0.3
+    assert top_lists(users.limit(0), items, keep) is None and top_lists(users, items.limit(0), keep) is None
+
+
 def test_svd_model_unknown_ids(spark, hand):
     m = SVD(n_factors=2, oversample=3).fit(hand["interactions"], None, hand["items"])
     pairs = spark.createDataFrame([(1, 10), (-5, 10), (1, 12345)], "user_id long, item_id long")
