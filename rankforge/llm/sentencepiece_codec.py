@@ -25,6 +25,7 @@ U+2581 in a text is a blank to the library and decodes to one.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import heapq
 import re
@@ -41,7 +42,7 @@ WORD = re.compile(r" +[^ \n]*|[^ \n]+|\n+")
 ODD = f"^ | {{2}}|\\x00|{SPACE}"       # texts whose words the plain split would not find
 NONE = np.iinfo(np.int32).max
 LONG_WORD = 4096
-TEXT_BYTES = 8_000_000        # texts handled together
+TEXT_BYTES = 1_000_000        # texts handled together; decoding needs some forty times as much
 
 
 class Codec:
@@ -315,6 +316,12 @@ def _bytes_to_text(run: bytes) -> str:
     return "".join(out)
 
 
+@functools.lru_cache(maxsize=1)
+def codec_of(path: str) -> Codec:
+    """The codec of a worker, which serves its later tasks too."""
+    return Codec(path)
+
+
 def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text",
                   with_values: bool = False) -> DataFrame:
     """Per row: id, n_tokens, ids_sha256, decoded_sha256 (and ids, decoded if ``with_values``).
@@ -327,7 +334,7 @@ def encode_decode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text
     spec = "n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if with_values else "")
 
     def run(batches):
-        codec = Codec(model_path)
+        codec = codec_of(model_path)
         for batch in batches:
             for part in slices(batch, "text", TEXT_BYTES):
                 ids, count = codec.encode(part.column("text"))
