@@ -58,6 +58,74 @@ def interactions_rejected(spark, sf):
     return bad.select("user_id", "item_id", "interaction_type", "reason")
 
 
+def _list_sql(col: str) -> str:
+    return f"'[' || coalesce(array_to_string(list_transform({col}, lambda x: chr(39) || x || chr(39)), ', '), '') || ']'"
+
+
+@query("users_encoded", L(f"""
+SELECT user_id, username, age_group, gender, strftime(signup_date, '%Y-%m-%dT%H:%M:%S') AS signup_date,
+       {_list_sql('preferred_categories')} AS preferred_categories, is_premium FROM users"""))
+def users_encoded(spark, sf):
+    """S4 for users: times as ISO text, lists as list text."""
+    return codec.encode_rows(fx.users_l(spark, sf), "users")
+
+
+@query("items_encoded", L(f"""
+SELECT item_id, title, category, {_list_sql('tags')} AS tags, strftime(release_date, '%Y-%m-%dT%H:%M:%S') AS release_date,
+       avg_rating, rating_count, description, image_url FROM items"""))
+def items_encoded(spark, sf):
+    """S4 for items."""
+    return codec.encode_rows(fx.items_l(spark, sf), "items")
+
+
+def _damaged_users(spark, sf):
+    """The users' written form, with every seventh, eleventh, ... row damaged in one field and defaults left out."""
+    u, k = codec.encode_rows(fx.users_l(spark, sf), "users"), F.col("user_id")
+    return u.select("user_id", F.when(k % 13 != 0, F.col("username")).alias("username"), "age_group",
+                    F.when(k % 7 == 0, "unsaid").otherwise(F.col("gender")).alias("gender"),
+                    F.when(k % 11 == 0, "soon").otherwise(F.col("signup_date")).alias("signup_date"),
+                    F.when(k % 5 != 0, F.col("preferred_categories")).alias("preferred_categories"),
+                    F.when(k % 3 != 0, F.col("is_premium")).alias("is_premium"))
+
+
+@query("users_rejected", L("""
+, r AS (SELECT user_id, list_filter([CASE WHEN user_id % 13 = 0 THEN 'missing username' END, CASE WHEN user_id % 7 = 0 THEN 'unknown gender' END,
+                                     CASE WHEN user_id % 11 = 0 THEN 'bad signup_date' END], lambda x: x IS NOT NULL) AS reasons,
+               CASE WHEN user_id % 5 = 0 THEN 0 ELSE len(preferred_categories) END AS n_categories,
+               CASE WHEN user_id % 3 = 0 THEN false ELSE is_premium END AS is_premium FROM users)
+SELECT user_id, CASE WHEN len(reasons) = 0 THEN n_categories END AS n_categories, CASE WHEN len(reasons) = 0 THEN is_premium END AS is_premium,
+       array_to_string(reasons, '; ') AS reasons FROM r"""))
+def users_rejected(spark, sf):
+    """S5 for users: decoded rows with defaults, rejected ones with the reason of every bad field."""
+    ok, bad = codec.decode_rows(_damaged_users(spark, sf), "users")
+    return ok.select("user_id", F.size("preferred_categories").cast("long").alias("n_categories"), "is_premium", F.lit("").alias("reasons")) \
+        .unionByName(bad.select("user_id", F.lit(None).cast("long").alias("n_categories"), F.lit(None).cast("boolean").alias("is_premium"),
+                                F.array_join("reasons", "; ").alias("reasons")))
+
+
+@query("items_rejected", L("""
+, r AS (SELECT *, list_filter([CASE WHEN item_id % 17 = 0 THEN 'missing title' END, CASE WHEN item_id % 9 = 0 THEN 'bad tags' END,
+                               CASE WHEN item_id % 7 = 0 THEN 'bad release_date' END, CASE WHEN item_id % 19 = 0 THEN 'bad avg_rating' END],
+                              lambda x: x IS NOT NULL) AS reasons FROM items)
+SELECT item_id, array_to_string(reasons, '; ') AS reasons,
+       CASE WHEN len(reasons) = 0 THEN CASE WHEN item_id % 4 = 0 THEN 0 ELSE avg_rating END END AS avg_rating,
+       CASE WHEN len(reasons) = 0 THEN CASE WHEN item_id % 6 = 0 THEN '' ELSE description END END AS description,
+       CASE WHEN len(reasons) = 0 THEN strftime(release_date, '%Y-%m-%d') END AS release_date FROM r"""))
+def items_rejected(spark, sf):
+    """S5 for items: defaults of missing fields, and the reasons of rejected rows."""
+    k, it = F.col("item_id"), codec.encode_rows(fx.items_l(spark, sf), "items")
+    raw = it.select("item_id", F.when(k % 17 != 0, F.col("title")).alias("title"), "category",
+                    F.when(k % 9 == 0, "not a list").otherwise(F.col("tags")).alias("tags"),
+                    F.when(k % 7 == 0, "2024-13-45").otherwise(F.col("release_date")).alias("release_date"),
+                    F.when(k % 19 == 0, "many").when(k % 4 != 0, F.col("avg_rating").cast("string")).alias("avg_rating"),
+                    "rating_count", F.when(k % 6 != 0, F.col("description")).alias("description"), "image_url")
+    ok, bad = codec.decode_rows(raw, "items")
+    none = F.lit(None)
+    return ok.select("item_id", F.lit("").alias("reasons"), "avg_rating", "description", F.date_format("release_date", "yyyy-MM-dd").alias("release_date")) \
+        .unionByName(bad.select("item_id", F.array_join("reasons", "; ").alias("reasons"), none.cast("double").alias("avg_rating"),
+                                none.cast("string").alias("description"), none.cast("string").alias("release_date")))
+
+
 @query("item_tags_parsed", L("""
 SELECT item_id, len(tags) AS n_tags, array_to_string(tags, '|') AS tags_text FROM items"""))
 def item_tags_parsed(spark, sf):
@@ -365,6 +433,20 @@ def dataset_stats(spark, sf):
                     F.round("avg_interactions_per_item", 6).alias("avg_interactions_per_item"))
 
 
+@query("distinct_counts_merged", L("""
+SELECT strftime(ts, '%Y') AS year, count(DISTINCT user_id) AS n_users, count(DISTINCT item_id) AS n_items, true AS users_within, true AS items_within
+FROM interactions GROUP BY 1"""))
+def distinct_counts_merged(spark, sf):
+    """A4 from sketches: one per day, merged per year, beside exact counts; the estimates lie within the sketches' stated error."""
+    from rankforge.plans.products import daily_sketches, merged_distinct, within_error
+    ints = fx.interactions_l(spark, sf)
+    year = F.date_format("day", "yyyy").alias("year")
+    merged = merged_distinct(daily_sketches(ints), [year])
+    exact = ints.groupBy(F.date_format("ts", "yyyy").alias("year")).agg(F.countDistinct("user_id").alias("n_users"), F.countDistinct("item_id").alias("n_items"))
+    return merged.join(exact, "year").select("year", "n_users", "n_items", within_error("users", "n_users").alias("users_within"),
+                                             within_error("items", "n_items").alias("items_within"))
+
+
 @query("interaction_type_distribution", L("""
 SELECT interaction_type, count(*) AS n, round(100 * count(*) / CAST(sum(count(*)) OVER () AS DOUBLE), 6) AS percent
 FROM interactions GROUP BY interaction_type"""))

@@ -328,6 +328,7 @@ GRID_SQL = """
 @query("best_model_per_metric", L(ALL_MODELS_SQL + GRID_SQL + """
 SELECT metric, best_model, round(best_value, 6) AS best_value FROM best"""))
 def best_model_per_metric(spark, sf):
+    """C1 of the three models that have a SQL twin (``model_metrics_all`` holds all five)."""
     b = CMP.best_model_per_metric(_three_models(spark, sf))
     return b.select("metric", "best_model", F.round("best_value", 6).alias("best_value"))
 
@@ -340,6 +341,7 @@ SELECT model, model_order, {", ".join(f'round(max(CASE WHEN metric = {chr(39)}{n
                                       for n in _WIDE_NAMES)}
 FROM metrics GROUP BY model, model_order"""))
 def model_comparison_wide(spark, sf):
+    """C2 of the three models that have a SQL twin (``model_comparison`` holds all five)."""
     w = CMP.comparison_wide(_three_models(spark, sf), _WIDE_NAMES)
     return w.select("model", "model_order", *[F.round(F.col(f"`{n}`"), 6).alias(n) for n in _WIDE_NAMES])
 
@@ -352,7 +354,7 @@ SELECT item, model, round(value, 6) AS value FROM (
   SELECT metric, best_model, best_value FROM best
   WHERE metric IN ('precision@10', 'recall@10', 'ndcg@10', 'map', 'coverage', 'diversity'))"""))
 def comparison_summary(spark, sf):
-    """C3 without the timing line (times are not reproducible)."""
+    """C3 of the three models that have a SQL twin, without the timing line (times are not reproducible)."""
     s = CMP.summary(_three_models(spark, sf))
     return s.select("item", "model", F.round("value", 6).alias("value"))
 
@@ -363,6 +365,7 @@ def comparison_summary(spark, sf):
 SELECT ms.model, ms.model_order, k.metric, round(coalesce(x.value, 0), 6) AS value
 FROM keys k, ms LEFT JOIN metrics x ON x.metric = k.metric AND x.model = ms.model"""))
 def comparison_long(spark, sf):
+    """C4 of the three models that have a SQL twin (``model_metrics_all`` holds all five)."""
     c = CMP.comparison_long(_three_models(spark, sf))
     return c.select("model", "model_order", "metric", F.round("value", 6).alias("value"))
 
@@ -393,7 +396,24 @@ SELECT model, metric, round(value, 6) AS value,
        CASE WHEN value >= 0.3 THEN 'green' WHEN value >= 0.15 THEN 'yellow' ELSE 'red' END AS band
 FROM metrics WHERE metric IN ('precision@10', 'recall@10', 'ndcg@10', 'map', 'coverage', 'diversity')"""))
 def metric_bands(spark, sf):
-    """Colour band of the dashboard's six key metrics per model."""
+    """Colour band of the dashboard's six key metrics, three models (``model_metrics_all`` holds all five)."""
     from rankforge.functions.exprs import metric_band
     m = _three_models(spark, sf).where(F.col("metric").isin(*CMP.KEY_SUMMARY))
     return m.select("model", "metric", F.round("value", 6).alias("value"), metric_band(F.col("value")).alias("band"))
+
+
+@query("model_metrics_all")
+def model_metrics_all(spark, sf):
+    """C1-C4 and P14 for all five models (checked by pytest: the truncated SVD has no SQL twin).
+
+    One row per model and metric: value, whether it is the best of the five (ties: the first listed model), and the
+    dashboard's band of its key metrics.
+    """
+    from rankforge.functions.exprs import metric_band
+    from rankforge.registry.model_queries import all_models
+    train, test, items = _setup(spark, sf)
+    metrics, _ = CMP.compare_models(all_models(), train, test, None, items, N_RECS, item_content_vectors(items))
+    best = CMP.best_model_per_metric(metrics).select("metric", "best_model")
+    band = F.when(F.col("metric").isin(*CMP.KEY_SUMMARY), metric_band(F.coalesce("value", F.lit(0.0))))
+    return metrics.join(best, "metric").select("model", "model_order", "metric", F.round("value", 6).alias("value"), "n_users_evaluated",
+                                               (F.col("model") == F.col("best_model")).alias("best"), band.alias("band"))

@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rankforge.operators.features import item_content_vectors, item_popularity_share
+from rankforge.operators.skew import lookup
 from rankforge.operators.vectors import pair_similarity
 from rankforge.plans import explain as XP
 from rankforge.plans import products as PR
 from rankforge.registry.common import ITEM_CF_K, N_RECS, L, query
 from rankforge.registry.knn_queries import ICF_SQL, TOPN_SQL, UCF_SQL, item_cf, user_cf
 from rankforge.registry.popularity_queries import SCORES_SQL, popularity_model
+from rankforge.session import materialize
 from rankforge.sources import fixtures as fx
 
 # --- oracle building blocks ---------------------------------------------------------------
@@ -60,19 +62,25 @@ def CONF_SQL(score: str, adj: str, nf: str, cold: str = "false") -> str:
 # --- Spark helpers ----------------------------------------------------------------------------
 
 def _item_cf_records(spark, sf):
-    m = item_cf(spark, sf)
-    items = fx.items_l(spark, sf)
+    m, items = item_cf(spark, sf), fx.items_l(spark, sf)
     recs = m.recommend(fx.users_l(spark, sf), N_RECS)
-    src = m.explain(recs).join(items.select(F.col("item_id").alias("source_item_id"), "title"), "source_item_id", "left")
-    src = src.withColumn("stitle", XP.title_of("source_item_id"))
-    det = src.groupBy("user_id", "item_id").agg(
-        F.max(F.when(F.col("src_rank") == 1, F.concat(F.lit("Because you watched: "), F.col("stitle")))).alias("reason"),
-        F.transform(F.array_sort(F.collect_list(F.struct("src_rank", "stitle"))), lambda s: s["stitle"])
-        .alias("similar_titles"))
-    det = det.withColumn("n_model_factors", F.lit(3)).withColumn("n_similar_users", F.lit(0)) \
-             .withColumn("is_cold_start", F.lit(False))
     share = item_popularity_share(fx.interactions_l(spark, sf))
-    return XP.explanation_records("Item-CF", recs, det, items, share)
+    return XP.explanation_records("Item-CF", recs, XP.details(m, recs, items), items, share)
+
+
+@query("explanation_factors", L(ICF_SQL() + SHARE_SQL + ICF_DETAILS + """
+, top AS (SELECT user_id, item_id, count(*) AS n, max(similarity) AS sim FROM src3 GROUP BY 1, 2)
+, base AS (SELECT r.user_id, r.item_id, coalesce(t.n, 0) AS n, t.sim, coalesce(i.category, 'N/A') AS category, coalesce(sh.share, 0) AS share
+           FROM icf_recs r LEFT JOIN top t USING (user_id, item_id) LEFT JOIN items i ON i.item_id = r.item_id LEFT JOIN share sh ON sh.item_id = r.item_id)
+SELECT user_id, item_id, 1 AS place, 'Based on' AS name, n || ' items you liked' AS value, CAST(0.5 AS DOUBLE) AS contribution, 'Based on Based on' AS description FROM base
+UNION ALL SELECT user_id, item_id, 2, 'Top Match', coalesce(printf('%.1f%%', round(sim * 100, 1)), 'N/A'), CAST(0.5 AS DOUBLE), 'Based on Top Match' FROM base
+UNION ALL SELECT user_id, item_id, 3, 'Category', category, CAST(0.5 AS DOUBLE), 'Based on Category' FROM base
+UNION ALL SELECT user_id, item_id, 4, 'Trending', printf('Top %.1f%%', round(share * 100, 1)), CAST(0.3 AS DOUBLE), 'Currently trending among users'
+FROM base WHERE share > 0.01"""))
+def explanation_factors(spark, sf):
+    """The structured factors of every Item-CF explanation, one row each."""
+    r = _item_cf_records(spark, sf).select("user_id", "item_id", F.posexplode("factors").alias("at", "f"))
+    return r.select("user_id", "item_id", (F.col("at") + 1).alias("place"), "f.name", "f.value", "f.contribution", "f.description")
 
 
 @query("explain_popularity", L(SCORES_SQL + POP_RECS_ALL + """
@@ -142,7 +150,7 @@ THREE_RECS_SQL = SCORES_SQL + POP_RECS_ALL + UCF_SQL() + ICF_SQL(with_m=False) +
          FROM three t LEFT JOIN share sh USING (item_id))
 SELECT model, user_id, item_id, n_factors, round({CONF_SQL('score', 'adj', 'n_factors')}, 6) AS confidence FROM nf"""))
 def explanation_confidence(spark, sf):
-    """X7 for the popularity, User-CF and Item-CF lists (3 model factors + trending)."""
+    """X7 for the popularity, User-CF and Item-CF lists, 3 model factors + trending (``explained_recs_all`` holds all five)."""
     t = _three_recs(spark, sf)
     share = item_popularity_share(fx.interactions_l(spark, sf))
     j = t.join(share.select("item_id", "share"), "item_id", "left")
@@ -165,7 +173,7 @@ SELECT model, user_id, item_id, reason_type,
                         ELSE 'Recommended for you' END AS text
 FROM typed"""))
 def reason_templates(spark, sf):
-    """Each list's reason type and its template, filled with category or source title."""
+    """X10 for three models (``explained_recs_all`` holds all five): each list's reason type and its template, filled with category or source title."""
     t = _three_recs(spark, sf)
     items = fx.items_l(spark, sf).select("item_id", "category")
     rec = _item_cf_records(spark, sf).select("user_id", "item_id", F.element_at("similar_titles", 1).alias("src"))
@@ -179,6 +187,32 @@ def reason_templates(spark, sf):
     return j.select("model", "user_id", "item_id", rtype.alias("reason_type"), text.alias("text"))
 
 
+REASON_TYPES = {"Popularity": "trending", "User-CF": "similar_users", "Item-CF": "similar_items", "SVD": "personalized", "Hybrid": "personalized"}
+
+
+@query("explained_recs_all")
+def explained_recs_all(spark, sf):
+    """D3, X6, X7 and X10 for all five models (checked by pytest: the truncated SVD has no SQL twin).
+
+    One row per model, user and place: score, reason, factors, confidence and the filled template.
+    """
+    from rankforge.registry.model_queries import all_models
+    ints, items, users = fx.interactions_l(spark, sf), fx.items_l(spark, sf), fx.users_l(spark, sf)
+    share = item_popularity_share(ints)
+    out = None
+    for m in all_models():
+        recs = materialize(m.fit(ints, None, items).recommend(users, N_RECS))
+        rec = XP.explanation_records(m.name, recs, XP.details(m, recs, items), items, share)
+        rec = lookup(rec, items.select("item_id", "category"), "item_id")
+        text = F.replace(F.replace(XP.template_for(F.lit(REASON_TYPES[m.name])), F.lit("{items}"), F.coalesce(F.try_element_at("similar_titles", F.lit(1)), F.lit(""))),
+                         F.lit("{category}"), F.coalesce("category", F.lit("Unknown")))
+        own = rec.select(F.lit(m.name).alias("model"), "user_id", "rank", "item_id", "item_title", F.round("score", 6).alias("score"), "primary_reason",
+                         "factors", "n_factors", "n_similar_users", F.round("confidence", 6).alias("confidence"), "is_cold_start",
+                         F.lit(REASON_TYPES[m.name]).alias("reason_type"), text.alias("text"))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 # --- display tables ----------------------------------------------------------------------------
 
 @query("recs_with_titles", L(ICF_SQL() + f"""
@@ -213,7 +247,7 @@ def recs_display(spark, sf):
 @query("side_by_side_recs", L(THREE_RECS_SQL + """
 SELECT model, user_id, item_id, round(score, 6) AS score, rank FROM three WHERE rank <= 5"""))
 def side_by_side_recs(spark, sf):
-    """D3: first 5 of each model per user."""
+    """D3: first 5 per user of the three models that have a SQL twin (``explained_recs_all`` holds all five)."""
     t = _three_recs(spark, sf)
     d = PR.side_by_side({m: t.where(F.col("model") == m).drop("model")
                          for m in ("Popularity", "User-CF", "Item-CF")}, 5)
