@@ -342,7 +342,7 @@ def toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD, id_col
         for part, score, found in _scored(shared, "text")(batches):
             cols = [part.column("id"), pa.array(score), pa.array((score >= threshold).astype(np.int32))]
             if with_passages:
-                cols.append(pa.array([[dict(zip(("first", "past", "score"), s)) for s in seg] for seg, _ in found], pa.list_(passage)))
+                cols.append(pa.array([[dict(zip(("first", "past", "score"), s)) for s in seg] for seg in found], pa.list_(passage)))
             yield pa.RecordBatch.from_arrays(cols, ["id", "score", "predicted", "passages"][:len(cols)])
 
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))

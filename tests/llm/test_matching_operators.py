@@ -158,8 +158,6 @@ def brute_overlaps(docs, items, least=10, identity=0.8):
         w = cut.findall((t or "").lower())
         for i, u in items:
             v = cut.findall((u or "").lower())
-            if len(v) < 5:
-                continue
             for shift in range(-len(v) + 1, len(w)):
                 best = run = hits = length = 0
                 for k in range(max(0, -shift), min(len(v), len(w) - shift)):
@@ -200,6 +198,34 @@ def test_decontamination(spark, odd_docs):
     assert Seeds([], []).items == []
 
 
+def test_decontamination_of_short_items_and_unspaced_scripts(spark):
+    from rankforge.llm.decontaminate import code_points, keep_clean, overlaps, tokens
+    ja = "日本語の長い文章はここにありますが、言葉の間に空白はありません。"
+    items = [(1, "four words only here"), (2, ja), (3, "单"), (4, "plain “quoted” benchmark passage of words that stands in a text…")]
+    docs = [(10, "before Four, words only; here after"), (11, "four words only there"), (12, f"abc {ja} def"), (13, ja.replace("空", "白")), (14, "other 文章"),
+            (15, "x 单 y"), (16, "plain \"quoted\" benchmark passage of words that stands in a text"), (17, "here four words only")]
+    bench, frame = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
+    assert {(r.id, r.item_id) for r in overlaps(frame, bench).collect()} == {(10, 1), (12, 2), (13, 2), (15, 3), (16, 4)}
+    assert {r.doc_id for r in keep_clean(frame, bench).collect()} == {11, 14, 17}
+    text = "Aé日𠀀ไ"
+    at, point = code_points(np.frombuffer(text.encode(), np.uint8))
+    assert at.tolist() == [1, 3, 6, 10] and point.tolist() == [ord(c) for c in text[1:]]
+    assert tokens(["ab日本c", "", "日"])[1].tolist() == [0, 4, 4, 5]
+
+
+def test_decontamination_in_parts(spark, monkeypatch):
+    """Hits of common seeds a few at a time, and more blocks than one stage holds."""
+    from rankforge.llm import decontaminate as d
+    docs = spark.createDataFrame([(k, "the " * 30 + f"own{k} " + "of and " * 20) for k in range(20)], "doc_id long, text string")
+    bench = spark.createDataFrame([(k, "the " * (11 + k)) for k in range(8)], "item_id long, text string")
+    whole = {tuple(r) for r in d.overlaps(docs, bench).collect()}
+    monkeypatch.setattr(d, "CELLS", 50)
+    monkeypatch.setattr(d, "BLOCKS_AT_ONCE", 2)
+    monkeypatch.setattr(d.seed_blocks, "__defaults__", ("item_id", "text", 100))
+    assert {tuple(r) for r in d.overlaps(docs, bench).collect()} == whole and len(whole) == 160
+    assert d.keep_clean(docs, bench).count() == 0
+
+
 def test_decontamination_in_blocks(spark, monkeypatch):
     from rankforge.llm import decontaminate as d
     docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
@@ -280,6 +306,33 @@ def test_html_extract(spark):
     assert container_shares(blocks("<div><div>")) == {}
 
 
+LAYOUTS = ["content has-sidebar", "no-sidebar", "entry-header", "article-body with-related", "page layout-search", "search-results", "site-content-with-footer"]
+
+
+@pytest.mark.parametrize("name", [*LAYOUTS, "comments", "comments-area", "cookie-banner"])
+def test_layout_names_do_not_hide_an_article(spark, name):
+    """Names that describe a layout keep the article; named parts beside it stay out."""
+    from rankforge.llm.html_extract import extract_main_text
+    body = [f"Paragraph {k} of the article with a good many words in it." for k in range(6)]
+    inner = "".join(f"<p>{p}</p>" for p in body)
+    page = (f"<html><body><div class='navbar'><p>menu words</p></div><div class='{name}'>{inner}</div>"
+            "<div class='sidebar-left'><p>aside words</p></div><div id='comments-list'><p>reader words</p></div></body></html>")
+    if name not in LAYOUTS:
+        page = page.replace("<div class='sidebar-left'>", "<article><p>Main words " + "that go on " * 40 + "</p></article><div class='sidebar-left'>")
+    rows = [(k, "http://h.org/a", page, "x", 1) for k in range(2)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, paths string, host int")       # clashing names
+    got = {r.text for r in extract_main_text(pages).collect()}
+    assert got == ({"\n".join(body)} if name in LAYOUTS else {("Main words " + "that go on " * 40).strip()})
+
+
+def test_very_long_page(spark):
+    from rankforge.llm.html_extract import extract_main_text
+    words = [f"w{k}" for k in range(150_000)]
+    html_text = "<html><body><nav>menu</nav><article>" + "".join(f"<p>{' '.join(words[i:i + 50])}</p>" for i in range(0, len(words), 50)) + "</article></body></html>"
+    got = extract_main_text(spark.createDataFrame([(1, "http://a.org", html_text)], "page_id long, url string, html string")).first()
+    assert got.text.split() == words and got.text.count("\n") == 2999
+
+
 def test_html_extract_templates_of_one_host(spark):
     """Templates without a common container: the root does not win, and no page returns the blocks around its article."""
     from rankforge.llm.html_extract import extract_main_text, host_paths

@@ -184,6 +184,32 @@ def test_op6_held_out(spark):
     assert (held.predicted[toxic] == 1).mean() > 0.9 and (held.predicted[~toxic] == 1).mean() < 0.01
 
 
+def test_op6_long_clean_text(spark):
+    """Chance segments do not add up: all clean labelled texts joined into one are clean, with one toxic text inside not."""
+    from rankforge.llm.common import crc_mod_py
+    from rankforge.llm.toxicity import fit, toxicity
+    sf = "/root/testdata/sf0.01"
+    docs, labels = (spark.read.parquet(f"{sf}/{t}.parquet") for t in ("documents", "labels"))
+    model = fit(docs, labels)
+    joined = docs.join(labels, "doc_id").orderBy("doc_id").collect()
+    clean = " ".join(r.text for r in joined if r.toxic == 0 and r.text)
+    toxic = [r.text for r in joined if r.toxic == 1 and r.text and crc_mod_py(r.doc_id, 4) != 2]
+    assert len(clean.split()) > 50_000 and toxic
+    rows = [(1, clean), (2, clean + " " + " ".join(toxic))]
+    got = {r.id: r for r in toxicity(spark.createDataFrame(rows, "doc_id long, text string"), model, with_passages=True).collect()}
+    assert got[1].predicted == 0 and got[2].predicted == 1
+    assert len(got[2].passages) > len(got[1].passages)
+
+
+def test_lambda_is_the_root():
+    from rankforge.llm.toxicity import _lambda
+    value, n = np.array([-1.0, 0.5, 2.0]), np.array([9000, 50, 5])
+    root = _lambda(value, n, 3.0)
+    p = np.append(n, 1) / 9056
+    assert abs((p * np.exp(root * np.append(value, 3.0))).sum() - 1) < 1e-6
+    assert _lambda(np.array([-1.0]), np.array([5]), -1.0) == 1.0
+
+
 def test_op6_odd_rows(spark, odd_docs):
     from rankforge.llm.toxicity import fit, keep_clean, toxicity
     names = ["v" + "".join("abcdefghij"[int(c)] for c in str(i % 97)) for i in range(400)]     # different words before the same one
