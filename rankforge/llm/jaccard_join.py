@@ -13,15 +13,20 @@ eps = 1 - percent / 100.  The result is the components of the links.
 3. Second level, pivots are documents: the first member of each cell.  Cells of
    the same pivot form its region; a set is replicated to the region of every
    pivot it shares a cell with, so linked sets share a region.
-4. Regions are joined recursively.  First each pivot is compared with all of
-   its members inside the triangle-inequality windows: | |A| - |B| |, the
-   difference of distances to the empty set, and the sum over ``BINS`` parts of the
-   shingle space of the differences of set sizes are both at most |A ^ B|.  Pairs
-   inside are verified on the sets.  That settles a region whose members are now
-   one component.  Regions of linked pivots are then merged, and the unsettled
-   ones are joined in blocks of about ``BLOCK`` members, every two blocks of a region in
-   a task: pairs of different components inside the windows are counted exactly,
-   and only links that join components leave the task.
+4. Each pivot is compared with all of its members inside the triangle-inequality
+   windows: | |A| - |B| |, the difference of distances to the empty set, and the sum
+   over ``BINS`` parts of the shingle space of the differences of set sizes are both at
+   most |A ^ B|.  Pairs inside are verified on the sets.  That settles a region whose
+   members are now one component.  Regions of linked pivots are then merged, and the
+   unsettled ones are joined in blocks of about ``BLOCK`` members that meet in tasks;
+   blocks of the region's largest component never meet each other.  Pairs of different
+   components inside the windows are counted exactly, and only links that join
+   components leave the task.
+
+   This is where the method departs from pivots that create Voronoi cells, and from
+   recursion: almost every text is at distance 0.9 or more from every sampled text, so
+   the window of 2 * eps would copy it to nearly all cells (README, with figures).
+   Cells of shared shingles stand in for them, blocks for the recursion.
 5. Links are counted inside the components, where all of them are: the points of
    a component are dealt in blocks, every two blocks meet in one task, so every
    pair inside the windows is verified once, whatever regions it shares.  Per

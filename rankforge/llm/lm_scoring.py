@@ -19,6 +19,10 @@ n-grams that end at it or at the token before: the weight of each context, and f
 each n-gram ``delta``, what its probability is above the backed-off one.  An n-gram
 that was not kept adds nothing.  Unknown words have the smoothed unigram.
 
+These are the arc and failure weights of a backoff automaton whose states are the
+kept n-grams; they are added up by key, not by walking the states, because no task
+holds the whole automaton.  This departs from the method (README, with figures).
+
 Scoring reads each text once.  The ``TABLE`` or fewer most frequent entries of the
 model are broadcast; the other n-grams of a text that may be in the model are
 joined with it by a shuffle, once per text and n-gram.
@@ -51,6 +55,7 @@ TABLE = 400_000
 DISCOUNT = 0.5
 ADD = 0.1
 FLUSH = 1_500_000          # distinct keys a task holds before it sends them on
+RANGE_ROWS = 1_000_000     # n-grams of one range of keys, about
 MAP_BITS = 29              # a filter of keys holds at most 2^29 bits
 END = np.uint64(0x0E0F)
 
@@ -143,14 +148,78 @@ def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _keyed(found: DataFrame) -> DataFrame:
-    """Counted n-grams with their own keys."""
+def _repeated_grams(docs: DataFrame, order: int, tokens: int, shared) -> DataFrame:
+    """(key, prefix, suffix, c): the n-grams of ``order`` words that stand twice or more, counted over all texts.
+
+    A task adds up its own n-grams and sends them packed, one row per range of keys: the distinct words of the range
+    once, and places in them for each n-gram.  A range, sized by the number of tokens, is added up in one task.
+    ``shared``: filter of the keys of the order below, which keeps n-grams that cannot repeat out of the shuffle.
+    """
+    bits = max(4, (tokens // RANGE_ROWS).bit_length())
+
+    def find(texts):
+        keys, begin, _, _ = stream(texts)
+        *_, (g, _), (key, ok) = grams(keys, begin, order)
+        at = np.flatnonzero(ok)
+        if shared is not None:
+            may = may_hold(shared.value, g)
+            at = at[may[at] & may[at - 1]]
+        return key[at], *(keys[at - order + 1 + j] for j in range(order))
+
     def run(batches):
+        held, size = [], 0
+
+        def send():
+            key, c, *words = _sums(held)
+            edge = np.searchsorted(key, np.arange(1, 1 << bits).astype(np.uint64) << np.uint64(64 - bits))
+            for r, (a, z) in enumerate(zip([0, *edge.tolist()], [*edge.tolist(), len(key)])):
+                if z > a:
+                    own, at = np.unique(np.concatenate([w[a:z] for w in words]), return_inverse=True)
+                    yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (
+                        own, at.astype(np.int32), c[a:z].astype(np.uint32)))], ["r", "words", "at", "c"])
+
+        for batch in batches:
+            for part in slices(batch, "text", 4_000_000):
+                key, *words = find(texts_of(part.column("text")))
+                held.append(_sums([(key, np.ones(len(key), np.int64), *words)]))
+                size += len(held[-1][0])
+                if size > FLUSH:
+                    held[:] = [_sums(held)]
+                    size = len(held[0][0])
+                    if size > FLUSH // 2:
+                        yield from send()
+                        held.clear()
+                        size = 0
+        if held:
+            yield from send()
+
+    def add(batches):
+        last, parts = None, []
+
+        def kept():
+            key, c, prefix, suffix = _sums(parts)
+            more = c > 1
+            return pa.RecordBatch.from_arrays([pa.array(x[more].astype(np.int64)) for x in (key, prefix, suffix, c)], ["key", "prefix", "suffix", "c"])
+
         for batch in batches:
-            prefix, suffix = (batch.column(x).to_numpy().astype(np.uint64) for x in ("prefix", "suffix"))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(gram_key(prefix, suffix).astype(np.int64))],
-                                             ["prefix", "suffix", "c", "key"])
-    return found.select("prefix", "suffix", "c").mapInArrow(run, "prefix long, suffix long, c long, key long")
+            for r, words, at, c in zip(batch.column("r").to_pylist(), *(batch.column(x) for x in ("words", "at", "c"))):
+                if r != last and parts:
+                    yield kept()
+                    parts.clear()
+                last = r
+                words, at = np.frombuffer(words.as_py(), np.uint64), np.frombuffer(at.as_py(), np.int32).reshape(order, -1)
+                level = [words[x] for x in at]
+                while len(level) > 2:                              # as ``grams`` builds its keys
+                    level = [gram_key(x, y) for x, y in zip(level, level[1:])]
+                prefix, suffix = level
+                parts.append((gram_key(prefix, suffix), np.frombuffer(c.as_py(), np.uint32).astype(np.int64), prefix, suffix))
+                if len(parts) > 8:
+                    parts[:] = [_sums(parts)]
+        if parts:
+            yield kept()
+
+    packed = docs.mapInArrow(run, "r int, words binary, at binary, c binary")
+    return packed.repartitionById(1 << bits, F.col("r")).sortWithinPartitions("r").mapInArrow(add, "key long, prefix long, suffix long, c long")
 
 
 @dataclass
@@ -186,17 +255,8 @@ def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, words: fl
     level = counts.select("key", "c", F.log10("p").alias("delta"))
     parts, written, shared = [], [counts], None
     for m in range(2, order + 1):
-        def next_grams(texts, m=m, shared=shared):
-            keys, begin, _, _ = stream(texts)
-            *_, (g, _), (key, ok) = grams(keys, begin, m)
-            at = np.flatnonzero(ok)
-            if shared is not None:
-                may = may_hold(shared.value, g)
-                at = at[may[at] & may[at - 1]]
-            return key[at], g[at - 1], g[at]
-
-        found = _counted(own, next_grams, ["prefix", "suffix"]).where(F.col("c") * F.lit(float(grams_share)) >= model.tokens).where("c > 1")
-        kept = stable(_keyed(found).join(below.select(F.col("key").alias("prefix"), F.col("c").alias("whole")), "prefix")
+        found = _repeated_grams(own, m, model.tokens, shared).where(F.col("c") * F.lit(float(grams_share)) >= model.tokens)
+        kept = stable(found.join(below.select(F.col("key").alias("prefix"), F.col("c").alias("whole")), "prefix")
                       .join(below.select(F.col("key").alias("suffix"), F.col("p").alias("lower")), "suffix")
                       .select("key", "prefix", "c", "whole", "lower", ((F.col("c") - DISCOUNT) / F.col("whole")).alias("p")))
         written.append(kept)
