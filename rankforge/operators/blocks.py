@@ -6,9 +6,10 @@ order inside a block.  A thin dense matrix is a table with one row per block
 entries of one source block, cut by a hash of the target into parts of about
 ``PANEL_ENTRIES``, each one row of packed arrays in target order.
 
-``product`` joins panels with the dense blocks of their source, multiplies with
-whole arrays, and shuffles one partial block per panel and target block to the
-target, where they are added up one block at a time.  A task holds one panel and
+``product`` joins panels with the dense blocks of their source (broadcast up to
+``BROADCAST_BYTES``, shuffled beyond), multiplies with whole arrays, and shuffles one
+partial block per panel and target block to the target, where they are added up
+one block at a time.  A task holds one panel and
 one block, however many entries an id has.
 """
 
@@ -25,6 +26,7 @@ from rankforge.session import materialize
 
 BLOCK_IDS = 2048
 PANEL_ENTRIES = 100_000
+BROADCAST_BYTES = 32 << 20      # dense blocks up to this size go to the panels, larger ones meet them by a shuffle
 TREE_ABOVE = 64          # partial Gram matrices from which they are added up by tasks first
 
 
@@ -117,8 +119,13 @@ def mapped(x: DataFrame, f) -> DataFrame:
     return x.select("b", "m").mapInArrow(run, "b int, m binary")
 
 
-def product(panel: DataFrame, x: DataFrame, width: int, blocks: int) -> DataFrame:
-    """The panels' matrix times the dense blocks ``x`` of their source: dense blocks (``blocks`` of them) of the target."""
+def beside(big: DataFrame, x: DataFrame, key: str, blocks: int, width: int) -> DataFrame:
+    """``big`` joined with dense blocks on ``key``: broadcast where ``blocks`` full ones fit BROADCAST_BYTES, else shuffled."""
+    return big.join(F.broadcast(x) if blocks * BLOCK_IDS * width * 8 <= BROADCAST_BYTES else x, key)
+
+
+def product(panel: DataFrame, x: DataFrame, width: int, x_blocks: int, blocks: int) -> DataFrame:
+    """The panels' matrix times the ``x_blocks`` dense blocks ``x`` of their source: ``blocks`` dense blocks of the target."""
     def partial(batches):
         for batch in batches:
             for i in range(batch.num_rows):
@@ -148,7 +155,7 @@ def product(panel: DataFrame, x: DataFrame, width: int, blocks: int) -> DataFram
         if held is not None:
             yield dense_row(held, total)
 
-    joined = panel.join(x.select(F.col("b").alias("s"), "m"), "s").select("tb", "tp", "sp", "val", "m")
+    joined = beside(panel, x.select(F.col("b").alias("s"), "m"), "s", x_blocks, width).select("tb", "tp", "sp", "val", "m")
     parts = joined.mapInArrow(partial, "b int, p binary, m binary")
     return parts.repartitionById(min(_tasks(panel), blocks), F.col("b")).sortWithinPartitions("b").mapInArrow(add, "b int, m binary")
 

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankforge.operators.blocks import (block_index, blocks_of, dense, gram_of, id_blocks, mapped, panels, placed, product, unblocked,
+from rankforge.operators.blocks import (beside, block_index, blocks_of, dense, gram_of, id_blocks, mapped, panels, placed, product, unblocked,
                                         with_gram)
 from rankforge.operators.ranking import global_rank
 from rankforge.session import discard, materialize
@@ -109,7 +109,7 @@ def truncated_svd(entries: DataFrame, k: int, oversample: int = 20, seed: int =
     discard(base, at)
 
     def image(x, width):                              # Cᵀ C x
-        return product(by_rows, product(by_cols, x, width, row_blocks), width, col_blocks)
+        return product(by_rows, product(by_cols, x, width, col_blocks, row_blocks), width, row_blocks, col_blocks)
 
     def start(b, raw, width):
         return np.random.default_rng([seed, b]).standard_normal((len(raw) // 8, width))
@@ -127,7 +127,7 @@ def truncated_svd(entries: DataFrame, k: int, oversample: int = 20, seed: int =
     for _ in range(max_steps):
         v = carry[:, carry.shape[1] - wv:]
         once = materialize(image(mapped(state, lambda b, raw, t=total, v=v: dense(raw, t) @ v), wv))
-        whole = state.join(once.withColumnRenamed("m", "m1"), "b").join(image(once, wv).withColumnRenamed("m", "m2"), "b")
+        whole = beside(beside(state, once.withColumnRenamed("m", "m1"), "b", col_blocks, wv), image(once, wv).withColumnRenamed("m", "m2"), "b", col_blocks, wv)
         written = with_gram(whole, lambda r, t=total, c=carry, w=wv: np.hstack([dense(r["m"], t) @ c, dense(r["m1"], w), dense(r["m2"], w)]))
         discard(state, once)
         state, total, g = blocks_of(written), carry.shape[1] + 2 * wv, gram_of(written)
@@ -149,7 +149,7 @@ def truncated_svd(entries: DataFrame, k: int, oversample: int = 20, seed: int =
     factors, sigma, residual = done
     discard(state)
     n = len(sigma)
-    left = product(by_cols, factors, n, row_blocks)
+    left = product(by_cols, factors, n, col_blocks, row_blocks)
     out = unblocked(mapped(left, lambda b, raw: dense(raw, n) / sigma), row_ids, n), unblocked(factors, col_ids, n), sigma, residual
     discard(factors, by_cols, by_rows, row_ids, col_ids, rows, cols)
     return out
