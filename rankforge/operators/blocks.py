@@ -11,6 +11,10 @@ entries of one source block, cut by a hash of the target into parts of about
 partial block per panel and target block to the target, where they are added up
 one block at a time.  A task holds one panel and
 one block, however many entries an id has.
+
+Where no row has more than ``PANEL_ENTRIES`` entries, panels can hold whole rows
+(``row_panels``).  ``row_product`` then multiplies by C, or by CᵀC in one pass with one
+shuffle, for dense matrices that fit ``BROADCAST_BYTES`` (checked by the caller with ``fits``).
 """
 
 from __future__ import annotations
@@ -83,8 +87,22 @@ def panels(at: DataFrame, source: str, target: str) -> DataFrame:
     """Packed entries of ``placed`` by blocks of ``source`` ('r' or 'c'): (s, tb, tp, sp, val), each array in target order."""
     own = at.select(F.col(f"{source}b").alias("s"), F.col(f"{source}p").alias("sp"), F.col(f"{target}b").alias("tb"),
                     F.col(f"{target}p").alias("tp"), "val")
+    return _packed(own, ["tb", "tp"])
+
+
+def row_panels(at: DataFrame) -> DataFrame | None:
+    """Packed entries of ``placed`` by blocks of rows, each row whole in one panel, in row order; None if a row is too long."""
+    longest = at.groupBy("rb", "rp").count().agg(F.max("count").alias("n")).first()["n"]
+    if longest is None or longest > PANEL_ENTRIES:
+        return None
+    own = at.select(F.col("rb").alias("s"), F.col("rp").alias("sp"), F.col("cb").alias("tb"), F.col("cp").alias("tp"), "val")
+    return _packed(own, ["sp"])
+
+
+def _packed(own: DataFrame, by: list[str]) -> DataFrame:
+    """(s, tb, tp, sp, val): the entries of a block, cut by a hash of ``by`` into parts and sorted by it."""
     parts = own.groupBy("s").agg(F.ceil(F.count("*") / PANEL_ENTRIES).alias("parts"))
-    dealt = lookup(own, parts, "s", "tp", "inner").withColumn("part", F.pmod(F.xxhash64("tb", "tp"), F.col("parts")))
+    dealt = lookup(own, parts, "s", "tp", "inner").withColumn("part", F.pmod(F.xxhash64(*by), F.col("parts")))
     kinds = [np.int32, np.int32, np.int32, np.float64]
 
     def run(batches):
@@ -92,7 +110,7 @@ def panels(at: DataFrame, source: str, target: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array([s], pa.int32())] + [pa.array([c.astype(k).tobytes()], pa.binary()) for c, k in zip(cols, kinds)],
                                              ["s", "tb", "tp", "sp", "val"])
 
-    sized = dealt.repartition(_tasks(at), "s", "part").sortWithinPartitions("s", "part", "tb", "tp")
+    sized = dealt.repartition(_tasks(own), "s", "part").sortWithinPartitions("s", "part", *by)
     return materialize(sized.mapInArrow(run, "s int, tb binary, tp binary, sp binary, val binary"))
 
 
@@ -119,9 +137,14 @@ def mapped(x: DataFrame, f) -> DataFrame:
     return x.select("b", "m").mapInArrow(run, "b int, m binary")
 
 
+def fits(blocks: int, width: int) -> bool:
+    """Whether ``blocks`` full dense blocks of this width may be broadcast."""
+    return blocks * BLOCK_IDS * width * 8 <= BROADCAST_BYTES
+
+
 def beside(big: DataFrame, x: DataFrame, key: str, blocks: int, width: int) -> DataFrame:
     """``big`` joined with dense blocks on ``key``: broadcast where ``blocks`` full ones fit BROADCAST_BYTES, else shuffled."""
-    return big.join(F.broadcast(x) if blocks * BLOCK_IDS * width * 8 <= BROADCAST_BYTES else x, key)
+    return big.join(F.broadcast(x) if fits(blocks, width) else x, key)
 
 
 def product(panel: DataFrame, x: DataFrame, width: int, x_blocks: int, blocks: int) -> DataFrame:
@@ -140,6 +163,13 @@ def product(panel: DataFrame, x: DataFrame, width: int, x_blocks: int, blocks: i
                     [pa.array(tb[a], pa.int32()), pa.array([tp[p:q].tobytes() for p, q in zip(a, z)], pa.binary()),
                      pa.array([sums[p:q].tobytes() for p, q in zip(a, z)], pa.binary())], ["b", "p", "m"])
 
+    joined = beside(panel, x.select(F.col("b").alias("s"), "m"), "s", x_blocks, width).select("tb", "tp", "sp", "val", "m")
+    parts = joined.mapInArrow(partial, "b int, p binary, m binary")
+    return _added(parts, width, blocks)
+
+
+def _added(parts: DataFrame, width: int, blocks: int) -> DataFrame:
+    """(b, m): partial blocks (b, p: places, m: their rows) added up, one block at a time."""
     def add(batches):
         held, total = None, None
         for batch in batches:
@@ -155,9 +185,49 @@ def product(panel: DataFrame, x: DataFrame, width: int, x_blocks: int, blocks: i
         if held is not None:
             yield dense_row(held, total)
 
-    joined = beside(panel, x.select(F.col("b").alias("s"), "m"), "s", x_blocks, width).select("tb", "tp", "sp", "val", "m")
-    parts = joined.mapInArrow(partial, "b int, p binary, m binary")
-    return parts.repartitionById(min(_tasks(panel), blocks), F.col("b")).sortWithinPartitions("b").mapInArrow(add, "b int, m binary")
+    return parts.repartitionById(min(_tasks(parts), blocks), F.col("b")).sortWithinPartitions("b").mapInArrow(add, "b int, m binary")
+
+
+def row_product(whole: DataFrame, x: DataFrame, width: int, x_blocks: int, blocks: int, square: bool = False):
+    """(dense blocks of C x, or of CᵀC x where ``square``; the broadcast to destroy when they are written).
+
+    ``whole``: C in ``row_panels``; ``x`` has ``x_blocks`` blocks for which ``fits`` holds; the result has ``blocks``.
+    """
+    found = {r.b: dense(r.m, width) for r in x.select("b", "m").collect()}                  # at most BROADCAST_BYTES
+    none = np.zeros((0, width))
+    own = [found.get(b, none) for b in range(x_blocks)]
+    shared = whole.sparkSession.sparkContext.broadcast((np.cumsum([0, *map(len, own)]), np.concatenate(own)))
+
+    def partial(batches):
+        first, m = shared.value
+        total, met = (np.zeros(m.shape), np.zeros(len(m), bool)) if square else (None, None)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                tb, tp, sp = (np.frombuffer(batch.column(c)[i].as_py(), np.int32) for c in ("tb", "tp", "sp"))
+                val = np.frombuffer(batch.column("val")[i].as_py())[:, None]
+                at = first[tb] + tp
+                edge = np.flatnonzero(np.concatenate([[True], sp[1:] != sp[:-1]]))
+                y = np.add.reduceat(m[at] * val, edge, axis=0)
+                if not square:
+                    yield part(batch.column("s")[i].as_py(), sp[edge], y)
+                    continue
+                y = np.repeat(y, np.diff(np.append(edge, len(sp))), axis=0) * val
+                order = np.argsort(at, kind="stable")
+                at = at[order]
+                edge = np.flatnonzero(np.concatenate([[True], at[1:] != at[:-1]]))
+                total[at[edge]] += np.add.reduceat(y[order], edge, axis=0)
+                met[at[edge]] = True
+        if square:
+            for b in range(len(first) - 1):
+                p = np.flatnonzero(met[first[b]:first[b + 1]]).astype(np.int32)
+                if len(p):
+                    yield part(b, p, total[first[b] + p])
+
+    def part(b, p, m):
+        return pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([p.tobytes()], pa.binary()),
+                                           pa.array([np.ascontiguousarray(m).tobytes()], pa.binary())], ["b", "p", "m"])
+
+    return _added(whole.mapInArrow(partial, "b int, p binary, m binary"), width, blocks), shared
 
 
 def with_gram(x: DataFrame, f) -> DataFrame:

@@ -4,7 +4,8 @@ The right singular vectors are eigenvectors of A = CᵀC, found by a locally opt
 block method (Knyazev 2001): the search space of a step is the current vectors X,
 the direction P of the last change, the residuals V of the vectors that have not
 converged, and AV, at most 4 (k + oversample) columns at any time.  Products with
-A are block joins (``operators.blocks``); everything else of a step is one pass
+A are one pass over whole rows where the column side fits a broadcast of checked
+size, else block joins (``operators.blocks``); everything else of a step is one pass
 that writes the basis with its images and a Gram matrix, and a small dense
 problem on the driver.  Images are carried along, so nothing is multiplied twice,
 converged vectors are no longer multiplied, and tables of earlier steps are
@@ -21,8 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankforge.operators.blocks import (beside, block_index, blocks_of, dense, gram_of, id_blocks, mapped, panels, placed, product, unblocked,
-                                        with_gram)
+from rankforge.operators.blocks import (beside, block_index, blocks_of, dense, fits, gram_of, id_blocks, mapped, panels, placed, product, row_panels,
+                                        row_product, unblocked, with_gram)
 from rankforge.operators.ranking import global_rank
 from rankforge.session import discard, materialize
 
@@ -104,11 +105,21 @@ def truncated_svd(entries: DataFrame, k: int, oversample: int = 20, seed: int =
     base = materialize(entries.select("row", "col", F.col("val").cast("double").alias("val")))
     (rows, row_blocks), (cols, col_blocks) = (block_index(base.select(c).distinct(), c) for c in ("row", "col"))
     at = placed(base, rows, cols)
-    by_cols, by_rows = panels(at, "c", "r"), panels(at, "r", "c")
+    # one pass over whole rows where the column side can be broadcast, else block joins over both orders
+    whole = row_panels(at) if fits(col_blocks, max(k, 0) + oversample) else None
+    by_cols, by_rows = (None, None) if whole is not None else (panels(at, "c", "r"), panels(at, "r", "c"))
+    shared = []
     row_ids, col_ids = id_blocks(rows), id_blocks(cols)
     discard(base, at)
 
+    def times(x, width, square=False):
+        out, held = row_product(whole, x, width, col_blocks, col_blocks if square else row_blocks, square)
+        shared.append(held)
+        return out
+
     def image(x, width):                              # Cᵀ C x
+        if whole is not None:
+            return times(x, width, square=True)
         return product(by_rows, product(by_cols, x, width, col_blocks, row_blocks), width, row_blocks, col_blocks)
 
     def start(b, raw, width):
@@ -127,9 +138,10 @@ def truncated_svd(entries: DataFrame, k: int, oversample: int = 20, seed: int =
     for _ in range(max_steps):
         v = carry[:, carry.shape[1] - wv:]
         once = materialize(image(mapped(state, lambda b, raw, t=total, v=v: dense(raw, t) @ v), wv))
-        whole = beside(beside(state, once.withColumnRenamed("m", "m1"), "b", col_blocks, wv), image(once, wv).withColumnRenamed("m", "m2"), "b", col_blocks, wv)
-        written = with_gram(whole, lambda r, t=total, c=carry, w=wv: np.hstack([dense(r["m"], t) @ c, dense(r["m1"], w), dense(r["m2"], w)]))
+        basis = beside(beside(state, once.withColumnRenamed("m", "m1"), "b", col_blocks, wv), image(once, wv).withColumnRenamed("m", "m2"), "b", col_blocks, wv)
+        written = with_gram(basis, lambda r, t=total, c=carry, w=wv: np.hstack([dense(r["m"], t) @ c, dense(r["m1"], w), dense(r["m2"], w)]))
         discard(state, once)
+        _destroy(shared)
         state, total, g = blocks_of(written), carry.shape[1] + 2 * wv, gram_of(written)
         if not len(g) or not np.trace(g[-wv:, -wv:]) > 0:
             return no_factors()
@@ -149,12 +161,18 @@ def truncated_svd(entries: DataFrame, k: int, oversample: int = 20, seed: int =
     factors, sigma, residual = done
     discard(state)
     n = len(sigma)
-    left = product(by_cols, factors, n, col_blocks, row_blocks)
+    left = times(factors, n) if whole is not None else product(by_cols, factors, n, col_blocks, row_blocks)
     out = unblocked(mapped(left, lambda b, raw: dense(raw, n) / sigma), row_ids, n), unblocked(factors, col_ids, n), sigma, residual
-    discard(factors, by_cols, by_rows, row_ids, col_ids, rows, cols)
+    discard(factors, *((by_cols, by_rows) if whole is None else (whole,)), row_ids, col_ids, rows, cols)
+    _destroy(shared)
     return out
 
 
+def _destroy(shared: list):
+    while shared:
+        shared.pop().destroy()
+
+
 def _polished(state: DataFrame, total: int, x: np.ndarray, ax: np.ndarray, k: int):
     """(column factors as dense blocks, sigma, residuals) of the first k Ritz vectors, from the vectors themselves."""
     both, w = np.hstack([x, ax]), x.shape[1]

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from rankforge.operators import blocks
 from rankforge.operators.factorize import gram, top_lists, top_scores, truncated_svd
 from rankforge.plans.svd import SVD
 from rankforge.sources import codec, io
@@ -14,8 +15,12 @@ def numpy_reference_svd(dense, k):
     return u[:, :k], s[:k], vt[:k].T
 
 
-def test_truncated_svd_of_a_flat_spectrum(spark):
-    # k + oversample far below the rank, singular values close together
+@pytest.mark.parametrize("limits", [{}, {"PANEL_ENTRIES": 60, "BLOCK_IDS": 64}, {"PANEL_ENTRIES": 20}, {"BROADCAST_BYTES": 0, "BLOCK_IDS": 64}])
+def test_truncated_svd_of_a_flat_spectrum(spark, monkeypatch, limits):
+    # k + oversample far below the rank, singular values close together; whole rows, several blocks and panels of
+    # them, rows too long for a panel, and a column side too large for a broadcast
+    for name, value in limits.items():
+        monkeypatch.setattr(blocks, name, value)
     rng = np.random.default_rng(3)
     dense = rng.normal(size=(400, 300)) * (rng.random((400, 300)) < 0.1)
     i, j = np.nonzero(dense)
