@@ -14,18 +14,17 @@ bound a model to words and n-grams of at least 1/``words`` and 1/``grams`` of th
 tokens; by default nothing is left out.
 
 Probabilities are by absolute discounting.  The failure weight of a context makes
-its distribution sum to one.  In logarithms a token's score is a sum over the kept
-n-grams that end at it or at the token before: the weight of each context, and for
-each n-gram ``delta``, what its probability is above the backed-off one.  An n-gram
-that was not kept adds nothing.  Unknown words have the smoothed unigram.
-
-These are the arc and failure weights of a backoff automaton whose states are the
-kept n-grams; they are added up by key, not by walking the states, because no task
-holds the whole automaton.  This departs from the method (README, with figures).
-
-Scoring reads each text once.  The ``TABLE`` or fewer most frequent entries of the
-model are broadcast; the other n-grams of a text that may be in the model are
-joined with it by a shuffle, once per text and n-gram.
+its distribution sum to one.  The kept n-grams are the states of a backoff automaton:
+from a state, the arc of a token leads to the n-gram one longer and carries its log
+probability; without that arc, the failure arc leads to the state's suffix and carries
+the failure weight.  Unknown words have the smoothed unigram and lead to the root.
+
+No task holds the whole automaton.  Texts are cut into slices of about ``SLICE`` bytes.
+The ``TABLE`` or fewer most frequent states are broadcast; a slice asks for the others that
+it may need, once each, by ranges of keys, and is joined with the answers.  Each slice
+then has the part of the automaton that its texts can reach, and one traversal from left to
+right carries the state of every text and adds up the arcs.  Texts are walked side by
+side, long ones in runs of ``RUN`` tokens, each from the state that the tokens before it lead to.
 
 Tokens: maximal runs without 09-0D and 20, A-Z lowered, then one end token.
 Defined results: null is the empty text, whose only token is the end; rows are
@@ -43,6 +42,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -56,6 +56,8 @@ DISCOUNT = 0.5
 ADD = 0.1
 FLUSH = 1_500_000          # distinct keys a task holds before it sends them on
 RANGE_ROWS = 1_000_000     # n-grams of one range of keys, about
+SLICE = 2_000_000          # bytes of the texts that are scored together, or one text
+RUN = 512                  # tokens of a text that are walked one after the other
 MAP_BITS = 29              # a filter of keys holds at most 2^29 bits
 END = np.uint64(0x0E0F)
 
@@ -229,18 +231,22 @@ class Model:
     distinct: int = 0                  # V
     order: int = ORDER
     table: HashTable = field(default_factory=lambda: HashTable(np.zeros(0), np.zeros(0, np.int64)))
-    delta: np.ndarray = field(default_factory=lambda: np.zeros(1))     # per table row, last for misses
-    back: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    arc: np.ndarray = field(default_factory=lambda: np.zeros(0))       # per table row: log10 of the n-gram's probability
+    back: np.ndarray = field(default_factory=lambda: np.zeros(0))      # and its failure weight
     rest: np.ndarray = field(default_factory=lambda: np.zeros(1 << 13, np.uint8))
 
     @property
     def mass(self) -> float:
         return self.tokens + ADD * (self.distinct + 1)
 
+    @property
+    def unknown(self) -> float:
+        return math.log10(ADD / self.mass)
+
 
 def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, words: float = WORDS, grams_share: float = GRAMS,
           table: int = TABLE) -> tuple[Model, DataFrame]:
-    """(what is broadcast, the whole model as a table: key, c, one (is a word), delta, back)."""
+    """(what is broadcast, the states that are not, as a table: key, arc, back)."""
     own = docs.select(F.col(text_col).alias("text"))
 
     def unigrams(texts):
@@ -252,7 +258,7 @@ def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, words: fl
     model = Model(int(total.n or 0), int(total.v), order)
     counts = counts.withColumn("p", (F.col("c") + ADD) / model.mass)
     below = counts.where(F.col("c") * F.lit(float(words)) >= model.tokens)
-    level = counts.select("key", "c", F.log10("p").alias("delta"))
+    level = counts.select("key", "c", F.log10("p").alias("arc"))
     parts, written, shared = [], [counts], None
     for m in range(2, order + 1):
         found = _repeated_grams(own, m, model.tokens, shared).where(F.col("c") * F.lit(float(grams_share)) >= model.tokens)
@@ -265,12 +271,12 @@ def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, words: fl
         back = stable(kept.groupBy("prefix").agg(F.log10(F.greatest(left, F.lit(1e-12)) / F.greatest(1 - F.sum("lower"), F.lit(1e-12))).alias("back")))
         written.append(back)
         parts.append(level.join(back.withColumnRenamed("prefix", "key"), "key", "left")
-                     .select("key", "c", F.lit(m == 2).alias("one"), "delta", F.coalesce("back", F.lit(0.0)).alias("back")))
-        level = kept.join(back, "prefix").select("key", "c", (F.log10(F.col("p") / F.col("lower")) - F.col("back")).alias("delta"))
+                     .select("key", "c", "arc", F.coalesce("back", F.lit(0.0)).alias("back")))
+        level = kept.select("key", "c", F.log10("p").alias("arc"))
         below = kept.select("key", "c", "p")
         if m < order:
             shared = own.sparkSession.sparkContext.broadcast(key_filter(below))
-    parts.append(level.select("key", "c", F.lit(order == 1).alias("one"), "delta", F.lit(0.0).alias("back")))
+    parts.append(level.select("key", "c", "arc", F.lit(0.0).alias("back")))
     values = stable(functools.reduce(DataFrame.unionByName, parts))
     discard(*written)
     # least count of the broadcast table, from a histogram of a fixed number of classes
@@ -281,41 +287,149 @@ def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, words: fl
         if held + r.n > table:
             break
         held, least = held + r.n, r.level
-    top = values.where(size >= least).select("key", "delta", "back").orderBy("key").toPandas()      # at most ``table`` rows
+    top = values.where(size >= least).select("key", "arc", "back").orderBy("key").toPandas()      # at most ``table`` rows
     model.table = HashTable(top["key"].to_numpy().astype(np.int64).astype(np.uint64), np.arange(len(top)))
-    model.delta, model.back = (np.append(top[x].to_numpy().astype(float), 0.0) for x in ("delta", "back"))
-    others = values.where(size < least)
+    model.arc, model.back = (top[x].to_numpy().astype(float) for x in ("arc", "back"))
+    others = values.where(size < least).select("key", "arc", "back")
     model.rest = key_filter(others.select("key"))
     return model, others
 
 
-def score_texts(model: Model, texts: list[str]):
-    """Per text: tokens, known tokens, base and model log10 sums over the broadcast table; and per n-gram
-    of a text that may be in the rest of the model (text, key, times, times before another token)."""
-    keys, begin, first, past = stream(texts)
-    n = len(texts)
-    text = np.repeat(np.arange(n), past - first)
-    last = np.zeros(len(keys), bool)
-    last[past - 1] = True
-    known, base, score = np.zeros(n, np.int64), np.zeros(n), np.zeros(n)
-    rare = []
-    for m, (g, ok) in enumerate(grams(keys, begin, model.order), start=1):
-        ends, context = ok & ~begin, ok & ~last
-        row = model.table.get(g)
-        score += np.bincount(text, model.delta[row] * ends + model.back[row] * context, minlength=n)
-        if m == 1:
-            base += np.bincount(text, model.delta[row] * ends, minlength=n)
-            known += np.bincount(text, ends & (row >= 0), minlength=n).astype(np.int64)
-        at = np.flatnonzero(ok & (row < 0))
-        at = at[may_hold(model.rest, g[at])]
-        rare.append((text[at], g[at].astype(np.int64), ends[at], context[at]))
-    t, k, ends, context = (np.concatenate(x) for x in zip(*rare))
-    by = np.lexsort((k, t))
-    t, k, ends, context = t[by], k[by], ends[by], context[by]
-    new = np.flatnonzero(np.concatenate([[True], (t[1:] != t[:-1]) | (k[1:] != k[:-1])])) if len(t) else np.zeros(0, np.int64)
-    if len(t):
-        ends, context = (np.add.reduceat(x.astype(np.int32), new) for x in (ends, context))
-    return past - first - 1, known, base, score, t[new], k[new], ends.astype(np.int32), context.astype(np.int32)
+def wanted(model: Model, texts: list[str]) -> np.ndarray:
+    """Keys of the n-grams of the texts that may be states and are not broadcast, once each, in order."""
+    keys, begin, _, _ = stream(texts)
+    found = []
+    for g, ok in grams(keys, begin, model.order):
+        g = np.unique(g[ok])
+        g = g[model.table.get(g) < 0]
+        found.append(g[may_hold(model.rest, g)])
+    return np.unique(np.concatenate(found))
+
+
+class Automaton:
+    """The states that some texts can reach: those broadcast and those gathered (keys in order, arcs, failure weights)."""
+
+    def __init__(self, model: Model, keys: np.ndarray, arc: np.ndarray, back: np.ndarray):
+        self.model, self.keys = model, keys
+        self.arc, self.back = np.concatenate([model.arc, arc]), np.concatenate([model.back, back])
+
+    def states(self, g: np.ndarray, ok: np.ndarray) -> np.ndarray:
+        """State of each key, -1 where there is none."""
+        out = np.where(ok, self.model.table.get(g), -1)
+        if len(self.keys):
+            at = np.flatnonzero(ok & (out < 0))
+            place = np.minimum(np.searchsorted(self.keys, g[at]), len(self.keys) - 1)
+            hit = self.keys[place] == g[at]
+            out[at[hit]] = len(self.model.arc) + place[hit]
+        return out
+
+    def score(self, texts: list[str]):
+        """Per text: tokens, known tokens, log10 of the unigrams, log10 of the model."""
+        keys, begin, first, past = stream(texts)
+        order, n = self.model.order, len(texts)
+        ends = [self.states(g, ok) for g, ok in grams(keys, begin, order)]       # ends[m - 1]: the state of m tokens that ends here
+        text = np.repeat(np.arange(n), past - first)[~begin]
+        word = ends[0][~begin]
+        base = np.where(word >= 0, self.arc[word], self.model.unknown) if len(self.arc) else np.full(len(word), self.model.unknown)
+        known = np.bincount(text, word >= 0, minlength=n).astype(np.int64)
+        # runs: (first token, number of tokens, text), longest first
+        size = past - first - 1
+        per = -(-size // RUN)
+        own = np.repeat(np.arange(n), per)
+        skip = RUN * (np.arange(len(own)) - np.repeat(np.cumsum(per) - per, per))
+        start, length = first[own] + 1 + skip, np.minimum(size[own] - skip, RUN)
+        by = np.argsort(-length, kind="stable")
+        own, start, length = own[by], start[by], length[by]
+        state, level = np.full(len(own), -1), np.zeros(len(own), np.int64)
+        for m in range(1, order):                          # the state that the tokens before a run lead to
+            s = ends[m - 1][start - 1]
+            state, level = np.where(s >= 0, s, state), np.where(s >= 0, m, level)
+        total = np.zeros(len(own))
+        live = len(own)
+        for t in range(int(length.max(initial=0))):
+            while length[live - 1] <= t:
+                live -= 1
+            at, s, lev = start[:live] + t, state[:live], level[:live]
+            for m in range(order, 1, -1):                  # failure arcs, from the longest states down
+                fail = np.flatnonzero((lev == m - 1) & (ends[m - 1][at] < 0))
+                if len(fail):
+                    total[fail] += self.back[s[fail]]
+                    lev[fail] = m - 2
+                    s[fail] = ends[m - 3][at[fail] - 1] if m > 2 else -1
+            for m in range(order):                         # the arc of the token
+                go = np.flatnonzero(lev == m)
+                to = ends[m][at[go]]
+                ok = to >= 0                               # without it (an unknown word) the root stays
+                total[go[ok]] += self.arc[to[ok]]
+                total[go[~ok]] += self.model.unknown
+                s[go] = to if m + 1 < order else ends[m - 1][at[go]] if m else -1
+                lev[go] = -1 - np.where(ok, min(m + 1, order - 1), 0)          # marked, so that no token is read twice
+            np.subtract(-1, lev, out=lev)
+        return size, known, np.bincount(text, base, minlength=n), np.bincount(own, total, minlength=n)
+
+
+def _by_range(keys: np.ndarray, bits: int):
+    """(range, slice of the sorted keys) of the ranges that hold any."""
+    edge = np.searchsorted(keys, np.arange(1, 1 << bits).astype(np.uint64) << np.uint64(64 - bits)).tolist()
+    return [(r, slice(a, z)) for r, (a, z) in enumerate(zip([0, *edge], [*edge, len(keys)])) if z > a]
+
+
+def _gathered(cut: DataFrame, others: DataFrame, shared, bits: int) -> DataFrame:
+    """(sid, keys, arc, back), packed: the states that slices ask for, found one range of keys at a time."""
+    schema = "r int, sid long, keys binary, arc binary, back binary"
+
+    def row(r, sid, *arrays):
+        return pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([sid], pa.int64()),
+                                           *(pa.array([None if x is None else x.tobytes()], pa.binary()) for x in arrays)],
+                                          ["r", "sid", "keys", "arc", "back"])
+
+    def ask(batches):
+        for batch in batches:
+            for sid, texts in zip(batch.column("sid").to_pylist(), batch.column("texts")):
+                keys = wanted(shared.value, texts_of(texts.values))
+                for r, own in _by_range(keys, bits):
+                    yield row(r, sid, keys[own], None, None)
+
+    def offer(batches):
+        def send():
+            keys, arc, back = (np.concatenate(x) for x in zip(*held))
+            by = np.argsort(keys)
+            keys, arc, back = keys[by], arc[by], back[by]
+            for r, own in _by_range(keys, bits):
+                yield row(r, -1, keys[own], arc[own], back[own])
+
+        held, size = [], 0
+        for batch in batches:
+            held.append((batch.column("key").to_numpy().astype(np.uint64), batch.column("arc").to_numpy(), batch.column("back").to_numpy()))
+            size += batch.num_rows
+            if size > FLUSH:
+                yield from send()
+                held, size = [], 0
+        if size:
+            yield from send()
+
+    def answer(batches):
+        last, held, model = None, [], None
+        for batch in batches:
+            for r, sid, keys, arc, back in zip(batch.column("r").to_pylist(), batch.column("sid").to_pylist(), *(batch.column(x) for x in ("keys", "arc", "back"))):
+                if r != last:
+                    last, held, model = r, [], None
+                keys = np.frombuffer(keys.as_py(), np.uint64)
+                if sid < 0:                                        # the states of a range come before what is asked of it
+                    held.append((keys, np.frombuffer(arc.as_py()), np.frombuffer(back.as_py())))
+                    continue
+                if model is None:
+                    model = [np.concatenate(x) for x in zip(*held)] if held else [np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)]
+                    by = np.argsort(model[0])
+                    model, held = [x[by] for x in model], []
+                if len(model[0]):
+                    at = np.minimum(np.searchsorted(model[0], keys), len(model[0]) - 1)
+                    at = at[model[0][at] == keys]
+                    if len(at):
+                        yield row(r, sid, *(x[at] for x in model))
+
+    dealt = cut.mapInArrow(ask, schema).unionByName(others.mapInArrow(offer, schema))
+    return dealt.repartitionById(1 << bits, F.col("r")).sortWithinPartitions("r", "sid").mapInArrow(answer, schema).drop("r")
 
 
 def lm_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
@@ -323,30 +437,38 @@ def lm_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_co
     """Per row of ``docs``: id, n_tokens, n_known, train_tokens, base_score, score; learned from ``train``."""
     model, others = learn(train, text_col, order, words, grams, table)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    names = ["id", "rid", "n_tokens", "known", "base", "model", "rare", "times", "before"]
 
-    def run(batches):
+    def pack(batches):
+        n = 0
         for batch in batches:
-            for part in slices(batch, "text", 4_000_000):
-                n, known, base, score, t, k, times, before = score_texts(shared.value, texts_of(part.column("text")))
-                off = pa.array(np.searchsorted(t, np.arange(part.num_rows + 1)), pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), part.column("rid"), pa.array(n, pa.int64()), pa.array(known), pa.array(base), pa.array(score),
-                     *(pa.ListArray.from_arrays(off, pa.array(x)) for x in (k, times, before))], names)
-
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("rid", F.monotonically_increasing_id())
+            for part in slices(batch, "text", SLICE):
+                off = pa.array([0, part.num_rows], pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() << 32 | n], pa.int64()),
+                                                  pa.ListArray.from_arrays(off, part.column("id")), pa.ListArray.from_arrays(off, part.column("text"))],
+                                                 ["sid", "ids", "texts"])
+                n += 1
+
+    def walk(batches):
+        last, held = None, []
+        for batch in batches:
+            for i, sid in enumerate(batch.column("sid").to_pylist()):
+                if sid != last:
+                    last, held = sid, []
+                keys = batch.column("keys")[i]
+                if keys.is_valid:                                  # the states of a slice come before its texts
+                    held.append((np.frombuffer(keys.as_py(), np.uint64), *(np.frombuffer(batch.column(x)[i].as_py()) for x in ("arc", "back"))))
+                    continue
+                own = [np.concatenate(x) for x in zip(*held)] if held else [np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)]
+                by = np.argsort(own[0])
+                out = Automaton(shared.value, *(x[by] for x in own)).score(texts_of(batch.column("texts")[i].values))
+                yield pa.RecordBatch.from_arrays([batch.column("ids")[i].values, *map(pa.array, out)], ["id", "n_tokens", "n_known", "base_score", "score"])
+
+    narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    scored = stable(narrow.mapInArrow(run, f"id {kind}, rid long, n_tokens long, known long, base double, model double, "
-                                           "rare array<long>, times array<int>, before array<int>"))
-    rare = scored.select("rid", F.explode(F.arrays_zip("rare", "times", "before")).alias("x")) \
-        .select("rid", F.col("x.rare").alias("key"), "x.times", "x.before")
-    word = F.when(F.col("one"), F.col("times")).otherwise(0)
-    rest = rare.join(others, "key").groupBy("rid").agg(
-        F.sum(F.col("times") * F.col("delta") + F.col("before") * F.col("back")).alias("more"),
-        F.sum(word * F.col("delta")).alias("words"), F.sum(word).alias("seen"))
-    out = scored.drop("rare", "times", "before").join(rest, "rid", "left").fillna(0, ["more", "words", "seen"]) \
-        .withColumn("n_known", F.col("known") + F.col("seen"))
-    unknown = (F.col("n_tokens") - F.col("n_known")) * math.log10(ADD / model.mass)
-    return out.select("id", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
-                      (F.col("base") + F.col("words") + unknown).alias("base_score"),
-                      (F.col("model") + F.col("more") + unknown).alias("score"))
+    cut = stable(narrow.mapInArrow(pack, f"sid long, ids array<{kind}>, texts array<string>"))
+    found = stable(_gathered(cut, others, shared, max(4, (model.tokens // RANGE_ROWS).bit_length())))
+    discard(others)
+    both = found.unionByName(cut, allowMissingColumns=True)
+    scored = both.repartition("sid").sortWithinPartitions("sid", F.col("keys").isNull()).mapInArrow(
+        walk, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
+    return scored.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
