@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.session import discard, materialize as stable  # noqa: F401
+from rankforge.session import discard, materialize as stable, shuffles_released  # noqa: F401
 
 SLICE_CHARS = 1_500_000
 

@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import HashTable, discard, hash_texts, mix64, slices, stable, texts_of
+from rankforge.llm.common import HashTable, discard, hash_texts, mix64, shuffles_released, slices, stable, texts_of
 
 ORDER = 3
 WORDS = math.inf           # all words and all repeated n-grams are in the model
@@ -137,8 +137,10 @@ def key_filter(keys: DataFrame) -> np.ndarray:
         own[pdf["bit"].to_numpy() & ((1 << page) - 1)] = True
         return pd.DataFrame({"page": [int(key[0])], "bits": [np.packbits(own).tobytes()]})
 
-    rows = keys.select(F.shiftrightunsigned("key", 64 - bits).alias("bit")).distinct() \
-        .groupBy(F.shiftright("bit", page).alias("page")).applyInPandas(pack, "page long, bits binary").collect()
+    pages = keys.select(F.shiftrightunsigned("key", 64 - bits).alias("bit")).groupBy(F.shiftright("bit", page).alias("page")) \
+        .applyInPandas(pack, "page long, bits binary")
+    with shuffles_released(keys.sparkSession):
+        rows = pages.collect()
     out = np.zeros((1 << bits - page, 1 << page >> 3), np.uint8)
     for r in rows:
         out[r.page] = np.frombuffer(r.bits, np.uint8)
@@ -281,13 +283,14 @@ def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, words: fl
     discard(*written)
     # least count of the broadcast table, from a histogram of a fixed number of classes
     size = F.floor(F.log2(F.col("c")) * 8).cast("int")
-    hist = values.groupBy(size.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
+    with shuffles_released(own.sparkSession):
+        hist = values.groupBy(size.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
     held, least = 0, 1 << 30
     for r in hist:
         if held + r.n > table:
             break
         held, least = held + r.n, r.level
-    top = values.where(size >= least).select("key", "arc", "back").orderBy("key").toPandas()      # at most ``table`` rows
+    top = values.where(size >= least).select("key", "arc", "back").toPandas()      # at most ``table`` rows
     model.table = HashTable(top["key"].to_numpy().astype(np.int64).astype(np.uint64), np.arange(len(top)))
     model.arc, model.back = (top[x].to_numpy().astype(float) for x in ("arc", "back"))
     others = values.where(size < least).select("key", "arc", "back")
@@ -374,8 +377,20 @@ def _by_range(keys: np.ndarray, bits: int):
     return [(r, slice(a, z)) for r, (a, z) in enumerate(zip([0, *edge], [*edge, len(keys)])) if z > a]
 
 
+def _coded(x: np.ndarray) -> np.ndarray:
+    """Bytes of values that repeat much (they are ratios of small counts): number of values, values, a code of 1, 2 or 4 bytes for each."""
+    value, code = np.unique(x, return_inverse=True)
+    kind = np.min_scalar_type(max(len(value) - 1, 0))
+    return np.frombuffer(np.int64(len(value)).tobytes() + value.tobytes() + code.astype(kind).tobytes(), np.uint8)
+
+
+def _decoded(raw: bytes) -> np.ndarray:
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    return np.frombuffer(raw, np.float64, n, 8)[np.frombuffer(raw, np.min_scalar_type(max(n - 1, 0)), -1, 8 + 8 * n)]
+
+
 def _gathered(cut: DataFrame, others: DataFrame, shared, bits: int) -> DataFrame:
-    """(sid, keys, arc, back), packed: the states that slices ask for, found one range of keys at a time."""
+    """(sid, keys, arc, back), packed, the last two coded: the states that slices ask for, found one range of keys at a time."""
     schema = "r int, sid long, keys binary, arc binary, back binary"
 
     def row(r, sid, *arrays):
@@ -426,7 +441,7 @@ def _gathered(cut: DataFrame, others: DataFrame, shared, bits: int) -> DataFrame
                     at = np.minimum(np.searchsorted(model[0], keys), len(model[0]) - 1)
                     at = at[model[0][at] == keys]
                     if len(at):
-                        yield row(r, sid, *(x[at] for x in model))
+                        yield row(r, sid, model[0][at], *(_coded(x[at]) for x in model[1:]))
 
     dealt = cut.mapInArrow(ask, schema).unionByName(others.mapInArrow(offer, schema))
     return dealt.repartitionById(1 << bits, F.col("r")).sortWithinPartitions("r", "sid").mapInArrow(answer, schema).drop("r")
@@ -456,7 +471,7 @@ def lm_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_co
                     last, held = sid, []
                 keys = batch.column("keys")[i]
                 if keys.is_valid:                                  # the states of a slice come before its texts
-                    held.append((np.frombuffer(keys.as_py(), np.uint64), *(np.frombuffer(batch.column(x)[i].as_py()) for x in ("arc", "back"))))
+                    held.append((np.frombuffer(keys.as_py(), np.uint64), *(_decoded(batch.column(x)[i].as_py()) for x in ("arc", "back"))))
                     continue
                 own = [np.concatenate(x) for x in zip(*held)] if held else [np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)]
                 by = np.argsort(own[0])
