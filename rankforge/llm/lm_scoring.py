@@ -232,11 +232,16 @@ class Model:
     tokens: int = 0                    # N
     distinct: int = 0                  # V
     order: int = ORDER
-    table: HashTable = field(default_factory=lambda: HashTable(np.zeros(0), np.zeros(0, np.int64)))
-    arc: np.ndarray = field(default_factory=lambda: np.zeros(0))       # per table row: log10 of the n-gram's probability
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    arc: np.ndarray = field(default_factory=lambda: np.zeros(0))       # per key: log10 of the n-gram's probability
     back: np.ndarray = field(default_factory=lambda: np.zeros(0))      # and its failure weight
     rest: np.ndarray = field(default_factory=lambda: np.zeros(1 << 13, np.uint8))
 
+    @functools.cached_property
+    def table(self) -> HashTable:
+        """Place of each key; every worker builds its own, which is larger than what is broadcast."""
+        return HashTable(self.keys, np.arange(len(self.keys)))
+
     @property
     def mass(self) -> float:
         return self.tokens + ADD * (self.distinct + 1)
@@ -291,7 +296,7 @@ def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, words: fl
             break
         held, least = held + r.n, r.level
     top = values.where(size >= least).select("key", "arc", "back").toPandas()      # at most ``table`` rows
-    model.table = HashTable(top["key"].to_numpy().astype(np.int64).astype(np.uint64), np.arange(len(top)))
+    model.keys = top["key"].to_numpy().astype(np.int64).astype(np.uint64)
     model.arc, model.back = (top[x].to_numpy().astype(float) for x in ("arc", "back"))
     others = values.where(size < least).select("key", "arc", "back")
     model.rest = key_filter(others.select("key"))
