@@ -62,6 +62,40 @@ def test_empty_matrix(spark):
     assert S.top_neighbors(none, "u", "i", 3).count() == 0
 
 
+def communities(spark, n):
+    rnd = random.Random(5)
+    rows = [(g * 100 + u, g * 100 + rnd.randint(0, 30), 1.0) for g in range(n) for u in range(20) for _ in range(6)]
+    return spark.createDataFrame(sorted(set(rows)), "key long, id long, w double")
+
+
+def dealt_entries(m, ids):
+    entries = m.join(m.groupBy("id").agg(F.sum(F.col("w") * F.col("w")).alias("nsq")), "id").withColumn("blk", F.floor(F.col("id") / ids).cast("int"))
+    rows, _ = S._dealt(entries)
+    return rows.where("ord >= 0").select(F.sum(F.size("ids")), F.max(F.size("ids"))).first()
+
+
+def test_blocks_get_the_entries_on_their_keys(spark, monkeypatch):
+    """Blocks without a common key never meet, and no shuffled row is long however many ids a key has."""
+    monkeypatch.setattr(S, "ROW_ENTRIES", 7)
+    one, eight = (dealt_entries(communities(spark, n), 50)[0] for n in (1, 8))
+    assert eight <= 8.8 * one                     # the matrix times the blocks would be 64 times as much
+    total, longest = dealt_entries(spark.range(500).select(F.lit(1).cast("long").alias("key"), "id", F.lit(1.0).alias("w")), 100)
+    assert total == 500 * 5 and longest == 7
+
+
+def test_slices(spark, monkeypatch):
+    """Lists are the same when a block meets many slices of short rows."""
+    m = communities(spark, 2).unionByName(spark.range(200).select(F.lit(7).cast("long").alias("key"), "id", F.lit(2.0).alias("w"))) \
+        .groupBy("key", "id").agg(F.sum("w").alias("w"))
+    rows = [tuple(r) for r in m.select("key", "id", "w").collect()]
+    for name, v in (("BLOCK_IDS", 8), ("BLOCK_ENTRIES", 60), ("SLICE_BLOCKS", 2), ("ROW_ENTRIES", 3), ("CELLS", 11)):
+        monkeypatch.setattr(S, name, v)
+    got = {}
+    for r in S.top_neighbors(m, "key", "id", 4).orderBy("id_a", "rank").collect():
+        got.setdefault(r.id_a, []).append(r.id_b)
+    assert got == brute_neighbors(rows, 4)
+
+
 @pytest.mark.parametrize("ratio", [0.0, 0.2, 0.5, 0.999, 1.0])
 def test_chronological_cut(spark, ratio):
     rnd = random.Random(3)
