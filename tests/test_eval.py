@@ -74,6 +74,23 @@ def test_diversity_identity_matches_pairs(spark):
     assert got == pytest.approx(tot / n, abs=1e-12)
 
 
+def test_catalog_is_not_broadcast(spark):
+    """Vectors and shares, as large as the catalog, are shuffled; hot items change no result."""
+    rdf = spark.createDataFrame([(u, i, i) for u in range(40) for i in (1, 2, 3, u + 10)], "user_id long, item_id long, rank int")
+    vec = spark.createDataFrame([(i, f"c:{i % 3}", 0.6) for i in range(60)] + [(i, f"t:{i % 2}", 0.8) for i in range(60)],
+                                "item_id long, feature string, w double")
+    share = spark.createDataFrame([(i, 0.01) for i in range(60)], "item_id long, share double")
+    plain = EV.list_diversity(rdf, vec)
+    for df in (plain, EV.list_novelty(rdf, share)):
+        assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    spark.conf.set("rankforge.skew.chunkRows", "4")
+    try:
+        salted = EV.list_diversity(rdf, vec)
+        assert {r.user_id: round(r.diversity, 12) for r in salted.collect()} == {r.user_id: round(r.diversity, 12) for r in plain.collect()}
+    finally:
+        spark.conf.unset("rankforge.skew.chunkRows")
+
+
 def test_coverage_and_novelty(spark):
     rdf = spark.createDataFrame([(1, 1, 1), (1, 2, 2), (2, 2, 1)], "user_id long, item_id long, rank int")
     items = spark.createDataFrame([(i,) for i in range(1, 5)], "item_id long")
