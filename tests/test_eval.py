@@ -100,3 +100,17 @@ def test_coverage_and_novelty(spark):
     import math
     assert nov[2] == pytest.approx(-math.log2(1e-10 + 1e-10))
     assert nov[1] == pytest.approx((-math.log2(0.5 + 1e-10) - math.log2(2e-10)) / 2)
+
+
+def test_new_user_fits_read_one_table(spark, monkeypatch):
+    """The join that makes the interactions runs once for all fits of new_user_recs."""
+    from rankforge.plans.popularity import Popularity
+    from rankforge.registry.hybrid_queries import new_user_recs
+    plans, fit = [], Popularity.fit
+
+    def seen(self, interactions, *rest):
+        plans.append(interactions._jdf.queryExecution().optimizedPlan().toString())
+        return fit(self, interactions, *rest)
+    monkeypatch.setattr(Popularity, "fit", seen)
+    assert new_user_recs(spark, SF_SMALL).count() > 0
+    assert len(plans) == 2 and not any("Join" in p for p in plans)
