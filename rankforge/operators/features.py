@@ -14,6 +14,7 @@ from rankforge.functions.exprs import days_between, event_weight, freshness
 from rankforge.operators.matrix import with_totals
 from rankforge.operators.ranking import dense_index, top_n_per_group
 from rankforge.operators.skew import salt_sides
+from rankforge.session import materialize
 
 
 def user_category_weights(interactions: DataFrame, items: DataFrame) -> DataFrame:
@@ -22,8 +23,9 @@ def user_category_weights(interactions: DataFrame, items: DataFrame) -> DataFram
     Events are first summed per (user, item) on the map side, so a hot item
     brings one row per user to the join, and the join is salted.
     """
-    cells = (interactions.groupBy("user_id", "item_id")
-             .agg(F.sum(event_weight("interaction_type")).alias("weight")))
+    # read twice, by the count of hot items and by the join
+    cells = materialize(interactions.groupBy("user_id", "item_id")
+                        .agg(F.sum(event_weight("interaction_type")).alias("weight")))
     left, right = salt_sides(cells, items.select("item_id", "category"), ["item_id"], F.col("user_id"))
     return (left.join(right, ["item_id", "_salt"])
             .groupBy("user_id", "category").agg(F.sum("weight").alias("weight")))
