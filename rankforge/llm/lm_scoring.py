@@ -8,23 +8,28 @@ Learning counts all training rows, in Spark:
   the level below, as a hash filter of at most 2^``MAP_BITS`` bits, keep most n-grams
   that cannot repeat out of the shuffle.
 
-The model grows with the corpus: kept n-grams stay in partitioned tables, joined
-with those of their prefixes and suffixes by shuffles.  ``words`` and ``grams`` can
-bound a model to words and n-grams of at least 1/``words`` and 1/``grams`` of the
-tokens; by default nothing is left out.
+The model grows with the corpus: kept n-grams stay in partitioned tables, a row for a
+range of keys, and meet those of their prefixes and suffixes by shuffles of such rows.
+The key of an n-gram and its prefix give the suffix back, so it is not stored.  ``words``
+and ``grams`` can bound a model to words and n-grams of at least 1/``words`` and
+1/``grams`` of the tokens; by default nothing is left out.
 
 Probabilities are by absolute discounting.  The failure weight of a context makes
 its distribution sum to one.  The kept n-grams are the states of a backoff automaton:
 from a state, the arc of a token leads to the n-gram one longer and carries its log
 probability; without that arc, the failure arc leads to the state's suffix and carries
 the failure weight.  Unknown words have the smoothed unigram and lead to the root.
-
-No task holds the whole automaton.  Texts are cut into slices of about ``SLICE`` bytes.
-The ``TABLE`` or fewer most frequent states are broadcast; a slice asks for the others that
-it may need, once each, by ranges of keys, and is joined with the answers.  Each slice
-then has the part of the automaton that its texts can reach, and one traversal from left to
-right carries the state of every text and adds up the arcs.  Texts are walked side by
-side, long ones in runs of ``RUN`` tokens, each from the state that the tokens before it lead to.
+The tables hold whole numbers: a state's count and sums over the arcs from it.  With the
+counts of its prefix and suffix, which are states too, they give its arc and failure weight.
+
+No task holds the whole automaton.  The rows are scored in ``ROUNDS`` parts, one after the
+other, so that what one part gathers is deleted before the next.  Texts are cut into slices of
+about ``SLICE`` bytes.  The ``TABLE`` or fewer most frequent states are broadcast; a slice asks
+for the others that it may need, once each, by ranges of keys, and gets their columns in the
+order asked.  Each slice then has the part of the automaton that its texts can reach, and one
+traversal from left to right carries the state of every text and adds up the arcs.  Texts are
+walked side by side, long ones in runs of ``RUN`` tokens, each from the state that the tokens
+before it lead to.
 
 Tokens: maximal runs without 09-0D and 20, A-Z lowered, then one end token.
 Defined results: null is the empty text, whose only token is the end; rows are
@@ -36,30 +41,34 @@ apart by 64-bit hashes.
 from __future__ import annotations
 
 import functools
+import itertools
 import math
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import HashTable, discard, hash_texts, mix64, shuffles_released, slices, stable, texts_of
+from rankforge.llm.common import discard, hash_texts, mix64, shuffles_released, slices, stable, texts_of
 
 ORDER = 3
 WORDS = math.inf           # all words and all repeated n-grams are in the model
 GRAMS = math.inf
 TABLE = 400_000
+SUFFIXES = 50_000          # or fewer most frequent entries of a level are broadcast while the level above looks up its suffixes
 DISCOUNT = 0.5
 ADD = 0.1
 FLUSH = 1_500_000          # distinct keys a task holds before it sends them on
-RANGE_ROWS = 1_000_000     # n-grams of one range of keys, about
-SLICE = 2_000_000          # bytes of the texts that are scored together, or one text
+RANGE_BYTES = 12_000_000   # training text whose n-grams share a range of keys, about
+SLICE = 4_000_000          # bytes of the texts that are scored together, or one text
+ROUNDS = 2                 # parts of the rows that are scored one after the other
 RUN = 512                  # tokens of a text that are walked one after the other
-MAP_BITS = 29              # a filter of keys holds at most 2^29 bits
+MAP_BITS = 28              # a filter of keys holds at most 2^28 bits
 END = np.uint64(0x0E0F)
+ROW = "r int, kind long, body binary"
+_GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
 def stream(texts: list[str]):
@@ -79,7 +88,16 @@ def stream(texts: list[str]):
 
 
 def gram_key(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
-    return mix64(mix64(prefix) * np.uint64(0x9E3779B97F4A7C15) + suffix)
+    return mix64(mix64(prefix) * _GOLD + suffix)
+
+
+def suffix_of(key: np.ndarray, prefix: np.ndarray) -> np.ndarray:
+    """The suffix that ``gram_key`` was given: its steps backwards."""
+    x = key ^ key >> np.uint64(31) ^ key >> np.uint64(62)
+    x = x * np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
+    x = x ^ x >> np.uint64(27) ^ x >> np.uint64(54)
+    x = x * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+    return (x ^ x >> np.uint64(30) ^ x >> np.uint64(60)) - mix64(prefix) * _GOLD
 
 
 def grams(keys: np.ndarray, begin: np.ndarray, order: int):
@@ -91,59 +109,194 @@ def grams(keys: np.ndarray, begin: np.ndarray, order: int):
     return out
 
 
-def _sums(parts: list[tuple[np.ndarray, ...]]):
-    """Parts (key, count, other columns of the key) added up."""
-    key, first, back = np.unique(np.concatenate([p[0] for p in parts]), return_index=True, return_inverse=True)
-    c, *more = (np.concatenate(x) for x in list(zip(*parts))[1:])
-    return key, np.bincount(back, c, minlength=len(key)).astype(np.int64), *(x[first] for x in more)
+def distinct(x: np.ndarray):
+    """(values in order, a place of each, per place the number of its value)."""
+    by = np.argsort(x)
+    new = np.ones(len(x), bool)
+    new[1:] = x[by[1:]] != x[by[:-1]]
+    back = np.empty(len(x), np.int64)
+    back[by] = np.cumsum(new) - 1
+    at = by[new]
+    return x[at], at, back
+
+
+def sums(parts: list[tuple[np.ndarray, ...]], added: int = 1) -> list[np.ndarray]:
+    """Parts (key, columns that are added up, other columns of the key), one entry for each key, in order."""
+    columns = [np.concatenate(x) for x in zip(*parts)]
+    by = np.argsort(columns[0])
+    key = columns[0][by]
+    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
+    return [key[start], *(np.add.reduceat(x[by], start) if len(start) else x for x in columns[1:1 + added]), *(x[by[start]] for x in columns[1 + added:])]
+
+
+def found_at(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Place of each value among the sorted keys, -1 where it is not."""
+    if not len(keys):
+        return np.full(len(x), -1)
+    at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+    return np.where(keys[at] == x, at, -1)
+
+
+# ---- columns as bytes: a shuffled row holds the entries of one range of keys
+
+def pack(*columns: np.ndarray) -> bytes:
+    """Whole numbers, the lowest bytes of all first, then the next ones, without the bytes that no number needs."""
+    head, body = [], []
+    for x in columns:
+        x = np.ascontiguousarray(x).astype("<u8", copy=False)
+        wide = (int(x.max(initial=0)).bit_length() + 7) // 8
+        head.append(len(x) << 8 | wide)
+        body.append(np.ascontiguousarray(x.view(np.uint8).reshape(-1, 8).T[:wide]).tobytes())
+    return np.array([len(head), *head], "<i8").tobytes() + b"".join(body)
+
+
+def unpack(raw: bytes) -> list[np.ndarray]:
+    k = int(np.frombuffer(raw, "<i8", 1)[0])
+    at, out = 8 + 8 * k, []
+    for x in np.frombuffer(raw, "<i8", k, 8).tolist():
+        n, wide = x >> 8, x & 255
+        own = np.zeros((n, 8), np.uint8)
+        own[:, :wide] = np.frombuffer(raw, np.uint8, n * wide, at).reshape(wide, n).T
+        out.append(own.reshape(-1).view("<u8"))
+        at += n * wide
+    return out
+
+
+def entries(r: int, bits: int, keys: np.ndarray, *columns: np.ndarray) -> bytes:
+    """Sorted keys of a range, as their gaps, and columns."""
+    return pack(np.diff(keys, prepend=np.uint64(r << 64 - bits)), *columns)
+
+
+def entries_of(r: int, bits: int, raw: bytes, width: int) -> list[np.ndarray]:
+    """Keys and columns, ``width`` arrays in all; columns that were not packed are zero."""
+    gaps, *columns = unpack(raw)[:width]
+    more = [np.zeros(len(gaps), np.uint64)] * (width - 1 - len(columns))
+    return [np.cumsum(gaps, dtype=np.uint64) + np.uint64(r << 64 - bits), *columns, *more]
+
+
+def by_range(keys: np.ndarray, bits: int):
+    """(range, slice of the sorted keys) of the ranges that hold any."""
+    edge = np.searchsorted(keys, np.arange(1, 1 << bits).astype(np.uint64) << np.uint64(64 - bits)).tolist()
+    return [(r, slice(a, z)) for r, (a, z) in enumerate(zip([0, *edge], [*edge, len(keys)])) if z > a]
+
+
+def _row(r: int, kind: int, body: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([kind], pa.int64()), pa.array([body], pa.binary())], ["r", "kind", "body"])
 
 
-def _counted(docs: DataFrame, keys_of, names: list[str]) -> DataFrame:
-    """(names, c): sums of the keys that ``keys_of(texts)`` finds, added up in the tasks before the shuffle.
+def _rows(batches):
+    for batch in batches:
+        for r, kind, body in zip(batch.column("r").to_pylist(), batch.column("kind").to_pylist(), batch.column("body")):
+            yield r, kind, body.as_py()
 
-    ``keys_of`` gives (key, columns ``names``).
+
+def _sent(parts: list, bits: int, kind: int, added: int):
+    """Rows of the summed parts, one for each range."""
+    key, *columns = sums(parts, added)
+    for r, own in by_range(key, bits):
+        yield _row(r, kind, entries(r, bits, key[own], *(x[own] for x in columns)))
+
+
+def _met(rows: DataFrame, bits: int, run) -> DataFrame:
+    """Rows of one range meet in one task, range by range, kinds in order."""
+    tasks = min(1 << bits, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return rows.repartitionById(tasks, F.col("r") % tasks).sortWithinPartitions("r", "kind").mapInArrow(run, ROW)
+
+
+# ---- learning
+
+def _counted(docs: DataFrame, orders: tuple[int, ...], bits: int, below: np.ndarray | None = None) -> DataFrame:
+    """Rows (r, order, entries: key, c, prefix) of all words or of the n-grams that stand twice or more, counted over all texts.
+
+    A task adds up its own n-grams and sends them packed, one row per range of keys: the distinct words of the range
+    once, and places in them for each n-gram.  A range, sized by the training text, is added up in one task.
+    ``below``: filter of the keys of the order below, which keeps n-grams that cannot repeat out of the shuffle.
     """
-    def run(batches):
-        held, size = [], 0
+    shared = docs.sparkSession.sparkContext.broadcast(below)
 
-        def send():
-            _, c, *cols = _sums(held)
-            return pa.RecordBatch.from_arrays([*(pa.array(x.astype(np.int64)) for x in cols), pa.array(c)], [*names, "c"])
+    def find(texts):
+        keys, begin, _, _ = stream(texts)
+        levels = grams(keys, begin, max(orders))
+        for m in orders:
+            key, ok = levels[m - 1]
+            if m == 1:
+                own = np.sort(key[~begin])
+                start = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])[:len(own)])
+                yield m, [own[start], np.diff(start, append=len(own))]
+                continue
+            at = np.flatnonzero(ok)
+            if shared.value is not None:
+                may = may_hold(shared.value, levels[m - 2][0])
+                at = at[may[at] & may[at - 1]]
+            own, one, back = distinct(key[at])
+            yield m, [own, np.bincount(back, minlength=len(own)), *(keys[at[one] - m + 1 + j] for j in range(m))]
+
+    def send(m, parts):
+        key, c, *words = sums(parts)
+        for r, own in by_range(key, bits):
+            if m == 1:
+                yield _row(r, m, entries(r, bits, key[own], c[own]))
+                continue
+            word, _, at = distinct(np.concatenate([w[own] for w in words]))
+            yield _row(r, m, pack(np.diff(word, prepend=np.uint64(0)), c[own], at))
 
+    def run(batches):
+        held, size = {m: [] for m in orders}, dict.fromkeys(orders, 0)
         for batch in batches:
             for part in slices(batch, "text", 4_000_000):
-                key, *cols = keys_of(texts_of(part.column("text")))
-                held.append(_sums([(key, np.ones(len(key), np.int64), *cols)]))
-                size += len(held[-1][0])
-                if size > FLUSH:
-                    held[:] = [_sums(held)]
-                    size = len(held[0][0])
-                    if size > FLUSH // 2:
-                        yield send()
-                        held.clear()
-                        size = 0
-        if held:
-            yield send()
-    return docs.mapInArrow(run, ", ".join(f"{x} long" for x in [*names, "c"])).groupBy(*names).agg(F.sum("c").alias("c"))
-
-
-def key_filter(keys: DataFrame) -> np.ndarray:
-    """Bits of a filter for the ``key`` column (by its first bits), sized by the number of keys up to a fixed limit."""
-    bits = min(MAP_BITS, max(16, (16 * keys.count()).bit_length()))
-    page = min(bits, 19)
-
-    def pack(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        own = np.zeros(1 << page, bool)
-        own[pdf["bit"].to_numpy() & ((1 << page) - 1)] = True
-        return pd.DataFrame({"page": [int(key[0])], "bits": [np.packbits(own).tobytes()]})
-
-    pages = keys.select(F.shiftrightunsigned("key", 64 - bits).alias("bit")).groupBy(F.shiftright("bit", page).alias("page")) \
-        .applyInPandas(pack, "page long, bits binary")
-    with shuffles_released(keys.sparkSession):
-        rows = pages.collect()
-    out = np.zeros((1 << bits - page, 1 << page >> 3), np.uint8)
-    for r in rows:
-        out[r.page] = np.frombuffer(r.bits, np.uint8)
+                for m, own in find(texts_of(part.column("text"))):
+                    held[m].append(own)
+                    size[m] += len(own[0])
+                    if size[m] > FLUSH:
+                        held[m] = [sums(held[m])]
+                        size[m] = len(held[m][0][0])
+                        if size[m] > FLUSH // 2:
+                            yield from send(m, held[m])
+                            held[m], size[m] = [], 0
+        for m in orders:
+            if held[m]:
+                yield from send(m, held[m])
+
+    def part_of(r, m, raw):
+        if m == 1:
+            return entries_of(r, bits, raw, 2)
+        gaps, c, at = unpack(raw)
+        level = list(np.cumsum(gaps, dtype=np.uint64)[at.astype(np.int64)].reshape(m, -1))
+        while len(level) > 2:                                      # as ``grams`` builds its keys
+            level = [gram_key(x, y) for x, y in zip(level, level[1:])]
+        return [gram_key(*level), c, level[0]]
+
+    def add(batches):
+        for (r, m), rows in itertools.groupby(_rows(batches), lambda x: x[:2]):
+            parts = []
+            for _, _, raw in rows:
+                parts.append(part_of(r, m, raw))
+                if len(parts) > 8:
+                    parts = [sums(parts)]
+            own = sums(parts)
+            if m > 1:
+                own = [x[own[1] > 1] for x in own]
+            yield _row(r, m, entries(r, bits, *own))
+
+    out = stable(_met(docs.mapInArrow(run, ROW), bits, add))
+    shared.destroy()
+    return out
+
+
+def key_filter(tables: list[DataFrame], number: int, bits: int) -> np.ndarray:
+    """Bits of a filter for the keys of the tables (by their first bits), sized by their number up to a fixed limit."""
+    page = max(bits + 3, min(MAP_BITS, max(16, (16 * number).bit_length()))) - bits
+
+    def run(batches):
+        for r, kind, raw in _rows(batches):
+            own = np.zeros(1 << page, bool)
+            own[(entries_of(r, bits, raw, 1)[0] << np.uint64(bits)) >> np.uint64(64 - page)] = True
+            yield _row(r, kind, np.packbits(own).tobytes())
+
+    out = np.zeros((1 << bits, 1 << page >> 3), np.uint8)
+    for table in tables:
+        for x in table.mapInArrow(run, ROW).collect():
+            out[x.r] |= np.frombuffer(x.body, np.uint8)
     return out.reshape(-1)
 
 
@@ -152,96 +305,145 @@ def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
     return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _repeated_grams(docs: DataFrame, order: int, tokens: int, shared) -> DataFrame:
-    """(key, prefix, suffix, c): the n-grams of ``order`` words that stand twice or more, counted over all texts.
+def _classes(c: np.ndarray) -> np.ndarray:
+    return np.floor(np.log2(c) * 8).astype(np.int64)
 
-    A task adds up its own n-grams and sends them packed, one row per range of keys: the distinct words of the range
-    once, and places in them for each n-gram.  A range, sized by the number of tokens, is added up in one task.
-    ``shared``: filter of the keys of the order below, which keeps n-grams that cannot repeat out of the shuffle.
-    """
-    bits = max(4, (tokens // RANGE_ROWS).bit_length())
 
-    def find(texts):
-        keys, begin, _, _ = stream(texts)
-        *_, (g, _), (key, ok) = grams(keys, begin, order)
-        at = np.flatnonzero(ok)
-        if shared is not None:
-            may = may_hold(shared.value, g)
-            at = at[may[at] & may[at - 1]]
-        return key[at], *(keys[at - order + 1 + j] for j in range(order))
+def _histogram(table: DataFrame) -> list:
+    """(class of counts, number of entries, sum of their counts), largest class first."""
+    def run(batches):
+        for _, _, raw in _rows(batches):
+            c = unpack(raw)[1]
+            n, total = np.bincount(_classes(c)), np.bincount(_classes(c), c)
+            yield pa.RecordBatch.from_arrays([pa.array(np.flatnonzero(n)), pa.array(n[n > 0]), pa.array(total[n > 0].astype(np.int64))], ["level", "n", "c"])
+
+    with shuffles_released(table.sparkSession):
+        return table.mapInArrow(run, "level long, n long, c long").groupBy("level").agg(F.sum("n").alias("n"), F.sum("c").alias("c")).orderBy(F.desc("level")).collect()
+
+
+def _frequent(table: DataFrame, hist: list, limit: int, bits: int, width: int) -> list[np.ndarray]:
+    """The entries of the largest classes of counts, at most ``limit``."""
+    held, least = 0, 1 << 30
+    for x in hist:
+        if held + x.n > limit:
+            break
+        held, least = held + x.n, x.level
+    return _collected(table, lambda key, c, *_: _classes(c) >= least, bits, width)
+
 
+def _collected(table: DataFrame, wanted, bits: int, width: int) -> list[np.ndarray]:
     def run(batches):
-        held, size = [], 0
+        for r, kind, raw in _rows(batches):
+            own = entries_of(r, bits, raw, width)
+            keep = wanted(*own)
+            yield _row(r, kind, entries(r, bits, *(x[keep] for x in own)))
+
+    parts = [entries_of(x.r, bits, x.body, width) for x in table.mapInArrow(run, ROW).collect()]
+    return sums(parts, 0) if parts else [np.zeros(0, np.uint64)] * width
+
+
+def _within(table: DataFrame, below: np.ndarray, least: float, bits: int) -> DataFrame:
+    """The n-grams of ``table`` that stand ``least`` times and whose prefix and suffix are among the sorted keys ``below``."""
+    shared = table.sparkSession.sparkContext.broadcast(below)
+
+    def run(batches):
+        for r, kind, raw in _rows(batches):
+            key, c, prefix = entries_of(r, bits, raw, 3)
+            keep = (c >= least) & (found_at(shared.value, prefix) >= 0) & (found_at(shared.value, suffix_of(key, prefix)) >= 0)
+            yield _row(r, kind, entries(r, bits, key[keep], c[keep], prefix[keep]))
+
+    out = stable(table.mapInArrow(run, ROW))
+    shared.destroy()
+    return out
+
+
+def _contexts(lower: DataFrame, upper: DataFrame, hist: list, bits: int) -> DataFrame:
+    """Rows of ``lower`` (r, order, entries: key, c, arcs, used, below) with what leads on to ``upper``.
+
+    For the n-grams of ``upper`` that a key is the prefix of: their number, the sum of their counts and the sum of
+    the counts of their suffixes.  Suffixes are looked up where their range is; the most frequent ones are broadcast.
+    """
+    shared = lower.sparkSession.sparkContext.broadcast(_frequent(lower, hist, SUFFIXES, bits, 2))
+
+    def ask(batches):
+        known, asked, size = [], [], 0
 
         def send():
-            key, c, *words = _sums(held)
-            edge = np.searchsorted(key, np.arange(1, 1 << bits).astype(np.uint64) << np.uint64(64 - bits))
-            for r, (a, z) in enumerate(zip([0, *edge.tolist()], [*edge.tolist(), len(key)])):
-                if z > a:
-                    own, at = np.unique(np.concatenate([w[a:z] for w in words]), return_inverse=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), *(pa.array([x.tobytes()], pa.binary()) for x in (
-                        own, at.astype(np.int32), c[a:z].astype(np.uint32)))], ["r", "words", "at", "c"])
+            yield from _sent(known, bits, 2, 3)
+            suffix, prefix, c = (np.concatenate(x) for x in zip(*asked))
+            by = np.argsort(suffix)
+            suffix, prefix, c = suffix[by], prefix[by], c[by]
+            for r, own in by_range(suffix, bits):
+                yield _row(r, 1, entries(r, bits, suffix[own], prefix[own], c[own]))
+
+        for r, _, raw in _rows(batches):
+            key, c, prefix = entries_of(r, bits, raw, 3)
+            suffix = suffix_of(key, prefix)
+            at = found_at(shared.value[0], suffix)
+            hit = at >= 0
+            known.append((prefix[hit], np.ones(hit.sum(), np.uint64), c[hit], shared.value[1][at[hit]]))
+            asked.append((suffix[~hit], prefix[~hit], c[~hit]))
+            size += len(key)
+            if size > FLUSH:
+                yield from send()
+                known, asked, size = [], [], 0
+        if size:
+            yield from send()
 
-        for batch in batches:
-            for part in slices(batch, "text", 4_000_000):
-                key, *words = find(texts_of(part.column("text")))
-                held.append(_sums([(key, np.ones(len(key), np.int64), *words)]))
-                size += len(held[-1][0])
+    def look_up(batches):
+        held, size = [], 0
+        for r, rows in itertools.groupby(_rows(batches), lambda x: x[0]):
+            key, c = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+            for _, kind, raw in rows:
+                if kind == 0:
+                    key, c = entries_of(r, bits, raw, 2)
+                elif kind == 1:
+                    suffix, prefix, own = entries_of(r, bits, raw, 3)
+                    held.append((prefix, np.ones(len(own), np.uint64), own, c[np.searchsorted(key, suffix)]))
+                else:
+                    held.append(entries_of(r, bits, raw, 4))
+                size += len(held[-1][0]) if kind else 0
                 if size > FLUSH:
-                    held[:] = [_sums(held)]
+                    held = [sums(held, 3)]
                     size = len(held[0][0])
                     if size > FLUSH // 2:
-                        yield from send()
-                        held.clear()
-                        size = 0
+                        yield from _sent(held, bits, 1, 3)
+                        held, size = [], 0
         if held:
-            yield from send()
+            yield from _sent(held, bits, 1, 3)
 
     def add(batches):
-        last, parts = None, []
-
-        def kept():
-            key, c, prefix, suffix = _sums(parts)
-            more = c > 1
-            return pa.RecordBatch.from_arrays([pa.array(x[more].astype(np.int64)) for x in (key, prefix, suffix, c)], ["key", "prefix", "suffix", "c"])
-
-        for batch in batches:
-            for r, words, at, c in zip(batch.column("r").to_pylist(), *(batch.column(x) for x in ("words", "at", "c"))):
-                if r != last and parts:
-                    yield kept()
-                    parts.clear()
-                last = r
-                words, at = np.frombuffer(words.as_py(), np.uint64), np.frombuffer(at.as_py(), np.int32).reshape(order, -1)
-                level = [words[x] for x in at]
-                while len(level) > 2:                              # as ``grams`` builds its keys
-                    level = [gram_key(x, y) for x, y in zip(level, level[1:])]
-                prefix, suffix = level
-                parts.append((gram_key(prefix, suffix), np.frombuffer(c.as_py(), np.uint32).astype(np.int64), prefix, suffix))
-                if len(parts) > 8:
-                    parts[:] = [_sums(parts)]
-        if parts:
-            yield kept()
-
-    packed = docs.mapInArrow(run, "r int, words binary, at binary, c binary")
-    return packed.repartitionById(1 << bits, F.col("r")).sortWithinPartitions("r").mapInArrow(add, "key long, prefix long, suffix long, c long")
+        for r, rows in itertools.groupby(_rows(batches), lambda x: x[0]):
+            key, c, *out = [np.zeros(0, np.uint64)] * 5
+            for _, kind, raw in rows:
+                if kind == 0:
+                    key, c = entries_of(r, bits, raw, 2)
+                    out = [np.zeros(len(key), np.uint64) for _ in range(3)]
+                else:
+                    prefix, *more = entries_of(r, bits, raw, 4)
+                    at = np.searchsorted(key, prefix)
+                    for x, y in zip(out, more):
+                        x[at] += y
+            yield _row(r, 0, entries(r, bits, key, c, *out))
+
+    plain = lower.withColumn("kind", F.lit(0).cast("long"))
+    summed = _met(plain.unionByName(upper.mapInArrow(ask, ROW)), bits, look_up)
+    out = stable(_met(plain.unionByName(summed), bits, add))
+    shared.destroy()
+    return out
 
 
 @dataclass
 class Model:
-    """What every task holds: the most frequent entries, and a filter of the keys of the others."""
+    """What every task holds: the most frequent states, and a filter of the keys of all."""
     tokens: int = 0                    # N
     distinct: int = 0                  # V
     order: int = ORDER
-    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    arc: np.ndarray = field(default_factory=lambda: np.zeros(0))       # per key: log10 of the n-gram's probability
-    back: np.ndarray = field(default_factory=lambda: np.zeros(0))      # and its failure weight
+    bits: int = 4                      # the first bits of a key are its range
+    # the broadcast states: key, c and, of the n-grams one longer, their number, the sum of their counts and that of their suffixes
+    table: list[np.ndarray] = field(default_factory=lambda: [np.zeros(0, np.uint64)] * 5)
     rest: np.ndarray = field(default_factory=lambda: np.zeros(1 << 13, np.uint8))
 
-    @functools.cached_property
-    def table(self) -> HashTable:
-        """Place of each key; every worker builds its own, which is larger than what is broadcast."""
-        return HashTable(self.keys, np.arange(len(self.keys)))
-
     @property
     def mass(self) -> float:
         return self.tokens + ADD * (self.distinct + 1)
@@ -252,90 +454,109 @@ class Model:
 
 
 def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, words: float = WORDS, grams_share: float = GRAMS,
-          table: int = TABLE) -> tuple[Model, DataFrame]:
-    """(what is broadcast, the states that are not, as a table: key, arc, back)."""
-    own = docs.select(F.col(text_col).alias("text"))
+          table: int = TABLE) -> tuple[Model, list[DataFrame]]:
+    """(what is broadcast, the tables of all states: rows of a range of keys).
 
-    def unigrams(texts):
-        keys, begin, _, _ = stream(texts)
-        return keys[~begin], keys[~begin]
-
-    counts = stable(_counted(own, unigrams, ["key"]))
-    total = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
-    model = Model(int(total.n or 0), int(total.v), order)
-    counts = counts.withColumn("p", (F.col("c") + ADD) / model.mass)
-    below = counts.where(F.col("c") * F.lit(float(words)) >= model.tokens)
-    level = counts.select("key", "c", F.log10("p").alias("arc"))
-    parts, written, shared = [], [counts], None
+    The words and n-grams of a bounded model are at most ``words`` and ``grams_share``; their keys are broadcast while it is learned.
+    """
+    own = docs.select(F.col(text_col).alias("text"))
+    size = own.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
+    bits = max(4, (size // RANGE_BYTES).bit_length())
+    counts = _counted(own, (1, 2)[:order], bits)
+    written, states = [counts], []
+    level = counts.where("kind = 1")
+    hist = _histogram(level)
+    model = Model(sum(x.c for x in hist), sum(x.n for x in hist), order, bits)
+    bounded = math.isfinite(words) or math.isfinite(grams_share)
+    if bounded:
+        below = _collected(level, lambda key, c: c * words >= model.tokens, bits, 2)[0]
+    number = model.distinct
     for m in range(2, order + 1):
-        found = _repeated_grams(own, m, model.tokens, shared).where(F.col("c") * F.lit(float(grams_share)) >= model.tokens)
-        kept = stable(found.join(below.select(F.col("key").alias("prefix"), F.col("c").alias("whole")), "prefix")
-                      .join(below.select(F.col("key").alias("suffix"), F.col("p").alias("lower")), "suffix")
-                      .select("key", "prefix", "c", "whole", "lower", ((F.col("c") - DISCOUNT) / F.col("whole")).alias("p")))
-        written.append(kept)
-        # what a context's arcs leave, over what the lower order leaves
-        left = (F.max("whole") - F.sum("c") + DISCOUNT * F.count("*")) / F.max("whole")
-        back = stable(kept.groupBy("prefix").agg(F.log10(F.greatest(left, F.lit(1e-12)) / F.greatest(1 - F.sum("lower"), F.lit(1e-12))).alias("back")))
-        written.append(back)
-        parts.append(level.join(back.withColumnRenamed("prefix", "key"), "key", "left")
-                     .select("key", "c", "arc", F.coalesce("back", F.lit(0.0)).alias("back")))
-        level = kept.select("key", "c", F.log10("p").alias("arc"))
-        below = kept.select("key", "c", "p")
-        if m < order:
-            shared = own.sparkSession.sparkContext.broadcast(key_filter(below))
-    parts.append(level.select("key", "c", "arc", F.lit(0.0).alias("back")))
-    values = stable(functools.reduce(DataFrame.unionByName, parts))
+        found = counts.where("kind = 2") if m == 2 else _counted(own, (m,), bits, key_filter([level], sum(x.n for x in hist), bits))
+        if m > 2:
+            written.append(found)
+        if bounded:
+            found = _within(found, below, model.tokens / grams_share, bits)
+            written.append(found)
+            below = _collected(found, lambda key, *_: np.ones(len(key), bool), bits, 1)[0]
+        states.append(_contexts(level, found, hist, bits))
+        level, hist = found, _histogram(found)
+        number += sum(x.n for x in hist)
+
+    def plain(batches):
+        for r, _, raw in _rows(batches):
+            yield _row(r, 0, pack(*unpack(raw)[:2]))
+
+    states.append(stable(level.mapInArrow(plain, ROW)))
     discard(*written)
-    # least count of the broadcast table, from a histogram of a fixed number of classes
-    size = F.floor(F.log2(F.col("c")) * 8).cast("int")
-    with shuffles_released(own.sparkSession):
-        hist = values.groupBy(size.alias("level")).agg(F.count("*").alias("n")).orderBy(F.desc("level")).collect()
-    held, least = 0, 1 << 30
-    for r in hist:
-        if held + r.n > table:
-            break
-        held, least = held + r.n, r.level
-    top = values.where(size >= least).select("key", "arc", "back").toPandas()      # at most ``table`` rows
-    model.keys = top["key"].to_numpy().astype(np.int64).astype(np.uint64)
-    model.arc, model.back = (top[x].to_numpy().astype(float) for x in ("arc", "back"))
-    others = values.where(size < least).select("key", "arc", "back")
-    model.rest = key_filter(others.select("key"))
-    return model, others
-
-
-def wanted(model: Model, texts: list[str]) -> np.ndarray:
-    """Keys of the n-grams of the texts that may be states and are not broadcast, once each, in order."""
-    keys, begin, _, _ = stream(texts)
-    found = []
+    both = functools.reduce(DataFrame.unionByName, states)
+    model.table = _frequent(both, _histogram(both), table, bits, 5)
+    model.rest = key_filter(states, number, bits)
+    return model, states
+
+
+# ---- scoring
+
+def reach(model: Model, texts: list[str]):
+    """The stream of the texts; per order: places of n-grams that may be states, their keys once each, a place of each, number of the key at each place."""
+    keys, begin, first, past = stream(texts)
+    levels = []
     for g, ok in grams(keys, begin, model.order):
-        g = np.unique(g[ok])
-        g = g[model.table.get(g) < 0]
-        found.append(g[may_hold(model.rest, g)])
-    return np.unique(np.concatenate(found))
+        at = np.flatnonzero(ok & may_hold(model.rest, g))
+        own, one, back = distinct(g[at])
+        levels.append((at, own, at[one], back))
+    return (keys, begin, first, past), levels
+
+
+def wanted(model: Model, levels) -> np.ndarray:
+    """Keys of the n-grams that may be states and are not broadcast, once each, in order."""
+    keys = np.sort(np.concatenate([own[found_at(model.table[0], own) < 0] for _, own, _, _ in levels]))
+    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)]]
 
 
 class Automaton:
-    """The states that some texts can reach: those broadcast and those gathered (keys in order, arcs, failure weights)."""
-
-    def __init__(self, model: Model, keys: np.ndarray, arc: np.ndarray, back: np.ndarray):
-        self.model, self.keys = model, keys
-        self.arc, self.back = np.concatenate([model.arc, arc]), np.concatenate([model.back, back])
-
-    def states(self, g: np.ndarray, ok: np.ndarray) -> np.ndarray:
-        """State of each key, -1 where there is none."""
-        out = np.where(ok, self.model.table.get(g), -1)
-        if len(self.keys):
-            at = np.flatnonzero(ok & (out < 0))
-            place = np.minimum(np.searchsorted(self.keys, g[at]), len(self.keys) - 1)
-            hit = self.keys[place] == g[at]
-            out[at[hit]] = len(self.model.arc) + place[hit]
-        return out
-
-    def score(self, texts: list[str]):
+    """The states that some texts can reach: those broadcast and those gathered (columns for the keys that ``wanted`` names)."""
+
+    def __init__(self, model: Model, texts: list[str], gathered: list[np.ndarray]):
+        self.model, self.texts = model, len(texts)
+        self.stream, levels = reach(model, texts)
+        want = wanted(model, levels)
+        self.ends = []                                     # ends[m - 1]: the state of m tokens that ends here, or -1
+        arcs, backs, size, lower = [np.zeros(0)], [np.zeros(0)], 0, None
+        for m, (at, own, one, number) in enumerate(levels, 1):
+            place, more = found_at(model.table[0], own), found_at(want, own)
+            columns = []
+            for x, y in zip(model.table[1:], gathered):
+                out = np.zeros(len(own))
+                out[place >= 0], out[place < 0] = x[place[place >= 0]], y[more[place < 0]]
+                columns.append(out)
+            live = np.flatnonzero(columns[0])
+            c, n, used, below = (x[live] for x in columns)
+            state = np.full(len(own), -1)
+            state[live] = size + np.arange(len(live))
+            size += len(live)
+            ends = np.full(len(self.stream[0]), -1)
+            ends[at] = state[number]
+            self.ends.append(ends)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                if m == 1:
+                    arc, under = np.log10((c + ADD) / model.mass), (below + ADD * n) / model.mass
+                else:                                      # the counts of the prefix and, for the weight of its failure arc, of the suffix
+                    arc = np.log10((c - DISCOUNT) / lower[one[live] - 1])
+                    under = (below - DISCOUNT * n) / lower[one[live]]
+                # what a context's arcs leave, over what the lower order leaves
+                left = (c - used + DISCOUNT * n) / c
+                back = np.where(n > 0, np.log10(np.maximum(left, 1e-12) / np.maximum(1 - under, 1e-12)), 0.0)
+            arcs.append(arc)
+            backs.append(back)
+            lower = np.zeros(len(ends))
+            lower[at] = columns[0][number]
+        self.arc, self.back = np.concatenate(arcs), np.concatenate(backs)
+
+    def score(self):
         """Per text: tokens, known tokens, log10 of the unigrams, log10 of the model."""
-        keys, begin, first, past = stream(texts)
-        order, n = self.model.order, len(texts)
-        ends = [self.states(g, ok) for g, ok in grams(keys, begin, order)]       # ends[m - 1]: the state of m tokens that ends here
+        _, begin, first, past = self.stream
+        order, n, ends = self.model.order, self.texts, self.ends
         text = np.repeat(np.arange(n), past - first)[~begin]
         word = ends[0][~begin]
         base = np.where(word >= 0, self.arc[word], self.model.unknown) if len(self.arc) else np.full(len(word), self.model.unknown)
@@ -376,89 +597,44 @@ class Automaton:
         return size, known, np.bincount(text, base, minlength=n), np.bincount(own, total, minlength=n)
 
 
-def _by_range(keys: np.ndarray, bits: int):
-    """(range, slice of the sorted keys) of the ranges that hold any."""
-    edge = np.searchsorted(keys, np.arange(1, 1 << bits).astype(np.uint64) << np.uint64(64 - bits)).tolist()
-    return [(r, slice(a, z)) for r, (a, z) in enumerate(zip([0, *edge], [*edge, len(keys)])) if z > a]
-
-
-def _coded(x: np.ndarray) -> np.ndarray:
-    """Bytes of values that repeat much (they are ratios of small counts): number of values, values, a code of 1, 2 or 4 bytes for each."""
-    value, code = np.unique(x, return_inverse=True)
-    kind = np.min_scalar_type(max(len(value) - 1, 0))
-    return np.frombuffer(np.int64(len(value)).tobytes() + value.tobytes() + code.astype(kind).tobytes(), np.uint8)
-
-
-def _decoded(raw: bytes) -> np.ndarray:
-    n = int(np.frombuffer(raw, np.int64, 1)[0])
-    return np.frombuffer(raw, np.float64, n, 8)[np.frombuffer(raw, np.min_scalar_type(max(n - 1, 0)), -1, 8 + 8 * n)]
-
-
-def _gathered(cut: DataFrame, others: DataFrame, shared, bits: int) -> DataFrame:
-    """(sid, keys, arc, back), packed, the last two coded: the states that slices ask for, found one range of keys at a time."""
-    schema = "r int, sid long, keys binary, arc binary, back binary"
-
-    def row(r, sid, *arrays):
-        return pa.RecordBatch.from_arrays([pa.array([r], pa.int32()), pa.array([sid], pa.int64()),
-                                           *(pa.array([None if x is None else x.tobytes()], pa.binary()) for x in arrays)],
-                                          ["r", "sid", "keys", "arc", "back"])
-
+def _gathered(cut: DataFrame, states: list[DataFrame], shared, bits: int) -> DataFrame:
+    """Rows (range, slice, columns of the keys that it asks for, in order), found one range of keys at a time."""
     def ask(batches):
         for batch in batches:
             for sid, texts in zip(batch.column("sid").to_pylist(), batch.column("texts")):
-                keys = wanted(shared.value, texts_of(texts.values))
-                for r, own in _by_range(keys, bits):
-                    yield row(r, sid, keys[own], None, None)
-
-    def offer(batches):
-        def send():
-            keys, arc, back = (np.concatenate(x) for x in zip(*held))
-            by = np.argsort(keys)
-            keys, arc, back = keys[by], arc[by], back[by]
-            for r, own in _by_range(keys, bits):
-                yield row(r, -1, keys[own], arc[own], back[own])
-
-        held, size = [], 0
-        for batch in batches:
-            held.append((batch.column("key").to_numpy().astype(np.uint64), batch.column("arc").to_numpy(), batch.column("back").to_numpy()))
-            size += batch.num_rows
-            if size > FLUSH:
-                yield from send()
-                held, size = [], 0
-        if size:
-            yield from send()
+                model = shared.value
+                keys = wanted(model, reach(model, texts_of(texts.values))[1])
+                for r, own in by_range(keys, bits):
+                    yield _row(r, sid, entries(r, bits, keys[own]))
 
     def answer(batches):
-        last, held, model = None, [], None
-        for batch in batches:
-            for r, sid, keys, arc, back in zip(batch.column("r").to_pylist(), batch.column("sid").to_pylist(), *(batch.column(x) for x in ("keys", "arc", "back"))):
-                if r != last:
-                    last, held, model = r, [], None
-                keys = np.frombuffer(keys.as_py(), np.uint64)
+        for r, rows in itertools.groupby(_rows(batches), lambda x: x[0]):
+            held, model = [], None
+            for _, sid, raw in rows:
                 if sid < 0:                                        # the states of a range come before what is asked of it
-                    held.append((keys, np.frombuffer(arc.as_py()), np.frombuffer(back.as_py())))
+                    held.append(entries_of(r, bits, raw, 5))
                     continue
                 if model is None:
-                    model = [np.concatenate(x) for x in zip(*held)] if held else [np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)]
-                    by = np.argsort(model[0])
-                    model, held = [x[by] for x in model], []
-                if len(model[0]):
-                    at = np.minimum(np.searchsorted(model[0], keys), len(model[0]) - 1)
-                    at = at[model[0][at] == keys]
-                    if len(at):
-                        yield row(r, sid, model[0][at], *(_coded(x[at]) for x in model[1:]))
+                    model = sums(held, 0) if held else [np.zeros(0, np.uint64)] * 5
+                keys, = entries_of(r, bits, raw, 1)
+                at = found_at(model[0], keys)
+                hit = at >= 0
+                out = [np.zeros(len(keys), np.uint64) for _ in model[1:]]
+                for x, y in zip(out, model[1:]):
+                    x[hit] = y[at[hit]]
+                yield _row(r, sid, pack(*out))
 
-    dealt = cut.mapInArrow(ask, schema).unionByName(others.mapInArrow(offer, schema))
-    return dealt.repartitionById(1 << bits, F.col("r")).sortWithinPartitions("r", "sid").mapInArrow(answer, schema).drop("r")
+    dealt = functools.reduce(DataFrame.unionByName, [*(x.withColumn("kind", F.lit(-1).cast("long")) for x in states), cut.mapInArrow(ask, ROW)])
+    return _met(dealt, bits, answer).withColumnRenamed("kind", "sid")
 
 
 def lm_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER,
               words: float = WORDS, grams: float = GRAMS, table: int = TABLE) -> DataFrame:
     """Per row of ``docs``: id, n_tokens, n_known, train_tokens, base_score, score; learned from ``train``."""
-    model, others = learn(train, text_col, order, words, grams, table)
+    model, states = learn(train, text_col, order, words, grams, table)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def pack(batches):
+    def cuts(batches):
         n = 0
         for batch in batches:
             for part in slices(batch, "text", SLICE):
@@ -474,21 +650,25 @@ def lm_scores(docs: DataFrame, train: DataFrame, id_col: str = "doc_id", text_co
             for i, sid in enumerate(batch.column("sid").to_pylist()):
                 if sid != last:
                     last, held = sid, []
-                keys = batch.column("keys")[i]
-                if keys.is_valid:                                  # the states of a slice come before its texts
-                    held.append((np.frombuffer(keys.as_py(), np.uint64), *(_decoded(batch.column(x)[i].as_py()) for x in ("arc", "back"))))
+                body = batch.column("body")[i]
+                if body.is_valid:                                  # the states of a slice, in order, come before its texts
+                    held.append(unpack(body.as_py()))
                     continue
-                own = [np.concatenate(x) for x in zip(*held)] if held else [np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)]
-                by = np.argsort(own[0])
-                out = Automaton(shared.value, *(x[by] for x in own)).score(texts_of(batch.column("texts")[i].values))
+                own = [np.concatenate(x) for x in zip(*held)] if held else [np.zeros(0, np.uint64)] * 4
+                out = Automaton(shared.value, texts_of(batch.column("texts")[i].values), own).score()
                 yield pa.RecordBatch.from_arrays([batch.column("ids")[i].values, *map(pa.array, out)], ["id", "n_tokens", "n_known", "base_score", "score"])
 
     narrow = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = narrow.schema["id"].dataType.simpleString()
-    cut = stable(narrow.mapInArrow(pack, f"sid long, ids array<{kind}>, texts array<string>"))
-    found = stable(_gathered(cut, others, shared, max(4, (model.tokens // RANGE_ROWS).bit_length())))
-    discard(others)
-    both = found.unionByName(cut, allowMissingColumns=True)
-    scored = both.repartition("sid").sortWithinPartitions("sid", F.col("keys").isNull()).mapInArrow(
-        walk, f"id {kind}, n_tokens long, n_known long, base_score double, score double")
-    return scored.withColumn("train_tokens", F.lit(model.tokens).cast("long"))
+    scored = []
+    for k in range(ROUNDS):
+        part = narrow.where(F.pmod(F.xxhash64("id", "text"), F.lit(ROUNDS)) == k)
+        cut = stable(part.mapInArrow(cuts, f"sid long, ids array<{kind}>, texts array<string>"))
+        found = stable(_gathered(cut, states, shared, model.bits))
+        both = found.unionByName(cut, allowMissingColumns=True)
+        scored.append(stable(both.repartition("sid").sortWithinPartitions("sid", F.col("body").isNull(), "r").mapInArrow(
+            walk, f"id {kind}, n_tokens long, n_known long, base_score double, score double")))
+        discard(cut, found)
+    discard(*states)
+    shared.destroy()
+    return functools.reduce(DataFrame.unionByName, scored).withColumn("train_tokens", F.lit(model.tokens).cast("long"))

@@ -437,6 +437,41 @@ def test_lm_keeps_every_repeated_ngram(spark):
     assert got[0].score - got[0].base_score > 8             # both tokens and the end are followed n-grams, not plain words
 
 
+def test_lm_tables_stay_small(spark, monkeypatch):
+    """What is written at once stays near the text's size though most n-grams are states."""
+    from pathlib import Path
+
+    from rankforge.llm import lm_scoring as m
+    from rankforge.session import checkpoint_dir
+    rnd = np.random.default_rng(5)
+    words = np.array([f"word{k:x}" for k in range(30_000)])
+    rows = [(2 * i + j, t) for i in range(400) for t in [" ".join(words[rnd.integers(0, 30_000, 500)])] for j in range(2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4).localCheckpoint()
+    size, held, top, write = sum(len(t) for _, t in rows), [], Path(checkpoint_dir(spark).removeprefix("file:")), m.stable
+    before = set(top.glob("table-*"))
+
+    def stable(df):
+        out = write(df)
+        held.append(sum(f.stat().st_size for d in set(top.glob("table-*")) - before for f in d.rglob("*.parquet")))
+        return out
+    monkeypatch.setattr(m, "stable", stable)
+    got = {r.id: r for r in m.lm_scores(docs, docs, table=1000).collect()}
+    assert len(got) == 800 and all(r.n_known == r.n_tokens == 501 and r.score > r.base_score for r in got.values())
+    assert max(held) < 3 * size
+
+
+def test_lm_packed_columns():
+    from rankforge.llm import lm_scoring as m
+    rnd = np.random.default_rng(6)
+    prefix, suffix = (rnd.integers(0, 1 << 64, 1000, np.uint64) for _ in range(2))
+    key = m.gram_key(prefix, suffix)
+    assert (m.suffix_of(key, prefix) == suffix).all()
+    columns = [key, suffix, np.arange(1000, dtype=np.int64), np.zeros(1000, np.uint64), key[:3], key[:0]]
+    assert all((x == y).all() and len(x) == len(y) for x, y in zip(m.unpack(m.pack(*columns)), columns, strict=True))
+    for r, own in m.by_range(np.sort(key), 4):
+        assert (m.entries_of(r, 4, m.entries(r, 4, np.sort(key)[own]), 1)[0] == np.sort(key)[own]).all()
+
+
 def test_op10_odd_rows(spark, odd_docs):
     from rankforge.llm.lm_scoring import lm_scores
     got = lm_scores(odd_docs, odd_docs).collect()
