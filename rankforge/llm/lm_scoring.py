@@ -232,7 +232,7 @@ def _counted(docs: DataFrame, orders: tuple[int, ...], bits: int, below: np.ndar
             yield m, [own, np.bincount(back, minlength=len(own)), *(keys[at[one] - m + 1 + j] for j in range(m))]
 
     def send(m, parts):
-        key, c, *words = sums(parts)
+        key, c, *words = sums(parts) if len(parts) > 1 else parts[0]       # every part is summed and in order
         for r, own in by_range(key, bits):
             if m == 1:
                 yield _row(r, m, entries(r, bits, key[own], c[own]))
@@ -268,11 +268,13 @@ def _counted(docs: DataFrame, orders: tuple[int, ...], bits: int, below: np.ndar
 
     def add(batches):
         for (r, m), rows in itertools.groupby(_rows(batches), lambda x: x[:2]):
-            parts = []
+            parts, size = [], 0
             for _, _, raw in rows:
                 parts.append(part_of(r, m, raw))
-                if len(parts) > 8:
+                size += len(parts[-1][0])
+                if size > FLUSH and len(parts) > 8:
                     parts = [sums(parts)]
+                    size = 0
             own = sums(parts)
             if m > 1:
                 own = [x[own[1] > 1] for x in own]
@@ -500,9 +502,14 @@ def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, words: fl
 def reach(model: Model, texts: list[str]):
     """The stream of the texts; per order: places of n-grams that may be states, their keys once each, a place of each, number of the key at each place."""
     keys, begin, first, past = stream(texts)
-    levels = []
+    levels, may = [], None
     for g, ok in grams(keys, begin, model.order):
-        at = np.flatnonzero(ok & may_hold(model.rest, g))
+        if may is not None:                                # only with its prefix and its suffix
+            ok = ok & may & np.roll(may, 1)
+        at = np.flatnonzero(ok)
+        at = at[may_hold(model.rest, g[at])]
+        may = np.zeros(len(g), bool)
+        may[at] = True
         own, one, back = distinct(g[at])
         levels.append((at, own, at[one], back))
     return (keys, begin, first, past), levels
