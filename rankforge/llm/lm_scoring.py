@@ -459,7 +459,8 @@ def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, words: fl
           table: int = TABLE) -> tuple[Model, list[DataFrame]]:
     """(what is broadcast, the tables of all states: rows of a range of keys).
 
-    The words and n-grams of a bounded model are at most ``words`` and ``grams_share``; their keys are broadcast while it is learned.
+    The kept keys of a bounded model are collected and broadcast, order by order, while it is learned: at most ``words`` words and
+    ``grams_share`` n-grams, but all of an order that has no bound where the other has one.
     """
     own = docs.select(F.col(text_col).alias("text"))
     size = own.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
