@@ -51,7 +51,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.llm.common import discard, hash_texts, mix64, shuffles_released, slices, stable, texts_of
+from rankforge.llm.common import discard, mix64, shuffles_released, slices, span_hashes, stable, texts_of
 
 ORDER = 3
 WORDS = math.inf           # all words and all repeated n-grams are in the model
@@ -64,31 +64,70 @@ FLUSH = 1_500_000          # distinct keys a task holds before it sends them on
 RANGE_BYTES = 12_000_000   # training text whose n-grams share a range of keys, about
 SLICE = 4_000_000          # bytes of the texts that are scored together, or one text
 ROUNDS = 2                 # parts of the rows that are scored one after the other
-RUN = 512                  # tokens of a text that are walked one after the other
+RUN = 64                   # tokens of a text that are walked one after the other
 MAP_BITS = 28              # a filter of keys holds at most 2^28 bits
 END = np.uint64(0x0E0F)
 ROW = "r int, kind long, body binary"
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
+_FIRST = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)     # the first k bytes of eight
+LONG = 64                  # bytes of a word that are hashed eight by eight
+BLOCK = 250_000            # characters of the texts that are cut into words at once: what fits a core's cache
+KEYS = 1 << 14             # keys that are made at once, likewise
+
+
+def word_keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words and cumulative word counts (length ``len(texts) + 1``)."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    data = np.frombuffer(b" " + b" ".join(raw) + b" " * 8, np.uint8)
+    low = data | ((data - np.uint8(65) < 26).view(np.uint8) << np.uint8(5))
+    space = (data == 32) | (data - np.uint8(9) < 5)
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, end = edge[::2], edge[1::2]
+    size = end - start
+    eight = np.ndarray(len(low) - 7, "<u8", low, strides=(1,))         # the eight bytes from each place on
+    out = mix64(eight[start] & _FIRST[np.minimum(size, 8)] ^ size.astype(np.uint64) * _GOLD)
+    for k in range(8, LONG, 8):
+        more = np.flatnonzero(size > k)
+        out[more] = mix64(out[more] * _GOLD + (eight[start[more] + k] & _FIRST[np.minimum(size[more] - k, 8)]))
+    long = np.flatnonzero(size > LONG)
+    out[long] = span_hashes(low, start[long], end[long])
+    upto = np.cumsum([0, *(len(r) + 1 for r in raw)])
+    return out, np.searchsorted(start, upto, "right")
+
+
+def blocks(texts: list[str]):
+    """Runs of the texts of about ``BLOCK`` characters, or one text."""
+    upto = np.cumsum([0, *map(len, texts)])
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(upto, upto[i] + BLOCK, "right")) - 1)
+        yield texts[i:j]
+        i = j
 
 
 def stream(texts: list[str]):
     """(token keys with an end mark before and after each text, begin flags, index of each text's first mark and end)."""
-    h, upto = hash_texts(texts)
-    n = np.diff(upto)
+    parts, upto = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)]
+    for own in blocks(texts):
+        h, more = word_keys(own)
+        places = np.arange(len(h)) + 1 + 2 * np.repeat(np.arange(len(own)), np.diff(more))
+        keys = np.full(len(h) + 2 * len(own), END)
+        keys[places] = h
+        parts.append(keys)
+        upto.append(more[1:] + upto[-1][-1])
+    keys, upto = np.concatenate(parts), np.concatenate(upto)
     first = upto[:-1] + 2 * np.arange(len(texts))
-    past = first + n + 2
-    keys = np.empty(len(h) + 2 * len(texts), np.uint64)
-    inner = np.ones(len(keys), bool)
-    inner[first], inner[past - 1] = False, False
-    keys[inner] = h
-    keys[~inner] = END
+    past = upto[1:] + 2 * np.arange(1, len(texts) + 1)
     begin = np.zeros(len(keys), bool)
     begin[first] = True
     return keys, begin, first, past
 
 
 def gram_key(prefix: np.ndarray, suffix: np.ndarray) -> np.ndarray:
-    return mix64(mix64(prefix) * _GOLD + suffix)
+    out = np.empty(len(prefix), np.uint64)
+    for i in range(0, len(out), KEYS):
+        out[i:i + KEYS] = mix64(mix64(prefix[i:i + KEYS]) * _GOLD + suffix[i:i + KEYS])
+    return out
 
 
 def suffix_of(key: np.ndarray, prefix: np.ndarray) -> np.ndarray:
@@ -109,24 +148,57 @@ def grams(keys: np.ndarray, begin: np.ndarray, order: int):
     return out
 
 
+def in_order(x: np.ndarray):
+    """(places of the values in order, the values in order).
+
+    The first bits of a value and its place are sorted as one number, which is faster than sorting places.
+    """
+    low, n = x.min(initial=np.uint64(2**64 - 1)), len(x)
+    wide, place = (int(x.max(initial=0)) - int(low)).bit_length() if n else 0, max(n - 1, 0).bit_length()
+    if not wide:
+        return np.arange(n), x
+    up = np.uint64(64 - wide)
+    last = np.uint64((1 << place) - 1)
+    y = x - low << up & ~last
+    y |= np.arange(n, dtype=np.uint64)
+    y.sort()
+    y &= last
+    by = y.view(np.int64)
+    key = x[by]
+    wrong = np.flatnonzero(key[1:] < key[:-1])
+    if len(wrong):                                         # values that differ in their last bits only
+        top = key - low << up & ~last
+        at = np.flatnonzero(np.isin(top, top[wrong]))
+        by[at] = by[at[np.argsort(key[at], kind="stable")]]
+        key = x[by]
+    return by, key
+
+
+def starts(key: np.ndarray) -> np.ndarray:
+    """First place of each of the values, which are in order."""
+    new = np.ones(len(key), bool)
+    np.not_equal(key[1:], key[:-1], out=new[1:])
+    return np.flatnonzero(new)
+
+
 def distinct(x: np.ndarray):
     """(values in order, a place of each, per place the number of its value)."""
-    by = np.argsort(x)
-    new = np.ones(len(x), bool)
-    new[1:] = x[by[1:]] != x[by[:-1]]
+    by, key = in_order(x)
+    start = starts(key)
     back = np.empty(len(x), np.int64)
-    back[by] = np.cumsum(new) - 1
-    at = by[new]
-    return x[at], at, back
+    back[by] = np.repeat(np.arange(len(start)), np.diff(start, append=len(x)))
+    return key[start], by[start], back
 
 
 def sums(parts: list[tuple[np.ndarray, ...]], added: int = 1) -> list[np.ndarray]:
     """Parts (key, columns that are added up, other columns of the key), one entry for each key, in order."""
     columns = [np.concatenate(x) for x in zip(*parts)]
-    by = np.argsort(columns[0])
-    key = columns[0][by]
-    start = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])[:len(key)])
-    return [key[start], *(np.add.reduceat(x[by], start) if len(start) else x for x in columns[1:1 + added]), *(x[by[start]] for x in columns[1 + added:])]
+    by, key = in_order(columns[0])
+    start = starts(key)
+    one = by[start]
+    if len(start) == len(key):
+        return [key, *(x[one] for x in columns[1:])]
+    return [key[start], *(np.add.reduceat(x[by], start) for x in columns[1:1 + added]), *(x[one] for x in columns[1 + added:])]
 
 
 def found_at(keys: np.ndarray, x: np.ndarray) -> np.ndarray:
@@ -221,15 +293,17 @@ def _counted(docs: DataFrame, orders: tuple[int, ...], bits: int, below: np.ndar
             key, ok = levels[m - 1]
             if m == 1:
                 own = np.sort(key[~begin])
-                start = np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])[:len(own)])
+                start = starts(own)
                 yield m, [own[start], np.diff(start, append=len(own))]
                 continue
             at = np.flatnonzero(ok)
             if shared.value is not None:
                 may = may_hold(shared.value, levels[m - 2][0])
                 at = at[may[at] & may[at - 1]]
-            own, one, back = distinct(key[at])
-            yield m, [own, np.bincount(back, minlength=len(own)), *(keys[at[one] - m + 1 + j] for j in range(m))]
+            by, own = in_order(key[at])
+            start = starts(own)
+            first = at[by[start]] - m + 1
+            yield m, [own[start], np.diff(start, append=len(own)), *(keys[first + j] for j in range(m))]
 
     def send(m, parts):
         key, c, *words = sums(parts) if len(parts) > 1 else parts[0]       # every part is summed and in order
@@ -303,8 +377,8 @@ def key_filter(tables: list[DataFrame], number: int, bits: int) -> np.ndarray:
 
 
 def may_hold(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    at = (keys >> np.uint64(64 - (len(bits) * 8).bit_length() + 1)).astype(np.int64)
-    return (bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+    at = keys >> np.uint64(64 - (len(bits) * 8).bit_length() + 1)
+    return bits[(at >> np.uint64(3)).view(np.int64)] << (at.astype(np.uint8) & np.uint8(7)) > 127
 
 
 def _classes(c: np.ndarray) -> np.ndarray:
@@ -373,8 +447,8 @@ def _contexts(lower: DataFrame, upper: DataFrame, hist: list, bits: int) -> Data
         def send():
             yield from _sent(known, bits, 2, 3)
             suffix, prefix, c = (np.concatenate(x) for x in zip(*asked))
-            by = np.argsort(suffix)
-            suffix, prefix, c = suffix[by], prefix[by], c[by]
+            by, suffix = in_order(suffix)
+            prefix, c = prefix[by], c[by]
             for r, own in by_range(suffix, bits):
                 yield _row(r, 1, entries(r, bits, suffix[own], prefix[own], c[own]))
 
@@ -501,25 +575,27 @@ def learn(docs: DataFrame, text_col: str = "text", order: int = ORDER, words: fl
 # ---- scoring
 
 def reach(model: Model, texts: list[str]):
-    """The stream of the texts; per order: places of n-grams that may be states, their keys once each, a place of each, number of the key at each place."""
+    """The stream of the texts; per order: places of n-grams that may be states, and their keys."""
     keys, begin, first, past = stream(texts)
     levels, may = [], None
-    for g, ok in grams(keys, begin, model.order):
+    for m, (g, ok) in enumerate(grams(keys, begin, model.order), 1):
         if may is not None:                                # only with its prefix and its suffix
             ok = ok & may & np.roll(may, 1)
         at = np.flatnonzero(ok)
-        at = at[may_hold(model.rest, g[at])]
-        may = np.zeros(len(g), bool)
-        may[at] = True
-        own, one, back = distinct(g[at])
-        levels.append((at, own, at[one], back))
+        own = g[at]
+        hit = np.flatnonzero(may_hold(model.rest, own))
+        at = at[hit]
+        levels.append((at, own[hit]))
+        if m < model.order:
+            may = np.zeros(len(g), bool)
+            may[at] = True
     return (keys, begin, first, past), levels
 
 
-def wanted(model: Model, levels) -> np.ndarray:
-    """Keys of the n-grams that may be states and are not broadcast, once each, in order."""
-    keys = np.sort(np.concatenate([own[found_at(model.table[0], own) < 0] for _, own, _, _ in levels]))
-    return keys[np.concatenate([[True], keys[1:] != keys[:-1]])[:len(keys)]]
+def wanted(model: Model, levels: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Of each order's keys, given once each and in order: (those that are not broadcast, in order; places among the broadcast ones or -1)."""
+    places = [found_at(model.table[0], own) for own in levels]
+    return np.sort(np.concatenate([own[place < 0] for own, place in zip(levels, places)])), places
 
 
 class Automaton:
@@ -528,46 +604,45 @@ class Automaton:
     def __init__(self, model: Model, texts: list[str], gathered: list[np.ndarray]):
         self.model, self.texts = model, len(texts)
         self.stream, levels = reach(model, texts)
-        want = wanted(model, levels)
-        self.ends = []                                     # ends[m - 1]: the state of m tokens that ends here, or -1
-        arcs, backs, size, lower = [np.zeros(0)], [np.zeros(0)], 0, None
-        for m, (at, own, one, number) in enumerate(levels, 1):
-            place, more = found_at(model.table[0], own), found_at(want, own)
-            columns = []
-            for x, y in zip(model.table[1:], gathered):
-                out = np.zeros(len(own))
-                out[place >= 0], out[place < 0] = x[place[place >= 0]], y[more[place < 0]]
-                columns.append(out)
-            live = np.flatnonzero(columns[0])
-            c, n, used, below = (x[live] for x in columns)
-            state = np.full(len(own), -1)
+        levels = [(at, *distinct(own)) for at, own in levels]
+        want, places = wanted(model, [own for _, own, _, _ in levels])
+        columns = [np.concatenate(x).astype(float) for x in zip(model.table[1:], gathered)]
+        # ends[p, m]: the state of m tokens that ends at place p, or -1
+        self.ends = np.full((len(self.stream[0]), model.order + 1), -1, np.int32)
+        arcs, backs, size, lower = [], [], 0, None
+        for m, ((at, own, one, number), place) in enumerate(zip(levels, places), 1):
+            rest = np.flatnonzero(place < 0)
+            place[rest] = len(model.table[0]) + np.searchsorted(want, own[rest])
+            count = columns[0][place]
+            live = np.flatnonzero(count)
+            c, one = count[live], at[one[live]]
+            state = np.full(len(own), -1, np.int32)
             state[live] = size + np.arange(len(live))
             size += len(live)
-            ends = np.full(len(self.stream[0]), -1)
-            ends[at] = state[number]
-            self.ends.append(ends)
+            self.ends[at, m] = state[number]
+            # an arc: by the counts of the prefix and, for the weight of a failure arc, of the suffix
+            arcs.append(np.log10((c + ADD) / model.mass) if m == 1 else np.log10((c - DISCOUNT) / lower[one - 1]))
+            if m == model.order:                           # no arcs lead on from the longest
+                break
+            n, used, below = (x[place[live]] for x in columns[1:])
             with np.errstate(divide="ignore", invalid="ignore"):
-                if m == 1:
-                    arc, under = np.log10((c + ADD) / model.mass), (below + ADD * n) / model.mass
-                else:                                      # the counts of the prefix and, for the weight of its failure arc, of the suffix
-                    arc = np.log10((c - DISCOUNT) / lower[one[live] - 1])
-                    under = (below - DISCOUNT * n) / lower[one[live]]
+                under = (below + ADD * n) / model.mass if m == 1 else (below - DISCOUNT * n) / lower[one]
                 # what a context's arcs leave, over what the lower order leaves
                 left = (c - used + DISCOUNT * n) / c
-                back = np.where(n > 0, np.log10(np.maximum(left, 1e-12) / np.maximum(1 - under, 1e-12)), 0.0)
-            arcs.append(arc)
-            backs.append(back)
-            lower = np.zeros(len(ends))
-            lower[at] = columns[0][number]
-        self.arc, self.back = np.concatenate(arcs), np.concatenate(backs)
+                backs.append(np.where(n > 0, np.log10(np.maximum(left, 1e-12) / np.maximum(1 - under, 1e-12)), 0.0))
+            lower = np.zeros(len(self.ends))
+            lower[at] = count[number]
+        self.arc = np.concatenate([*arcs, [model.unknown]])        # -1: an unknown word
+        self.back = np.concatenate([*backs, np.zeros(0)])
 
     def score(self):
         """Per text: tokens, known tokens, log10 of the unigrams, log10 of the model."""
         _, begin, first, past = self.stream
-        order, n, ends = self.model.order, self.texts, self.ends
-        text = np.repeat(np.arange(n), past - first)[~begin]
-        word = ends[0][~begin]
-        base = np.where(word >= 0, self.arc[word], self.model.unknown) if len(self.arc) else np.full(len(word), self.model.unknown)
+        order, n, wide = self.model.order, self.texts, self.model.order + 1
+        inside = ~begin
+        text = np.repeat(np.arange(n), past - first - 1)
+        word = self.ends[:, 1][inside]
+        base = self.arc[word]
         known = np.bincount(text, word >= 0, minlength=n).astype(np.int64)
         # runs: (first token, number of tokens, text), longest first
         size = past - first - 1
@@ -577,31 +652,25 @@ class Automaton:
         start, length = first[own] + 1 + skip, np.minimum(size[own] - skip, RUN)
         by = np.argsort(-length, kind="stable")
         own, start, length = own[by], start[by], length[by]
-        state, level = np.full(len(own), -1), np.zeros(len(own), np.int64)
+        state, level = np.full(len(own), -1, np.int32), np.zeros(len(own), np.int64)
         for m in range(1, order):                          # the state that the tokens before a run lead to
-            s = ends[m - 1][start - 1]
+            s = self.ends[start - 1, m]
             state, level = np.where(s >= 0, s, state), np.where(s >= 0, m, level)
-        total = np.zeros(len(own))
-        live = len(own)
-        for t in range(int(length.max(initial=0))):
-            while length[live - 1] <= t:
-                live -= 1
-            at, s, lev = start[:live] + t, state[:live], level[:live]
-            for m in range(order, 1, -1):                  # failure arcs, from the longest states down
-                fail = np.flatnonzero((lev == m - 1) & (ends[m - 1][at] < 0))
-                if len(fail):
-                    total[fail] += self.back[s[fail]]
-                    lev[fail] = m - 2
-                    s[fail] = ends[m - 3][at[fail] - 1] if m > 2 else -1
-            for m in range(order):                         # the arc of the token
-                go = np.flatnonzero(lev == m)
-                to = ends[m][at[go]]
-                ok = to >= 0                               # without it (an unknown word) the root stays
-                total[go[ok]] += self.arc[to[ok]]
-                total[go[~ok]] += self.model.unknown
-                s[go] = to if m + 1 < order else ends[m - 1][at[go]] if m else -1
-                lev[go] = -1 - np.where(ok, min(m + 1, order - 1), 0)          # marked, so that no token is read twice
-            np.subtract(-1, lev, out=lev)
+        total, ends = np.zeros(len(own)), self.ends.reshape(-1)
+        for t, live in enumerate(np.searchsorted(-length, -np.arange(length.max(initial=0))).tolist()):
+            at, s, lev = (start[:live] + t) * wide, state[:live], level[:live]
+            for m in range(order - 1, 0, -1):              # failure arcs, from the longest states down
+                fail = np.flatnonzero(lev == m)
+                fail = fail[ends[at[fail] + m + 1] < 0]
+                total[fail] += self.back[s[fail]]
+                lev[fail] = m - 1
+                s[fail] = ends[at[fail] - wide + m - 1]    # the root's is -1
+            to = ends[at + lev + 1]                        # the arc of the token; without it (an unknown word) the root stays
+            total[:live] += self.arc[to]
+            lev += 1
+            np.minimum(lev, order - 1, out=lev)
+            lev[to < 0] = 0
+            s[:] = ends[at + lev]
         return size, known, np.bincount(text, base, minlength=n), np.bincount(own, total, minlength=n)
 
 
@@ -611,7 +680,8 @@ def _gathered(cut: DataFrame, states: list[DataFrame], shared, bits: int) -> Dat
         for batch in batches:
             for sid, texts in zip(batch.column("sid").to_pylist(), batch.column("texts")):
                 model = shared.value
-                keys = wanted(model, reach(model, texts_of(texts.values))[1])
+                levels = [np.sort(own) for _, own in reach(model, texts_of(texts.values))[1]]
+                keys, _ = wanted(model, [own[starts(own)] for own in levels])
                 for r, own in by_range(keys, bits):
                     yield _row(r, sid, entries(r, bits, keys[own]))
 
@@ -623,14 +693,11 @@ def _gathered(cut: DataFrame, states: list[DataFrame], shared, bits: int) -> Dat
                     held.append(entries_of(r, bits, raw, 5))
                     continue
                 if model is None:
-                    model = sums(held, 0) if held else [np.zeros(0, np.uint64)] * 5
+                    known, *columns = sums(held, 0) if held else [np.zeros(0, np.uint64)] * 5
+                    model = [np.append(x, np.uint64(0)) for x in columns]      # -1: zero, not a state
                 keys, = entries_of(r, bits, raw, 1)
-                at = found_at(model[0], keys)
-                hit = at >= 0
-                out = [np.zeros(len(keys), np.uint64) for _ in model[1:]]
-                for x, y in zip(out, model[1:]):
-                    x[hit] = y[at[hit]]
-                yield _row(r, sid, pack(*out))
+                at = found_at(known, keys)
+                yield _row(r, sid, pack(*(x[at] for x in model)))
 
     dealt = functools.reduce(DataFrame.unionByName, [*(x.withColumn("kind", F.lit(-1).cast("long")) for x in states), cut.mapInArrow(ask, ROW)])
     return _met(dealt, bits, answer).withColumnRenamed("kind", "sid")

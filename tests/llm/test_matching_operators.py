@@ -2,6 +2,7 @@
 import collections
 import hashlib
 import html
+import itertools
 import math
 import random
 import re
@@ -472,6 +473,52 @@ def test_lm_packed_columns():
         assert (m.entries_of(r, 4, m.entries(r, 4, np.sort(key)[own]), 1)[0] == np.sort(key)[own]).all()
 
 
+def test_lm_keys_in_order(monkeypatch):
+    """Keys are sorted with their places as one number: sorting places (``argsort``) was most of the CPU time of learning and scoring."""
+    from rankforge.llm import lm_scoring as m
+    rnd = np.random.default_rng(8)
+    some = rnd.integers(0, 1 << 64, 30_000, np.uint64)
+    x = np.concatenate([some, some[:10_000], rnd.permutation(some)])
+    want, back = np.unique(x, return_inverse=True)
+    count, sort, sorted_places = np.bincount(back), np.argsort, []
+    monkeypatch.setattr(np, "argsort", lambda x, *a, **k: sorted_places.append(len(x)) or sort(x, *a, **k))
+    key, at, number = m.distinct(x)
+    assert (key == want).all() and (x[at] == key).all() and (number == back).all()
+    key, c, other = m.sums([(x[:100], np.ones(100, np.int64), ~x[:100]), (x[100:], np.ones(len(x) - 100, np.int64), ~x[100:])])
+    assert (key == want).all() and (c == count).all() and (other == ~want).all()
+    assert max(sorted_places, default=0) < 1000
+    for x in (np.zeros(0, np.uint64), np.full(1, 7, np.uint64), np.full(9, 1 << 63, np.uint64),
+              rnd.permutation(np.concatenate([np.arange(3000, dtype=np.uint64), np.arange(500, dtype=np.uint64) + np.uint64(1 << 63)]).repeat(3)),      # alike but for their last bits
+              np.array([(1 << 64) - 1, 0, 5, 0, 4], np.uint64)):
+        by, key = m.in_order(x)
+        assert (key == np.sort(x)).all() and (x[by] == key).all() and sorted(by) == list(range(len(x)))
+
+
+def test_lm_words_by_blocks(monkeypatch):
+    """Words have one key wherever they stand, and texts are cut block by block: whole slices at once did not fit a core's cache."""
+    from rankforge.llm import lm_scoring as m
+    odd = ["a", "A", "a\0", "\0a", "\0", "é", "É", "[", "{", "abcdefgh", "abcdefghi", "ABCDEFGHIJ", "\x1f", "\x85", "\u3000x", "x\u2028y", *("w" * k for k in range(1, 200)),
+           "v" + "w" * 199, "日本語" * 50, "x" * 100_000, "x" * 100_000 + "y"]
+    rnd = np.random.default_rng(9)
+    texts = [*([" ", "\n", "\t\r", "\x0b\x0c "][i % 4].join(odd[j] for j in rnd.integers(0, len(odd), rnd.integers(0, 12))) + " " * (i % 3) for i in range(150)),
+             "", " ", "".join(odd), " ".join(odd)]
+    words = [words_of(t) for t in texts]
+    h, upto = m.word_keys(texts)
+    assert np.diff(upto).tolist() == [len(w) for w in words]
+    seen = {}
+    assert all(seen.setdefault(w, k) == k for w, k in zip(itertools.chain(*words), h.tolist(), strict=True)) and len(set(seen.values())) == len(seen)
+    whole, sizes, cut = m.stream(texts), [], m.word_keys
+    monkeypatch.setattr(m, "word_keys", lambda own: sizes.append((len(own), sum(map(len, own)))) or cut(own))
+    for limit in (1, 1000, 250_000):
+        monkeypatch.setattr(m, "BLOCK", limit)
+        assert all((x == y).all() and len(x) == len(y) for x, y in zip(m.stream(texts), whole, strict=True))
+        assert all(n == 1 or chars <= limit for n, chars in sizes) and len(sizes) > 1
+    keys, begin, first, past = whole
+    assert (keys[first] == m.END).all() and (keys[past - 1] == m.END).all() and begin.sum() == len(texts) and past[-1] == len(keys)
+    assert (np.concatenate([keys[a + 1:z - 1] for a, z in zip(first, past)]) == h).all()
+    assert [len(x) for x in m.stream([])] == [0, 0, 0, 0]
+
+
 def test_op10_odd_rows(spark, odd_docs):
     from rankforge.llm.lm_scoring import lm_scores
     got = lm_scores(odd_docs, odd_docs).collect()
