@@ -86,7 +86,7 @@ def test_neighbors_in_rounds(spark, monkeypatch):
     monkeypatch.setattr(S, "BLOCK_IDS", 8)
     monkeypatch.setattr(S, "BLOCK_ENTRIES", 60)
     monkeypatch.setattr(S, "SLICE_BLOCKS", 2)
-    for name, v in (("ROUND_LEAST", 100), ("ROUND_SHARE", 0.5)):
+    for name, v in (("ROUND_LEAST", 3000), ("ROUND_SHARE", 0.5)):
         monkeypatch.setattr(LS, name, v)
     assert rows(S.top_neighbors(m, "key", "id", 4), "id_a", "id_b", "sim", "rank") == want
     got = rows(S.top_neighbors(m, "key", "id", 4, heavy=8), "id_a", "id_b", "sim", "rank")
